@@ -1,220 +1,102 @@
 """Whole-document JSON: one object, or one array of records, per file.
 
 Files of ordinary size are read whole, many to a task, without a shuffle.  Larger
-files, of which one may be a big part of the data, are read in blocks by many tasks
-and cut where a record ends; only text around block edges moves between tasks after
-that.  File sizes are tested while listing, so neither way opens the other's files.
+files, of which one may be a big part of the data, are read in blocks by many tasks:
+one pass finds how each block begins, a second cuts it into records, and only the text
+around block edges is put together across tasks.  File sizes are tested while listing,
+so neither way opens the other's files.
 """
 
 from __future__ import annotations
 
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-# A document is held as one string and one variant value, which Spark bounds.
+from schemagate.sources import cutting
+from schemagate.sources.cutting import (
+    BLOCK_STATE,
+    CHUNKS,
+    EDGES,
+    RECORDS,
+    cut_documents,
+    cut_edges,
+    cut_inside,
+    cut_joined,
+    measure_blocks,
+    pack_blocks,
+)
+
+# Held as one string per document, a few documents to a batch.
 DOCUMENT_LIMIT = 32 * 1024 * 1024
 
-# Closes every document before it is parsed.  If it is not found right after the
-# document, the text held more than one value or ended early.
-END_MARK = "end of document"
+# The helpers travel with the plan, so executors need no installed package.
+cloudpickle.register_pickle_by_value(cutting)
+
+_BLOCK = ["file", "size", "block"]
 
 
 def read_documents(
     spark: SparkSession, path: str | list[str], limit: int = DOCUMENT_LIMIT
 ) -> DataFrame:
-    """Columns ``record`` (text of one record) and ``unreadable`` (text of a bad document)."""
+    """Columns ``record`` (text of one record) and ``unreadable`` (text that is none)."""
     whole = (
         spark.read.text(path, wholetext=True)
         .where((F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S"))
-        .select("value", F.col("value").alias("raw"))
-    )
-    return _records_of(whole.unionByName(_cut_large(spark, path, limit)))
-
-
-def _records_of(documents: DataFrame) -> DataFrame:
-    closed = F.concat(F.lit("["), F.col("value"), F.lit(f',"{END_MARK}"]'))
-    tree = documents.select("raw", F.try_parse_json(closed).alias("tree"))
-    one_value = F.coalesce(
-        (F.try_variant_get("tree", "$[1]", "string") == END_MARK)
-        & F.variant_get("tree", "$[2]", "variant").isNull(),
-        F.lit(False),
+        .mapInArrow(cut_documents, RECORDS)
     )
-    body = F.variant_get("tree", "$[0]", "variant")
-    elements = F.coalesce(F.try_variant_get("tree", "$[0]", "array<variant>"), F.array(body))
-    rows = F.when(
-        one_value,
-        F.transform(
-            elements,
-            lambda e: F.struct(e.alias("element"), F.lit(None).cast("string").alias("unreadable")),
-        ),
-    ).otherwise(
-        F.array(
-            F.struct(F.lit(None).cast("variant").alias("element"), F.col("raw").alias("unreadable"))
-        )
-    )
-    return tree.select(F.inline(rows)).select(
-        F.to_json("element").alias("record"), "unreadable"
-    )
-
+    return whole.unionByName(_from_blocks(spark, path, limit))
 
-def _cut_large(spark: SparkSession, path: str | list[str], limit: int) -> DataFrame:
-    """Large files as many small documents, each holding one record.
-
-    ``value`` is such a document, null where the text cannot be one; ``raw`` is its text.
-
-    The text is read as fragments that end at ``}``.  Whether a fragment starts inside
-    a quoted string, and how deep it is nested, depends on all text before it; that is
-    summed up per block, carried over the blocks of a file (one row per block), and
-    joined back.  A record ends where a fragment ends outside strings at depth one.
-    """
-    block = ["file", "block"]
-    in_block = Window.partitionBy(*block).orderBy("pos")
-    before = in_block.rowsBetween(Window.unboundedPreceding, -1)
-    upto = in_block.rowsBetween(Window.unboundedPreceding, Window.currentRow)
 
+def _from_blocks(spark: SparkSession, path: str | list[str], limit: int) -> DataFrame:
     fragments = (
         spark.read.option("lineSep", "}")
         .text(path)
         .where(F.col("_metadata.file_size") > limit)
         .select(
-            F.col("_metadata.file_path").alias("file"),
+            F.xxhash64("_metadata.file_path").alias("file"),
+            F.col("_metadata.file_size").alias("size"),
             F.col("_metadata.file_block_start").alias("block"),
-            F.monotonically_increasing_id().alias("pos"),
             "value",
-            F.col("_metadata.file_size").alias("size"),
         )
     )
-    # Depth change of each fragment, and whether it ends in a string, for a block that
-    # opens outside (0) or inside (1) a string.
-    plain = F.regexp_replace("value", r"(?s)\\.", "")
-    outside = F.regexp_replace(plain, r'"[^"]*("|$)', "")
-    inside = F.regexp_replace(F.regexp_replace(plain, r'^[^"]*("|$)', ""), r'"[^"]*("|$)', "")
-    measured = fragments.withColumns(
-        {"quotes": _count(plain, '"'), "net_out": _net(outside), "net_in": _net(inside)}
-    )
-    odd_before = F.coalesce(F.sum("quotes").over(before), F.lit(0)) % 2
-    odd_after = F.sum("quotes").over(upto) % 2
-    walked = measured.withColumns({"odd_before": odd_before, "odd_after": odd_after}).select(
-        *block,
-        "pos",
-        "value",
-        "quotes",
-        "odd_after",
-        "size",
-        (F.octet_length("value") + 1).alias("bytes"),
-        *[
-            (
-                F.when(F.col("odd_before") == opens, F.col("net_out")).otherwise(F.col("net_in"))
-                - F.when(F.col("odd_after") == opens, 1).otherwise(0)
-            ).alias(f"step{opens}")
-            for opens in (0, 1)
-        ],
-    )
-
-    over_blocks = Window.partitionBy("file").orderBy("block")
-    blocks_before = over_blocks.rowsBetween(Window.unboundedPreceding, -1)
-    opens_in_string = F.coalesce(F.sum("quotes").over(blocks_before), F.lit(0)) % 2
-    openings = (
-        walked.groupBy(*block)
-        .agg(
-            F.sum("quotes").alias("quotes"),
-            F.sum("step0").alias("d0"),
-            F.sum("step1").alias("d1"),
-            F.sum("bytes").alias("bytes"),
-            F.first("size").alias("size"),
-        )
-        .withColumn("opens", opens_in_string)
-        .withColumn("net", F.when(F.col("opens") == 0, F.col("d0")).otherwise(F.col("d1")))
+    # A block's beginning depends on all blocks before it: one small row each.
+    in_order = Window.partitionBy("file", "size").orderBy("block")
+    earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    state = fragments.mapInArrow(measure_blocks, BLOCK_STATE)
+    beginnings = (
+        state.withColumn("in_string", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+        .withColumn("net", F.when(F.col("in_string") == 0, F.col("net_out")).otherwise(F.col("net_in")))
         .select(
-            *block,
-            "opens",
-            F.coalesce(F.sum("net").over(blocks_before), F.lit(0)).alias("depth"),
-            F.lag("block").over(over_blocks).isNull().alias("first_block"),
-            F.lead("block").over(over_blocks).isNull().alias("last_block"),
+            *_BLOCK,
+            "in_string",
+            F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("depth"),
+            F.lag("block").over(in_order).isNull().alias("first"),
+            F.lead("block").over(in_order).isNull().alias("last"),
             # With no "}" after the last fragment, one byte too many has been counted.
-            (F.sum("bytes").over(Window.partitionBy("file")) > F.col("size")).alias("open_end"),
+            (F.sum("bytes").over(Window.partitionBy("file", "size")) > F.col("size")).alias("open_end"),
         )
     )
-
-    step = F.when(F.col("opens") == 0, F.col("step0")).otherwise(F.col("step1"))
-    placed = (
-        walked.drop("size", "bytes", "quotes")
-        .join(openings, block)
-        .withColumn("step", step)
-        .withColumn("closes", (F.col("odd_after") == F.col("opens"))
-                    & (F.col("depth") + F.sum("step").over(upto) <= 1))
-        .withColumn("file_end", F.col("last_block") & F.lead("pos").over(in_block).isNull())
-        .withColumn("unended", F.col("file_end") & F.col("open_end"))
-        .withColumn("closes", F.col("closes") & ~F.col("unended"))
-        .withColumn("piece", F.coalesce(F.sum(F.col("closes").cast("int")).over(before), F.lit(0)))
-    )
-    # Pieces keep the blocks' partitioning, so this needs no further exchange.
-    pieces = placed.groupBy(*block, "piece").agg(
-        _in_order(
-            F.struct("pos", F.concat("value", F.when(F.col("unended"), "").otherwise("}")).alias("text"))
-        ),
-        F.max("closes").alias("closes"),
-        F.max("file_end").alias("file_end"),
-        F.first("first_block").alias("first_block"),
-    )
-    within = F.col("closes") & ((F.col("piece") > 0) | F.col("first_block"))
-    opens_file = F.col("first_block") & (F.col("piece") == 0)
-    inner = pieces.where(within).select(
-        "text", opens_file.alias("opens_file"), "file_end"
+    # No hint: Spark broadcasts the block rows while they are small, and otherwise
+    # shuffles by block, hence the sort.
+    chunks = fragments.mapInArrow(pack_blocks, CHUNKS)
+    placed = chunks.join(beginnings, _BLOCK).sortWithinPartitions(*_BLOCK, "chunk")
+    inside = placed.mapInArrow(cut_inside, RECORDS)
+
+    over_edges = Window.partitionBy("file", "size").orderBy("block", "piece")
+    ended_before = F.sum(F.col("closes").cast("int")).over(
+        over_edges.rowsBetween(Window.unboundedPreceding, -1)
     )
-    # At most two pieces per block are left: its head and its tail.
-    over_pieces = Window.partitionBy("file").orderBy("block", "piece")
-    edges = (
-        pieces.where(~within)
-        .withColumn("opens_file", opens_file)
-        .withColumn(
-            "joint",
-            F.coalesce(
-                F.sum(F.col("closes").cast("int")).over(
-                    over_pieces.rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            ),
-        )
-        .groupBy("file", "joint")
+    across = (
+        placed.mapInArrow(cut_edges, EDGES)
+        .withColumn("joint", F.coalesce(ended_before, F.lit(0)))
+        .groupBy("file", "size", "joint")
         .agg(
-            _in_order(F.struct("block", "piece", "text")),
-            F.max("opens_file").alias("opens_file"),
-            F.max("file_end").alias("file_end"),
-        )
-        .select("text", "opens_file", "file_end")
-    )
-    return _as_documents(inner.unionByName(edges))
-
-
-def _as_documents(cuts: DataFrame) -> DataFrame:
-    """Each cut as an array of its own: ``[ {..}``, ``, {..}`` and ``]`` change their edges."""
-    lead = F.when(F.col("opens_file"), "[").otherwise(",")
-    whole_file = F.col("opens_file") & F.col("file_end")
-    led = F.startswith("text", lead)
-    ended = F.col("file_end") & F.endswith("text", F.lit("]"))
-    body = F.when(led, F.substring("text", 2, 2147483647))
-    return (
-        cuts.withColumn("text", F.regexp_replace("text", r"^\s+|\s+$", ""))
-        .where(~(F.col("file_end") & ~F.col("opens_file") & F.col("text").isin("", "]")))
-        .select(
-            F.when(whole_file, F.col("text"))
-            .when(ended, F.concat(F.lit("["), body))
-            .otherwise(F.concat(F.lit("["), body, F.lit("]")))
-            .alias("value"),
-            F.coalesce(body, "text").alias("raw"),
+            F.array_sort(F.collect_list(F.struct("block", "piece", "text"))).alias("parts"),
+            F.max("opens").alias("opens"),
+            F.max("ends").alias("ends"),
         )
+        .select(F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), "opens", "ends")
+        .mapInArrow(cut_joined, RECORDS)
     )
-
-
-def _count(text, marks: str):
-    return F.length(text) - F.length(F.translate(text, marks, ""))
-
-
-def _net(text):
-    return _count(text, "{[") - _count(text, "}]")
-
-
-def _in_order(row):
-    parts = F.array_sort(F.collect_list(row))
-    return F.array_join(F.transform(parts, lambda p: p["text"]), "").alias("text")
+    return inside.unionByName(across)

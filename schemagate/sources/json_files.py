@@ -29,8 +29,8 @@ def read_json(
     """Target columns plus ``_corrupt_record``, which holds a bad record's text.
 
     ``lines``: one record per line; blank lines are skipped.
-    ``document``: each file holds one object or one array of records.  Files beyond
-    ``document_limit`` bytes are cut at record ends and read by many tasks.
+    ``document``: each file holds one object or one array of records, which may be spread
+    over lines.  Files beyond ``document_limit`` bytes are read by many tasks.
     """
     if layout == "lines":
         records = spark.read.text(path).where(F.col("value").rlike(r"\S")).withColumnRenamed(

@@ -100,10 +100,9 @@ def ragged_csv(spark: SparkSession, sf_dir: str) -> str:
             .when(F.col("rec_id") % 3 == 1, full)
             .otherwise(F.concat(full, F.lit(",surplus")))
         )
-        rows = flat(spark, sf_dir).select(line.alias("value"))
-        header = spark.range(1, numPartitions=1).select(F.lit(",".join(FLAT)).alias("value"))
-        rows.write.text(path)
-        header.write.mode("append").text(path)
+        # A one-column CSV whose name is the header line; no separator or quote applies.
+        rows = flat(spark, sf_dir).select(line.alias(",".join(FLAT)))
+        rows.write.csv(path, header=True, sep="\u0001", quote="\u0000", escape="\u0000")
 
     return _once(spark, sf_dir, "ragged", write)
 
