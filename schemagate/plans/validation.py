@@ -1,4 +1,6 @@
-"""Read, judge and summarise, for both input layouts.  Nothing runs until asked for."""
+"""Read, judge and summarise, for both input layouts.  Nothing runs until asked for,
+except that JSON documents are first turned into lines.
+"""
 
 from __future__ import annotations
 
@@ -72,11 +74,20 @@ def validate_json(
     *,
     layout: str = "lines",
     document_limit: int = DOCUMENT_LIMIT,
+    lines_path: str | None = None,
     rules: tuple[Rule, ...] | None = None,
     encoding: str = "compat",
 ) -> Validation:
     """``rules`` are weighed in the report; pass ``()`` to leave the quality profile out."""
-    marked = mark_corrupt(read_json(spark, path, contract, layout=layout, document_limit=document_limit))
+    parsed = read_json(
+        spark,
+        path,
+        contract,
+        layout=layout,
+        document_limit=document_limit,
+        lines_path=lines_path,
+    )
+    marked = mark_corrupt(parsed)
     return Validation(
         marked,
         valid_rows(marked, placeholder=False),

@@ -1,5 +1,5 @@
 from schemagate.sources.csv_files import read_csv
-from schemagate.sources.json_files import parse_records, read_json
+from schemagate.sources.json_files import read_json
 from schemagate.sources.tables import preview
 
-__all__ = ["parse_records", "preview", "read_csv", "read_json"]
+__all__ = ["preview", "read_csv", "read_json"]

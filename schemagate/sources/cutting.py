@@ -17,6 +17,11 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+# Control characters, which JSON text cannot hold: after each line, and before a line that
+# is no record.
+RECORD_END = "\x1e"
+SET_APART = "\x1d"
+
 _ESCAPED = re.compile(r"\\.", re.DOTALL)
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}\[\],]', re.DOTALL)
 
@@ -74,62 +79,60 @@ def elements(text: str) -> list[str]:
     return found if found != [""] else []
 
 
-def records(text: str, opens: bool, ends: bool) -> list[tuple[str | None, str | None]]:
-    """(record, unreadable) pairs for a cut text of an array document.
+def line(text: str) -> str:
+    """An element of an array as a line; what is no object is set apart."""
+    return text if text.startswith("{") and RECORD_END not in text else apart(text)
+
+
+def apart(text: str) -> str:
+    return SET_APART + text.replace(RECORD_END, SET_APART)
+
+
+def lines(text: str, opens: bool, ends: bool) -> list[str]:
+    """Lines for a cut text of an array document.
 
     ``opens`` and ``ends`` tell that it is the first or last of its document.
     """
     body = text.strip()
-    if ends and body in ("", "]") and not opens:
+    if body == "" or (ends and not opens and body == "]"):
         return []
     if not body.startswith("[" if opens else ","):
-        return [(None, body)]
+        return [apart(body)]
     body = body[1:].lstrip()
     if body.startswith("{") and not ends:
-        return [(body, None)]
-    return [(element, None) for element in elements(body)]
+        return [line(body)]
+    return [line(element) for element in elements(body)]
 
 
-def document_records(text: str) -> list[tuple[str | None, str | None]]:
-    """All records of a document held whole: of an array, or a bare object."""
+def document_lines(text: str) -> list[str]:
+    """All lines of a document held whole: of an array, or a bare object."""
     body = text.strip()
     cuts = list(cut([body]))
     if not body.startswith("["):
-        return [(body, None)] if len(cuts) == 1 else [(None, body)]
+        return [line(body)] if len(cuts) == 1 else [apart(body)]
     last = len(cuts) - 1
-    return [r for i, (piece, _) in enumerate(cuts) for r in records(piece, i == 0, i == last)]
+    return [x for i, (piece, _) in enumerate(cuts) for x in lines(piece, i == 0, i == last)]
 
 
-def _record_batch(pairs: list[tuple[str | None, str | None]]) -> pa.RecordBatch:
-    record, unreadable = zip(*pairs)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(record, pa.string()), pa.array(unreadable, pa.string())],
-        names=["record", "unreadable"],
-    )
+LINES = "value string"
 
 
-RECORDS = "record string, unreadable string"
+def _lines_batch(values: list[str]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
 
 
 def cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole documents (``value``) to records."""
+    """Whole documents (``value``) to lines."""
     for batch in batches:
-        for text in batch.column("value").to_pylist():
-            pairs = document_records(text)
-            if pairs:
-                yield _record_batch(pairs)
+        for text in batch.column("value"):
+            yield _lines_batch(document_lines(text.as_py()))
 
 
 def cut_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut texts (``text``, ``opens``, ``ends``) to records."""
+    """Cut texts (``text``, ``opens``, ``ends``) to lines."""
     for batch in batches:
-        pairs = [
-            pair
-            for row in batch.to_pylist()
-            for pair in records(row["text"], row["opens"], row["ends"])
-        ]
-        if pairs:
-            yield _record_batch(pairs)
+        rows = batch.to_pylist()
+        yield _lines_batch([x for r in rows for x in lines(r["text"], r["opens"], r["ends"])])
 
 
 BLOCK_STATE = "file long, size long, block long, quotes long, net_out long, net_in long, bytes long"
@@ -224,16 +227,15 @@ def _within(row: tuple) -> bool:
 
 
 def cut_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Records that lie within one block."""
-    pairs: list = []
+    """Lines for the records that lie within one block."""
+    held: list[str] = []
     for row in _block_cuts(batches):
         if _within(row):
-            pairs += records(row[4], row[6], row[7])
-        if len(pairs) >= 2000:
-            yield _record_batch(pairs)
-            pairs = []
-    if pairs:
-        yield _record_batch(pairs)
+            held += lines(row[4], row[6], row[7])
+        if len(held) >= 2000:
+            yield _lines_batch(held)
+            held = []
+    yield _lines_batch(held)
 
 
 def cut_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 """Whole-document JSON: one object, or one array of records, per file.
 
+The documents are turned into lines, one record each, with its text unchanged.
 Files of ordinary size are read whole, many to a task, without a shuffle.  Larger
 files, of which one may be a big part of the data, are read in blocks by many tasks:
 one pass finds how each block begins, a second cuts it into records, and only the text
@@ -18,7 +19,8 @@ from schemagate.sources.cutting import (
     BLOCK_STATE,
     CHUNKS,
     EDGES,
-    RECORDS,
+    LINES,
+    RECORD_END,
     cut_documents,
     cut_edges,
     cut_inside,
@@ -26,6 +28,7 @@ from schemagate.sources.cutting import (
     measure_blocks,
     pack_blocks,
 )
+from schemagate.storage import scratch_path
 
 # Held as one string per document, a few documents to a batch.
 DOCUMENT_LIMIT = 32 * 1024 * 1024
@@ -36,14 +39,29 @@ cloudpickle.register_pickle_by_value(cutting)
 _BLOCK = ["file", "size", "block"]
 
 
-def read_documents(
+def documents_to_lines(
+    spark: SparkSession,
+    path: str | list[str],
+    target: str | None = None,
+    limit: int = DOCUMENT_LIMIT,
+) -> str:
+    """Write the records of all documents as lines that end in ``RECORD_END``.
+
+    Text that is no record is a line too, behind a ``SET_APART`` mark that no JSON parser
+    lets pass.
+    """
+    target = target or scratch_path(spark, "records")
+    record_lines(spark, path, limit).write.text(target, lineSep=RECORD_END)
+    return target
+
+
+def record_lines(
     spark: SparkSession, path: str | list[str], limit: int = DOCUMENT_LIMIT
 ) -> DataFrame:
-    """Columns ``record`` (text of one record) and ``unreadable`` (text that is none)."""
     whole = (
         spark.read.text(path, wholetext=True)
         .where((F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S"))
-        .mapInArrow(cut_documents, RECORDS)
+        .mapInArrow(cut_documents, LINES)
     )
     return whole.unionByName(_from_blocks(spark, path, limit))
 
@@ -81,7 +99,7 @@ def _from_blocks(spark: SparkSession, path: str | list[str], limit: int) -> Data
     # shuffles by block, hence the sort.
     chunks = fragments.mapInArrow(pack_blocks, CHUNKS)
     placed = chunks.join(beginnings, _BLOCK).sortWithinPartitions(*_BLOCK, "chunk")
-    inside = placed.mapInArrow(cut_inside, RECORDS)
+    inside = placed.mapInArrow(cut_inside, LINES)
 
     over_edges = Window.partitionBy("file", "size").orderBy("block", "piece")
     ended_before = F.sum(F.col("closes").cast("int")).over(
@@ -97,6 +115,6 @@ def _from_blocks(spark: SparkSession, path: str | list[str], limit: int) -> Data
             F.max("ends").alias("ends"),
         )
         .select(F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), "opens", "ends")
-        .mapInArrow(cut_joined, RECORDS)
+        .mapInArrow(cut_joined, LINES)
     )
     return inside.unionByName(across)

@@ -1,9 +1,4 @@
-"""Nested JSON in the contract's target layout, judged record by record.
-
-The files are read as text and parsed with ``from_json``.  A JSON scan with a corrupt
-column cannot be used: there a query that reads few fields parses only those, so a
-record that is bad elsewhere passes as valid.
-"""
+"""Nested JSON in the contract's target layout, judged record by record."""
 
 from __future__ import annotations
 
@@ -11,11 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT, Contract
-from schemagate.sources.documents import DOCUMENT_LIMIT, read_documents
-
-# Also keeps the optimizer from narrowing the parsed schema, which it does to a
-# from_json without options.
-PARSE_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+from schemagate.sources.cutting import SET_APART
+from schemagate.sources.documents import DOCUMENT_LIMIT, RECORD_END, documents_to_lines
 
 
 def read_json(
@@ -25,35 +17,39 @@ def read_json(
     *,
     layout: str = "lines",
     document_limit: int = DOCUMENT_LIMIT,
+    lines_path: str | None = None,
 ) -> DataFrame:
     """Target columns plus ``_corrupt_record``, which holds a bad record's text.
 
     ``lines``: one record per line; blank lines are skipped.
     ``document``: each file holds one object or one array of records, which may be spread
-    over lines.  Files beyond ``document_limit`` bytes are read by many tasks.
+    over lines.  Their records are written out as lines first, at once, to ``lines_path``
+    or else to the shared folder, so that each document is taken apart only once.  Files
+    beyond ``document_limit`` bytes are read by many tasks.
     """
     if layout == "lines":
-        records = spark.read.text(path).where(F.col("value").rlike(r"\S")).withColumnRenamed(
-            "value", "record"
-        )
-    elif layout == "document":
-        records = read_documents(spark, path, document_limit)
-    else:
+        return _scan(spark, path, contract)
+    if layout != "document":
         raise ValueError(f"layout must be 'lines' or 'document', not {layout!r}")
-    return parse_records(records, contract)
-
-
-def parse_records(records: DataFrame, contract: Contract, carry: tuple[str, ...] = ()) -> DataFrame:
-    """Parse the ``record`` column; an ``unreadable`` column, if any, holds ready rejects."""
-    schema = contract.target_with_corrupt
-    raw = F.col("record")
-    if "unreadable" in records.columns:
-        raw = F.coalesce(raw, "unreadable")
-    rejected = F.struct(
-        *[F.lit(None).cast(f.dataType).alias(f.name) for f in contract.target.fields],
-        raw.alias(CORRUPT),
+    written = documents_to_lines(spark, path, lines_path, document_limit)
+    records = _scan(spark, written, contract, lineSep=RECORD_END)
+    corrupt = F.col(CORRUPT)
+    restored = F.translate(F.substring(corrupt, 2, 2147483647), SET_APART, RECORD_END)
+    return records.withColumn(
+        CORRUPT, F.when(F.startswith(corrupt, F.lit(SET_APART)), restored).otherwise(corrupt)
+    )
+
+
+def _scan(spark: SparkSession, path: str | list[str], contract: Contract, **options: str) -> DataFrame:
+    """JSON scan whose verdict does not depend on what a query goes on to select.
+
+    Left to itself the scan parses only the columns asked for, and a record that is bad
+    elsewhere passes as valid.  A generator takes in all columns, so all are parsed; nor
+    does the optimizer push a filter on the verdict below it.
+    """
+    rows = (
+        spark.read.schema(contract.target_with_corrupt)
+        .options(mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
+        .json(path)
     )
-    parsed = F.coalesce(F.from_json("record", schema, PARSE_OPTIONS), rejected)
-    # In a generator rather than a projection, so that a filter on the outcome runs
-    # after the parse instead of repeating it.
-    return records.select(*carry, F.inline(F.array(parsed)))
+    return rows.select(F.inline(F.array(F.struct(*rows.columns))))

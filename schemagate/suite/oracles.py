@@ -93,7 +93,7 @@ r AS (
       OR k.n % 59 = 0 AS corrupt,
     CASE WHEN n % 101 = 0 THEN NULL ELSE 'BA-' || CAST(o_custkey AS VARCHAR) END AS account,
     CASE WHEN n % 89 = 0 THEN 'n/a'
-         ELSE CAST(CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS DOUBLE) AS VARCHAR) END AS cost_text,
+         ELSE CAST(CAST(o_totalprice AS DECIMAL(18,2)) AS VARCHAR) END AS cost_text,
     CASE WHEN n % 83 = 0 THEN NULL ELSE CAST(1 AS DECIMAL(38,10)) END AS rate,
     CASE WHEN n % 73 = 0 THEN NULL WHEN n % 71 = 0 THEN 209913
          ELSE CAST(year(o_orderdate) * 100 + month(o_orderdate) + 2700 AS BIGINT) END AS month_number,
