@@ -54,7 +54,7 @@ def count_per_rule(spark: SparkSession) -> None:
     good, bad = rows.where(~F.col(FAILED)), rows.where(FAILED)
     frames = [rows, good, bad, bad.where(F.col(CORRUPT).rlike("[{}]")), bad.where(F.col(CORRUPT).rlike("u"))]
     frames += [good.where(F.col(f).isNull()) for f in BILLING.key_fields]
-    frames += [good.where(rule.violation()) for rule in billing_rules()]
+    frames += [good.where(rule.violation) for rule in billing_rules()]
     for frame in frames:
         run_all(frame.agg(F.count(F.lit(1))))
 

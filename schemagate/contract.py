@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 from dataclasses import dataclass, field
+from functools import cached_property
 
 from pyspark.sql import types as T
 
@@ -54,13 +55,13 @@ class Contract:
     key_fields: tuple[str, ...] = ()
     """Fields whose null rate is profiled."""
 
-    @property
+    @cached_property
     def target(self) -> T.StructType:
         return as_struct(self.target_layout)
 
-    @property
+    @cached_property
     def target_with_corrupt(self) -> T.StructType:
-        return self.target.add(CORRUPT, "string")
+        return as_struct({**self.target_layout, CORRUPT: "string"})
 
     def flat(self, carry: tuple[str, ...] = ()) -> T.StructType:
         """All-string landing schema; ``carry`` columns lead the contract's own."""

@@ -1 +1 @@
-"""Column expressions: nothing here touches a DataFrame or starts a job."""
+"""Expressions as SQL text: nothing here touches a DataFrame or starts a job."""

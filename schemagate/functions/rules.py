@@ -1,16 +1,12 @@
-"""Business rules as violation predicates.
-
-Each builder returns a callable giving a never-null Boolean column that is true
-where a row breaks the rule.  Columns need a live session, so they are built on use.
+"""Business rules as violation predicates: SQL text, true where a row breaks the rule,
+and never null.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from schemagate.functions import sql
 
 # Fixed value: what counts as a plain number.
 PLAIN_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
@@ -20,41 +16,34 @@ class Rule(NamedTuple):
     name: str
     message: str
     """Text for a count of violations, with ``{n}`` standing for the count."""
-    violation: Callable[[], Column]
+    violation: str
 
 
-def present(field: str) -> Callable[[], Column]:
-    return lambda: F.col(field).isNull()
+def present(field: str) -> str:
+    return f"{sql.name(field)} IS NULL"
 
 
-def numeric_text(field: str) -> Callable[[], Column]:
-    return lambda: F.col(field).isNotNull() & ~F.col(field).rlike(PLAIN_NUMBER)
+def numeric_text(field: str) -> str:
+    column = sql.name(field)
+    return f"{column} IS NOT NULL AND NOT {column} RLIKE {sql.text(PLAIN_NUMBER)}"
 
 
-def ordered(first: str, last: str, compare: str = "string") -> Callable[[], Column]:
+def ordered(first: str, last: str, compare: str = "string") -> str:
     """``first`` must not come after ``last``; rows missing either are left alone."""
     if compare not in ("string", "timestamp"):
         raise ValueError(f"compare must be 'string' or 'timestamp', not {compare!r}")
-
-    def violation() -> Column:
-        a, b = F.col(first), F.col(last)
-        if compare == "timestamp":
-            a, b = F.try_to_timestamp(a), F.try_to_timestamp(b)
-        return F.coalesce(a > b, F.lit(False))
-
-    return violation
+    a, b = sql.name(first), sql.name(last)
+    if compare == "timestamp":
+        a, b = f"try_to_timestamp({a})", f"try_to_timestamp({b})"
+    return f"coalesce({a} > {b}, false)"
 
 
-def within_months(field: str, low: int, high: int, check: str = "range") -> Callable[[], Column]:
+def within_months(field: str, low: int, high: int, check: str = "range") -> str:
     """A ``yyyymm`` number must lie in a range, and for ``calendar`` be a real month."""
     if check not in ("range", "calendar"):
         raise ValueError(f"check must be 'range' or 'calendar', not {check!r}")
-
-    def violation() -> Column:
-        month = F.col(field)
-        good = month.between(low, high)
-        if check == "calendar":
-            good = good & (month % 100).between(1, 12)
-        return F.coalesce(~good, F.lit(False))
-
-    return violation
+    month = sql.name(field)
+    good = f"{month} BETWEEN {low} AND {high}"
+    if check == "calendar":
+        good += f" AND {month} % 100 BETWEEN 1 AND 12"
+    return f"coalesce(NOT ({good}), false)"

@@ -5,21 +5,22 @@ All of it is narrow: one projection per scan, no exchange.
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT, FAILED, ROW_ID, Contract
+from schemagate.functions import sql
 from schemagate.functions.messages import joined, slots
 from schemagate.functions.nesting import absent, checked_casts, target_column
 
 
 def rebuild(landed: DataFrame, contract: Contract, carry: tuple[str, ...] = ()) -> DataFrame:
     """Flat columns to the target's fields, in the target's order."""
-    fields = [target_column(contract, name) for name in contract.target.names]
-    return landed.select(*carry, *fields)
+    return landed.selectExpr(*map(sql.name, carry), *_target(contract))
+
+
+def _target(contract: Contract) -> list[str]:
+    return [target_column(contract, field) for field in contract.target.names]
 
 
 def mark(
@@ -59,15 +60,18 @@ def mark(
         reasons += slots({f"{leaf}: cast failed": test for leaf, test in casts.items()}, blanks=False)
         tests += casts.values()
 
-    failed = reduce(or_, tests)
-    reason = F.when(failed, joined(*reasons))
+    reason = f"CASE WHEN {sql.some(tests)} THEN {joined(reasons)} END"
     if CORRUPT in landed.columns:
-        failed = failed | F.col(CORRUPT).isNotNull()
-        reason = F.coalesce(F.col(CORRUPT), reason)
-
-    fields = [target_column(contract, name) for name in contract.target.names]
-    extra = [F.monotonically_increasing_id().alias(ROW_ID)] if row_id else []
-    return landed.select(*carry, *fields, reason.alias(CORRUPT), failed.alias(FAILED), *extra)
+        tests.append(f"{CORRUPT} IS NOT NULL")
+        reason = f"coalesce({CORRUPT}, {reason})"
+
+    return landed.selectExpr(
+        *map(sql.name, carry),
+        *_target(contract),
+        f"{reason} AS {CORRUPT}",
+        f"{sql.some(tests)} AS {FAILED}",
+        *([f"monotonically_increasing_id() AS {ROW_ID}"] if row_id else []),
+    )
 
 
 def mark_corrupt(parsed: DataFrame) -> DataFrame:

@@ -8,100 +8,83 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from schemagate.contract import CORRUPT, FAILED, Contract
+from schemagate.functions import sql
 from schemagate.functions.messages import reject_patterns
 from schemagate.functions.rules import Rule
 from schemagate.operators.verdicts import status_of
 
+COUNTS = (
+    "count(1) AS total_records",
+    f"count_if(NOT {FAILED}) AS valid_records",
+    f"count_if({FAILED}) AS invalid_records",
+)
+SHARES = (
+    f"{sql.percent('valid_records', 'total_records')} AS valid_pct",
+    f"{sql.percent('invalid_records', 'total_records')} AS invalid_pct",
+)
 
-def percent(part: Column, whole: Column) -> Column:
-    """Share in percent to two places; zero of zero is zero."""
-    return F.coalesce(F.round(F.try_divide(part, whole) * 100, 2), F.lit(0.0))
 
-
-def _passed() -> Column:
-    return ~F.col(FAILED)
-
-
-def _count_aggregates() -> list[Column]:
+def _null_counts(fields: Iterable[str]) -> list[str]:
     return [
-        F.count(F.lit(1)).alias("total_records"),
-        F.count_if(_passed()).alias("valid_records"),
-        F.count_if(FAILED).alias("invalid_records"),
+        f"count_if(NOT {FAILED} AND {sql.name(f)} IS NULL) AS {sql.name('null_' + f)}" for f in fields
     ]
 
 
-def _null_aggregates(fields: Iterable[str]) -> list[Column]:
-    return [F.count_if(_passed() & F.col(f).isNull()).alias(f"null_{f}") for f in fields]
-
-
-def _rule_aggregates(rules: Iterable[Rule]) -> list[Column]:
-    return [F.count_if(_passed() & rule.violation()).alias(f"rule_{rule.name}") for rule in rules]
-
-
-def _shares() -> list[Column]:
-    total = F.col("total_records")
+def _rule_counts(rules: Iterable[Rule]) -> list[str]:
     return [
-        percent(F.col("valid_records"), total).alias("valid_pct"),
-        percent(F.col("invalid_records"), total).alias("invalid_pct"),
+        f"count_if(NOT {FAILED} AND ({r.violation})) AS {sql.name('rule_' + r.name)}" for r in rules
     ]
 
 
-def _null_rows(fields: Iterable[str]) -> Column:
-    return F.array(
-        *[
-            F.struct(
-                F.lit(f).alias("field"),
-                F.col(f"null_{f}").alias("null_count"),
-                percent(F.col(f"null_{f}"), F.col("valid_records")).alias("null_percentage"),
-            )
-            for f in fields
-        ]
-    )
+def _pattern_counts(patterns: Mapping[str, str]) -> list[str]:
+    return [f"count_if({FAILED} AND {test}) AS {sql.name(n)}" for n, test in patterns.items()]
+
+
+def _null_rows(fields: Iterable[str]) -> str:
+    rows = []
+    for f in fields:
+        n = sql.name("null_" + f)
+        share = sql.percent(n, "valid_records")
+        rows.append(f"struct({sql.text(f)} AS field, {n} AS null_count, {share} AS null_percentage)")
+    return f"array({', '.join(rows)})"
 
 
-def _violation_rows(rules: Iterable[Rule]) -> Column:
+def _violation_rows(rules: Iterable[Rule]) -> str:
     rows = []
     for rule in rules:
-        n = F.col(f"rule_{rule.name}")
-        before, after = rule.message.split("{n}")
-        rows.append(
-            F.struct(
-                F.lit(rule.name).alias("rule"),
-                n.alias("violations"),
-                F.concat(F.lit(before), n.cast("string"), F.lit(after)).alias("message"),
-            )
-        )
-    return F.filter(F.array(*rows), lambda row: row["violations"] > 0)
+        n = sql.name("rule_" + rule.name)
+        before, after = map(sql.text, rule.message.split("{n}"))
+        message = f"concat({before}, CAST({n} AS STRING), {after})"
+        rows.append(f"struct({sql.text(rule.name)} AS rule, {n} AS violations, {message} AS message)")
+    return f"filter(array({', '.join(rows)}), row -> row.violations > 0)"
 
 
 def summary(marked: DataFrame) -> DataFrame:
     """One row: total, valid and invalid records and their shares."""
-    return marked.agg(*_count_aggregates()).select("*", *_shares())
+    return marked.selectExpr(*COUNTS).selectExpr("*", *SHARES)
 
 
 def null_profile(marked: DataFrame, contract: Contract) -> DataFrame:
     """One row per key field: nulls among the valid rows."""
     fields = contract.key_fields
-    counts = marked.agg(F.count_if(_passed()).alias("valid_records"), *_null_aggregates(fields))
-    return counts.select(F.inline(_null_rows(fields)))
+    counts = marked.selectExpr(f"count_if(NOT {FAILED}) AS valid_records", *_null_counts(fields))
+    return counts.selectExpr(f"inline({_null_rows(fields)})")
 
 
 def rule_violations(marked: DataFrame, rules: Iterable[Rule]) -> DataFrame:
     """One row per rule that some valid row breaks."""
     rules = tuple(rules)
-    return marked.agg(*_rule_aggregates(rules)).select(F.inline(_violation_rows(rules)))
+    return marked.selectExpr(*_rule_counts(rules)).selectExpr(f"inline({_violation_rows(rules)})")
 
 
 def pattern_counts(marked: DataFrame, encoding: str = "compat") -> DataFrame:
     """One row: rejects in total, and how many show each text pattern."""
-    patterns = reject_patterns(F.col(CORRUPT), encoding)
-    return marked.agg(
-        F.count_if(FAILED).alias("invalid_records"),
-        *[F.count_if(F.col(FAILED) & test).alias(name) for name, test in patterns.items()],
+    return marked.selectExpr(
+        f"count_if({FAILED}) AS invalid_records",
+        *_pattern_counts(reject_patterns(CORRUPT, encoding)),
     )
 
 
@@ -112,38 +95,30 @@ def report(
     file_path: str,
     method: str | None = None,
     rules: Iterable[Rule] = (),
-    patterns: Mapping[str, Column] | None = None,
+    patterns: Mapping[str, str] | None = None,
 ) -> DataFrame:
     """The whole validation record as one row, from one pass.
 
     Without rules the verdict has no violations to weigh, and the profile columns stay out.
     """
     rules, patterns = tuple(rules), dict(patterns or {})
-    aggregates = _count_aggregates()
-    if rules:
-        aggregates += _null_aggregates(contract.key_fields) + _rule_aggregates(rules)
-    aggregates += [
-        F.count_if(F.col(FAILED) & test).alias(f"pattern_{name}") for name, test in patterns.items()
-    ]
-    columns: list[Column | str] = ["total_records", "valid_records", "invalid_records", *_shares()]
+    counts = [*COUNTS, *_pattern_counts(patterns)]
+    columns = ["total_records", "valid_records", "invalid_records", *SHARES]
+    problems = "0"
     if rules:
+        counts += _null_counts(contract.key_fields) + _rule_counts(rules)
+        problems = f"size({_violation_rows(rules)})"
         columns += [
-            _null_rows(contract.key_fields).alias("null_value_stats"),
-            F.transform(_violation_rows(rules), lambda row: row["message"]).alias(
-                "business_rule_violations"
-            ),
+            f"{_null_rows(contract.key_fields)} AS null_value_stats",
+            f"transform({_violation_rows(rules)}, row -> row.message) AS business_rule_violations",
         ]
     if patterns:
-        columns.append(
-            F.struct(*[F.col(f"pattern_{name}").alias(name) for name in patterns]).alias(
-                "reject_patterns"
-            )
-        )
-    violations = F.size(_violation_rows(rules)) if rules else F.lit(0)
-    return marked.agg(*aggregates).select(
-        *columns,
-        status_of(F.col("invalid_records"), violations, partial=method is None).alias("status"),
-        F.date_format(F.current_timestamp(), "yyyy-MM-dd HH:mm:ss").alias("validation_timestamp"),
-        *([F.lit(method).alias("validation_method")] if method else []),
-        F.lit(file_path).alias("file_path"),
-    )
+        columns.append(f"struct({', '.join(map(sql.name, patterns))}) AS reject_patterns")
+    columns += [
+        f"{status_of('invalid_records', problems, partial=method is None)} AS status",
+        "date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss') AS validation_timestamp",
+    ]
+    if method:
+        columns.append(f"{sql.text(method)} AS validation_method")
+    columns.append(f"{sql.text(file_path)} AS file_path")
+    return marked.selectExpr(*counts).selectExpr(*columns)

@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT
+from schemagate.functions import sql
 from schemagate.functions.messages import SAMPLE_WIDTH, shortened
 from schemagate.operators.marking import invalid_rows
 
@@ -25,5 +25,7 @@ def invalid_sample(
 
     Each task keeps its own first ``n``; no full sort takes place.
     """
-    first = invalid_rows(marked).select(*columns, CORRUPT, *[c for c in order_by if c != CORRUPT and c not in columns])
-    return first.orderBy(*order_by).limit(n).select(*columns, shortened(F.col(CORRUPT), width).alias(CORRUPT))
+    sort_only = [c for c in order_by if c not in (*columns, CORRUPT)]
+    rejects = invalid_rows(marked).select(*columns, *sort_only, CORRUPT)
+    first = rejects.orderBy(*order_by).limit(n)
+    return first.selectExpr(*map(sql.name, columns), f"{shortened(CORRUPT, width)} AS {CORRUPT}")

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
-from pyspark.sql import functions as F
+from schemagate.functions import sql
 
 # The verdicts.
 PASSED = "VALIDATION PASSED"
@@ -12,12 +11,15 @@ PARTIAL = "VALIDATION PARTIAL"
 ISSUES = "VALIDATION ISSUES"
 
 
-def status_of(invalid: Column, problems: Column, *, partial: bool) -> Column:
-    """``partial`` tells rejects alone (PARTIAL) from rejects with problems (ISSUES).
+def status_of(invalid: str, problems: str, *, partial: bool) -> str:
+    """SQL text for the verdict on two counts.
 
+    ``partial`` tells rejects alone (PARTIAL) from rejects with problems (ISSUES).
     Without it, any reject gives ISSUES.
     """
-    clean = F.when(problems == 0, PASSED).otherwise(WARNINGS)
-    if not partial:
-        return F.when(invalid == 0, clean).otherwise(ISSUES)
-    return F.when(invalid == 0, clean).otherwise(F.when(problems == 0, PARTIAL).otherwise(ISSUES))
+    rejects_alone = PARTIAL if partial else ISSUES
+    return f"""CASE
+      WHEN {invalid} = 0 AND {problems} = 0 THEN {sql.text(PASSED)}
+      WHEN {invalid} = 0 THEN {sql.text(WARNINGS)}
+      WHEN {problems} = 0 THEN {sql.text(rejects_alone)}
+      ELSE {sql.text(ISSUES)} END"""

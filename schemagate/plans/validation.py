@@ -7,7 +7,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from schemagate.billing import BILLING, billing_rules
 from schemagate.contract import CORRUPT, Contract
@@ -97,7 +96,7 @@ def validate_json(
             contract,
             file_path=_shown(path),
             rules=billing_rules() if rules is None else rules,
-            patterns=reject_patterns(F.col(CORRUPT), encoding),
+            patterns=reject_patterns(CORRUPT, encoding),
         ),
     )
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemagate.billing import BILLING, FLAT, billing_rules
@@ -44,32 +44,34 @@ KEY = ("rec_id",)
 REC_ID = "CAST(rec_id AS BIGINT) AS rec_id"
 
 
-def leaves(df: DataFrame, *more: Column | str, key: bool = False) -> DataFrame:
+LEAVES = (
+    "billing_account_id",
+    "cost",
+    "currency",
+    "currency_conversion_rate",
+    "export_time",
+    "invoice.month AS invoice_month",
+    "invoice.publisher_type AS invoice_publisher_type",
+    "to_json(labels) AS labels",
+    "location",
+    "project",
+    "service.description AS service_description",
+    "service.id AS service_id",
+    "sku.description AS sku_description",
+    "sku.id AS sku_id",
+    "usage.amount AS usage_amount",
+    "usage.amount_in_pricing_units AS usage_amount_in_pricing_units",
+    "usage.pricing_unit AS usage_pricing_unit",
+    "usage.unit AS usage_unit",
+    "usage_end_time",
+    "usage_start_time",
+)
+REASON = f"{CORRUPT} AS corrupt_record"
+
+
+def leaves(df: DataFrame, *more: str, key: bool = False) -> DataFrame:
     """Target fields as flat columns."""
-    return df.select(
-        *([F.expr(REC_ID)] if key else []),
-        "billing_account_id",
-        "cost",
-        "currency",
-        "currency_conversion_rate",
-        "export_time",
-        F.col("invoice.month").alias("invoice_month"),
-        F.col("invoice.publisher_type").alias("invoice_publisher_type"),
-        F.to_json("labels").alias("labels"),
-        "location",
-        "project",
-        F.col("service.description").alias("service_description"),
-        F.col("service.id").alias("service_id"),
-        F.col("sku.description").alias("sku_description"),
-        F.col("sku.id").alias("sku_id"),
-        F.col("usage.amount").alias("usage_amount"),
-        F.col("usage.amount_in_pricing_units").alias("usage_amount_in_pricing_units"),
-        F.col("usage.pricing_unit").alias("usage_pricing_unit"),
-        F.col("usage.unit").alias("usage_unit"),
-        "usage_end_time",
-        "usage_start_time",
-        *more,
-    )
+    return df.selectExpr(*([REC_ID] if key else []), *LEAVES, *more)
 
 
 def landed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -96,13 +98,13 @@ def new_table(spark: SparkSession, label: str) -> dict[str, str]:
 
 
 def csv_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return landed(spark, sf_dir).select(F.expr(REC_ID), *FLAT)
+    return landed(spark, sf_dir).selectExpr(REC_ID, *FLAT)
 
 
 def csv_strict_header(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fixtures.flat_csv(spark, sf_dir)
     rows = read_csv(spark, path, BILLING, carry=KEY, strict_header=True)
-    return rows.select(F.expr(REC_ID), *FLAT)
+    return rows.selectExpr(REC_ID, *FLAT)
 
 
 def csv_ragged_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,21 +113,21 @@ def csv_ragged_permissive(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_ragged_rejected(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = read_csv(spark, fixtures.ragged_csv(spark, sf_dir), BILLING, ragged="reject")
-    return rows.select(*FLAT, F.col(CORRUPT).alias("corrupt_record"))
+    return rows.selectExpr(*FLAT, REASON)
 
 
 def json_scan(layout: str, **options: int) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         written = fixtures.json_lines if layout == "lines" else fixtures.json_documents
         rows = read_json(spark, written(spark, sf_dir), BILLING, layout=layout, **options)
-        return leaves(rows, F.col(CORRUPT).alias("corrupt_record"))
+        return leaves(rows, REASON)
 
     return query
 
 
 def json_string_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid_rows(marked_json(spark, sf_dir), placeholder=False)
-    return rows.select("cost", F.col("cost").try_cast("double").alias("cost_number"))
+    return rows.selectExpr("cost", "try_cast(cost AS DOUBLE) AS cost_number")
 
 
 # ---- projections
@@ -133,53 +135,51 @@ def json_string_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def nest(field: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        built = landed(spark, sf_dir).select(F.expr(REC_ID), target_column(BILLING, field))
+        built = landed(spark, sf_dir).selectExpr(REC_ID, target_column(BILLING, field))
         members = BILLING.target[field].dataType.names
-        return built.select(
-            "rec_id",
-            F.col(field).isNull().alias("is_null"),
-            *[F.col(f"{field}.{m}").alias(m) for m in members],
+        return built.selectExpr(
+            "rec_id", f"{field} IS NULL AS is_null", *[f"{field}.{m} AS {m}" for m in members]
         )
 
     return query
 
 
 def parse_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = landed(spark, sf_dir).select(F.expr(REC_ID), target_column(BILLING, "labels"))
-    return parsed.select(
+    parsed = landed(spark, sf_dir).selectExpr(REC_ID, target_column(BILLING, "labels"))
+    return parsed.selectExpr(
         "rec_id",
-        F.col("labels").isNull().alias("is_null"),
-        F.try_element_at("labels", F.lit(1))["key"].alias("first_key"),
-        F.try_element_at("labels", F.lit(1))["value"].alias("first_value"),
+        "labels IS NULL AS is_null",
+        "try_element_at(labels, 1).key AS first_key",
+        "try_element_at(labels, 1).value AS first_value",
     )
 
 
 def cast_decimal(spark: SparkSession, sf_dir: str) -> DataFrame:
     field = "currency_conversion_rate"
-    return landed(spark, sf_dir).select(F.expr(REC_ID), target_column(BILLING, field))
+    return landed(spark, sf_dir).selectExpr(REC_ID, target_column(BILLING, field))
 
 
 def cast_member(field: str, member: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
-        built = landed(spark, sf_dir).select(F.expr(REC_ID), target_column(BILLING, field))
-        return built.select("rec_id", F.col(f"{field}.{member}").alias(member))
+        built = landed(spark, sf_dir).selectExpr(REC_ID, target_column(BILLING, field))
+        return built.selectExpr("rec_id", f"{field}.{member} AS {member}")
 
     return query
 
 
 def row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = mark(landed(spark, sf_dir), BILLING, carry=KEY, row_id=True)
-    return rows.select(F.expr(REC_ID), F.col(ROW_ID).alias("row_id"))
+    return rows.selectExpr(REC_ID, f"{ROW_ID} AS row_id")
 
 
 def validation_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return marked_csv(spark, sf_dir).select(F.expr(REC_ID), F.col(FAILED).alias("failed"))
+    return marked_csv(spark, sf_dir).selectExpr(REC_ID, f"{FAILED} AS failed")
 
 
 def corrupt_message(style: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rows = marked_csv(spark, sf_dir, message_style=style)
-        return rows.select(F.expr(REC_ID), F.col(CORRUPT).alias("message"))
+        return rows.selectExpr(REC_ID, f"{CORRUPT} AS message")
 
     return query
 
@@ -193,12 +193,12 @@ def target_projection(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def csv_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid_rows(marked_csv(spark, sf_dir))
-    return leaves(rows, F.col(CORRUPT).alias("corrupt_record"), key=True)
+    return leaves(rows, REASON, key=True)
 
 
 def csv_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = invalid_rows(marked_csv(spark, sf_dir))
-    return leaves(rows, F.col(CORRUPT).alias("corrupt_record"), key=True)
+    return leaves(rows, REASON, key=True)
 
 
 def json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,12 +206,12 @@ def json_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_invalid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return invalid_rows(marked_json(spark, sf_dir)).select(F.col(CORRUPT).alias("corrupt_record"))
+    return invalid_rows(marked_json(spark, sf_dir)).selectExpr(REASON)
 
 
 def strict_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = marked_csv(spark, sf_dir, cast_policy="strict", message_style="clean")
-    return invalid_rows(rows).select(F.expr(REC_ID), F.col(CORRUPT).alias("message"))
+    return invalid_rows(rows).selectExpr(REC_ID, f"{CORRUPT} AS message")
 
 
 # ---- rules
@@ -220,12 +220,12 @@ def strict_cast_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
 def breaking(rule_name: str, **switches: str) -> Query:
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         rule = {r.name: r for r in billing_rules(**switches)}[rule_name]
-        rows = rebuild(landed(spark, sf_dir), BILLING, carry=KEY).where(rule.violation())
-        return rows.select(
-            F.expr(REC_ID),
+        rows = rebuild(landed(spark, sf_dir), BILLING, carry=KEY).where(rule.violation)
+        return rows.selectExpr(
+            REC_ID,
             "billing_account_id",
             "cost",
-            F.col("invoice.month").alias("invoice_month"),
+            "invoice.month AS invoice_month",
             "usage_start_time",
             "usage_end_time",
         )
@@ -278,7 +278,7 @@ def csv_invalid_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def truncated_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = invalid_rows(marked_json(spark, sf_dir))
-    return rows.select(shortened(F.col(CORRUPT)).alias("corrupt_record"))
+    return rows.selectExpr(f"{shortened(CORRUPT)} AS corrupt_record")
 
 
 def verdict_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -290,12 +290,12 @@ def verdict_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def verdict_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = validate_json(spark, fixtures.json_lines(spark, sf_dir))
-    return checked.report.select(
+    return checked.report.selectExpr(
         "total_records",
         "valid_records",
         "invalid_records",
-        F.array_join("business_rule_violations", "; ").alias("violations"),
-        F.col("reject_patterns.structure").alias("structure"),
+        "array_join(business_rule_violations, '; ') AS violations",
+        "reject_patterns.structure AS structure",
         "status",
     )
 
@@ -324,7 +324,7 @@ def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_table(spark, "invalid")
     quarantine(invalid_rows(marked_csv(spark, sf_dir)), **target)
     return leaves(
-        spark.table(target["table"]), F.col(CORRUPT).alias("corrupt_record"), key=True
+        spark.table(target["table"]), REASON, key=True
     )
 
 
@@ -337,8 +337,8 @@ def load_both_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         valid_path=valid["path"],
         invalid_path=invalid["path"],
     )
-    good = leaves(spark.table(valid["table"]), F.lit(None).cast("string").alias("corrupt_record"))
-    bad = leaves(spark.table(invalid["table"]), F.col(CORRUPT).alias("corrupt_record"))
+    good = leaves(spark.table(valid["table"]), "CAST(NULL AS STRING) AS corrupt_record")
+    bad = leaves(spark.table(invalid["table"]), REASON)
     return good.unionByName(bad)
 
 
