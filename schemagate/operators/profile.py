@@ -43,13 +43,9 @@ def _pattern_counts(patterns: Mapping[str, str]) -> list[str]:
     return [f"count_if({FAILED} AND {test}) AS {sql.name(n)}" for n, test in patterns.items()]
 
 
-def _null_rows(fields: Iterable[str]) -> str:
-    rows = []
-    for f in fields:
-        n = sql.name("null_" + f)
-        share = sql.percent(n, "valid_records")
-        rows.append(f"struct({sql.text(f)} AS field, {n} AS null_count, {share} AS null_percentage)")
-    return f"array({', '.join(rows)})"
+def _null_stats(field: str) -> str:
+    n = sql.name("null_" + field)
+    return f"{n} AS null_count, {sql.percent(n, 'valid_records')} AS null_percentage"
 
 
 def _violation_rows(rules: Iterable[Rule]) -> str:
@@ -71,7 +67,8 @@ def null_profile(marked: DataFrame, contract: Contract) -> DataFrame:
     """One row per key field: nulls among the valid rows."""
     fields = contract.key_fields
     counts = marked.selectExpr(f"count_if(NOT {FAILED}) AS valid_records", *_null_counts(fields))
-    return counts.selectExpr(f"inline({_null_rows(fields)})")
+    rows = ", ".join(f"struct({sql.text(f)} AS field, {_null_stats(f)})" for f in fields)
+    return counts.selectExpr(f"inline(array({rows}))")
 
 
 def rule_violations(marked: DataFrame, rules: Iterable[Rule]) -> DataFrame:
@@ -108,8 +105,9 @@ def report(
     if rules:
         counts += _null_counts(contract.key_fields) + _rule_counts(rules)
         problems = f"size({_violation_rows(rules)})"
+        stats = [f"struct({_null_stats(f)}) AS {sql.name(f)}" for f in contract.key_fields]
         columns += [
-            f"{_null_rows(contract.key_fields)} AS null_value_stats",
+            f"struct({', '.join(stats)}) AS null_value_stats",
             f"transform({_violation_rows(rules)}, row -> row.message) AS business_rule_violations",
         ]
     if patterns:
@@ -119,6 +117,10 @@ def report(
         "date_format(current_timestamp(), 'yyyy-MM-dd HH:mm:ss') AS validation_timestamp",
     ]
     if method:
-        columns.append(f"{sql.text(method)} AS validation_method")
+        columns += [
+            f"{sql.text(method)} AS validation_method",
+            # Errors end the job, so a report never has any to show.
+            "CAST(array() AS ARRAY<STRING>) AS reconstruction_errors",
+        ]
     columns.append(f"{sql.text(file_path)} AS file_path")
     return marked.selectExpr(*counts).selectExpr(*columns)

@@ -13,16 +13,19 @@ def load_valid(valid: DataFrame, table: str, *, path: str | None = None) -> int:
     With no rows nothing is written and an older table stays.  ``path`` puts the data
     outside the warehouse.
     """
-    return _replace(valid.drop(CORRUPT, FAILED, ROW_ID), table, path)
+    rows = valid.drop(CORRUPT, FAILED, ROW_ID)
+    return 0 if rows.isEmpty() else _replace(rows, table, path)
 
 
 def quarantine(invalid: DataFrame, table: str, *, path: str | None = None) -> int:
     """Replace ``table`` with the rejects, raw text or reason included.
 
-    Rejects are few per task, so they are first gathered into files of a fair size; a
-    task with very many of them is spread out again.
+    Rejects are mostly few per task, so they are gathered into files of a fair size; where
+    a task holds very many they are spread out.  Finding that there are none takes a pass
+    over the input; ``load_split`` spares it.
     """
-    return _replace(invalid.drop(FAILED, ROW_ID).hint("rebalance"), table, path)
+    rows = invalid.drop(FAILED, ROW_ID)
+    return 0 if rows.isEmpty() else _replace(rows.hint("rebalance"), table, path)
 
 
 def write_report(report: DataFrame, path: str) -> None:
@@ -31,8 +34,6 @@ def write_report(report: DataFrame, path: str) -> None:
 
 
 def _replace(rows: DataFrame, table: str, path: str | None) -> int:
-    if rows.isEmpty():
-        return 0
     writer = rows.write.mode("overwrite").format("parquet")
     if path is not None:
         writer = writer.option("path", path)

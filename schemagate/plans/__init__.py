@@ -1,4 +1,4 @@
-from schemagate.plans.loading import Loaded, load_split, staged
+from schemagate.plans.loading import Loaded, load_split, load_tables, staged
 from schemagate.plans.validation import Validation, validate_csv, validate_json
 
-__all__ = ["Loaded", "Validation", "load_split", "staged", "validate_csv", "validate_json"]
+__all__ = ["Loaded", "Validation", "load_split", "load_tables", "staged", "validate_csv", "validate_json"]

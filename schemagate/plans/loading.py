@@ -37,15 +37,32 @@ def staged(marked: DataFrame) -> Iterator[DataFrame]:
 
 def load_split(
     marked: DataFrame,
-    valid_table: str,
-    invalid_table: str,
+    valid_table: str | None,
+    invalid_table: str | None,
     *,
     valid_path: str | None = None,
     invalid_path: str | None = None,
 ) -> Loaded:
     """Parse the input once and fill the table of valid rows and the table of rejects."""
     with staged(marked) as stage:
-        return Loaded(
-            load_valid(valid_rows(stage), valid_table, path=valid_path),
-            quarantine(invalid_rows(stage), invalid_table, path=invalid_path),
+        return load_tables(
+            stage, valid_table, invalid_table, valid_path=valid_path, invalid_path=invalid_path
         )
+
+
+def load_tables(
+    stage: DataFrame,
+    valid_table: str | None,
+    invalid_table: str | None,
+    *,
+    valid_path: str | None = None,
+    invalid_path: str | None = None,
+) -> Loaded:
+    """``load_split`` for rows that are staged already; a table without a name is left out."""
+    loaded = Loaded(0, 0)
+    if valid_table:
+        loaded = loaded._replace(valid_rows=load_valid(valid_rows(stage), valid_table, path=valid_path))
+    if invalid_table:
+        kept = quarantine(invalid_rows(stage), invalid_table, path=invalid_path)
+        loaded = loaded._replace(invalid_rows=kept)
+    return loaded

@@ -4,7 +4,9 @@ except that JSON documents are first turned into lines.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -28,8 +30,13 @@ class Validation:
     """All rows with their verdict."""
     valid: DataFrame
     invalid: DataFrame
-    report: DataFrame
-    """One row of counts and verdict, from one pass over the input."""
+    report_on: Callable[[DataFrame], DataFrame]
+    """The report over ``marked`` or a stored copy of it."""
+
+    @property
+    def report(self) -> DataFrame:
+        """One row of counts and verdict, from one pass over the input."""
+        return self.report_on(self.marked)
 
 
 def validate_csv(
@@ -62,7 +69,7 @@ def validate_csv(
         marked,
         valid_rows(marked),
         invalid_rows(marked),
-        report(marked, contract, file_path=_shown(path), method=CSV_METHOD),
+        partial(report, contract=contract, file_path=_shown(path), method=CSV_METHOD),
     )
 
 
@@ -91,9 +98,9 @@ def validate_json(
         marked,
         valid_rows(marked, placeholder=False),
         invalid_rows(marked),
-        report(
-            marked,
-            contract,
+        partial(
+            report,
+            contract=contract,
             file_path=_shown(path),
             rules=billing_rules() if rules is None else rules,
             patterns=reject_patterns(CORRUPT, encoding),

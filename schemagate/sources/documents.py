@@ -91,7 +91,8 @@ def _from_blocks(spark: SparkSession, path: str | list[str], limit: int) -> Data
             F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("depth"),
             F.lag("block").over(in_order).isNull().alias("first"),
             F.lead("block").over(in_order).isNull().alias("last"),
-            # With no "}" after the last fragment, one byte too many has been counted.
+            # With no "}" after the last fragment, one byte too many has been counted.  The
+            # end of a compressed file, whose size tells nothing, is taken to be such.
             (F.sum("bytes").over(Window.partitionBy("file", "size")) > F.col("size")).alias("open_end"),
         )
     )

@@ -7,6 +7,7 @@ from helpers import GOOD, csv_text, flat_frame, flat_row, write_file
 from pyspark.sql import functions as F
 
 from schemagate import storage
+from schemagate.__main__ import arguments, run
 from schemagate.billing import BILLING
 from schemagate.contract import CORRUPT
 from schemagate.operators import (
@@ -143,3 +144,24 @@ def test_marking_needs_no_exchange(spark):
     frame = marked(spark)
     for df in (frame, valid_rows(frame), invalid_rows(frame).select(F.col(CORRUPT))):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("layout", ["csv", "lines", "document"])
+def test_whole_job(spark, tmp_path, table, layout):
+    if layout == "csv":
+        text = csv_text(GOOD, flat_row(cost=None), GOOD)
+    else:
+        text = {"lines": "{}\n7\n{}\n", "document": "[{},7,{}]"}[layout]
+    path = write_file(tmp_path / "in", "a.txt", text)
+    options = arguments(
+        [layout, path, "--valid-table", table, "--invalid-table", f"{table}_bad"]
+        + ["--report", str(tmp_path / "report")]
+    )
+    found = run(spark, options)
+    assert (found["total_records"], found["valid_records"], found["invalid_records"]) == (3, 2, 1)
+    assert found["sample"] == [", , , , " if layout == "csv" else "7"]
+    assert spark.table(table).count() == 2 and spark.table(f"{table}_bad").count() == 1
+    stored = spark.read.json(str(tmp_path / "report")).first()
+    assert stored.invalid_records == 1
+    if layout != "csv":
+        assert stored.null_value_stats.cost.null_count == 2
