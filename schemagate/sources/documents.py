@@ -1,6 +1,7 @@
 """Whole-document JSON: one object, or one array of records, per file.
 
 The documents are turned into lines, one record each, with its text unchanged.
+
 Files of ordinary size are read whole, many to a task, without a shuffle.  Larger
 files, of which one may be a big part of the data, are read in blocks by many tasks:
 one pass finds how each block begins, a second cuts it into records, and only the text
@@ -28,15 +29,19 @@ from schemagate.sources.cutting import (
     measure_blocks,
     pack_blocks,
 )
-from schemagate.storage import scratch_path
+from schemagate.storage import delete_path, scratch_path
 
 # Held as one string per document, a few documents to a batch.
 DOCUMENT_LIMIT = 32 * 1024 * 1024
 
+# Compressed text files cannot be split for reading, so none may grow without bound.
+LINES_PER_FILE = 500_000
+
 # The helpers travel with the plan, so executors need no installed package.
 cloudpickle.register_pickle_by_value(cutting)
 
-_BLOCK = ["file", "size", "block"]
+_FILE = ["file", "size"]
+_BLOCK = [*_FILE, "block"]
 
 
 def documents_to_lines(
@@ -48,43 +53,62 @@ def documents_to_lines(
     """Write the records of all documents as lines that end in ``RECORD_END``.
 
     Text that is no record is a line too, behind a ``SET_APART`` mark that no JSON parser
-    lets pass.
+    lets pass.  Gives the path written to.
     """
     target = target or scratch_path(spark, "records")
-    record_lines(spark, path, limit).write.text(target, lineSep=RECORD_END)
+    whole = spark.read.text(path, wholetext=True).where(
+        (F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S")
+    )
+    _write(whole.mapInArrow(cut_documents, LINES), target, "error")
+
+    fragments = (
+        spark.read.option("lineSep", "}").text(path).where(F.col("_metadata.file_size") > limit)
+    )
+    if not fragments.isEmpty():
+        _large_to_lines(fragments, target)
     return target
 
 
-def record_lines(
-    spark: SparkSession, path: str | list[str], limit: int = DOCUMENT_LIMIT
-) -> DataFrame:
-    whole = (
-        spark.read.text(path, wholetext=True)
-        .where((F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S"))
-        .mapInArrow(cut_documents, LINES)
+def _write(lines: DataFrame, target: str, mode: str) -> None:
+    lines.write.mode(mode).option("maxRecordsPerFile", LINES_PER_FILE).text(
+        target, lineSep=RECORD_END, compression="snappy"
     )
-    return whole.unionByName(_from_blocks(spark, path, limit))
 
 
-def _from_blocks(spark: SparkSession, path: str | list[str], limit: int) -> DataFrame:
-    fragments = (
-        spark.read.option("lineSep", "}")
-        .text(path)
-        .where(F.col("_metadata.file_size") > limit)
-        .select(
-            F.xxhash64("_metadata.file_path").alias("file"),
-            F.col("_metadata.file_size").alias("size"),
-            F.col("_metadata.file_block_start").alias("block"),
-            "value",
-        )
+def _large_to_lines(fragments: DataFrame, target: str) -> None:
+    spark = fragments.sparkSession
+    fragments = fragments.select(
+        F.xxhash64("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_size").alias("size"),
+        F.col("_metadata.file_block_start").alias("block"),
+        "value",
     )
-    # A block's beginning depends on all blocks before it: one small row each.
-    in_order = Window.partitionBy("file", "size").orderBy("block")
+    work = scratch_path(spark, "blocks")
+    try:
+        _beginnings(fragments).write.parquet(f"{work}/beginnings")
+        # Stored, their size is known: while small they are broadcast and the text stays
+        # where it was read.  Otherwise it is shuffled by block, hence the sort.
+        placed = (
+            fragments.mapInArrow(pack_blocks, CHUNKS)
+            .join(spark.read.parquet(f"{work}/beginnings"), _BLOCK)
+            .sortWithinPartitions(*_BLOCK, "chunk")
+        )
+        placed.mapInArrow(cut_edges, EDGES).write.parquet(f"{work}/edges")
+        across = _joined(spark.read.parquet(f"{work}/edges")).mapInArrow(cut_joined, LINES)
+        _write(placed.mapInArrow(cut_inside, LINES).unionByName(across), target, "append")
+    finally:
+        delete_path(spark, work)
+
+
+def _beginnings(fragments: DataFrame) -> DataFrame:
+    """How each block begins, which depends on all blocks before it: one small row each."""
+    in_order = Window.partitionBy(*_FILE).orderBy("block")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    state = fragments.mapInArrow(measure_blocks, BLOCK_STATE)
-    beginnings = (
-        state.withColumn("in_string", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
-        .withColumn("net", F.when(F.col("in_string") == 0, F.col("net_out")).otherwise(F.col("net_in")))
+    net = F.when(F.col("in_string") == 0, F.col("net_out")).otherwise(F.col("net_in"))
+    return (
+        fragments.mapInArrow(measure_blocks, BLOCK_STATE)
+        .withColumn("in_string", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
+        .withColumn("net", net)
         .select(
             *_BLOCK,
             "in_string",
@@ -93,29 +117,35 @@ def _from_blocks(spark: SparkSession, path: str | list[str], limit: int) -> Data
             F.lead("block").over(in_order).isNull().alias("last"),
             # With no "}" after the last fragment, one byte too many has been counted.  The
             # end of a compressed file, whose size tells nothing, is taken to be such.
-            (F.sum("bytes").over(Window.partitionBy("file", "size")) > F.col("size")).alias("open_end"),
+            (F.sum("bytes").over(Window.partitionBy(*_FILE)) > F.col("size")).alias("open_end"),
         )
     )
-    # No hint: Spark broadcasts the block rows while they are small, and otherwise
-    # shuffles by block, hence the sort.
-    chunks = fragments.mapInArrow(pack_blocks, CHUNKS)
-    placed = chunks.join(beginnings, _BLOCK).sortWithinPartitions(*_BLOCK, "chunk")
-    inside = placed.mapInArrow(cut_inside, LINES)
-
-    over_edges = Window.partitionBy("file", "size").orderBy("block", "piece")
-    ended_before = F.sum(F.col("closes").cast("int")).over(
-        over_edges.rowsBetween(Window.unboundedPreceding, -1)
+
+
+def _joined(edges: DataFrame) -> DataFrame:
+    """Records that reach across blocks, put together from their pieces.
+
+    Which pieces belong together is found without their text, at two small rows a block.
+    """
+    piece = [*_BLOCK, "piece"]
+    earlier = (
+        Window.partitionBy(*_FILE)
+        .orderBy("block", "piece")
+        .rowsBetween(Window.unboundedPreceding, -1)
     )
-    across = (
-        placed.mapInArrow(cut_edges, EDGES)
-        .withColumn("joint", F.coalesce(ended_before, F.lit(0)))
-        .groupBy("file", "size", "joint")
+    ended_before = F.sum(F.col("closes").cast("int")).over(earlier)
+    joints = edges.select(*piece, F.coalesce(ended_before, F.lit(0)).alias("joint"))
+    return (
+        edges.join(joints, piece)
+        .groupBy(*_FILE, "joint")
         .agg(
             F.array_sort(F.collect_list(F.struct("block", "piece", "text"))).alias("parts"),
             F.max("opens").alias("opens"),
             F.max("ends").alias("ends"),
         )
-        .select(F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), "opens", "ends")
-        .mapInArrow(cut_joined, LINES)
+        .select(
+            F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
+            "opens",
+            "ends",
+        )
     )
-    return inside.unionByName(across)
