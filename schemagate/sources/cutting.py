@@ -8,6 +8,7 @@ and ``count`` on whole strings.  What is cut off is the record's own text, byte
 
 from __future__ import annotations
 
+import json
 import re
 from collections.abc import Iterable, Iterator
 from itertools import groupby
@@ -141,6 +142,7 @@ EDGES = (
     "file long, size long, block long, piece long, text string,"
     " closes boolean, opens boolean, ends boolean"
 )
+MIXED = "value string, edge boolean"
 
 Block = tuple[int, int, int]
 
@@ -226,20 +228,19 @@ def _within(row: tuple) -> bool:
     return (piece > 0 or opens) and (closes or ends)
 
 
-def cut_inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines for the records that lie within one block."""
-    held: list[str] = []
+def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Lines for the records that lie within one block; the head and tail that a block has
+    of records reaching across come as JSON text of EDGES, with ``edge`` set.
+    """
+    held: list[tuple[str, bool]] = []
+    names = _names(EDGES)
     for row in _block_cuts(batches):
         if _within(row):
-            held += lines(row[4], row[6], row[7])
+            held += [(x, False) for x in lines(row[4], row[6], row[7])]
+        else:
+            held.append((json.dumps(dict(zip(names, row))), True))
         if len(held) >= 2000:
-            yield _lines_batch(held)
+            yield _rows_batch(MIXED, *held)
             held = []
-    yield _lines_batch(held)
-
-
-def cut_edges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The head and tail of each block that belong to records reaching across."""
-    for row in _block_cuts(batches):
-        if not _within(row):
-            yield _rows_batch(EDGES, row)
+    if held:
+        yield _rows_batch(MIXED, *held)

@@ -12,7 +12,7 @@ so neither way opens the other's files.
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from schemagate.sources import cutting
@@ -21,15 +21,15 @@ from schemagate.sources.cutting import (
     CHUNKS,
     EDGES,
     LINES,
+    MIXED,
     RECORD_END,
+    cut_blocks,
     cut_documents,
-    cut_edges,
-    cut_inside,
     cut_joined,
     measure_blocks,
     pack_blocks,
 )
-from schemagate.storage import delete_path, scratch_path
+from schemagate.storage import delete_path, path_exists, scratch_path
 
 # Held as one string per document, a few documents to a batch.
 DOCUMENT_LIMIT = 32 * 1024 * 1024
@@ -56,26 +56,27 @@ def documents_to_lines(
     lets pass.  Gives the path written to.
     """
     target = target or scratch_path(spark, "records")
+    done = f"{target}/edge=false"
     whole = spark.read.text(path, wholetext=True).where(
         (F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S")
     )
-    _write(whole.mapInArrow(cut_documents, LINES), target, "error")
+    _writer(whole.mapInArrow(cut_documents, LINES)).text(done)
 
     fragments = (
         spark.read.option("lineSep", "}").text(path).where(F.col("_metadata.file_size") > limit)
     )
     if not fragments.isEmpty():
-        _large_to_lines(fragments, target)
-    return target
+        _large_to_lines(fragments, target, done)
+    return done
 
 
-def _write(lines: DataFrame, target: str, mode: str) -> None:
-    lines.write.mode(mode).option("maxRecordsPerFile", LINES_PER_FILE).text(
-        target, lineSep=RECORD_END, compression="snappy"
+def _writer(lines: DataFrame) -> DataFrameWriter:
+    return lines.write.options(
+        lineSep=RECORD_END, compression="snappy", maxRecordsPerFile=LINES_PER_FILE
     )
 
 
-def _large_to_lines(fragments: DataFrame, target: str) -> None:
+def _large_to_lines(fragments: DataFrame, target: str, done: str) -> None:
     spark = fragments.sparkSession
     fragments = fragments.select(
         F.xxhash64("_metadata.file_path").alias("file"),
@@ -83,21 +84,26 @@ def _large_to_lines(fragments: DataFrame, target: str) -> None:
         F.col("_metadata.file_block_start").alias("block"),
         "value",
     )
-    work = scratch_path(spark, "blocks")
+    states, edges = scratch_path(spark, "blocks"), f"{target}/edge=true"
     try:
-        _beginnings(fragments).write.parquet(f"{work}/beginnings")
+        _beginnings(fragments).write.parquet(states)
         # Stored, their size is known: while small they are broadcast and the text stays
         # where it was read.  Otherwise it is shuffled by block, hence the sort.
         placed = (
             fragments.mapInArrow(pack_blocks, CHUNKS)
-            .join(spark.read.parquet(f"{work}/beginnings"), _BLOCK)
+            .join(spark.read.parquet(states), _BLOCK)
             .sortWithinPartitions(*_BLOCK, "chunk")
         )
-        placed.mapInArrow(cut_edges, EDGES).write.parquet(f"{work}/edges")
-        across = _joined(spark.read.parquet(f"{work}/edges")).mapInArrow(cut_joined, LINES)
-        _write(placed.mapInArrow(cut_inside, LINES).unionByName(across), target, "append")
+        cuts = placed.mapInArrow(cut_blocks, MIXED)
+        _writer(cuts).mode("append").partitionBy("edge").text(target)
+        if path_exists(spark, edges):
+            pieces = spark.read.text(edges, lineSep=RECORD_END).select(
+                F.inline(F.array(F.from_json("value", EDGES, {"mode": "FAILFAST"})))
+            )
+            _writer(_joined(pieces).mapInArrow(cut_joined, LINES)).mode("append").text(done)
     finally:
-        delete_path(spark, work)
+        delete_path(spark, states)
+        delete_path(spark, edges)
 
 
 def _beginnings(fragments: DataFrame) -> DataFrame:

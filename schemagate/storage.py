@@ -30,6 +30,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def delete_path(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    target = jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+    target, files = _located(spark, path)
+    files.delete(target, True)
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target, files = _located(spark, path)
+    return files.exists(target)
+
+
+def _located(spark: SparkSession, path: str):
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

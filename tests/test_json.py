@@ -218,8 +218,9 @@ def by_blocks(text, fragments_per_block):
         depth += s["net_in"] if quotes % 2 else s["net_out"]
         quotes += s["quotes"]
     rows = pa.Table.from_pylist([{**c, **placed[c["block"]]} for c in chunks]).to_batches()
-    found = [x for b in cutting.cut_inside(iter(rows)) for x in b.column("value").to_pylist()]
-    edges = [r for b in cutting.cut_edges(iter(rows)) for r in b.to_pylist()]
+    mixed = [r for b in cutting.cut_blocks(iter(rows)) for r in b.to_pylist()]
+    found = [r["value"] for r in mixed if not r["edge"]]
+    edges = [json.loads(r["value"]) for r in mixed if r["edge"]]
     held = []
     for edge in edges:
         held.append(edge)
