@@ -87,11 +87,14 @@ def _large_to_lines(fragments: DataFrame, target: str, done: str) -> None:
     states, edges = scratch_path(spark, "blocks"), f"{target}/edge=true"
     try:
         _beginnings(fragments).write.parquet(states)
+        stored = spark.read.parquet(states)
+        if stored.count() != stored.dropDuplicates(_BLOCK).count():
+            raise ValueError("a document is named more than once in the path")
         # Stored, their size is known: while small they are broadcast and the text stays
         # where it was read.  Otherwise it is shuffled by block, hence the sort.
         placed = (
             fragments.mapInArrow(pack_blocks, CHUNKS)
-            .join(spark.read.parquet(states), _BLOCK)
+            .join(stored, _BLOCK)
             .sortWithinPartitions(*_BLOCK, "chunk")
         )
         cuts = placed.mapInArrow(cut_blocks, MIXED)

@@ -1,5 +1,6 @@
 """Nested JSON: record verdicts, and documents cut into records."""
 
+import gzip
 import json
 from decimal import Decimal
 
@@ -153,6 +154,32 @@ def test_large_document_over_many_blocks(spark, tmp_path):
     assert [r[CORRUPT] for r in got if r[CORRUPT]] == [records[1234]] * 2
 
 
+def test_a_large_document_named_twice_is_refused(spark, tmp_path):
+    path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"}]')
+    with pytest.raises(ValueError, match="more than once"):
+        read_json(spark, [path, path], BILLING, layout="document", document_limit=0)
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+def test_compressed_document(spark, tmp_path, limit):
+    (tmp_path / "in").mkdir()
+    with gzip.open(tmp_path / "in" / "a.json.gz", "wt") as f:
+        f.write('[{"cost":"1"},\n{"cost":"2"}]\n')
+    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=limit)
+    assert sorted((r.cost, r[CORRUPT]) for r in rows.collect()) == [("1", None), ("2", None)]
+
+
+def test_lines_can_be_kept(spark, tmp_path):
+    path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"},7]')
+    kept = str(tmp_path / "lines")
+    for _ in range(2):
+        if not (tmp_path / "lines").exists():
+            validate_json(spark, path, layout="document", lines_path=kept)
+        else:
+            with pytest.raises(Exception, match="already exists"):
+                validate_json(spark, path, layout="document", lines_path=kept)
+
+
 values = st.recursive(
     st.none() | st.booleans() | st.integers() | st.text('a"\\{}[],: \né'),
     lambda inner: st.lists(inner, max_size=3) | st.dictionaries(st.text('k"}'), inner, max_size=3),
