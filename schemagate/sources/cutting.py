@@ -3,7 +3,8 @@
 Bracket depth and string state run through a text from its start, which no column
 expression can follow at a fair price; these helpers do it over Arrow batches.  Text
 comes as fragments that were split at ``}``, so most of the work is done by ``split``
-and ``count`` on whole strings.  What is cut off is the record's own text, byte for byte.
+and ``count`` on whole strings.  What is cut off is the record's own text, byte for byte;
+each character stands for one byte, as all marks that matter here are ASCII.
 """
 
 from __future__ import annotations
@@ -23,6 +24,10 @@ import pyarrow.compute as pc
 RECORD_END = "\x1e"
 SET_APART = "\x1d"
 
+# What JSON takes for blank, and a byte order mark.
+BLANKS = " \t\r\n"
+BYTE_ORDER_MARK = "\xef\xbb\xbf"
+
 _ESCAPED = re.compile(r"\\.", re.DOTALL)
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}\[\],]', re.DOTALL)
 
@@ -70,13 +75,13 @@ def elements(text: str) -> list[str]:
             depth += 1
         elif mark in "}]":
             depth -= 1
-            if depth < 0 and mark == "]" and not text[token.end():].strip():
+            if depth < 0 and mark == "]" and not text[token.end():].strip(BLANKS):
                 text = text[: token.start()]
                 break
         elif mark == "," and depth == 0:
-            found.append(text[start : token.start()].strip())
+            found.append(text[start : token.start()].strip(BLANKS))
             start = token.end()
-    found.append(text[start:].strip())
+    found.append(text[start:].strip(BLANKS))
     return found if found != [""] else []
 
 
@@ -94,12 +99,12 @@ def lines(text: str, opens: bool, ends: bool) -> list[str]:
 
     ``opens`` and ``ends`` tell that it is the first or last of its document.
     """
-    body = text.strip()
+    body = text.strip(BLANKS)
     if body == "" or (ends and not opens and body == "]"):
         return []
     if not body.startswith("[" if opens else ","):
         return [apart(body)]
-    body = body[1:].lstrip()
+    body = body[1:].lstrip(BLANKS)
     if body.startswith("{") and not ends:
         return [line(body)]
     return [line(element) for element in elements(body)]
@@ -107,7 +112,7 @@ def lines(text: str, opens: bool, ends: bool) -> list[str]:
 
 def document_lines(text: str) -> list[str]:
     """All lines of a document held whole: of an array, or a bare object."""
-    body = text.strip()
+    body = text.removeprefix(BYTE_ORDER_MARK).strip(BLANKS)
     cuts = list(cut([body]))
     if not body.startswith("["):
         return [line(body)] if len(cuts) == 1 else [apart(body)]
@@ -130,10 +135,11 @@ def cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 
 def cut_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut texts (``text``, ``opens``, ``ends``) to lines."""
+    """Cut texts (``text``, ``opens``, ``ends``) to lines, or to one if ``apart``."""
     for batch in batches:
-        rows = batch.to_pylist()
-        yield _lines_batch([x for r in rows for x in lines(r["text"], r["opens"], r["ends"])])
+        for r in batch.to_pylist():
+            text = r["text"]
+            yield _lines_batch([apart(text)] if r["apart"] else lines(text, r["opens"], r["ends"]))
 
 
 BLOCK_STATE = "file long, size long, block long, quotes long, net_out long, net_in long, bytes long"
@@ -187,7 +193,7 @@ def measure_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             nets[odd] += _net("".join(parts[0::2]))
             nets[1 - odd] += _net("".join(parts[1::2]))
             quotes += len(parts) - 1
-            size += len(text.encode())
+            size += len(text)
         yield _rows_batch(BLOCK_STATE, (*block, quotes, *nets, size))
 
 

@@ -12,7 +12,7 @@ so neither way opens the other's files.
 from __future__ import annotations
 
 from pyspark import cloudpickle
-from pyspark.sql import DataFrame, DataFrameWriter, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from schemagate.sources import cutting
@@ -34,6 +34,11 @@ from schemagate.storage import delete_path, path_exists, scratch_path
 # Held as one string per document, a few documents to a batch.
 DOCUMENT_LIMIT = 32 * 1024 * 1024
 
+# Longest text put together across blocks, in bytes, well below what a row can hold.  Text
+# that runs on without end, as after a stray quote, comes out in parts, each of them a
+# reject.
+RECORD_LIMIT = 512 * 1024 * 1024
+
 # Compressed text files cannot be split for reading, so none may grow without bound.
 LINES_PER_FILE = 500_000
 
@@ -43,6 +48,23 @@ cloudpickle.register_pickle_by_value(cutting)
 _FILE = ["file", "size"]
 _BLOCK = [*_FILE, "block"]
 
+# Of a compressed file, whose size tells nothing of its text.
+UNKNOWN_SIZE = -1
+
+# File endings that Spark decompresses, and the length of a byte order mark,
+# which a scan by lines leaves out.
+_COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
+_MARK_BYTES = 3
+
+
+def _as_characters(value: str) -> Column:
+    """One character per byte, so that bytes that are no UTF-8 get through to their record."""
+    return F.decode(F.col(value).cast("binary"), "ISO-8859-1").alias(value)
+
+
+def _as_bytes(value: str) -> Column:
+    return F.encode(value, "ISO-8859-1").cast("string").alias(value)
+
 
 def documents_to_lines(
     spark: SparkSession,
@@ -60,7 +82,7 @@ def documents_to_lines(
     whole = spark.read.text(path, wholetext=True).where(
         (F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S")
     )
-    _writer(whole.mapInArrow(cut_documents, LINES)).text(done)
+    _writer(whole.select(_as_characters("value")).mapInArrow(cut_documents, LINES)).text(done)
 
     fragments = (
         spark.read.option("lineSep", "}").text(path).where(F.col("_metadata.file_size") > limit)
@@ -71,7 +93,8 @@ def documents_to_lines(
 
 
 def _writer(lines: DataFrame) -> DataFrameWriter:
-    return lines.write.options(
+    rest = [c for c in lines.columns if c != "value"]
+    return lines.select(_as_bytes("value"), *rest).write.options(
         lineSep=RECORD_END, compression="snappy", maxRecordsPerFile=LINES_PER_FILE
     )
 
@@ -80,9 +103,11 @@ def _large_to_lines(fragments: DataFrame, target: str, done: str) -> None:
     spark = fragments.sparkSession
     fragments = fragments.select(
         F.xxhash64("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_size").alias("size"),
+        F.when(F.col("_metadata.file_name").rlike(_COMPRESSED), UNKNOWN_SIZE)
+        .otherwise(F.col("_metadata.file_size"))
+        .alias("size"),
         F.col("_metadata.file_block_start").alias("block"),
-        "value",
+        _as_characters("value"),
     )
     states, edges = scratch_path(spark, "blocks"), f"{target}/edge=true"
     try:
@@ -103,7 +128,7 @@ def _large_to_lines(fragments: DataFrame, target: str, done: str) -> None:
             pieces = spark.read.text(edges, lineSep=RECORD_END).select(
                 F.inline(F.array(F.from_json("value", EDGES, {"mode": "FAILFAST"})))
             )
-            _writer(_joined(pieces).mapInArrow(cut_joined, LINES)).mode("append").text(done)
+            _writer(_joined(pieces, RECORD_LIMIT).mapInArrow(cut_joined, LINES)).mode("append").text(done)
     finally:
         delete_path(spark, states)
         delete_path(spark, edges)
@@ -113,7 +138,15 @@ def _beginnings(fragments: DataFrame) -> DataFrame:
     """How each block begins, which depends on all blocks before it: one small row each."""
     in_order = Window.partitionBy(*_FILE).orderBy("block")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
+    whole = Window.partitionBy(*_FILE)
     net = F.when(F.col("in_string") == 0, F.col("net_out")).otherwise(F.col("net_in"))
+    # With no "}" after the last fragment, one byte too many has been counted.  Where the
+    # size is not known, a "}" that does not close the document is taken to be such.
+    surplus = F.sum("bytes").over(whole) - F.col("size")
+    open_end = (
+        F.when(F.col("size") == UNKNOWN_SIZE, F.sum("net").over(whole) != 0)
+        .otherwise(surplus.isin(1, 1 - _MARK_BYTES))
+    )
     return (
         fragments.mapInArrow(measure_blocks, BLOCK_STATE)
         .withColumn("in_string", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
@@ -124,14 +157,12 @@ def _beginnings(fragments: DataFrame) -> DataFrame:
             F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("depth"),
             F.lag("block").over(in_order).isNull().alias("first"),
             F.lead("block").over(in_order).isNull().alias("last"),
-            # With no "}" after the last fragment, one byte too many has been counted.  The
-            # end of a compressed file, whose size tells nothing, is taken to be such.
-            (F.sum("bytes").over(Window.partitionBy(*_FILE)) > F.col("size")).alias("open_end"),
+            open_end.alias("open_end"),
         )
     )
 
 
-def _joined(edges: DataFrame) -> DataFrame:
+def _joined(edges: DataFrame, limit: int) -> DataFrame:
     """Records that reach across blocks, put together from their pieces.
 
     Which pieces belong together is found without their text, at two small rows a block.
@@ -143,10 +174,17 @@ def _joined(edges: DataFrame) -> DataFrame:
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     ended_before = F.sum(F.col("closes").cast("int")).over(earlier)
-    joints = edges.select(*piece, F.coalesce(ended_before, F.lit(0)).alias("joint"))
+    record = Window.partitionBy(*_FILE, "joint")
+    part = F.row_number().over(record.orderBy("block", "piece"))
+    joints = (
+        edges.select(*piece, "closes", F.length("text").alias("chars"))
+        .withColumn("joint", F.coalesce(ended_before, F.lit(0)))
+        .withColumn("apart", F.sum("chars").over(record) > limit)
+        .select(*piece, "joint", "apart", F.when(F.col("apart"), part).otherwise(0).alias("part"))
+    )
     return (
         edges.join(joints, piece)
-        .groupBy(*_FILE, "joint")
+        .groupBy(*_FILE, "joint", "apart", "part")
         .agg(
             F.array_sort(F.collect_list(F.struct("block", "piece", "text"))).alias("parts"),
             F.max("opens").alias("opens"),
@@ -156,5 +194,6 @@ def _joined(edges: DataFrame) -> DataFrame:
             F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
             "opens",
             "ends",
+            "apart",
         )
     )

@@ -1,5 +1,6 @@
 """Nested JSON: record verdicts, and documents cut into records."""
 
+import bz2
 import gzip
 import json
 from decimal import Decimal
@@ -169,6 +170,63 @@ def test_compressed_document(spark, tmp_path, limit):
     assert sorted((r.cost, r[CORRUPT]) for r in rows.collect()) == [("1", None), ("2", None)]
 
 
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("ending, opener", [("gz", gzip.open), ("bz2", bz2.open)])
+@pytest.mark.parametrize(
+    "text, rejects",
+    [
+        ('[{"cost":"1"},{"cost":"2"}]', []),
+        ('[{"cost":"1"},{"cost":"2"},{"cost":"3"', ['{"cost":"3"']),
+    ],
+)
+def test_compressed_ends(spark, tmp_path, limit, ending, opener, text, rejects):
+    (tmp_path / "in").mkdir()
+    with opener(tmp_path / "in" / f"a.json.{ending}", "wt") as f:
+        f.write(text)
+    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=limit).collect()
+    assert sorted(r.cost for r in rows if r[CORRUPT] is None) == ["1", "2"]
+    assert [r[CORRUPT] for r in rows if r[CORRUPT] is not None] == rejects
+
+
+@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("end", [b"]", b"]\n", b""])
+@pytest.mark.parametrize("start", [b"", b"\xef\xbb\xbf"])
+def test_bytes_of_any_kind(spark, tmp_path, limit, end, start):
+    """Bad bytes spoil their record only, as they do in a scan of lines."""
+    (tmp_path / "in").mkdir()
+    bad, good = b'{"cost":"1\xff"}', '{"cost":"\u00e0\u20ac\U0001f600"}'.encode()
+    document = start + b"[" + bad + b",\n" + good + b"," + b"{}" + end
+    (tmp_path / "in" / "a.json").write_bytes(document)
+    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=limit)
+    found = rows.select("cost", F.expr(f"hex({CORRUPT}) AS bad")).collect()
+    assert sorted((r.cost or "", r.bad or "") for r in found) == [
+        ("", ""), ("", bad.hex().upper()), ("\u00e0\u20ac\U0001f600", ""),
+    ]
+
+
+def test_text_that_does_not_end_comes_in_parts(spark, tmp_path, monkeypatch):
+    """A stray quote late in a large document must not gather all that follows in one row."""
+    good = [f'{{"cost":"{i}"}}' for i in range(200)]
+    bad = '{"cost":""200"}'
+    behind = [f'{{"cost":"{i}"}}' for i in range(201, 3000)]
+    text = "[" + ",".join([*good, bad, *behind]) + "]"
+    path = write_file(tmp_path / "in", "a.json", text)
+    monkeypatch.setattr("schemagate.sources.documents.RECORD_LIMIT", 10000)
+    options = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"}
+    for key, value in options.items():
+        spark.conf.set(key, value)
+    try:
+        rows = read_json(spark, path, BILLING, layout="document", document_limit=1000).collect()
+    finally:
+        for key in options:
+            spark.conf.unset(key)
+    assert sorted((r.cost for r in rows if r[CORRUPT] is None), key=int) == [str(i) for i in range(200)]
+    rejects = [r[CORRUPT] for r in rows if r[CORRUPT] is not None]
+    assert len(rejects) > 5 and max(map(len, rejects)) < 6000
+    kept = sorted("," + ",".join([bad, *behind]) + "]")
+    assert sorted("".join(rejects)) == kept
+
+
 def test_lines_can_be_kept(spark, tmp_path):
     path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"},7]')
     kept = str(tmp_path / "lines")
