@@ -85,6 +85,7 @@ BENCHES = {
     "load_valid_table": query("load_valid_table"),
     "quarantine_table": query("quarantine_table"),
     "load_both_tables": query("load_both_tables"),
+    "load_tables_in_place": query("load_tables_in_place"),
 }
 
 

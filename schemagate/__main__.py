@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from schemagate.operators import invalid_sample, write_report
-from schemagate.plans import load_tables, staged, validate_csv, validate_json
+from schemagate.plans import lay_tables, load_tables, staged, validate_csv, validate_json
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -20,6 +20,9 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("path", nargs="+")
     parser.add_argument("--valid-table", help="load valid rows into this table")
     parser.add_argument("--invalid-table", help="load rejects into this table")
+    parser.add_argument(
+        "--folder", help="write the valid rows here, once, and lay --valid-table over them"
+    )
     parser.add_argument("--report", help="write the report here, as JSON")
     return parser.parse_args(argv)
 
@@ -30,13 +33,16 @@ def run(spark: SparkSession, options: argparse.Namespace) -> dict:
         checked = validate_csv(spark, options.path)
     else:
         checked = validate_json(spark, options.path, layout=options.layout)
-    with staged(checked.marked) as rows:
+    with staged(checked.marked, options.folder) as rows:
         outcome = checked.report_on(rows)
         if options.report:
             write_report(outcome, options.report)
         found = outcome.first().asDict(recursive=True)
         found["sample"] = [r[0] for r in invalid_sample(rows).collect()]
-        load_tables(rows, options.valid_table, options.invalid_table)
+        if options.folder:
+            lay_tables(rows, options.folder, options.valid_table, options.invalid_table)
+        else:
+            load_tables(rows, options.valid_table, options.invalid_table)
     return found
 
 

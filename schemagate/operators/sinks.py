@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from schemagate.contract import CORRUPT, FAILED, ROW_ID
 
@@ -28,6 +29,13 @@ def quarantine(invalid: DataFrame, table: str, *, path: str | None = None) -> in
     return 0 if rows.isEmpty() else _replace(rows.hint("rebalance"), table, path)
 
 
+def lay_table(spark: SparkSession, schema: StructType, table: str, path: str) -> int:
+    """Replace ``table`` with one over the Parquet files at ``path``; gives its row count."""
+    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
+    spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
+    return spark.table(table).count()
+
+
 def write_report(report: DataFrame, path: str) -> None:
     """One JSON file; the report is a single row."""
     report.coalesce(1).write.mode("overwrite").json(path)

@@ -1,4 +1,14 @@
-from schemagate.plans.loading import Loaded, load_split, load_tables, staged
+from schemagate.plans.loading import Loaded, lay_tables, load_in_place, load_split, load_tables, staged
 from schemagate.plans.validation import Validation, validate_csv, validate_json
 
-__all__ = ["Loaded", "Validation", "load_split", "load_tables", "staged", "validate_csv", "validate_json"]
+__all__ = [
+    "Loaded",
+    "Validation",
+    "lay_tables",
+    "load_in_place",
+    "load_split",
+    "load_tables",
+    "staged",
+    "validate_csv",
+    "validate_json",
+]

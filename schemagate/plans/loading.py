@@ -10,8 +10,8 @@ from pyspark.sql import DataFrame
 
 from schemagate.contract import FAILED
 from schemagate.operators.marking import invalid_rows, valid_rows
-from schemagate.operators.sinks import load_valid, quarantine
-from schemagate.storage import delete_path, scratch_path
+from schemagate.operators.sinks import lay_table, load_valid, quarantine
+from schemagate.storage import delete_path, path_exists, scratch_path
 
 
 class Loaded(NamedTuple):
@@ -20,19 +20,21 @@ class Loaded(NamedTuple):
 
 
 @contextmanager
-def staged(marked: DataFrame) -> Iterator[DataFrame]:
+def staged(marked: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
     """The marked rows as Parquet in the shared folder, one directory per verdict.
 
     Parsing text is the costly step, so it runs once here.  What follows reads columns
     from files: it skips the side it does not want, counts from file footers, and does
-    not depend on the executors that parsed the text.
+    not depend on the executors that parsed the text.  The files are removed at the end,
+    unless they go to a ``folder`` of the caller's, which must be new.
     """
-    path = scratch_path(marked.sparkSession, "stage")
+    path = folder or scratch_path(marked.sparkSession, "stage")
     try:
         marked.write.partitionBy(FAILED).parquet(path)
         yield marked.sparkSession.read.schema(marked.schema).parquet(path)
     finally:
-        delete_path(marked.sparkSession, path)
+        if not folder:
+            delete_path(marked.sparkSession, path)
 
 
 def load_split(
@@ -50,6 +52,34 @@ def load_split(
         )
 
 
+def load_in_place(
+    marked: DataFrame, folder: str, valid_table: str | None, invalid_table: str | None
+) -> Loaded:
+    """Parse the input once and write the valid rows once, to ``folder``, which must be new.
+
+    The table of valid rows is laid over them there; an older table of that name is
+    replaced only when they are all written.  Rejects, mostly few and scattered, go on to
+    their own table as in ``load_split``.
+    """
+    with staged(marked, folder) as stage:
+        return lay_tables(stage, folder, valid_table, invalid_table)
+
+
+def lay_tables(
+    stage: DataFrame, folder: str, valid_table: str | None, invalid_table: str | None
+) -> Loaded:
+    """``load_in_place`` for rows that are staged in ``folder`` already."""
+    spark = stage.sparkSession
+    loaded = load_tables(stage, None, invalid_table, invalid_path=f"{folder}/_rejects")
+    if invalid_table:
+        delete_path(spark, f"{folder}/{FAILED}=true")
+    kept = f"{folder}/{FAILED}=false"
+    if valid_table and path_exists(spark, kept):
+        schema = valid_rows(stage, placeholder=False).schema
+        loaded = loaded._replace(valid_rows=lay_table(spark, schema, valid_table, kept))
+    return loaded
+
+
 def load_tables(
     stage: DataFrame,
     valid_table: str | None,

@@ -242,6 +242,7 @@ ORACLES: dict[str, str] = {
     "cast_long": f"{WITH_T} SELECT rec_id, CASE WHEN has_invoice THEN month_number END AS month FROM m",
     "cast_double": f"""{WITH_T} SELECT rec_id,
       CASE WHEN has_usage THEN units END AS amount_in_pricing_units FROM m""",
+    "row_id_counts": "SELECT count(*) AS total_rows, count(*) AS distinct_ids FROM orders",
     "validation_flag": f"{WITH_T} SELECT rec_id, failed FROM m",
     "corrupt_message": f"""{WITH_T} SELECT rec_id, CASE WHEN failed THEN {COMPAT_MESSAGE} END AS message
       FROM m""",
@@ -296,6 +297,7 @@ ORACLES: dict[str, str] = {
     "quarantine_table": f"""{WITH_T} SELECT rec_id, {LEAVES}, {COMPAT_MESSAGE} AS corrupt_record
       FROM m WHERE failed""",
     "load_both_tables": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",
+    "load_tables_in_place": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",
     "table_preview": f"""{WITH_T} SELECT rec_id, {LEAVES} FROM m WHERE NOT failed
       ORDER BY rec_id LIMIT 3""",
     "report_roundtrip": CSV_SUMMARY,

@@ -32,7 +32,7 @@ from schemagate.operators import (
     write_report,
 )
 from schemagate.operators.profile import report
-from schemagate.plans import load_split, validate_csv, validate_json
+from schemagate.plans import load_in_place, load_split, validate_csv, validate_json
 from schemagate.plans.validation import CSV_METHOD
 from schemagate.sources import preview, read_csv, read_json
 from schemagate.storage import scratch_path
@@ -172,6 +172,11 @@ def row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.selectExpr(REC_ID, f"{ROW_ID} AS row_id")
 
 
+def row_id_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ids = row_id(spark, sf_dir)
+    return ids.selectExpr("count(1) AS total_rows", "count(DISTINCT row_id) AS distinct_ids")
+
+
 def validation_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return marked_csv(spark, sf_dir).selectExpr(REC_ID, f"{FAILED} AS failed")
 
@@ -337,9 +342,18 @@ def load_both_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
         valid_path=valid["path"],
         invalid_path=invalid["path"],
     )
-    good = leaves(spark.table(valid["table"]), "CAST(NULL AS STRING) AS corrupt_record")
-    bad = leaves(spark.table(invalid["table"]), REASON)
-    return good.unionByName(bad)
+    return both_sides(spark, valid["table"], invalid["table"])
+
+
+def load_tables_in_place(spark: SparkSession, sf_dir: str) -> DataFrame:
+    valid, invalid = new_table(spark, "valid"), new_table(spark, "invalid")
+    load_in_place(marked_json(spark, sf_dir), valid["path"], valid["table"], invalid["table"])
+    return both_sides(spark, valid["table"], invalid["table"])
+
+
+def both_sides(spark: SparkSession, valid: str, invalid: str) -> DataFrame:
+    good = leaves(spark.table(valid), "CAST(NULL AS STRING) AS corrupt_record")
+    return good.unionByName(leaves(spark.table(invalid), REASON))
 
 
 def table_preview(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -367,6 +381,7 @@ QUERIES: dict[str, Query] = {
     "cast_long": cast_member("invoice", "month"),
     "cast_double": cast_member("usage", "amount_in_pricing_units"),
     "row_id": row_id,
+    "row_id_counts": row_id_counts,
     "validation_flag": validation_flag,
     "corrupt_message": corrupt_message("compat"),
     "corrupt_message_clean": corrupt_message("clean"),
@@ -392,6 +407,7 @@ QUERIES: dict[str, Query] = {
     "load_valid_table": load_valid_table,
     "quarantine_table": quarantine_table,
     "load_both_tables": load_both_tables,
+    "load_tables_in_place": load_tables_in_place,
     "table_preview": table_preview,
     "report_roundtrip": report_roundtrip,
     "verdict_csv": verdict_csv,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from schemagate import storage
 from schemagate.__main__ import arguments, run
 from schemagate.billing import BILLING
-from schemagate.contract import CORRUPT
+from schemagate.contract import CORRUPT, FAILED
 from schemagate.operators import (
     invalid_rows,
     invalid_sample,
@@ -20,7 +20,7 @@ from schemagate.operators import (
     valid_rows,
     write_report,
 )
-from schemagate.plans import load_split, staged, validate_csv, validate_json
+from schemagate.plans import load_in_place, load_split, staged, validate_csv, validate_json
 from schemagate.sources import preview
 
 
@@ -74,6 +74,31 @@ def test_load_split(spark, tmp_path, table):
     }
 
 
+def test_load_in_place(spark, tmp_path, table):
+    for n, (good, bad) in enumerate([(2, 1), (5, 3)]):
+        folder = str(tmp_path / str(n))
+        loaded = load_in_place(marked(spark, good, bad), folder, table, table + "_bad")
+        assert loaded == (good, bad)
+        assert spark.table(table).columns == BILLING.target.names
+        assert {r.project for r in spark.table(table).collect()} == {f"p{i}" for i in range(good)}
+        assert {r.project for r in spark.table(table + "_bad").collect()} == {f"q{i}" for i in range(bad)}
+        assert not (tmp_path / str(n) / f"{FAILED}=true").exists()
+    assert (tmp_path / "0" / f"{FAILED}=false").exists(), "the older rows are the caller's"
+    with pytest.raises(Exception, match="already exists"):
+        load_in_place(marked(spark), str(tmp_path / "1"), table, None)
+    assert spark.table(table).count() == 5
+
+
+def test_load_in_place_of_one_side(spark, tmp_path, table):
+    assert load_in_place(marked(spark, bad=0), str(tmp_path / "a"), table, table + "_bad") == (3, 0)
+    assert not spark.catalog.tableExists(table + "_bad")
+    assert load_in_place(marked(spark, good=0), str(tmp_path / "b"), table, table + "_bad") == (0, 2)
+    assert spark.table(table).count() == 3
+    assert load_in_place(marked(spark), str(tmp_path / "c"), table, None) == (3, 0)
+    rejects = spark.read.parquet(str(tmp_path / "c" / f"{FAILED}=true"))
+    assert rejects.count() == 2, "kept, as no table took them"
+
+
 def test_stage_is_split_by_verdict_and_removed(spark, tmp_path, monkeypatch):
     seen = []
     monkeypatch.setattr(
@@ -146,8 +171,9 @@ def test_marking_needs_no_exchange(spark):
         assert "Exchange" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+@pytest.mark.parametrize("in_place", [False, True])
 @pytest.mark.parametrize("layout", ["csv", "lines", "document"])
-def test_whole_job(spark, tmp_path, table, layout):
+def test_whole_job(spark, tmp_path, table, layout, in_place):
     if layout == "csv":
         text = csv_text(GOOD, flat_row(cost=None), GOOD)
     else:
@@ -156,6 +182,7 @@ def test_whole_job(spark, tmp_path, table, layout):
     options = arguments(
         [layout, path, "--valid-table", table, "--invalid-table", f"{table}_bad"]
         + ["--report", str(tmp_path / "report")]
+        + (["--folder", str(tmp_path / "rows")] if in_place else [])
     )
     found = run(spark, options)
     assert (found["total_records"], found["valid_records"], found["invalid_records"]) == (3, 2, 1)
