@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import repetition, substrings
+from schemagate.llm import bottomk, repetition, substrings
 from schemagate.llm.common import documents
 
 
@@ -18,12 +18,18 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bottomk.classes(documents(spark, sf_dir))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op6_near_duplicates": op6_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
 }
 
