@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, repetition, substrings
+from schemagate.llm import bottomk, mixing, repetition, substrings
 from schemagate.llm.common import documents
 
 
@@ -18,6 +18,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mix = mixing.mixed(documents(spark, sf_dir).select("doc_id", "text", "source"))
+    taken = (F.col("times") * F.col("size") + F.col("part")).alias("taken")
+    return mix.select("doc_id", "size", "source_size", "target", taken)
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bottomk.classes(documents(spark, sf_dir))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -29,8 +35,11 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_source_mix": op3_source_mix,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op3_source_mix": mixing.ORACLE,
+}
