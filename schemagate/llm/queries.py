@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, mixing, repetition, substrings
+from schemagate.llm import bottomk, mixing, packing, repetition, substrings
 from schemagate.llm.common import documents
 
 
@@ -33,11 +33,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(documents(spark, sf_dir))
 
 
+def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.packed(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_source_mix": op3_source_mix,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
+    "op10_best_fit_packing": op10_best_fit_packing,
 }
 
 ORACLES: dict[str, str] = {
