@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, mixing, packing, repetition, substrings
+from schemagate.llm import bottomk, language, licenses, mixing, packing, repetition, substrings
 from schemagate.llm.common import documents
 
 
@@ -18,12 +18,20 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.predicted(documents(spark, sf_dir).select("doc_id", "text", "lang"))
+
+
 def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(documents(spark, sf_dir).select("doc_id", "text", "source"))
     taken = (F.col("times") * F.col("size") + F.col("part")).alias("taken")
     return mix.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scanned(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bottomk.classes(documents(spark, sf_dir))
     return found.select("doc_id", "n_shingles", "component_id", "kept")
@@ -39,7 +47,9 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_language_id": op2_language_id,
     "op3_source_mix": op3_source_mix,
+    "op5_license_scan": op5_license_scan,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -47,4 +57,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.ORACLE,
+    "op5_license_scan": licenses.ORACLE,
 }
