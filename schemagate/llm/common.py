@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from schemagate.storage import scratch_path
@@ -119,10 +118,6 @@ def covered(starts: np.ndarray, lengths: np.ndarray | int, size: int) -> np.ndar
     return np.cumsum(change[:-1]) > 0
 
 
-def in_arrow(df: DataFrame, work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    return df.mapInArrow(work, schema)
-
-
 def ranked(df: DataFrame, keys: list[str], order: list[Column], rank: str, per_bucket: int = 50_000) -> DataFrame:
     """Number the rows of each key from 0 without bringing a key's rows to one task.
 
@@ -132,17 +127,10 @@ def ranked(df: DataFrame, keys: list[str], order: list[Column], rank: str, per_b
     buckets = max(1, -(-df.count() // per_bucket))
     b, before = f"__{rank}_bucket", f"__{rank}_before"
     dealt = df.withColumn(b, F.pmod(F.xxhash64(*order), F.lit(buckets)).cast("int"))
-    window = F.expr("1") if not keys else None
     by = keys or [F.lit(1)]
-    from pyspark.sql import Window
-
     counts = dealt.groupBy(*keys, b).agg(F.count(F.lit(1)).alias("__n"))
     upto = Window.partitionBy(*by).orderBy(b).rowsBetween(Window.unboundedPreceding, -1)
     counts = counts.select(*keys, b, F.coalesce(F.sum("__n").over(upto), F.lit(0)).alias(before))
     inside = Window.partitionBy(*keys, b).orderBy(*order)
     joined = dealt.join(counts, [*keys, b])
     return joined.withColumn(rank, F.row_number().over(inside) - 1 + F.col(before)).drop(b, before)
-
-
-def field_names(schema: str) -> list[str]:
-    return re.findall(r"(\w+) \w+(?:,|$)", schema)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, language, licenses, mixing, packing, repetition, substrings
+from schemagate.llm import bottomk, language, licenses, mixing, packing, repetition, sharding, substrings
 from schemagate.llm.common import documents
 
 
@@ -28,6 +28,10 @@ def op3_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix.select("doc_id", "size", "source_size", "target", taken)
 
 
+def op4_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.sharded(documents(spark, sf_dir).select("doc_id", "text"))
+
+
 def op5_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scanned(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -49,6 +53,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
     "op3_source_mix": op3_source_mix,
+    "op4_shards": op4_shards,
     "op5_license_scan": op5_license_scan,
     "op6_near_duplicates": op6_near_duplicates,
     "op9_quality_rules": op9_quality_rules,
