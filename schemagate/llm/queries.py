@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, language, licenses, mixing, packing, repetition, sharding, substrings
+from schemagate.llm import bottomk, hamming, language, licenses, mixing, packing, repetition, sharding, substrings
 from schemagate.llm.common import documents
 
 
@@ -41,6 +41,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hamming.searched(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repetition.judged(documents(spark, sf_dir))
 
@@ -56,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
     "op5_license_scan": op5_license_scan,
     "op6_near_duplicates": op6_near_duplicates,
+    "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
 }
@@ -63,4 +68,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.ORACLE,
     "op5_license_scan": licenses.ORACLE,
+    "op8_exact_top_k": hamming.ORACLE,
 }
