@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, hamming, language, licenses, mixing, packing, repetition, sharding, substrings
-from schemagate.llm.common import documents
+from schemagate.llm import bottomk, hamming, language, licenses, mixing, packing, repetition, sharding, substrings, warc
+from schemagate.llm.common import documents, stored
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -41,6 +41,17 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as WARC records against a replica in which every 97th page's neighbours are damaged."""
+    pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
+    laid = stored(warc.manifest(pages, {"first": lambda content: content, "second": warc.damaged}), "manifest")
+    found = warc.audited(warc.leaves(laid, "first"), warc.leaves(laid, "second"))
+    fault = F.when(F.col("found.second").isNull(), "lost").otherwise("changed").alias("fault")
+    places = laid.select("file", "offset", "page_id").alias("laid").join(found.alias("found"), ["file", "offset"])
+    named = places.select("page_id", fault)
+    return named.join(pages.select("page_id", "url"), "page_id").select("page_id", "url", "fault")
+
+
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.searched(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
@@ -60,6 +71,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_shards": op4_shards,
     "op5_license_scan": op5_license_scan,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_warc_audit": op7_warc_audit,
     "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
@@ -68,5 +80,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.ORACLE,
     "op5_license_scan": licenses.ORACLE,
+    "op7_warc_audit": warc.ORACLE,
     "op8_exact_top_k": hamming.ORACLE,
 }
