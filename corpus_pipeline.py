@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from schemagate.llm import repetition
+from schemagate.llm import bottomk, mixing, packing, repetition, substrings
 from schemagate.storage import scratch_path
 
 
@@ -15,8 +15,32 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return repetition.passed(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies, the document with the smallest id."""
+    return bottomk.one_of_each(docs, width=5, percent=80)
+
+
+def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the passages that one with a smaller id holds as well."""
+    return substrings.shortened(docs)
+
+
+def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts as often as their source's target takes them; the last one taken may be cut."""
+    return mixing.taken_rows(docs)
+
+
+def best_fit(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All texts as token sequences: which piece stands where."""
+    return packing.packed(docs)
+
+
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("quality rules", quality),
+    ("near duplicates", near_duplicates),
+    ("substring dedup", substring_dedup),
+    ("source mix", source_mix),
+    ("best-fit packing", best_fit),
 ]
 
 ORACLE_SQL = None

@@ -96,6 +96,23 @@ def deduplicated(
     )
 
 
+def shortened(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` with repeated words cut from ``text``; ``n_chars``, where it is a column, follows.
+
+    A text that keeps all its words keeps its white space as well.
+    """
+    found = deduplicated(docs, **settings)
+    changed, fields = F.col("n_removed") > 0, []
+    for c in docs.columns:
+        value = F.col("row").getField(c)
+        if c == "text":
+            value = F.when(changed, F.col("kept_text")).otherwise(value)
+        elif c == "n_chars":
+            value = F.when(changed, F.length("kept_text").cast(docs.schema[c].dataType)).otherwise(value)
+        fields.append(value.alias(c))
+    return found.select(*fields)
+
+
 def _quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
