@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WordHashes, byte_texts, hashed_words, stored, text_chunks, window_hashes
+from schemagate.llm.common import WordHashes, as_row, byte_texts, hashed_words, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
 WIDTH = 4
@@ -337,9 +337,7 @@ def _per_document(sets: DataFrame, labels: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The rows of ``docs`` that their class keeps; of rows equal in id and text, one."""
-    found = classes(docs, width, percent).where("kept").select(
-        F.col("doc_id").alias("__id"), F.col("text_key").alias("__key")
-    )
-    keyed = docs.withColumns({"__id": F.col("doc_id").cast("long"), "__key": F.xxhash64("text")})
-    same = keyed["__id"].eqNullSafe(found["__id"]) & (keyed["__key"] == found["__key"])
-    return keyed.join(found, same, "left_semi").dropDuplicates(["__id", "__key"]).drop("__id", "__key")
+    kept = classes(docs, width, percent).where("kept").select("doc_id", "text_key")
+    rows = docs.select(as_row(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
+    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["text_key"])
+    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")

@@ -34,6 +34,15 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def quoted(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
+def as_row(df: DataFrame) -> Column:
+    """All columns of ``df`` as one, so that their names can't clash with an operator's."""
+    return F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose ``text`` columns hold about ``limit`` bytes each."""
     for batch in batches:

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WORD
+from schemagate.llm.common import WORD, as_row
 
 WEIGHTS = (5, 2, 1)
 """Weights of the sources by code point, null last, repeating."""
@@ -41,7 +41,7 @@ def mixed(docs: DataFrame, block_words: int = BLOCK_WORDS, shard_documents: int
     place = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col("doc_id").cast("string"), F.col("size").cast("string")))
     rows = (
         docs.select(
-            F.struct(*(F.col("`" + c.replace("`", "``") + "`") for c in docs.columns)).alias("row"),
+            as_row(docs).alias("row"),
             F.coalesce("source", F.lit("")).alias("source"),
             F.col("source").isNull().alias("no_source"),
             F.col("doc_id"),

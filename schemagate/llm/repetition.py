@@ -168,7 +168,8 @@ def passed(docs: DataFrame) -> DataFrame:
         for chunk in text_chunks(batches):
             yield chunk.filter(pa.array(measured(chunk.column("text").to_pylist())["kept"]))
 
-    return docs.mapInArrow(work, docs.schema)
+    plain = docs.toDF(*("text" if c == "text" else f"c{i}" for i, c in enumerate(docs.columns)))
+    return plain.mapInArrow(work, plain.schema).toDF(*docs.columns)
 
 
 def lines_per_verdict(judgement: DataFrame) -> DataFrame:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemagate.llm.common import WordHashes, byte_texts, covered, hashed_words, mixed, owners, text_chunks, window_hashes
+from schemagate.llm.common import WordHashes, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
 
 WIDTH = 13
 GROUP_SUFFIXES = 2_000_000
@@ -66,7 +66,7 @@ def deduplicated(
         F.pmod(F.xxhash64("doc_id"), F.lit(blocks)).alias("__block"),
         F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("__id"),
         F.col("text").alias("text"),
-        F.struct(*(F.col(_quoted(c)) for c in docs.columns if c != "text")).alias("__row"),
+        F.struct(*(F.col(quoted(c)) for c in docs.columns if c != "text")).alias("__row"),
     )
 
     def sent(block: pa.Table) -> pa.Table:
@@ -89,7 +89,7 @@ def deduplicated(
     answers = seen.withColumn("step", F.lit(1)).unionByName(earlier.withColumn("step", F.lit(2)))
     schema = T.StructType([dealt.schema["__row"], *T._parse_datatype_string(RESULT).fields])
     result = by_block.cogroup(answers.groupBy("__block")).applyInArrow(cut_by, schema)
-    fields = [F.col("text") if c == "text" else F.col(f"__row.{_quoted(c)}") for c in docs.columns]
+    fields = [F.col("text") if c == "text" else F.col(f"__row.{quoted(c)}") for c in docs.columns]
     return result.select(
         F.struct(*(f.alias(c) for f, c in zip(fields, docs.columns, strict=True))).alias("row"),
         "n_words", "n_removed", "kept_text", "removed",
@@ -113,10 +113,6 @@ def shortened(docs: DataFrame, **settings) -> DataFrame:
     return found.select(*fields)
 
 
-def _quoted(column: str) -> str:
-    return "`" + column.replace("`", "``") + "`"
-
-
 class _Prefixes:
     """How many leading words decide a suffix's group."""
 
