@@ -11,7 +11,9 @@ import argparse
 from pyspark.sql import SparkSession
 
 from schemagate.operators import invalid_sample, write_report
-from schemagate.plans import lay_tables, load_tables, staged, validate_csv, validate_json
+from schemagate.plans import Validation, lay_tables, load_tables, staged, validate_csv, validate_json
+from schemagate.sources import preview
+from schemagate.sources.documents import taken_apart
 
 
 def arguments(argv: list[str] | None = None) -> argparse.Namespace:
@@ -24,25 +26,57 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
         "--folder", help="write the valid rows here, once, and lay --valid-table over them"
     )
     parser.add_argument("--report", help="write the report here, as JSON")
+    parser.add_argument("--cast-policy", choices=["compat", "strict"], default="compat")
+    parser.add_argument("--message-style", choices=["compat", "clean"], default="compat")
+    parser.add_argument("--ragged", choices=["permissive", "reject"], default="permissive")
+    parser.add_argument("--strict-header", action="store_true")
+    parser.add_argument("--multi-line", action="store_true")
+    parser.add_argument("--escape", default='"')
+    parser.add_argument("--encoding", choices=["compat", "strict"], default="compat")
     return parser.parse_args(argv)
 
 
+SAMPLE_COLUMNS = ("billing_account_id", "project")
+"""Shown with the reason of a rejected CSV row."""
+
+
 def run(spark: SparkSession, options: argparse.Namespace) -> dict:
     """One parse of the input; report, sample and tables are taken from the staged rows."""
-    if options.layout == "csv":
-        checked = validate_csv(spark, options.path)
-    else:
-        checked = validate_json(spark, options.path, layout=options.layout)
+    if options.layout == "document":
+        with taken_apart(spark, options.path) as lines:
+            checked = validate_json(spark, lines, layout="cut", encoding=options.encoding, shown=",".join(options.path))
+            return _finished(spark, checked, options, ())
+    if options.layout == "lines":
+        return _finished(spark, validate_json(spark, options.path, encoding=options.encoding), options, ())
+    checked = validate_csv(
+        spark,
+        options.path,
+        cast_policy=options.cast_policy,
+        message_style=options.message_style,
+        ragged=options.ragged,
+        strict_header=options.strict_header,
+        multi_line=options.multi_line,
+        escape=options.escape,
+    )
+    return _finished(spark, checked, options, SAMPLE_COLUMNS)
+
+
+def _finished(spark: SparkSession, checked: Validation, options: argparse.Namespace, columns: tuple[str, ...]) -> dict:
     with staged(checked.marked, options.folder) as rows:
         outcome = checked.report_on(rows)
         if options.report:
             write_report(outcome, options.report)
         found = outcome.first().asDict(recursive=True)
-        found["sample"] = [r[0] for r in invalid_sample(rows).collect()]
+        sample = invalid_sample(rows, columns=columns) if columns else invalid_sample(rows)
+        found["sample"] = [tuple(r) if columns else r[0] for r in sample.collect()]
         if options.folder:
             lay_tables(rows, options.folder, options.valid_table, options.invalid_table)
         else:
             load_tables(rows, options.valid_table, options.invalid_table)
+    for name in ("valid_table", "invalid_table"):
+        table = getattr(options, name)
+        if table and spark.catalog.tableExists(table):
+            found[f"{name}_preview"] = [r.asDict(recursive=True) for r in preview(spark, table).collect()]
     return found
 
 

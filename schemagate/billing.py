@@ -119,6 +119,6 @@ def billing_rules(time_order: str = "string", month_check: str = "range") -> tup
         "required": present("billing_account_id"),
         "numeric_cost": numeric_text("cost"),
         "time_order": ordered("usage_start_time", "usage_end_time", compare=time_order),
-        "month_range": within_months("invoice.month", FIRST_MONTH, LAST_MONTH, check=month_check),
+        "month_range": within_months(("invoice", "month"), FIRST_MONTH, LAST_MONTH, check=month_check),
     }
     return tuple(Rule(name, RULE_MESSAGES[name], check) for name, check in checks.items())

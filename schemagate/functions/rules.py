@@ -12,6 +12,10 @@ from schemagate.functions import sql
 PLAIN_NUMBER = r"^-?[0-9]+(\.[0-9]+)?$"
 
 
+Field = str | tuple[str, ...]
+"""A column, or the path to a struct's member."""
+
+
 class Rule(NamedTuple):
     name: str
     message: str
@@ -19,16 +23,16 @@ class Rule(NamedTuple):
     violation: str
 
 
-def present(field: str) -> str:
+def present(field: Field) -> str:
     return f"{sql.name(field)} IS NULL"
 
 
-def numeric_text(field: str) -> str:
+def numeric_text(field: Field) -> str:
     column = sql.name(field)
     return f"{column} IS NOT NULL AND NOT {column} RLIKE {sql.text(PLAIN_NUMBER)}"
 
 
-def ordered(first: str, last: str, compare: str = "string") -> str:
+def ordered(first: Field, last: Field, compare: str = "string") -> str:
     """``first`` must not come after ``last``; rows missing either are left alone."""
     if compare not in ("string", "timestamp"):
         raise ValueError(f"compare must be 'string' or 'timestamp', not {compare!r}")
@@ -38,7 +42,7 @@ def ordered(first: str, last: str, compare: str = "string") -> str:
     return f"coalesce({a} > {b}, false)"
 
 
-def within_months(field: str, low: int, high: int, check: str = "range") -> str:
+def within_months(field: Field, low: int, high: int, check: str = "range") -> str:
     """A ``yyyymm`` number must lie in a range, and for ``calendar`` be a real month."""
     if check not in ("range", "calendar"):
         raise ValueError(f"check must be 'range' or 'calendar', not {check!r}")

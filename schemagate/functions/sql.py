@@ -9,14 +9,17 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 
-def name(column: str) -> str:
-    """A column or ``struct.member``, quoted."""
-    return ".".join(f"`{part}`" for part in column.split("."))
+def name(column: str | tuple[str, ...]) -> str:
+    """A column, or the path to a struct's member, quoted; dots in names stay part of them."""
+    parts = (column,) if isinstance(column, str) else column
+    return ".".join("`" + part.replace("`", "``") + "`" for part in parts)
 
 
 def text(value: str) -> str:
-    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"'{escaped}'"
+    """A text as a constant that reads the same under every parser setting."""
+    if "\\" in value or "'" in value:
+        return f"decode(unhex('{value.encode().hex()}'), 'UTF-8')"
+    return f"'{value}'"
 
 
 def every(tests: Iterable[str]) -> str:

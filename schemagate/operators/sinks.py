@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from schemagate.contract import CORRUPT, FAILED, ROW_ID
+from schemagate.functions.sql import name
+from schemagate.storage import delete_path, scratch_path
 
 
 def load_valid(valid: DataFrame, table: str, *, path: str | None = None) -> int:
@@ -22,18 +26,39 @@ def quarantine(invalid: DataFrame, table: str, *, path: str | None = None) -> in
     """Replace ``table`` with the rejects, raw text or reason included.
 
     Rejects are mostly few per task, so they are gathered into files of a fair size; where
-    a task holds very many they are spread out.  Finding that there are none takes a pass
-    over the input; ``load_split`` spares it.
+    a task holds very many they are spread out.  The input is parsed once: rejects go to the
+    shared folder first, where it shows whether there are any.
     """
+    spark = invalid.sparkSession
     rows = invalid.drop(FAILED, ROW_ID)
-    return 0 if rows.isEmpty() else _replace(rows.hint("rebalance"), table, path)
+    kept = scratch_path(spark, "rejects")
+    try:
+        rows.hint("rebalance").write.parquet(kept)
+        stored = spark.read.schema(rows.schema).parquet(kept)
+        return 0 if stored.isEmpty() else _replace(stored, table, path)
+    finally:
+        delete_path(spark, kept)
 
 
 def lay_table(spark: SparkSession, schema: StructType, table: str, path: str) -> int:
-    """Replace ``table`` with one over the Parquet files at ``path``; gives its row count."""
-    spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
-    spark.catalog.createTable(table, path=path, source="parquet", schema=schema)
-    return spark.table(table).count()
+    """Replace ``table`` with one over the Parquet files at ``path``; gives its row count.
+
+    The new table is made under another name first, so a failure leaves the old one alone.
+    """
+    fresh = f"{table}_{uuid.uuid4().hex[:8]}"
+    spark.catalog.createTable(fresh, path=path, source="parquet", schema=schema)
+    try:
+        rows = spark.table(fresh).count()
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": table})
+        spark.sql(f"ALTER TABLE {_quoted(fresh)} RENAME TO {_quoted(table)}")
+    except BaseException:
+        spark.sql("DROP TABLE IF EXISTS IDENTIFIER(:t)", args={"t": fresh})
+        raise
+    return rows
+
+
+def _quoted(table: str) -> str:
+    return name(tuple(table.split(".")))
 
 
 def write_report(report: DataFrame, path: str) -> None:

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from schemagate.contract import FAILED
 from schemagate.operators.marking import invalid_rows, valid_rows
 from schemagate.operators.sinks import lay_table, load_valid, quarantine
-from schemagate.storage import delete_path, path_exists, scratch_path
+from schemagate.storage import delete_path, path_exists, scratch_path, setting
 
 
 class Loaded(NamedTuple):
@@ -25,16 +25,25 @@ def staged(marked: DataFrame, folder: str | None = None) -> Iterator[DataFrame]:
 
     Parsing text is the costly step, so it runs once here.  What follows reads columns
     from files: it skips the side it does not want, counts from file footers, and does
-    not depend on the executors that parsed the text.  The files are removed at the end,
-    unless they go to a ``folder`` of the caller's, which must be new.
+    not depend on the executors that parsed the text.  Both sides are written as they come,
+    without sorting rows by verdict.  The files are removed at the end, unless they go to a
+    ``folder`` of the caller's, which must be new and is removed only if writing it fails.
     """
-    path = folder or scratch_path(marked.sparkSession, "stage")
+    spark = marked.sparkSession
+    path = folder or scratch_path(spark, "stage")
+    if folder and path_exists(spark, folder):
+        raise ValueError(f"{folder} already exists")
     try:
-        marked.write.partitionBy(FAILED).parquet(path)
-        yield marked.sparkSession.read.schema(marked.schema).parquet(path)
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "2"):
+            marked.write.partitionBy(FAILED).parquet(path)
+    except BaseException:
+        delete_path(spark, path)
+        raise
+    try:
+        yield spark.read.schema(marked.schema).parquet(path)
     finally:
         if not folder:
-            delete_path(marked.sparkSession, path)
+            delete_path(spark, path)
 
 
 def load_split(

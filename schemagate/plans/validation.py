@@ -17,7 +17,6 @@ from schemagate.functions.rules import Rule
 from schemagate.operators.marking import invalid_rows, mark, mark_corrupt, valid_rows
 from schemagate.operators.profile import report
 from schemagate.sources.csv_files import read_csv
-from schemagate.sources.documents import DOCUMENT_LIMIT
 from schemagate.sources.json_files import read_json
 
 # Fixed value: how the CSV report names its method.
@@ -51,6 +50,7 @@ def validate_csv(
     strict_header: bool = False,
     multi_line: bool = False,
     escape: str = '"',
+    row_id: bool = False,
 ) -> Validation:
     landed = read_csv(
         spark,
@@ -63,7 +63,7 @@ def validate_csv(
         escape=escape,
     )
     marked = mark(
-        landed, contract, carry=carry, cast_policy=cast_policy, message_style=message_style
+        landed, contract, carry=carry, cast_policy=cast_policy, message_style=message_style, row_id=row_id
     )
     return Validation(
         marked,
@@ -79,18 +79,17 @@ def validate_json(
     contract: Contract = BILLING,
     *,
     layout: str = "lines",
-    document_limit: int = DOCUMENT_LIMIT,
     lines_path: str | None = None,
     rules: tuple[Rule, ...] | None = None,
     encoding: str = "compat",
+    shown: str | None = None,
 ) -> Validation:
-    """``rules`` are weighed in the report; pass ``()`` to leave the quality profile out."""
+    """``shown`` is the path that the report names.  ``rules`` are weighed in the report; pass ``()`` to leave the quality profile out."""
     parsed = read_json(
         spark,
         path,
         contract,
         layout=layout,
-        document_limit=document_limit,
         lines_path=lines_path,
     )
     marked = mark_corrupt(parsed)
@@ -101,7 +100,7 @@ def validate_json(
         partial(
             report,
             contract=contract,
-            file_path=_shown(path),
+            file_path=shown or _shown(path),
             rules=billing_rules() if rules is None else rules,
             patterns=reject_patterns(CORRUPT, encoding),
         ),

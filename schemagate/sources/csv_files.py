@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT, Contract
+from schemagate.functions import sql
 
 
 def read_csv(
@@ -25,36 +26,33 @@ def read_csv(
     Columns bind by position; ``strict_header`` fails the read on other names.
     ``ragged="permissive"`` pads short rows with nulls and cuts long ones;
     ``"reject"`` marks both in a ``_corrupt_record`` column holding the line.
+    The first line of a file with text is its header, whatever it says, and no other is.
     ``escape`` is the file's dialect: ``"`` for doubled quotes, ``\\`` for backslashes.
     ``multi_line`` admits line breaks inside quotes, at the price of one task per file.
     """
+    if ragged not in ("permissive", "reject"):
+        raise ValueError(f"ragged must be 'permissive' or 'reject', not {ragged!r}")
     schema = contract.flat(carry)
-    dialect = {"mode": "PERMISSIVE", "escape": escape}
-    if ragged == "permissive":
-        return (
-            spark.read.schema(schema)
-            .options(header=True, enforceSchema=not strict_header, multiLine=multi_line, **dialect)
-            .csv(path)
+    if ragged == "reject":
+        schema = schema.add(CORRUPT, "string")
+    rows = (
+        spark.read.schema(schema)
+        .options(
+            header=True,
+            enforceSchema=not strict_header,
+            multiLine=multi_line,
+            mode="PERMISSIVE",
+            escape=escape,
+            columnNameOfCorruptRecord=CORRUPT,
         )
-    if ragged != "reject":
-        raise ValueError(f"ragged must be 'permissive' or 'reject', not {ragged!r}")
-    if strict_header or multi_line:
-        raise ValueError("ragged='reject' works line by line, with columns bound by position")
-
-    # A corrupt column on the CSV scan itself would let ragged rows pass whenever a
-    # query reads few columns, so whole lines are read and parsed under fixed options.
-    # The parse sits in a generator: a later filter cannot be pushed below it, which
-    # would parse each line once for the filter and again for the output.
-    options = {**dialect, "columnNameOfCorruptRecord": CORRUPT}
-    names = schema.names
-    columns = ", ".join(f"`{name}` STRING" for name in (*names, CORRUPT))
-    parsed = F.from_csv("value", columns, options)
-    lines = spark.read.text(path).where(F.col("value").rlike(r"\S"))
-    rows = lines.select(
-        (F.col("_metadata.file_block_start") == 0).alias("_opens_file"),
-        F.inline(F.array(parsed)),
+        .csv(path)
     )
-    is_header = F.col("_opens_file")
-    for name in names:
-        is_header = is_header & F.col(name).eqNullSafe(name)
-    return rows.where(~is_header).select(*names, CORRUPT)
+    if ragged == "permissive" and not strict_header:
+        return rows
+    # Left to itself the scan parses, and checks in the header, only columns that are asked
+    # for.  A generator takes in all of them, and no filter is pushed below it.
+    return rows.select(F.inline(F.array(F.struct(*map(sql_column, rows.columns)))))
+
+
+def sql_column(column: str) -> Column:
+    return F.col(sql.name(column))

@@ -2,9 +2,10 @@
 
 Bracket depth and string state run through a text from its start, which no column
 expression can follow at a fair price; these helpers do it over Arrow batches.  Text
-comes as fragments that were split at ``}``, so most of the work is done by ``split``
-and ``count`` on whole strings.  What is cut off is the record's own text, byte for byte;
-each character stands for one byte, as all marks that matter here are ASCII.
+comes as fragments that were split at commas, put together again here.  A backslash takes
+the character behind it along, in strings and outside, so what one character means never
+depends on where text was split.  Each character stands for one byte, as all marks that
+matter here are ASCII; what is cut off is the record's own text, byte for byte.
 """
 
 from __future__ import annotations
@@ -29,7 +30,12 @@ BLANKS = " \t\r\n"
 BYTE_ORDER_MARK = "\xef\xbb\xbf"
 
 _ESCAPED = re.compile(r"\\.", re.DOTALL)
-_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|[{}\[\],]', re.DOTALL)
+_NEXT = re.compile(r'(?:[^"{}\[\]\\]++|\\.|"(?:[^"\\]++|\\.)*+")*+([{}\[\]])', re.DOTALL)
+_STRING_END = re.compile(r'(?:[^"\\]++|\\.)*+"', re.DOTALL)
+_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|\\.|[{}\[\],]', re.DOTALL)
+
+# How deep a text is where its records end.
+IN_ARRAY, BARE = 1, 0
 
 Cut = tuple[str, bool]
 """A text, and whether a record ends with it."""
@@ -44,26 +50,31 @@ def _net(text: str) -> int:
     return text.count("{") + text.count("[") - text.count("}") - text.count("]")
 
 
-def cut(texts: Iterable[str], in_string: int = 0, depth: int = 0) -> Iterator[Cut]:
+def closing_depth(text: str) -> int:
+    """By a document's first character: an array's records end within it."""
+    return IN_ARRAY if text.removeprefix(BYTE_ORDER_MARK).lstrip(BLANKS).startswith("[") else BARE
+
+
+def cut(texts: Iterable[str], closing: int, in_string: int = 0, depth: int = 0) -> Iterator[Cut]:
     """Cuts the text that ``texts`` make up in a row; what is left over comes last."""
     held: list[str] = []
-    rest = ""
     for text in texts:
-        fragments = text.split("}")
-        fragments[0] = rest + fragments[0]
-        rest = fragments.pop()
-        for fragment in fragments:
-            held.append(fragment)
-            parts = _plain_parts(fragment)
-            depth += _net("".join(parts[in_string::2]))
-            in_string ^= (len(parts) - 1) & 1
-            if not in_string:
-                depth -= 1
-                if depth <= 1:
-                    yield "}".join(held) + "}", True
-                    held = []
-    if held or rest:
-        yield "}".join([*held, rest]), False
+        start = at = 0
+        if in_string:
+            found = _STRING_END.match(text)
+            at = found.end() if found else len(text)
+            in_string = int(not found)
+        while found := _NEXT.match(text, at):
+            at = found.end()
+            depth += 1 if found[1] in "{[" else -1
+            if found[1] == "}" and depth <= closing:
+                yield "".join([*held, text[start:at]]), True
+                held, start = [], at
+        in_string ^= (len(_plain_parts(text[at:])) - 1) & 1
+        if start < len(text):
+            held.append(text[start:])
+    if held:
+        yield "".join(held), False
 
 
 def elements(text: str) -> list[str]:
@@ -86,7 +97,7 @@ def elements(text: str) -> list[str]:
 
 
 def line(text: str) -> str:
-    """An element of an array as a line; what is no object is set apart."""
+    """A record as a line; what is no object is set apart."""
     return text if text.startswith("{") and RECORD_END not in text else apart(text)
 
 
@@ -94,15 +105,14 @@ def apart(text: str) -> str:
     return SET_APART + text.replace(RECORD_END, SET_APART)
 
 
-def lines(text: str, opens: bool, ends: bool) -> list[str]:
-    """Lines for a cut text of an array document.
-
-    ``opens`` and ``ends`` tell that it is the first or last of its document.
-    """
-    body = text.strip(BLANKS)
-    if body == "" or (ends and not opens and body == "]"):
+def lines(text: str, closing: int, opens: bool, ends: bool) -> list[str]:
+    """Lines for a cut text; ``opens`` and ``ends``: it is the first or last of its document."""
+    body = (text.removeprefix(BYTE_ORDER_MARK) if opens else text).strip(BLANKS)
+    if body == "" or (closing == IN_ARRAY and ends and not opens and body == "]"):
         return []
-    if not body.startswith("[" if opens else ","):
+    if closing == BARE and opens:
+        return [line(body)]
+    if closing == BARE or not body.startswith("[" if opens else ","):
         return [apart(body)]
     body = body[1:].lstrip(BLANKS)
     if body.startswith("{") and not ends:
@@ -110,102 +120,58 @@ def lines(text: str, opens: bool, ends: bool) -> list[str]:
     return [line(element) for element in elements(body)]
 
 
-def document_lines(text: str) -> list[str]:
-    """All lines of a document held whole: of an array, or a bare object."""
-    body = text.removeprefix(BYTE_ORDER_MARK).strip(BLANKS)
-    cuts = list(cut([body]))
-    if not body.startswith("["):
-        return [line(body)] if len(cuts) == 1 else [apart(body)]
-    last = len(cuts) - 1
-    return [x for i, (piece, _) in enumerate(cuts) for x in lines(piece, i == 0, i == last)]
-
-
-LINES = "value string"
-
-
-def _lines_batch(values: list[str]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(values, pa.string())], names=["value"])
-
-
-def cut_documents(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Whole documents (``value``) to lines."""
-    for batch in batches:
-        for text in batch.column("value"):
-            yield _lines_batch(document_lines(text.as_py()))
-
-
-def cut_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Cut texts (``text``, ``opens``, ``ends``) to lines, or to one if ``apart``."""
-    for batch in batches:
-        for r in batch.to_pylist():
-            text = r["text"]
-            yield _lines_batch([apart(text)] if r["apart"] else lines(text, r["opens"], r["ends"]))
-
-
-BLOCK_STATE = "file long, size long, block long, quotes long, net_out long, net_in long, bytes long"
+Key = tuple[int, int, int, bool]
+"""File, its size, where a block starts in it, and whether the block is the whole file."""
+KEY = ["file", "size", "block", "alone"]
+MIXED = "value string, kind string"
+LINE, STATE, EDGE = "line", "state", "edge"
+STATES = "file long, size long, block long, quotes long, net_out long, net_in long, closing int"
 CHUNKS = "file long, size long, block long, chunk long, text string"
 EDGES = (
-    "file long, size long, block long, piece long, text string,"
+    "file long, size long, block long, piece long, text string, closing int,"
     " closes boolean, opens boolean, ends boolean"
 )
-MIXED = "value string, edge boolean"
-
-Block = tuple[int, int, int]
 
 
 def _names(schema: str) -> list[str]:
     return [column.split()[0] for column in schema.split(",")]
 
 
-def _rows_batch(schema: str, *rows: tuple) -> pa.RecordBatch:
+def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(dict(zip(_names(schema), zip(*rows))))
 
 
-def _block_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Block, str]]:
-    """Runs of fragments of one block, joined again; in row order, some to a block."""
+def _mixed(rows: Iterable[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[str, str]] = []
+    for row in rows:
+        held.append(row)
+        if len(held) >= 2000:
+            yield _batch(MIXED, held)
+            held = []
+    if held:
+        yield _batch(MIXED, held)
+
+
+def _block_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[Key, str]]:
+    """Runs of fragments of one block, joined again; in row order, some to a block.
+
+    Each text ends with the comma behind its last fragment, the last of a file too.
+    """
     for batch in batches:
-        keys = [batch.column(c).to_numpy() for c in ("file", "size", "block")]
+        keys = [batch.column(c).to_numpy(zero_copy_only=False) for c in KEY]
         changes = np.any([k[1:] != k[:-1] for k in keys], axis=0)
         starts = [0, *(np.flatnonzero(changes) + 1), batch.num_rows]
         for start, stop in zip(starts, starts[1:]):
             values = batch.column("value").slice(start, stop - start)
-            joined = pc.binary_join(pa.ListArray.from_arrays([0, stop - start], values), "}")
-            yield tuple(int(k[start]) for k in keys), joined[0].as_py() + "}"
+            joined = pc.binary_join(pa.ListArray.from_arrays([0, stop - start], values), ",")
+            yield tuple(k[start].item() for k in keys), joined[0].as_py() + ","
 
 
-def pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments to fewer, larger rows, numbered within their block."""
-    for block, run in groupby(_block_texts(batches), key=itemgetter(0)):
-        for chunk, (_, text) in enumerate(run):
-            yield _rows_batch(CHUNKS, (*block, chunk, text))
-
+def _unended(texts: Iterable[str]) -> Iterator[str]:
+    """All of the texts but for the very last character, the comma that a file did not have.
 
-def measure_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """What each block's text adds up to: quotes, and the change in depth for a block
-    that begins outside (``net_out``) or inside (``net_in``) a string.
+    Where it did have one there, it is dropped too: no element stands behind it.
     """
-    for block, run in groupby(_block_texts(batches), key=itemgetter(0)):
-        quotes = size = 0
-        nets = [0, 0]
-        for _, text in run:
-            parts = _plain_parts(text)
-            odd = quotes & 1
-            nets[odd] += _net("".join(parts[0::2]))
-            nets[1 - odd] += _net("".join(parts[1::2]))
-            quotes += len(parts) - 1
-            size += len(text)
-        yield _rows_batch(BLOCK_STATE, (*block, quotes, *nets, size))
-
-
-def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str]]:
-    named = ("file", "size", "block", "in_string", "depth", "first", "last", "open_end")
-    for batch in batches:
-        columns = [batch.column(c).to_pylist() for c in named]
-        yield from zip(zip(*columns), batch.column("text").to_pylist())
-
-
-def _unended(texts: Iterable[str]) -> Iterator[str]:
-    """All of the texts but for the very last character."""
     held = None
     for text in texts:
         if held is not None:
@@ -214,39 +180,91 @@ def _unended(texts: Iterable[str]) -> Iterator[str]:
     yield held[:-1]
 
 
-def _block_cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
-    """One tuple of EDGES per cut, for blocks whose chunks come in order."""
-    for key, run in groupby(_chunk_rows(batches), key=itemgetter(0)):
-        *block, in_string, depth, first, last, open_end = key
-        texts = (text for _, text in run)
-        cuts = cut(_unended(texts) if last and open_end else texts, in_string, depth)
-        held = None
-        for piece, (text, closes) in enumerate(cuts):
-            if held is not None:
-                yield held
-            held = (*block, piece, text, closes, first and piece == 0, False)
+def _last_marked(cuts: Iterable[Cut]) -> Iterator[tuple[str, bool, bool]]:
+    held = None
+    for text, closes in cuts:
         if held is not None:
-            yield (*held[:-1], last)
+            yield (*held, False)
+        held = (text, closes)
+    if held is not None:
+        yield (*held, True)
+
+
+def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fragments (``KEY``, ``value``): files of one block to lines, other blocks to their state."""
+    return _mixed(_taken_apart(batches))
 
 
-def _within(row: tuple) -> bool:
-    _, _, _, piece, _, closes, opens, ends = row
-    return (piece > 0 or opens) and (closes or ends)
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+    for (file, size, block, alone), run in groupby(_block_texts(batches), key=itemgetter(0)):
+        texts = (text for _, text in run)
+        first = next(texts)
+        closing = closing_depth(first) if block == 0 else None
+        texts = _chained(first, texts)
+        if alone:
+            for piece, (text, _, ends) in enumerate(_last_marked(cut(_unended(texts), closing))):
+                yield from ((x, LINE) for x in lines(text, closing, piece == 0, ends))
+        else:
+            yield json.dumps(dict(zip(_names(STATES), (file, size, block, *_state(texts), closing)))), STATE
+
+
+def _chained(first: str, rest: Iterator[str]) -> Iterator[str]:
+    yield first
+    yield from rest
+
+
+def _state(texts: Iterable[str]) -> tuple[int, int, int]:
+    """Quotes, and the change in depth for a block that begins outside or inside a string."""
+    quotes, nets = 0, [0, 0]
+    for text in texts:
+        parts = _plain_parts(text)
+        odd = quotes & 1
+        nets[odd] += _net("".join(parts[0::2]))
+        nets[1 - odd] += _net("".join(parts[1::2]))
+        quotes += len(parts) - 1
+    return quotes, *nets
+
+
+def pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Fragments to fewer, larger rows, numbered within their block."""
+    for (*block, _), run in groupby(_block_texts(batches), key=itemgetter(0)):
+        for chunk, (_, text) in enumerate(run):
+            yield _batch(CHUNKS, [(*block, chunk, text)])
 
 
 def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Lines for the records that lie within one block; the head and tail that a block has
-    of records reaching across come as JSON text of EDGES, with ``edge`` set.
+    """Lines for the records that lie within one block, whose chunks come in order.
+
+    The head and tail that a block has of records reaching across come as JSON of ``EDGES``.
     """
-    held: list[tuple[str, bool]] = []
-    names = _names(EDGES)
-    for row in _block_cuts(batches):
-        if _within(row):
-            held += [(x, False) for x in lines(row[4], row[6], row[7])]
-        else:
-            held.append((json.dumps(dict(zip(names, row))), True))
-        if len(held) >= 2000:
-            yield _rows_batch(MIXED, *held)
-            held = []
-    if held:
-        yield _rows_batch(MIXED, *held)
+    return _mixed(_cut_blocks(batches))
+
+
+def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+    for key, run in groupby(_chunk_rows(batches), key=itemgetter(0)):
+        *block, in_string, depth, closing, first, last = key
+        texts = (text for _, text in run)
+        cuts = cut(_unended(texts) if last else texts, closing, in_string, depth)
+        for piece, (text, closes, at_end) in enumerate(_last_marked(cuts)):
+            opens, ends = first and piece == 0, last and at_end
+            if (piece > 0 or opens) and (closes or ends):
+                yield from ((x, LINE) for x in lines(text, closing, opens, ends))
+            else:
+                yield json.dumps(dict(zip(_names(EDGES), (*block, piece, text, closing, closes, opens, ends)))), EDGE
+
+
+def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str]]:
+    named = ("file", "size", "block", "in_string", "depth", "closing", "first", "last")
+    for batch in batches:
+        columns = [batch.column(c).to_pylist() for c in named]
+        yield from zip(zip(*columns), batch.column("text").to_pylist())
+
+
+def cut_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts put together from edges (``text``, ``closing``, ``opens``, ``ends``) to lines."""
+    return _mixed(
+        (x, LINE)
+        for batch in batches
+        for r in batch.to_pylist()
+        for x in lines(r["text"], r["closing"], r["opens"], r["ends"])
+    )

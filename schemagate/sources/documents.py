@@ -1,43 +1,32 @@
 """Whole-document JSON: one object, or one array of records, per file.
 
-The documents are turned into lines, one record each, with its text unchanged.
-
-Files of ordinary size are read whole, many to a task, without a shuffle.  Larger
-files, of which one may be a big part of the data, are read in blocks by many tasks:
-one pass finds how each block begins, a second cuts it into records, and only the text
-around block edges is put together across tasks.  File sizes are tested while listing,
-so neither way opens the other's files.
+The documents are turned into lines, one record each, with its text unchanged.  All files
+are read in the blocks that Spark splits them into.  A file of a single block is cut where
+it is read.  For others that pass tells how each block begins, a second one cuts them into
+records, and only the text around block edges is put together across tasks.  The rules are
+the same, so rows do not depend on file size, compression or split size.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
 from pyspark.sql import functions as F
 
 from schemagate.sources import cutting
 from schemagate.sources.cutting import (
-    BLOCK_STATE,
-    CHUNKS,
-    EDGES,
-    LINES,
-    MIXED,
-    RECORD_END,
-    cut_blocks,
-    cut_documents,
-    cut_joined,
-    measure_blocks,
-    pack_blocks,
+    CHUNKS, EDGE, EDGES, LINE, MIXED, RECORD_END, STATE, STATES, cut_blocks, cut_joined, pack_blocks, take_apart,
 )
-from schemagate.storage import delete_path, path_exists, scratch_path
+from schemagate.storage import delete_path, path_exists, scratch_path, setting
 
-# Held as one string per document, a few documents to a batch.
-DOCUMENT_LIMIT = 32 * 1024 * 1024
+# Largest record put together across blocks, in bytes, below what a row can hold.
+RECORD_LIMIT = 1 << 30
 
-# Longest text put together across blocks, in bytes, well below what a row can hold.  Text
-# that runs on without end, as after a stray quote, comes out in parts, each of them a
-# reject.
-RECORD_LIMIT = 512 * 1024 * 1024
+# States of so many blocks are broadcast, a few MB; of more, text is shuffled to them.
+BROADCAST_STATES = 100_000
 
 # Compressed text files cannot be split for reading, so none may grow without bound.
 LINES_PER_FILE = 500_000
@@ -48,152 +37,137 @@ cloudpickle.register_pickle_by_value(cutting)
 _FILE = ["file", "size"]
 _BLOCK = [*_FILE, "block"]
 
-# Of a compressed file, whose size tells nothing of its text.
-UNKNOWN_SIZE = -1
-
-# File endings that Spark decompresses, and the length of a byte order mark,
-# which a scan by lines leaves out.
-_COMPRESSED = r"\.(gz|bz2|deflate|lz4|snappy|zst)$"
-_MARK_BYTES = 3
 
-
-def _as_characters(value: str) -> Column:
-    """One character per byte, so that bytes that are no UTF-8 get through to their record."""
-    return F.decode(F.col(value).cast("binary"), "ISO-8859-1").alias(value)
-
-
-def _as_bytes(value: str) -> Column:
-    return F.encode(value, "ISO-8859-1").cast("string").alias(value)
+@contextmanager
+def taken_apart(spark: SparkSession, path: str | list[str]) -> Iterator[str]:
+    """A folder with the documents' lines, for ``read_json(layout="cut")``; gone afterwards."""
+    target = scratch_path(spark, "records")
+    try:
+        yield documents_to_lines(spark, path, target)
+    finally:
+        delete_path(spark, target)
 
 
-def documents_to_lines(
-    spark: SparkSession,
-    path: str | list[str],
-    target: str | None = None,
-    limit: int = DOCUMENT_LIMIT,
-) -> str:
+def documents_to_lines(spark: SparkSession, path: str | list[str], target: str) -> str:
     """Write the records of all documents as lines that end in ``RECORD_END``.
 
     Text that is no record is a line too, behind a ``SET_APART`` mark that no JSON parser
-    lets pass.  Gives the path written to.
+    lets pass.  A path named twice is read once.  Gives the folder of the lines, which is
+    below ``target``; that is removed if this fails.
     """
-    target = target or scratch_path(spark, "records")
-    done = f"{target}/edge=false"
-    whole = spark.read.text(path, wholetext=True).where(
-        (F.col("_metadata.file_size") <= limit) & F.col("value").rlike(r"\S")
-    )
-    _writer(whole.select(_as_characters("value")).mapInArrow(cut_documents, LINES)).text(done)
+    if path_exists(spark, target):
+        raise ValueError(f"{target} already exists")
+    try:
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "3"):
+            return _write_lines(spark, path, target)
+    except BaseException:
+        delete_path(spark, target)
+        raise
+
+
+def _write_lines(spark: SparkSession, path: str | list[str], target: str) -> str:
+    done, states, edges = (f"{target}/kind={kind}" for kind in (LINE, STATE, EDGE))
+    fragments = _fragments(spark, path)
+    _write(fragments.mapInArrow(take_apart, MIXED), target)
+    if path_exists(spark, states):
+        known = spark.read.text(states, lineSep=RECORD_END).select(
+            F.inline(F.array(F.from_json("value", STATES, {"mode": "FAILFAST"})))
+        )
+        stored = scratch_path(spark, "states")
+        try:
+            _beginnings(known).write.parquet(stored)
+            _write(_placed(fragments, spark.read.parquet(stored)).mapInArrow(cut_blocks, MIXED), target)
+        finally:
+            delete_path(spark, stored)
+        if path_exists(spark, edges):
+            pieces = spark.read.text(edges, lineSep=RECORD_END).select(
+                F.inline(F.array(F.from_json("value", EDGES, {"mode": "FAILFAST"})))
+            )
+            _write(_joined(pieces).mapInArrow(cut_joined, MIXED), target)
+    if not path_exists(spark, done):
+        _writer(spark.createDataFrame([], "value string")).text(done)
+    return done
+
 
-    fragments = (
-        spark.read.option("lineSep", "}").text(path).where(F.col("_metadata.file_size") > limit)
+def _fragments(spark: SparkSession, path: str | list[str]) -> DataFrame:
+    """Text up to each comma, with its file, block, and whether the block is the whole file."""
+    paths = list(dict.fromkeys([path] if isinstance(path, str) else path))
+    meta = F.col("_metadata")
+    return spark.read.option("lineSep", ",").text(paths).select(
+        F.xxhash64(meta["file_path"]).alias("file"),
+        meta["file_size"].alias("size"),
+        meta["file_block_start"].alias("block"),
+        ((meta["file_block_start"] == 0) & (meta["file_block_length"] >= meta["file_size"])).alias("alone"),
+        _as_characters("value"),
     )
-    if not fragments.isEmpty():
-        _large_to_lines(fragments, target, done)
-    return done
+
+
+def _as_characters(value: str) -> Column:
+    """One character per byte, so that bytes that are no UTF-8 get through to their record."""
+    return F.decode(F.col(value).cast("binary"), "ISO-8859-1").alias(value)
 
 
 def _writer(lines: DataFrame) -> DataFrameWriter:
-    rest = [c for c in lines.columns if c != "value"]
-    return lines.select(_as_bytes("value"), *rest).write.options(
-        lineSep=RECORD_END, compression="snappy", maxRecordsPerFile=LINES_PER_FILE
-    )
+    return lines.write.options(lineSep=RECORD_END, compression="snappy", maxRecordsPerFile=LINES_PER_FILE)
 
 
-def _large_to_lines(fragments: DataFrame, target: str, done: str) -> None:
-    spark = fragments.sparkSession
-    fragments = fragments.select(
-        F.xxhash64("_metadata.file_path").alias("file"),
-        F.when(F.col("_metadata.file_name").rlike(_COMPRESSED), UNKNOWN_SIZE)
-        .otherwise(F.col("_metadata.file_size"))
-        .alias("size"),
-        F.col("_metadata.file_block_start").alias("block"),
-        _as_characters("value"),
-    )
-    states, edges = scratch_path(spark, "blocks"), f"{target}/edge=true"
-    try:
-        _beginnings(fragments).write.parquet(states)
-        stored = spark.read.parquet(states)
-        if stored.count() != stored.dropDuplicates(_BLOCK).count():
-            raise ValueError("a document is named more than once in the path")
-        # Stored, their size is known: while small they are broadcast and the text stays
-        # where it was read.  Otherwise it is shuffled by block, hence the sort.
-        placed = (
-            fragments.mapInArrow(pack_blocks, CHUNKS)
-            .join(stored, _BLOCK)
-            .sortWithinPartitions(*_BLOCK, "chunk")
-        )
-        cuts = placed.mapInArrow(cut_blocks, MIXED)
-        _writer(cuts).mode("append").partitionBy("edge").text(target)
-        if path_exists(spark, edges):
-            pieces = spark.read.text(edges, lineSep=RECORD_END).select(
-                F.inline(F.array(F.from_json("value", EDGES, {"mode": "FAILFAST"})))
-            )
-            _writer(_joined(pieces, RECORD_LIMIT).mapInArrow(cut_joined, LINES)).mode("append").text(done)
-    finally:
-        delete_path(spark, states)
-        delete_path(spark, edges)
+def _write(mixed: DataFrame, target: str) -> None:
+    value = F.encode("value", "ISO-8859-1").cast("string").alias("value")
+    _writer(mixed.select(value, "kind")).mode("append").partitionBy("kind").text(target)
 
 
-def _beginnings(fragments: DataFrame) -> DataFrame:
+def _beginnings(states: DataFrame) -> DataFrame:
     """How each block begins, which depends on all blocks before it: one small row each."""
     in_order = Window.partitionBy(*_FILE).orderBy("block")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy(*_FILE)
+    copies = F.count(F.lit(1)).over(Window.partitionBy(*_BLOCK))
+    once = F.when(copies > 1, F.raise_error(F.lit("a document is named by more than one path"))).otherwise(F.col("block"))
     net = F.when(F.col("in_string") == 0, F.col("net_out")).otherwise(F.col("net_in"))
-    # With no "}" after the last fragment, one byte too many has been counted.  Where the
-    # size is not known, a "}" that does not close the document is taken to be such.
-    surplus = F.sum("bytes").over(whole) - F.col("size")
-    open_end = (
-        F.when(F.col("size") == UNKNOWN_SIZE, F.sum("net").over(whole) != 0)
-        .otherwise(surplus.isin(1, 1 - _MARK_BYTES))
-    )
     return (
-        fragments.mapInArrow(measure_blocks, BLOCK_STATE)
+        states.withColumn("block", once.cast("long"))
         .withColumn("in_string", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
         .withColumn("net", net)
         .select(
             *_BLOCK,
             "in_string",
             F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("depth"),
+            F.first("closing").over(in_order).alias("closing"),
             F.lag("block").over(in_order).isNull().alias("first"),
             F.lead("block").over(in_order).isNull().alias("last"),
-            open_end.alias("open_end"),
         )
     )
 
 
-def _joined(edges: DataFrame, limit: int) -> DataFrame:
+def _placed(fragments: DataFrame, states: DataFrame) -> DataFrame:
+    """The blocks that have a state, with it; files smaller than any of these are not opened."""
+    found = states.agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).first()
+    chunks = fragments.where((F.col("size") >= found.least) & ~F.col("alone")).mapInArrow(pack_blocks, CHUNKS)
+    if found.n <= BROADCAST_STATES:
+        return chunks.join(F.broadcast(states), _BLOCK)
+    return chunks.join(states.hint("shuffle_merge"), _BLOCK).sortWithinPartitions(*_BLOCK, "chunk")
+
+
+def _joined(edges: DataFrame) -> DataFrame:
     """Records that reach across blocks, put together from their pieces.
 
     Which pieces belong together is found without their text, at two small rows a block.
     """
     piece = [*_BLOCK, "piece"]
-    earlier = (
-        Window.partitionBy(*_FILE)
-        .orderBy("block", "piece")
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    ended_before = F.sum(F.col("closes").cast("int")).over(earlier)
-    record = Window.partitionBy(*_FILE, "joint")
-    part = F.row_number().over(record.orderBy("block", "piece"))
+    earlier = Window.partitionBy(*_FILE).orderBy("block", "piece").rowsBetween(Window.unboundedPreceding, -1)
+    size = F.sum("chars").over(Window.partitionBy(*_FILE, "joint"))
+    too_large = F.raise_error(F.concat(F.lit("a record or text without end is too large, in bytes: "), size.cast("string")))
     joints = (
         edges.select(*piece, "closes", F.length("text").alias("chars"))
-        .withColumn("joint", F.coalesce(ended_before, F.lit(0)))
-        .withColumn("apart", F.sum("chars").over(record) > limit)
-        .select(*piece, "joint", "apart", F.when(F.col("apart"), part).otherwise(0).alias("part"))
+        .withColumn("joint", F.coalesce(F.sum(F.col("closes").cast("int")).over(earlier), F.lit(0)))
+        .select(*piece, F.when(size > RECORD_LIMIT, too_large.cast("long")).otherwise(F.col("joint")).alias("joint"))
     )
     return (
         edges.join(joints, piece)
-        .groupBy(*_FILE, "joint", "apart", "part")
+        .groupBy(*_FILE, "joint", "closing")
         .agg(
             F.array_sort(F.collect_list(F.struct("block", "piece", "text"))).alias("parts"),
             F.max("opens").alias("opens"),
             F.max("ends").alias("ends"),
         )
-        .select(
-            F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"),
-            "opens",
-            "ends",
-            "apart",
-        )
+        .select(F.array_join(F.transform("parts", lambda p: p["text"]), "").alias("text"), "closing", "opens", "ends")
     )

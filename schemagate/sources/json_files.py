@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT, Contract
 from schemagate.sources.cutting import SET_APART
-from schemagate.sources.documents import DOCUMENT_LIMIT, RECORD_END, documents_to_lines
+from schemagate.sources.documents import RECORD_END, documents_to_lines
+from schemagate.storage import removed_at_exit, scratch_path
 
 
 def read_json(
@@ -16,22 +17,24 @@ def read_json(
     contract: Contract,
     *,
     layout: str = "lines",
-    document_limit: int = DOCUMENT_LIMIT,
     lines_path: str | None = None,
 ) -> DataFrame:
     """Target columns plus ``_corrupt_record``, which holds a bad record's text.
 
     ``lines``: one record per line; blank lines are skipped.
     ``document``: each file holds one object or one array of records, which may be spread
-    over lines.  Their records are written out as lines first, at once, to ``lines_path``
-    or else to the shared folder, so that each document is taken apart only once.  Files
-    beyond ``document_limit`` bytes are read by many tasks.
+    over lines.  Their records are written out as lines first, at once, to ``lines_path``,
+    which is yours, or else to the shared folder until Python ends.
+    ``cut``: the folder that ``taken_apart`` gives, for which it says how long it stays.
     """
     if layout == "lines":
         return _scan(spark, path, contract)
-    if layout != "document":
-        raise ValueError(f"layout must be 'lines' or 'document', not {layout!r}")
-    written = documents_to_lines(spark, path, lines_path, document_limit)
+    if layout not in ("document", "cut"):
+        raise ValueError(f"layout must be 'lines', 'document' or 'cut', not {layout!r}")
+    written = path
+    if layout == "document":
+        target = lines_path or removed_at_exit(spark, scratch_path(spark, "records"))
+        written = documents_to_lines(spark, path, target)
     records = _scan(spark, written, contract, lineSep=RECORD_END)
     corrupt = F.col(CORRUPT)
     restored = F.translate(F.substring(corrupt, 2, 2147483647), SET_APART, RECORD_END)

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -29,11 +32,33 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/schemagate-{label}-{uuid.uuid4().hex}"
 
 
+def removed_at_exit(spark: SparkSession, path: str) -> str:
+    """``path``, to be deleted when Python ends, if the session still runs then."""
+
+    def remove() -> None:
+        if spark.sparkContext._jsc is not None:
+            delete_path(spark, path)
+
+    atexit.register(remove)
+    return path
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     target, files = _located(spark, path)
     files.delete(target, True)
 
 
+@contextmanager
+def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
+    """A session setting for the jobs run inside."""
+    before = spark.conf.getAll.get(key)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target, files = _located(spark, path)
     return files.exists(target)

@@ -25,6 +25,7 @@ SELECT
   CASE WHEN o_orderkey % 83 = 0 THEN 'bad' WHEN o_orderkey % 3 = 1 THEN '0.92' ELSE '1' END AS currency_conversion_rate,
   CAST(o_orderdate AS STRING) AS export_time,
   CASE WHEN o_orderkey % 79 = 0 THEN NULL WHEN o_orderkey % 73 = 0 THEN 'abc' WHEN o_orderkey % 71 = 0 THEN '209913'
+       WHEN o_orderkey % 37 = 0 THEN '202213' WHEN o_orderkey % 41 = 0 THEN '202400'
        ELSE CAST(year(o_orderdate) * 100 + month(o_orderdate) + 2700 AS STRING) END AS invoice_month,
   CASE WHEN o_orderkey % 53 = 0 THEN NULL ELSE 'DIRECT' END AS invoice_publisher_type,
   CASE WHEN o_orderkey % 13 = 0 THEN NULL WHEN o_orderkey % 11 = 0 THEN 'not json' WHEN o_orderkey % 7 = 0 THEN '[]'
@@ -39,14 +40,17 @@ SELECT
   CASE WHEN o_orderkey % 59 = 0 THEN 'x' ELSE '2.5' END AS usage_amount_in_pricing_units,
   'hour' AS usage_pricing_unit,
   'seconds' AS usage_unit,
-  CASE WHEN o_orderkey % 43 = 0 THEN '1990-01-01 00:00:00' ELSE concat(substr(CAST(o_orderdate AS STRING), 1, 10), ' 23:59:59') END AS usage_end_time,
+  CASE WHEN o_orderkey % 43 = 0 THEN '1990-01-01 00:00:00'
+       WHEN o_orderkey % 29 = 0 THEN concat(substr(CAST(o_orderdate AS STRING), 1, 4), '-9-01 00:00:00')
+       ELSE concat(substr(CAST(o_orderdate AS STRING), 1, 10), ' 23:59:59') END AS usage_end_time,
   CAST(o_orderdate AS STRING) AS usage_start_time
 FROM orders
 """
 
 JSON_SQL = """
 SELECT o_orderkey AS rec_id,
-  CASE WHEN o_orderkey % 103 = 0 THEN concat('{"billing_account_id":"BA-', CAST(o_custkey AS STRING))
+  CASE WHEN o_orderkey % 206 = 0 THEN concat('{"cost":"', CAST(o_custkey AS STRING))
+       WHEN o_orderkey % 103 = 0 THEN concat('{"billing_account_id":"BA-', CAST(o_custkey AS STRING), chr(92), 'u00e9')
        WHEN o_orderkey % 107 = 0 THEN '7'
        ELSE concat(
     '{"billing_account_id":', CASE WHEN o_orderkey % 101 = 0 THEN 'null' ELSE concat('"BA-', CAST(o_custkey AS STRING), '"') END,
@@ -115,21 +119,46 @@ def json_lines(spark: SparkSession, sf_dir: str) -> str:
 
 
 def json_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Array files; truncated records are left out, as one spoils its whole document."""
+    """Array files; a truncated record, which would take all behind it along, is a file's only one."""
 
     def write(path: str) -> None:
-        records = _from_orders(spark, sf_dir, JSON_SQL).where("rec_id % 103 != 0")
-        (
-            records.groupBy(F.floor(F.col("rec_id") / DOCUMENT_RECORDS))
+        rows = _from_orders(spark, sf_dir, JSON_SQL)
+        cut_off = F.col("rec_id") % 103 == 0
+        arrays = (
+            rows.where(~cut_off)
+            .groupBy(F.floor(F.col("rec_id") / DOCUMENT_RECORDS))
             .agg(F.concat(F.lit("["), F.array_join(F.collect_list("raw"), ",\n"), F.lit("]")).alias("value"))
             .select("value")
-            .write.option("maxRecordsPerFile", 1)
-            .text(path)
         )
+        alone = rows.where(cut_off).select(F.concat(F.lit("["), "raw").alias("value"))
+        arrays.union(alone).write.option("maxRecordsPerFile", 1).text(path)
 
     return _once(spark, sf_dir, "documents", write)
 
 
+def json_bare_documents(spark: SparkSession, sf_dir: str) -> str:
+    """Each record a file of its own, without an array around it."""
+
+    def write(path: str) -> None:
+        rows = _from_orders(spark, sf_dir, JSON_SQL)
+        rows.select("raw").write.option("maxRecordsPerFile", 1).text(path)
+
+    return _once(spark, sf_dir, "bare", write)
+
+
+def headed_csv(spark: SparkSession, sf_dir: str) -> str:
+    """Files whose header has other names, with the contract's own header as a line among the rows."""
+
+    def write(path: str) -> None:
+        header = ",".join(FLAT)
+        line = F.concat_ws(",", *[_quoted(c) for c in FLAT])
+        lines = F.when(F.col("rec_id") % 1009 == 0, F.array(F.lit(header), line)).otherwise(F.array(line))
+        rows = flat(spark, sf_dir).select(F.explode(lines).alias(header.upper()))
+        rows.write.csv(path, header=True, sep="\u0001", quote="\u0000", escape="\u0000")
+
+    return _once(spark, sf_dir, "headed", write)
+
+
 def _from_orders(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     spark.read.parquet(f"{sf_dir}/orders.parquet").createOrReplaceTempView("schemagate_orders")
     return spark.sql(sql.replace("FROM orders", "FROM schemagate_orders"))

@@ -6,6 +6,7 @@ CSV queries are stated over the text the files were written from; JSON queries o
 
 from __future__ import annotations
 
+from schemagate.billing import FLAT
 from schemagate.suite.fixtures import FLAT_SQL, JSON_SQL
 
 WITH_F = f"WITH f AS ({FLAT_SQL})"
@@ -216,9 +217,12 @@ ORACLES: dict[str, str] = {
       CASE rec_id % 3 WHEN 0 THEN {QUOTED_LINE}
         WHEN 2 THEN {QUOTED_LINE} || ',"' || usage_start_time || '",surplus' END AS corrupt_record
       FROM f""",
+    "csv_ragged_headers": f"""{WITH_F} SELECT {FLAT_COLUMNS}, usage_start_time, CAST(NULL AS VARCHAR) AS corrupt_record FROM f
+      UNION ALL SELECT {", ".join(f"'{c}'" for c in FLAT)}, NULL FROM f WHERE rec_id % 1009 = 0""",
     "json_lines_scan": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",
-    "json_document_scan": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j WHERE n % 103 <> 0",
-    "json_document_blocks": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j WHERE n % 103 <> 0",
+    "json_document_scan": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",
+    "json_document_blocks": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",
+    "json_bare_documents": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",
     "json_string_coercion": f"""{WITH_J} SELECT cost, TRY_CAST(cost AS DOUBLE) AS cost_number
       FROM j WHERE NOT corrupt""",
     "nest_invoice": _nest(
@@ -294,6 +298,7 @@ ORACLES: dict[str, str] = {
       CASE WHEN length(raw) > 200 THEN left(raw, 200) || '...' ELSE raw END AS corrupt_record
       FROM j WHERE corrupt""",
     "load_valid_table": f"{WITH_T} SELECT rec_id, {LEAVES} FROM m WHERE NOT failed",
+    "load_nothing": f"{WITH_T} SELECT rec_id, {LEAVES} FROM m WHERE NOT failed",
     "quarantine_table": f"""{WITH_T} SELECT rec_id, {LEAVES}, {COMPAT_MESSAGE} AS corrupt_record
       FROM m WHERE failed""",
     "load_both_tables": f"{WITH_J} SELECT {JSON_COLUMNS}, corrupt_record FROM j",

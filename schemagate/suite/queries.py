@@ -35,7 +35,7 @@ from schemagate.operators.profile import report
 from schemagate.plans import load_in_place, load_split, validate_csv, validate_json
 from schemagate.plans.validation import CSV_METHOD
 from schemagate.sources import preview, read_csv, read_json
-from schemagate.storage import scratch_path
+from schemagate.storage import scratch_path, setting
 from schemagate.suite import fixtures
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -66,6 +66,8 @@ LEAVES = (
     "usage_end_time",
     "usage_start_time",
 )
+BLOCK_BYTES = "131072"
+"""Split size for documents that are to span blocks."""
 REASON = f"{CORRUPT} AS corrupt_record"
 
 
@@ -125,6 +127,24 @@ def json_scan(layout: str, **options: int) -> Query:
     return query
 
 
+def json_document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The documents in blocks far smaller than one of them."""
+    path = fixtures.json_documents(spark, sf_dir)
+    with setting(spark, "spark.sql.files.maxPartitionBytes", BLOCK_BYTES):
+        rows = read_json(spark, path, BILLING, layout="document")
+    return leaves(rows, REASON)
+
+
+def json_bare_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_json(spark, fixtures.json_bare_documents(spark, sf_dir), BILLING, layout="document")
+    return leaves(rows, REASON)
+
+
+def csv_ragged_headers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = read_csv(spark, fixtures.headed_csv(spark, sf_dir), BILLING, ragged="reject")
+    return rows.selectExpr(*FLAT, REASON)
+
+
 def json_string_coercion(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = valid_rows(marked_json(spark, sf_dir), placeholder=False)
     return rows.selectExpr("cost", "try_cast(cost AS DOUBLE) AS cost_number")
@@ -167,14 +187,9 @@ def cast_member(field: str, member: str) -> Query:
     return query
 
 
-def row_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = mark(landed(spark, sf_dir), BILLING, carry=KEY, row_id=True)
-    return rows.selectExpr(REC_ID, f"{ROW_ID} AS row_id")
-
-
 def row_id_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ids = row_id(spark, sf_dir)
-    return ids.selectExpr("count(1) AS total_rows", "count(DISTINCT row_id) AS distinct_ids")
+    ids = mark(landed(spark, sf_dir), BILLING, carry=KEY, row_id=True)
+    return ids.selectExpr("count(1) AS total_rows", f"count(DISTINCT {ROW_ID}) AS distinct_ids")
 
 
 def validation_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -325,6 +340,15 @@ def load_valid_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaves(spark.table(target["table"]), key=True)
 
 
+def load_nothing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load without rows leaves the table as it was."""
+    target = new_table(spark, "kept")
+    rows = valid_rows(marked_csv(spark, sf_dir))
+    load_valid(rows, **target)
+    load_valid(rows.where("false"), **target)
+    return leaves(spark.table(target["table"]), key=True)
+
+
 def quarantine_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     target = new_table(spark, "invalid")
     quarantine(invalid_rows(marked_csv(spark, sf_dir)), **target)
@@ -368,9 +392,11 @@ QUERIES: dict[str, Query] = {
     "csv_strict_header": csv_strict_header,
     "csv_ragged_permissive": csv_ragged_permissive,
     "csv_ragged_rejected": csv_ragged_rejected,
+    "csv_ragged_headers": csv_ragged_headers,
     "json_lines_scan": json_scan("lines"),
     "json_document_scan": json_scan("document"),
-    "json_document_blocks": json_scan("document", document_limit=0),
+    "json_document_blocks": json_document_blocks,
+    "json_bare_documents": json_bare_documents,
     "json_string_coercion": json_string_coercion,
     "nest_invoice": nest("invoice"),
     "nest_service": nest("service"),
@@ -380,7 +406,6 @@ QUERIES: dict[str, Query] = {
     "cast_decimal": cast_decimal,
     "cast_long": cast_member("invoice", "month"),
     "cast_double": cast_member("usage", "amount_in_pricing_units"),
-    "row_id": row_id,
     "row_id_counts": row_id_counts,
     "validation_flag": validation_flag,
     "corrupt_message": corrupt_message("compat"),
@@ -405,6 +430,7 @@ QUERIES: dict[str, Query] = {
     "csv_invalid_sample": csv_invalid_sample,
     "truncated_text": truncated_text,
     "load_valid_table": load_valid_table,
+    "load_nothing": load_nothing,
     "quarantine_table": quarantine_table,
     "load_both_tables": load_both_tables,
     "load_tables_in_place": load_tables_in_place,

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from schemagate.billing import BILLING, FLAT, billing_rules
-from schemagate.contract import CORRUPT, FAILED, ROW_ID
+from schemagate.contract import CORRUPT, FAILED, ROW_ID, Contract
 from schemagate.functions.messages import reject_patterns, shortened
 from schemagate.functions.nesting import target_column, typed
 from schemagate.operators import invalid_rows, mark, rebuild, rule_violations, summary, valid_rows
@@ -278,3 +278,37 @@ def test_split_is_total_and_disjoint(spark):
     assert good.count() + bad.count() == marked.count()
     assert good.join(bad, "rec_id", "left_semi").count() == 0
     assert good.select("project").count() == good.count()
+
+
+def test_any_first_line_is_the_header_and_no_other(spark, tmp_path):
+    header = [c.upper() for c in FLAT]
+    text = csv_text(flat_row(), flat_row(cost="2"), header=header) + ",".join(FLAT) + "\n" + csv_text(flat_row(), header=header)
+    path = write_file(tmp_path / "in", "a.csv", text)
+    counts = set()
+    for size in ("134217728", "200"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "1")
+        try:
+            rows = read_csv(spark, path, BILLING, ragged="reject")
+            counts.add((rows.count(), rows.where(F.col(CORRUPT).isNull()).select("cost").count()))
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+    assert counts == {(5, 5)}
+
+
+def test_strict_header_fails_whatever_is_read(spark, tmp_path):
+    swapped = ["project" if c == "location" else "location" if c == "project" else c for c in FLAT]
+    path = write_file(tmp_path / "in", "a.csv", csv_text(flat_row(), header=swapped))
+    checked = validate_csv(spark, path, strict_header=True)
+    for read in (checked.report.collect, checked.valid.count, checked.valid.select("cost").collect):
+        with pytest.raises(Exception, match="(?i)header"):
+            read()
+
+
+def test_names_with_dots_and_backticks(spark):
+    odd = Contract({"a.b": "string", "c`d": "long"}, ("a.b", "c`d"), {}, ("a.b",), {"a.b": "it's \\ gone"})
+    landed = spark.createDataFrame([("x", "1"), (None, "2")], odd.flat())
+    rows = mark(landed, odd).collect()
+    assert [tuple(r)[:2] for r in rows] == [("x", 1), (None, 2)]
+    assert [r[CORRUPT] for r in rows] == [None, "it's \\ gone"]

@@ -3,7 +3,9 @@
 import bz2
 import gzip
 import json
+from contextlib import contextmanager
 from decimal import Decimal
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
@@ -17,6 +19,7 @@ from schemagate.contract import CORRUPT
 from schemagate.operators.verdicts import status_of
 from schemagate.plans import validate_json
 from schemagate.sources import cutting, read_json
+from schemagate.sources.documents import taken_apart
 
 CASES = [
     ('{"invoice":{"month":202401}}', ("invoice", (202401, None)), False),
@@ -110,28 +113,59 @@ DOCUMENTS = {
     "cut off": ('[{"cost":"1"},{"cost":"2"', ["1"], ['{"cost":"2"']),
     "missing comma": ('[{"cost":"1"} {"cost":"2"}]', ["1"], ['{"cost":"2"}']),
     "text behind": ('[{"cost":"1"}] {"cost":"2"}', ["1"], ['] {"cost":"2"}']),
+    "nested object": (
+        '\n{"cost":"1","invoice":{"month":202401},"labels":[{"key":"a","value":"}"},{"key":"]"}],\n"usage":{"unit":"s"}}\n',
+        ["1"],
+        [],
+    ),
+    "object and more": ('{"cost":"1","usage":{}}\n{"cost":"2"}\n,7', ["1"], ['{"cost":"2"}', ",7"]),
+    "object cut off": ('{"cost":"1","usage":{"unit":"a"}', [], ['{"cost":"1","usage":{"unit":"a"}']),
+    "scalar": (" 7 ", [], ["7"]),
+    "comma last": ('[{"cost":"1"},', ["1"], []),
+    "escapes outside": ('[{"cost":"1"\\},{"cost":"2"}]', [], ['{"cost":"1"\\},{"cost":"2"}]']),
+    "stray quote": ('[{"cost":"1"},{"cost":""2"},{"cost":"3"}]', ["1"], ['{"cost":""2"},{"cost":"3"}]']),
 }
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
-@pytest.mark.parametrize("name", DOCUMENTS)
-def test_documents(spark, tmp_path, name, limit):
-    text, costs, rejects = DOCUMENTS[name]
-    if limit == 0 and name == "object":
-        pytest.skip("a bare object has to fit the limit")
-    path = write_file(tmp_path / "in", "a.json", text)
-    rows = read_json(spark, path, BILLING, layout="document", document_limit=limit).collect()
-    assert sorted(r.cost for r in rows if r[CORRUPT] is None) == sorted(costs)
-    assert sorted(r[CORRUPT] for r in rows if r[CORRUPT] is not None) == sorted(rejects)
+@contextmanager
+def splits_of(spark, size):
+    """Have files read in blocks of so many bytes."""
+    options = {"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "1"}
+    for key, value in options.items():
+        spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        for key in options:
+            spark.conf.unset(key)
 
 
-def test_lines_read_as_a_document_are_not_dropped(spark, tmp_path):
-    text = '{"cost":"1"}\n{"cost":"2"}\n'
-    path = write_file(tmp_path / "in", "a.json", text)
-    whole = read_json(spark, path, BILLING, layout="document").collect()
-    assert [r[CORRUPT] for r in whole] == [text.strip()]
-    blocks = read_json(spark, path, BILLING, layout="document", document_limit=0).collect()
-    assert sorted(r[CORRUPT] for r in blocks) == ['{"cost":"1"}', '{"cost":"2"}']
+def cut_rows(spark, path, size):
+    with splits_of(spark, size):
+        return read_json(spark, path, BILLING, layout="document").select("cost", CORRUPT).collect()
+
+
+@pytest.mark.parametrize("size", [1 << 20, 16, 5])
+def test_documents(spark, tmp_path, size):
+    """All in one folder, whatever blocks they are read in."""
+    for number, (text, _, _) in enumerate(DOCUMENTS.values()):
+        path = write_file(tmp_path / "in", f"{number}.json", text)
+    rows = cut_rows(spark, path, size)
+    assert sorted(r.cost for r in rows if r[CORRUPT] is None) == sorted(c for _, costs, _ in DOCUMENTS.values() for c in costs)
+    assert sorted(r[CORRUPT] for r in rows if r[CORRUPT] is not None) == sorted(c for _, _, bad in DOCUMENTS.values() for c in bad)
+
+
+def test_nothing_is_left_of_the_lines(spark, tmp_path):
+    path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"},{"cost":"2"}]')
+    shared = Path(spark.conf.get("spark.checkpoint.dir"))
+    before = set(shared.iterdir())
+    for size in (1 << 20, 5):
+        with splits_of(spark, size), taken_apart(spark, path) as lines:
+            assert read_json(spark, lines, BILLING, layout="cut").count() == 2
+    with pytest.raises(Exception, match="named by more than one path"), splits_of(spark, 5):
+        with taken_apart(spark, [path, path + "/a.json"]):
+            pass
+    assert set(shared.iterdir()) == before
 
 
 def test_large_document_over_many_blocks(spark, tmp_path):
@@ -142,89 +176,69 @@ def test_large_document_over_many_blocks(spark, tmp_path):
     records[1234] = '{"cost":"1234","invoice":"}"}'
     for name, joint in (("a.json", ","), ("b.json", ",\n  ")):
         write_file(tmp_path / "in", name, "[" + joint.join(records) + "]\n")
-    options = {"spark.sql.files.maxPartitionBytes": "20000", "spark.sql.files.openCostInBytes": "0"}
-    for key, value in options.items():
-        spark.conf.set(key, value)
-    try:
-        rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=1000)
-        got = rows.select("cost", CORRUPT).collect()
-    finally:
-        for key in options:
-            spark.conf.unset(key)
+    got = cut_rows(spark, str(tmp_path / "in"), 20000)
     assert sorted(r.cost for r in got) == sorted(str(i) for i in range(3000) for _ in "ab")
     assert [r[CORRUPT] for r in got if r[CORRUPT]] == [records[1234]] * 2
 
 
-def test_a_large_document_named_twice_is_refused(spark, tmp_path):
-    path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"}]')
-    with pytest.raises(ValueError, match="more than once"):
-        read_json(spark, [path, path], BILLING, layout="document", document_limit=0)
+@pytest.mark.parametrize("size", [1 << 20, 5])
+def test_a_path_named_twice_is_read_once(spark, tmp_path, size):
+    path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"},{"cost":"2"}]')
+    assert sorted(r.cost for r in cut_rows(spark, [path, path], size)) == ["1", "2"]
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
-def test_compressed_document(spark, tmp_path, limit):
+@pytest.mark.parametrize("size", [1 << 20, 5])
+def test_compressed_document(spark, tmp_path, size):
     (tmp_path / "in").mkdir()
     with gzip.open(tmp_path / "in" / "a.json.gz", "wt") as f:
         f.write('[{"cost":"1"},\n{"cost":"2"}]\n')
-    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=limit)
-    assert sorted((r.cost, r[CORRUPT]) for r in rows.collect()) == [("1", None), ("2", None)]
+    rows = cut_rows(spark, str(tmp_path / "in"), size)
+    assert sorted((r.cost, r[CORRUPT]) for r in rows) == [("1", None), ("2", None)]
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("size", [1 << 20, 5])
 @pytest.mark.parametrize("ending, opener", [("gz", gzip.open), ("bz2", bz2.open)])
 @pytest.mark.parametrize(
     "text, rejects",
     [
         ('[{"cost":"1"},{"cost":"2"}]', []),
         ('[{"cost":"1"},{"cost":"2"},{"cost":"3"', ['{"cost":"3"']),
+        ('[{"cost":"1"},{"cost":"2"}', []),
     ],
 )
-def test_compressed_ends(spark, tmp_path, limit, ending, opener, text, rejects):
+def test_compressed_ends(spark, tmp_path, size, ending, opener, text, rejects):
     (tmp_path / "in").mkdir()
     with opener(tmp_path / "in" / f"a.json.{ending}", "wt") as f:
         f.write(text)
-    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=limit).collect()
+    rows = cut_rows(spark, str(tmp_path / "in"), size)
     assert sorted(r.cost for r in rows if r[CORRUPT] is None) == ["1", "2"]
     assert [r[CORRUPT] for r in rows if r[CORRUPT] is not None] == rejects
 
 
-@pytest.mark.parametrize("limit", [1 << 20, 0])
+@pytest.mark.parametrize("size", [1 << 20, 5])
 @pytest.mark.parametrize("end", [b"]", b"]\n", b""])
 @pytest.mark.parametrize("start", [b"", b"\xef\xbb\xbf"])
-def test_bytes_of_any_kind(spark, tmp_path, limit, end, start):
+def test_bytes_of_any_kind(spark, tmp_path, size, end, start):
     """Bad bytes spoil their record only, as they do in a scan of lines."""
     (tmp_path / "in").mkdir()
     bad, good = b'{"cost":"1\xff"}', '{"cost":"\u00e0\u20ac\U0001f600"}'.encode()
     document = start + b"[" + bad + b",\n" + good + b"," + b"{}" + end
     (tmp_path / "in" / "a.json").write_bytes(document)
-    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document", document_limit=limit)
+    with splits_of(spark, size):
+        rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document")
     found = rows.select("cost", F.expr(f"hex({CORRUPT}) AS bad")).collect()
     assert sorted((r.cost or "", r.bad or "") for r in found) == [
         ("", ""), ("", bad.hex().upper()), ("\u00e0\u20ac\U0001f600", ""),
     ]
 
 
-def test_text_that_does_not_end_comes_in_parts(spark, tmp_path, monkeypatch):
-    """A stray quote late in a large document must not gather all that follows in one row."""
-    good = [f'{{"cost":"{i}"}}' for i in range(200)]
-    bad = '{"cost":""200"}'
-    behind = [f'{{"cost":"{i}"}}' for i in range(201, 3000)]
-    text = "[" + ",".join([*good, bad, *behind]) + "]"
+def test_text_without_end_is_one_reject_or_an_error(spark, tmp_path, monkeypatch):
+    text = '[{"cost":"1"},{"cost":""2"},' + ",".join(f'{{"cost":"{i}"}}' for i in range(300)) + "]"
     path = write_file(tmp_path / "in", "a.json", text)
-    monkeypatch.setattr("schemagate.sources.documents.RECORD_LIMIT", 10000)
-    options = {"spark.sql.files.maxPartitionBytes": "4000", "spark.sql.files.openCostInBytes": "0"}
-    for key, value in options.items():
-        spark.conf.set(key, value)
-    try:
-        rows = read_json(spark, path, BILLING, layout="document", document_limit=1000).collect()
-    finally:
-        for key in options:
-            spark.conf.unset(key)
-    assert sorted((r.cost for r in rows if r[CORRUPT] is None), key=int) == [str(i) for i in range(200)]
-    rejects = [r[CORRUPT] for r in rows if r[CORRUPT] is not None]
-    assert len(rejects) > 5 and max(map(len, rejects)) < 6000
-    kept = sorted("," + ",".join([bad, *behind]) + "]")
-    assert sorted("".join(rejects)) == kept
+    assert sorted(map(repr, cut_rows(spark, path, 500))) == sorted(map(repr, cut_rows(spark, path, 1 << 20)))
+    monkeypatch.setattr("schemagate.sources.documents.RECORD_LIMIT", 1000)
+    with pytest.raises(Exception, match="too large"):
+        cut_rows(spark, path, 500)
 
 
 def test_lines_can_be_kept(spark, tmp_path):
@@ -249,78 +263,71 @@ values = st.recursive(
 @given(st.lists(values, max_size=8), st.sampled_from([None, 1]), st.integers(1, 40))
 def test_cutting_equals_a_full_parse(elements, indent, block):
     text = json.dumps(elements, indent=indent, ensure_ascii=False)
-    whole = cutting.document_lines(text)
+    whole = in_blocks(text, 10**6)
     assert [json.loads(line.lstrip(cutting.SET_APART)) for line in whole] == elements
     assert [line[0] == "{" for line in whole] == [isinstance(e, dict) for e in elements]
-    assert sorted(by_blocks(text, block)) == sorted(whole)
+    assert sorted(in_blocks(text, block)) == sorted(whole)
 
 
-@settings(max_examples=200, deadline=None)
-@given(st.text('[]{}",\\ a\n', max_size=60), st.integers(1, 3))
-def test_no_text_is_lost_from_broken_documents(text, block):
-    """Only blanks and the commas and brackets around elements may go."""
-    kept = "".join(cutting.document_lines("[" + text)).replace(cutting.SET_APART, "")
-    assert no_frame(kept) == no_frame(text)
-    in_blocks = "".join(by_blocks("[" + text, block)).replace(cutting.SET_APART, "")
-    assert sorted(no_frame(in_blocks)) == sorted(no_frame(text))
+@settings(max_examples=100, deadline=None)
+@given(st.dictionaries(st.text('k"}'), values, max_size=4), st.integers(1, 10))
+def test_a_bare_object_is_one_line(value, block):
+    text = json.dumps(value)
+    assert in_blocks(text, 10**6) == in_blocks(text, block) == [text]
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text('[]{}",\\ a\n', max_size=60), st.sampled_from(["", "["]), st.integers(1, 3))
+def test_no_text_is_lost_from_broken_documents(text, start, block):
+    """Only blanks and the commas and brackets around elements may go, wherever text is split."""
+    whole = in_blocks(start + text, 10**6)
+    assert sorted(in_blocks(start + text, block)) == sorted(whole)
+    assert no_frame("".join(whole).replace(cutting.SET_APART, "")) == no_frame(text)
 
 
 def no_frame(text):
     return "".join(c for c in text if c not in "[], \n")
 
 
-def by_blocks(text, fragments_per_block):
-    """The block steps in plain Python, with blocks of a few fragments."""
-    fragments = text.split("}")
-    open_end = fragments[-1] != ""
-    if not open_end:
+def in_blocks(text, fragments_per_block):
+    """The steps in plain Python, with blocks of a few fragments."""
+    fragments = text.split(",")
+    if fragments[-1] == "":
         fragments.pop()
-    starts = range(0, len(fragments), fragments_per_block)
+    parts = [fragments[k : k + fragments_per_block] for k in range(0, len(fragments), fragments_per_block)]
+    key = {"file": 1, "size": 9, "alone": len(parts) == 1}
     batches = [
-        pa.RecordBatch.from_pydict(
-            {
-                "file": [1] * len(part),
-                "size": [9] * len(part),
-                "block": [start] * len(part),
-                "value": part,
-            }
-        )
-        for start in starts
-        for part in [fragments[start : start + fragments_per_block]]
+        pa.RecordBatch.from_pylist([{**key, "block": k, "value": value} for value in part]) for k, part in enumerate(parts)
     ]
-    states = [r for b in cutting.measure_blocks(iter(batches)) for r in b.to_pylist()]
-    chunks = [r for b in cutting.pack_blocks(iter(batches)) for r in b.to_pylist()]
+    taken = mixed(cutting.take_apart(iter(batches)))
+    found, states = taken[cutting.LINE], [json.loads(s) for s in taken[cutting.STATE]]
     quotes = depth = 0
-    placed = {}
-    for i, s in enumerate(states):
-        placed[s["block"]] = {
-            "in_string": quotes % 2,
-            "depth": depth,
-            "first": i == 0,
-            "last": i == len(states) - 1,
-            "open_end": open_end,
-        }
+    placed = []
+    for k, (s, batch) in enumerate(zip(states, batches)):
+        begins = {"in_string": quotes % 2, "depth": depth, "closing": states[0]["closing"]}
+        ends = {"first": k == 0, "last": k == len(states) - 1}
+        chunks = [r for b in cutting.pack_blocks(iter([batch])) for r in b.to_pylist()]
+        placed += [{**chunk, **begins, **ends} for chunk in chunks]
         depth += s["net_in"] if quotes % 2 else s["net_out"]
         quotes += s["quotes"]
-    rows = pa.Table.from_pylist([{**c, **placed[c["block"]]} for c in chunks]).to_batches()
-    mixed = [r for b in cutting.cut_blocks(iter(rows)) for r in b.to_pylist()]
-    found = [r["value"] for r in mixed if not r["edge"]]
-    edges = [json.loads(r["value"]) for r in mixed if r["edge"]]
+    cuts = mixed(cutting.cut_blocks(iter(pa.Table.from_pylist(placed).to_batches()))) if placed else taken
+    found = found + cuts[cutting.LINE] if placed else found
     held = []
+    edges = [json.loads(e) for e in cuts[cutting.EDGE]]
     for edge in edges:
         held.append(edge)
-        if edge["closes"]:
-            found += joined(held)
+        if edge["closes"] or edge is edges[-1]:
+            text = "".join(e["text"] for e in held)
+            found = found + cutting.lines(
+                text, edge["closing"], any(e["opens"] for e in held), any(e["ends"] for e in held)
+            )
             held = []
-    return found + (joined(held) if held else [])
+    return found
 
 
-def joined(edges):
-    return cutting.lines(
-        "".join(e["text"] for e in edges),
-        any(e["opens"] for e in edges),
-        any(e["ends"] for e in edges),
-    )
+def mixed(batches):
+    rows = [r for b in batches for r in b.to_pylist()]
+    return {k: [r["value"] for r in rows if r["kind"] == k] for k in (cutting.LINE, cutting.STATE, cutting.EDGE)}
 
 
 def test_report_of_json(spark, tmp_path):

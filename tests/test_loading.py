@@ -20,6 +20,7 @@ from schemagate.operators import (
     valid_rows,
     write_report,
 )
+from schemagate.operators.sinks import lay_table
 from schemagate.plans import load_in_place, load_split, staged, validate_csv, validate_json
 from schemagate.sources import preview
 
@@ -186,9 +187,34 @@ def test_whole_job(spark, tmp_path, table, layout, in_place):
     )
     found = run(spark, options)
     assert (found["total_records"], found["valid_records"], found["invalid_records"]) == (3, 2, 1)
-    assert found["sample"] == [", , , , " if layout == "csv" else "7"]
+    assert found["sample"] == [("BA-1", "p", ", , , , ") if layout == "csv" else "7"]
+    assert len(found["valid_table_preview"]) == 2 and len(found["invalid_table_preview"]) == 1
     assert spark.table(table).count() == 2 and spark.table(f"{table}_bad").count() == 1
     stored = spark.read.json(str(tmp_path / "report")).first()
     assert stored.invalid_records == 1
     if layout != "csv":
         assert stored.null_value_stats.cost.null_count == 2
+
+
+def test_a_table_that_cannot_be_laid_leaves_the_old_one(spark, table, tmp_path, monkeypatch):
+    load_valid(valid_rows(marked(spark, good=2)), table)
+    with pytest.raises(Exception):
+        lay_table(spark, BILLING.target, table, str(tmp_path / "nothing" / "there*["))
+    assert spark.table(table).count() == 2
+
+
+def test_a_failed_load_in_place_can_be_run_again(spark, table, tmp_path):
+    folder = str(tmp_path / "rows")
+    bad = marked(spark).withColumn("project", F.when(F.col("project") == "p1", F.raise_error(F.lit("broken"))).otherwise("p"))
+    with pytest.raises(Exception, match="broken"):
+        load_in_place(bad, folder, table, None)
+    assert load_in_place(marked(spark), folder, table, None).valid_rows == 3
+    with pytest.raises(ValueError, match="already exists"):
+        load_in_place(marked(spark), folder, table, None)
+
+
+def test_staging_does_not_sort(spark, table):
+    before = spark.conf.getAll.get("spark.sql.maxConcurrentOutputFileWriters")
+    with staged(marked(spark)) as rows:
+        assert rows.count() == 5
+    assert spark.conf.getAll.get("spark.sql.maxConcurrentOutputFileWriters") == before

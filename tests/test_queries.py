@@ -7,6 +7,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from schemagate.storage import setting
+from schemagate.suite.oracles import ORACLES
+from schemagate.suite.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
 TABLES = (
@@ -48,10 +51,10 @@ KINDS = {
 }
 
 
-@pytest.mark.parametrize("name", sorted(driver.oracle_sql()))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_matches_sql(spark, duck, name):
-    got = driver.queries()[name](spark, SF)
-    want = duck.sql(driver.oracle_sql()[name])
+    got = QUERIES[name](spark, SF)
+    want = duck.sql(ORACLES[name])
     assert sorted(got.columns) == sorted(want.columns)
     kinds = {c: KINDS[t] for c, t in got.dtypes}
     assert kinds == dict(zip(want.columns, map(str, want.types)))
@@ -60,13 +63,24 @@ def test_matches_sql(spark, duck, name):
     assert canonical(got.columns, rows) == canonical(want.columns, want.fetchall())
 
 
-def test_only_the_row_id_has_no_sql():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == {"row_id"}
+def test_all_have_sql_and_are_registered():
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(driver.queries()) and set(ORACLES) <= set(driver.oracle_sql())
 
 
-def test_row_id_is_unique(spark):
-    rows = driver.queries()["row_id"](spark, SF)
-    assert rows.count() == rows.select("row_id").distinct().count()
+@pytest.mark.parametrize("pair", [("rule_time_order", "strict_time_order"), ("rule_month_range", "strict_month"), ("pattern_counts", "pattern_counts_strict")])
+def test_switches_change_the_answer(duck, pair):
+    first, second = (duck.sql(ORACLES[name]).fetchall() for name in pair)
+    assert sorted(map(repr, first)) != sorted(map(repr, second)) and len(second) > 0
+
+
+@pytest.mark.parametrize("name", ["rule_numeric_cost", "pattern_counts", "pattern_counts_strict", "csv_invalid", "parse_labels"])
+def test_parser_settings_change_nothing(spark, duck, name):
+    with setting(spark, "spark.sql.parser.escapedStringLiterals", "true"):
+        rows = [tuple(r) for r in QUERIES[name](spark, SF).collect()]
+        columns = QUERIES[name](spark, SF).columns
+    want = duck.sql(ORACLES[name])
+    assert canonical(columns, rows) == canonical(want.columns, want.fetchall())
 
 
 def test_entry(spark):
