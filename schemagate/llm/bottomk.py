@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WordHashes, as_row, byte_texts, hashed_words, stored, text_chunks, window_hashes
+from schemagate.llm.common import WordHashes, as_row, byte_texts, hashed_words, small_batches, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
 WIDTH = 4
@@ -43,7 +43,7 @@ HOT_VALUES = 1 << 16
 """At most so many of the most frequent shingles are put last; an order, so it changes no result."""
 HOT_IN_TASK, HOT_IN_ALL = 8, 64
 """Documents that must hold a shingle, in a task and in all, before it counts as frequent."""
-LIST_ENTRIES = 500_000
+LIST_ENTRIES = 250_000
 """Sketch values per bucket of inverted lists: what a task sorts at a time."""
 FILTER_BITS = 1 << 26
 """Size of the bitmap of nodes to verify; it lets too many nodes through, never too few."""
@@ -51,6 +51,7 @@ FILTER_BITS = 1 << 26
 
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Each row's ``doc_id``, ``text_key``, ``n_shingles``, ``component_id`` and ``kept``."""
+    small_batches(docs.sparkSession)
     sets = stored(shingle_sets(docs, width), "sets")
     lists = stored(inverted_lists(sets, percent), "lists")
     first = stored(verified(sets, stored(_best_centres(lists, percent), "pairs"), percent), "edges")

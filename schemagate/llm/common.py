@@ -16,10 +16,10 @@ from schemagate.storage import scratch_path
 WORD = r"[^\x20\x09-\x0D]+"
 """A word, as Spark's and DuckDB's patterns write it; ``bytes.split()`` cuts at the same six bytes."""
 
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 """Text that a task holds as words at a time; a longer text is a chunk of its own."""
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 """Words whose hashes a worker remembers before it starts anew; results do not depend on it."""
 
 
@@ -34,6 +34,10 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BATCH_BYTES = 8 << 20
+"""Most bytes that Spark sends a Python worker at a time; results do not depend on it."""
+
+
 def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
@@ -43,6 +47,13 @@ def as_row(df: DataFrame) -> Column:
     return F.struct(*(F.col(quoted(c)).alias(c) for c in df.columns))
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Have whole texts and sets reach Python in smaller batches than 64 MB, unless the session says how large."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if key not in spark.conf.getAll:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def text_chunks(batches: Iterable[pa.RecordBatch], limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """The batches in slices whose ``text`` columns hold about ``limit`` bytes each."""
     for batch in batches:
