@@ -216,5 +216,8 @@ def test_a_failed_load_in_place_can_be_run_again(spark, table, tmp_path):
 def test_staging_does_not_sort(spark, table):
     before = spark.conf.getAll.get("spark.sql.maxConcurrentOutputFileWriters")
     with staged(marked(spark)) as rows:
+        store = spark._jsparkSession.sharedState().statusStore()
+        runs = store.executionsList()
+        assert "Sort" not in runs.apply(runs.size() - 1).physicalPlanDescription()
         assert rows.count() == 5
     assert spark.conf.getAll.get("spark.sql.maxConcurrentOutputFileWriters") == before
