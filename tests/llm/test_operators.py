@@ -211,6 +211,34 @@ def test_classes_do_not_depend_on_list_sizes_or_frequent_shingles(docs, rows, mo
     assert got == plain(brute.near_duplicates(rows))
 
 
+def test_a_family_of_borderline_copies_over_several_blocks(spark, monkeypatch):
+    """Some copies are linked with most others, some with few, some with none."""
+    monkeypatch.setattr(bottomk, "BLOCK_NODES", 16)
+    rng = random.Random(8)
+    base = [f"w{i}" for i in range(120)]
+    rows = []
+    for i in range(90):
+        share = rng.choice([0.005, 0.02, 0.03, 0.06])
+        rows.append((i, " ".join(w if rng.random() > share else f"x{rng.randrange(10**6)}" for w in base)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    want = brute.near_duplicates(rows)
+    assert 2 < len({c for _, _, c, _ in want}) < 80
+    assert table(bottomk.classes(docs), "doc_id", "n_shingles", "component_id", "kept") == plain(want)
+
+
+def test_blocks_are_compared_as_sets(monkeypatch):
+    rng = np.random.default_rng(2)
+    for dense in (2, 4, 32):
+        monkeypatch.setattr(bottomk, "DENSE", dense)
+        sets = [np.unique(rng.integers(0, rng.choice([6, 30]), rng.integers(1, 25))).astype(np.uint64) for _ in range(40)]
+        got = bottomk._linked(sets, 80)
+        both = [[len(np.intersect1d(x, y)) for y in sets] for x in sets]
+        want = [[100 * n >= 80 * (len(x) + len(y) - n) for n, y in zip(row, sets)] for row, x in zip(both, sets)]
+        assert (got | np.eye(40, dtype=bool)).tolist() == want  # a set and itself is no pair
+        label = bottomk._connected(got)
+        assert all(label[i] == label[j] for i, j in zip(*np.nonzero(got))) and (label <= np.arange(40)).all()
+
+
 def test_one_of_each_class_stays(docs, rows):
     kept = bottomk.one_of_each(docs, 4, 80)
     want = {i for i, _, _, k in brute.near_duplicates(rows) if k}
