@@ -1,19 +1,21 @@
 """Near-duplicates by bottom-k sketches from one hash function.
 
 A document is the set of the hashes of its word shingles.  Its sketch are its k smallest, with
-k = n - ceil(t * n) + 1 of n: two sets with a Jaccard similarity of t share t * n or more, so
-the smallest value they share is in both sketches and no link is missed.  "Smallest" puts
-shingles that very many documents hold last, for whichever order, the bound is the same; a
-passage of the whole corpus then fills no inverted list.
+k = 2 * (1 - t) * n + 2 of n, and what is listed are neighbours in it: each value with the next
+one.  Two sets with a Jaccard similarity of t share such a pair: if a holds x values that b
+lacks, and b has y that a lacks, at most 2x + y pairs of a are broken, and by t that is no more
+than 2 * (1 - t) * n.  So no link is missed, while a passage that documents share gives few
+common pairs, as their own values come between.  Shingles that very many documents hold are put
+last in the order, for whichever order, the bound is the same.
 
 1. ``sets``: each document's set, written once.  Equal sets are one node from here on.
-2. ``lists``: sketch values dealt by value; those of a single node are dropped.
-3. First pass: in each list, nodes are compared with the smallest one only.  For each node the
-   candidate it shares most lists with is verified on full sets.  This joins groups of near
-   copies without listing their pairs.
-4. Second pass: lists that still hold several components give the pairs between these.  The
-   overlap of the two sketches bounds the similarity from above, and what can reach t is
-   verified.  Components of both passes' links are the result.
+2. ``lists``: pairs of sketch values dealt by hash; those of a single node are dropped.
+3. Families: each list has a centre, and each node goes with the centre that it shares most
+   lists with.  A family is dealt into blocks; tasks compare two blocks on full sets and give
+   what is connected, not the pairs.
+4. Across families: lists that hold several give the pairs between these.  The overlap of two
+   sketches estimates their similarity; pairs that can't reach t by more than seven standard
+   deviations, or by the bound above, are left out, the others verified on full sets.
 
 Hashes are 64 bits for a set and 48 for a shingle: two shingles of compared documents are
 mistaken with probability 2**-48, any two of N sets with N * N / 2**65.
@@ -29,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WordHashes, as_row, byte_texts, hashed_words, small_batches, stored, text_chunks, window_hashes
+from schemagate.llm.common import WordHashes, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
 WIDTH = 4
@@ -41,12 +43,16 @@ PERCENT = 80
 
 HOT_VALUES = 1 << 16
 """At most so many of the most frequent shingles are put last; an order, so it changes no result."""
-HOT_IN_TASK, HOT_IN_ALL = 8, 64
+HOT_IN_TASK, HOT_IN_ALL = 3, 24
 """Documents that must hold a shingle, in a task and in all, before it counts as frequent."""
 LIST_ENTRIES = 250_000
 """Sketch values per bucket of inverted lists: what a task sorts at a time."""
 FILTER_BITS = 1 << 26
 """Size of the bitmap of nodes to verify; it lets too many nodes through, never too few."""
+BLOCK_NODES, BLOCK_VALUES = 1024, 500_000
+"""Nodes and shingles of a family's block, about; two blocks are in a task's memory at a time."""
+DENSE = 32
+"""Nodes of two blocks that hold a shingle before it gets a matrix column of its own."""
 
 
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
@@ -54,10 +60,10 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     small_batches(docs.sparkSession)
     sets = stored(shingle_sets(docs, width), "sets")
     lists = stored(inverted_lists(sets, percent), "lists")
-    first = stored(verified(sets, stored(_best_centres(lists, percent), "pairs"), percent), "edges")
-    labels = stored(components(first), "labels")
-    rest = stored(_between_components(lists, labels, percent), "pairs")
-    edges = first.union(stored(verified(sets, rest, percent), "edges"))
+    families = stored(components(_best_centres(lists, percent)), "families")
+    within = stored(_within_families(sets, families, percent), "edges")
+    rest = stored(_between_families(lists, families, percent), "pairs")
+    edges = within.union(stored(verified(sets, rest, percent), "edges"))
     return _per_document(sets, components(edges))
 
 
@@ -103,16 +109,29 @@ def _values(stored_set: bytes) -> np.ndarray:
 
 
 def _sketch_size(n: int, percent: int) -> int:
-    return n - -(-n * percent // 100) + 1
+    return min(n, n * 2 * (100 - percent) // 100 + 2)
 
 
-def _frequent(sets: DataFrame, percent: int) -> np.ndarray:
-    """The most frequent shingles among the smaller halves of the sets, ascending."""
+def _pairs_in_common(a: Column, b: Column, percent: int) -> Column:
+    """The fewest listed pairs that sets of sizes ``a`` and ``b`` share if they are similar enough.
+
+    With x and y as above, 2x + y is at most ((2 - t) a + (1 - 2t) b) / (1 + t).
+    """
+
+    def least(a: Column, b: Column) -> Column:
+        broken = F.floor(((200 - percent) * a + (100 - 2 * percent) * b) / (100 + percent))
+        return F.least(a, F.floor(a * 2 * (100 - percent) / 100) + 2) - 1 - broken
+
+    return F.least(least(a, b), least(b, a))
+
+
+def _frequent(sets: DataFrame) -> np.ndarray:
+    """The most frequent shingles among the smaller two thirds of the sets, ascending."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
         for batch in batches:
-            some = [_values(s)[: _sketch_size(len(s) // 6, percent // 2)] for s in batch.column("shingles").to_pylist() if s]
+            some = [_values(s)[: len(s) // 9 + 1] for s in batch.column("shingles").to_pylist() if s]
             values, times = np.unique(np.concatenate([held[:0], *some]), return_counts=True)
             keys, at = np.unique(np.concatenate([held, values]), return_inverse=True)
             held, counts = keys, np.bincount(at, np.concatenate([counts, times]), len(keys)).astype(np.int64)
@@ -127,26 +146,27 @@ def _frequent(sets: DataFrame, percent: int) -> np.ndarray:
 
 
 def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """``bucket``, and per list entry ``value``, ``node`` and its size ``n``, for values of two nodes or more."""
-    frequent = _frequent(sets, percent)
+    """``bucket``, and per list entry ``value``, ``node`` and its size ``n``, for lists of two nodes or more."""
+    frequent = _frequent(sets)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
-    buckets = max(1, -(-total * (100 - percent) // (100 * LIST_ENTRIES)))
+    buckets = max(1, -(-total * 2 * (100 - percent) // (100 * LIST_ENTRIES)))
 
-    def sketch(stored_set: bytes) -> np.ndarray:
+    def listed(stored_set: bytes) -> np.ndarray:
+        """A hash for each value of the sketch with the next one."""
         values = _values(stored_set)
         size = _sketch_size(len(values), percent)
         if len(frequent):
             late = frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] == values
             if late.any():
-                return np.concatenate([values[~late], values[late]])[:size]
-        return values[:size]
+                values = np.concatenate([values[~late], values[late]])
+        return window_hashes(values[:size], 2) >> np.uint64(16)
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = batch.filter(batch.column("shingles").is_valid())
             if not whole.num_rows:
                 continue
-            sketches = [sketch(s) for s in whole.column("shingles").to_pylist()]
+            sketches = [listed(s) for s in whole.column("shingles").to_pylist()]
             lengths = [len(s) for s in sketches]
             values = np.concatenate(sketches)
             nodes = np.repeat(whole.column("node").to_numpy(), lengths)
@@ -188,19 +208,21 @@ def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
     return dealt.groupBy("bucket").applyInArrow(gather, "bucket long, value long, node long, n long")
 
 
-def _runs(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
-    """Lists, one after the other, from entries that come list by list; ``value`` is the first column."""
-    held = None
+def _buckets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
+    """Buckets of lists, one after the other, from entries that come in order of bucket and value."""
+    held: list[list[np.ndarray]] = []
     for batch in batches:
-        new = [batch.column(c).to_numpy() for c in columns]
-        held = new if held is None else [np.concatenate(x) for x in zip(held, new, strict=True)]
-        edges = np.flatnonzero(np.diff(held[0])) + 1
-        if len(edges):
-            last = edges[-1]
-            yield [x[:last] for x in held]
-            held = [x[last:] for x in held]
-    if held is not None and len(held[0]):
-        yield held
+        bucket = batch.column("bucket").to_numpy()
+        edges = [0, *(np.flatnonzero(np.diff(bucket)) + 1), len(bucket)] if len(bucket) else [0]
+        rows = [batch.column(c).to_numpy() for c in columns]
+        for begin, end in zip(edges, edges[1:]):
+            if held and (begin or bucket[0] != last):
+                yield [np.concatenate(x) for x in zip(*held)]
+                held = []
+            held.append([x[begin:end] for x in rows])
+            last = bucket[end - 1]
+    if held:
+        yield [np.concatenate(x) for x in zip(*held)]
 
 
 def _pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
@@ -220,19 +242,89 @@ PAIR = "a long, b long, na long, nb long, o long"
 
 
 def _best_centres(lists: DataFrame, percent: int) -> DataFrame:
-    """For each node, the list centre that it shares most lists with, if those are a third of its sketch."""
+    """For each node the list centre that it shares most lists with, as ``a``, ``b``."""
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for value, node, n in _runs(batches, ["value", "node", "n"]):
+        for value, node, n in _buckets(batches, ["value", "node", "n"]):
             first = np.maximum.accumulate(np.where(np.insert(np.diff(value) != 0, 0, True), np.arange(len(value)), 0))
             other = np.flatnonzero(first != np.arange(len(value)))
             at = first[other]
             yield from _pairs(node[other], node[at], n[other], n[at], percent)
 
+    # A list's centre is its smallest node; nodes are hashes.
     pairs = _in_order(lists, "node").mapInArrow(stars, PAIR).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    pairs = pairs.where(F.col("o") * 300 >= F.col("na") * (100 - percent))
-    best = pairs.groupBy("a").agg(F.max_by(F.struct("b", "na", "nb", "o"), F.struct("o", "b")).alias("p"))
-    return best.select("a", "p.*")
+    # An eighth of what is listed: texts that share less are left to the last pass.
+    pairs = pairs.where(F.col("o") * 400 >= F.col("na") * (100 - percent))
+    return pairs.groupBy("a").agg(F.max_by("b", F.struct("o", "b")).alias("b"))
+
+
+def _within_families(sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
+    """Edges that connect what similar pairs of a family connect, as ``a``, ``b``."""
+    members = _chosen(sets, families.select("node"), ["node", "n_shingles", "shingles"]).join(families, "node")
+    members = stored(members.dropDuplicates(["node"]), "members")
+    parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n_shingles") / BLOCK_VALUES)).cast("int")
+    blocks = members.groupBy("label").agg(parts.alias("blocks"))
+    dealt = members.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    other = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other")
+    pairs = dealt.select("label", "node", "shingles", "block", other).select(
+        "label", "node", "shingles", "block", F.least("block", "other").alias("left"), F.greatest("block", "other").alias("right")
+    )
+
+    def compare(rows: pa.Table) -> pa.Table:
+        left, right = rows.column("left")[0].as_py(), rows.column("right")[0].as_py()
+        first = rows.column("block").to_numpy() == left
+        nodes = rows.column("node").to_numpy()
+        linked = _linked([_values(s) for s in rows.column("shingles").to_pylist()], percent)
+        if left != right:
+            linked &= first[:, None] != first[None, :]
+        label = _connected(linked)
+        moved = label != np.arange(len(label))
+        return pa.table({"a": pa.array(nodes[moved]), "b": pa.array(nodes[label[moved]])})
+
+    return pairs.groupBy("label", "left", "right").applyInArrow(compare, "a long, b long")
+
+
+def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
+    """Which of the sets are similar enough, as a matrix."""
+    count = len(sets)
+    sizes = np.array([len(s) for s in sets])
+    owner = np.repeat(np.arange(count), sizes)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    shared = np.zeros((count, count), np.float32)
+    # Shingles that many hold: a column each, counted by products of matrices.
+    dense = np.flatnonzero(held >= DENSE)
+    number = np.full(len(held), -1)
+    number[dense] = np.arange(len(dense))
+    in_dense = number[column]
+    for begin in range(0, len(dense), 1024):
+        some = (in_dense >= begin) & (in_dense < begin + 1024)
+        marks = np.zeros((count, min(1024, len(dense) - begin)), np.float32)
+        marks[owner[some], in_dense[some] - begin] = 1
+        shared += marks @ marks.T
+    # The others: entries of one column at each distance from each other.
+    few = (held[column] > 1) & (held[column] < DENSE)
+    order = np.argsort(column[few], kind="stable")
+    column, owner = column[few][order], owner[few][order]
+    pairs = shared.reshape(-1)
+    for step in range(1, DENSE):
+        same = np.flatnonzero(column[step:] == column[:-step])
+        if not len(same):
+            break
+        a, b = owner[same], owner[same + step]
+        cells, times = np.unique(np.concatenate([a * count + b, b * count + a]), return_counts=True)
+        pairs[cells] += times
+    return 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+
+
+def _connected(linked: np.ndarray) -> np.ndarray:
+    """For each row of a symmetric matrix, the first one that its marks lead to."""
+    label = np.arange(len(linked))
+    while True:
+        least = np.minimum(label, np.where(linked, label[None, :], len(linked)).min(axis=1, initial=len(linked)))
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
 
 
 def _in_order(entries: DataFrame, *columns: str) -> DataFrame:
@@ -249,49 +341,58 @@ def _ends(*columns: np.ndarray) -> np.ndarray:
     return np.repeat(end, end - begin)
 
 
-CROSS_STEP = 1 << 18
-"""Pairs made at a time."""
+CROSS_STEP = 1 << 20
+"""Pairs of a bucket that are counted together before they are given out."""
 
 
-def _between_components(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list from different components whose sketches overlap enough."""
+def _between_families(lists: DataFrame, families: DataFrame, percent: int) -> DataFrame:
+    """Pairs of one list from different families whose sketches overlap enough."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for value, label, node, n in _runs(batches, ["value", "label", "node", "n"]):
+        for value, label, node, n in _buckets(batches, ["value", "label", "node", "n"]):
             stop = _ends(value)
             other = _ends(value, label)
             left = np.arange(len(value))
-            # Each entry with the first one of its list's later components, then the next one.
+            # Each entry with the first one of its list's later families, then the next one.
+            held, count = [], 0
             while len(left := left[other[left] < stop[left]]):
-                for at in range(0, len(left), CROSS_STEP):
-                    i = left[at : at + CROSS_STEP]
-                    j = other[i]
-                    i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
-                    yield from _pairs(node[i], node[j], n[i], n[j], percent)
+                held.append((left, other[left]))
+                count += len(left)
                 other[left] += 1
+                if count >= CROSS_STEP:
+                    yield from counted(node, n, held)
+                    held, count = [], 0
+            yield from counted(node, n, held)
 
-    entries = lists.join(labels, "node", "left").select(
-        "bucket", "value", "node", "n", F.coalesce("label", "node").alias("label")
-    )
-    pairs = _in_order(entries, "label", "node").mapInArrow(cross, PAIR).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    beyond = F.greatest(*(F.ceil(F.col(n) * percent / 100) - 1 for n in ("na", "nb")))
-    return pairs.where((F.col("o") + beyond) * (100 + percent) >= percent * (F.col("na") + F.col("nb")))
+    def counted(node: np.ndarray, n: np.ndarray, held: list) -> Iterator[pa.RecordBatch]:
+        if held:
+            i, j = (np.concatenate(x) for x in zip(*held))
+            i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
+            yield from _pairs(node[i], node[j], n[i], n[j], percent)
+
+    entries = lists.join(families, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    ordered = _in_order(entries, "label", "node")
+    pairs = ordered.mapInArrow(cross, PAIR).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+    a, b = F.col("na"), F.col("nb")
+    least = F.greatest(_pairs_in_common(a, b, percent), F.least(_expected(a, percent), _expected(b, percent)))
+    return pairs.where(F.col("o") >= least)
+
+
+def _expected(n: Column, percent: int) -> Column:
+    """Seven standard deviations below the pairs expected of two sets that are just similar enough.
+
+    A pair stays if both values are shared and no other comes between: t squared of them in the
+    worst case, which is that of a set with all of the other one in it.
+    """
+    t = percent / 100
+    k = F.least(n, F.floor(n * 2 * (100 - percent) / 100) + 2) - 1
+    return k * t * t - 7 * F.sqrt(2 * k * t * t * (1 - t * t))
 
 
 def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     """The pairs whose full sets are similar enough, as ``a``, ``b``."""
     needed = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = _bitmap(needed)
-
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.frombuffer(wanted.value, np.uint64)
-        for batch in batches:
-            nodes = batch.column("node").fill_null(0).to_numpy()
-            place = nodes.view(np.uint64) & np.uint64(FILTER_BITS - 1)
-            found = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
-            yield batch.filter(pa.array(found.astype(bool) & batch.column("shingles").is_valid().to_numpy(False)))
-
-    full = sets.select("node", "shingles").mapInArrow(choose, "node long, shingles binary")
+    full = _chosen(sets, needed, ["node", "shingles"])
     full = full.groupBy("node").agg(F.first("shingles").alias("shingles"))
     left = full.select(F.col("node").alias("a"), F.col("shingles").alias("sa"))
     right = full.select(F.col("node").alias("b"), F.col("shingles").alias("sb"))
@@ -311,6 +412,21 @@ def verified(sets: DataFrame, pairs: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(compare, "a long, b long")
 
 
+def _chosen(sets: DataFrame, nodes: DataFrame, columns: list[str]) -> DataFrame:
+    """The sets of the nodes, and a few others, picked out where they are read."""
+    wanted = _bitmap(nodes)
+
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(wanted.value, np.uint64)
+        for batch in batches:
+            place = batch.column("node").fill_null(0).to_numpy().view(np.uint64) & np.uint64(FILTER_BITS - 1)
+            found = (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1)
+            yield batch.filter(pa.array(found.astype(bool) & batch.column("shingles").is_valid().to_numpy(False)))
+
+    narrow = sets.select(*columns)
+    return narrow.mapInArrow(choose, narrow.schema)
+
+
 def _bitmap(nodes: DataFrame):
     """A bit for each node's lowest bits: 8 MB at most, whatever the number of nodes."""
     place = F.col("node").bitwiseAND(F.lit(FILTER_BITS - 1))

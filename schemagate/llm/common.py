@@ -13,6 +13,8 @@ from pyspark.sql import functions as F
 
 from schemagate.storage import scratch_path
 
+pa.set_memory_pool(pa.system_memory_pool())  # workers give back what a batch took
+
 WORD = r"[^\x20\x09-\x0D]+"
 """A word, as Spark's and DuckDB's patterns write it; ``bytes.split()`` cuts at the same six bytes."""
 
