@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WordHashes, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
+from schemagate.llm.common import WORD, WordHashes, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
 WIDTH = 4
@@ -458,3 +458,19 @@ def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
     rows = docs.select(as_row(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
     same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["text_key"])
     return rows.join(kept, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+
+
+ORACLE = f"""
+WITH RECURSIVE texts AS (SELECT row_number() OVER () AS k, doc_id, coalesce(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}'), []) AS words FROM documents),
+shingles AS (SELECT DISTINCT k, array_to_string(words[s : s + {WIDTH - 1}], ' ') AS shingle
+    FROM (SELECT k, words, unnest(range(1, greatest(len(words) - {WIDTH - 2}, 2))) AS s FROM texts WHERE len(words) > 0)),
+sizes AS (SELECT k, count(*) AS n FROM shingles GROUP BY k),
+shared AS (SELECT a.k AS x, b.k AS y, count(*) AS c FROM shingles a JOIN shingles b USING (shingle) WHERE a.k < b.k GROUP BY a.k, b.k),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.k = x JOIN sizes q ON q.k = y WHERE 100 * c >= {PERCENT} * (p.n + q.n - c)),
+edges AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (SELECT k, k AS r FROM texts UNION SELECT reach.k, y FROM reach JOIN edges ON r = x),
+components AS (SELECT reach.k, min(doc_id) AS component_id FROM reach JOIN texts ON texts.k = r GROUP BY reach.k)
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, coalesce(doc_id = component_id, component_id IS NULL) AS kept
+FROM texts JOIN components USING (k) LEFT JOIN sizes USING (k)
+"""

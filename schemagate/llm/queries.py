@@ -57,7 +57,7 @@ def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return repetition.judged(documents(spark, sf_dir))
+    return repetition.judged(documents(spark, sf_dir)).drop("longest_repeat")
 
 
 def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,8 +78,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_substring_dedup": substrings.ORACLE,
     "op3_source_mix": mixing.ORACLE,
     "op5_license_scan": licenses.ORACLE,
+    "op6_near_duplicates": bottomk.ORACLE,
     "op7_warc_audit": warc.ORACLE,
     "op8_exact_top_k": hamming.ORACLE,
+    "op9_quality_rules": repetition.ORACLE,
 }

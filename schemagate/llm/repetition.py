@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import covered, owners, text_chunks
+from schemagate.llm.common import WORD, covered, owners, text_chunks
 
 SYMBOLS = b"#*$%&|<>"
 MIN_WORDS = 50
@@ -175,3 +175,36 @@ def passed(docs: DataFrame) -> DataFrame:
 def lines_per_verdict(judgement: DataFrame) -> DataFrame:
     """How many documents each verdict has, for a report."""
     return judgement.groupBy("base_failed", "kept").agg(F.count(F.lit(1)).alias("n_docs"))
+
+
+def _covered_sql(name: str, width: int) -> str:
+    """Words in windows of ``width`` that a text holds twice or more."""
+    return f"""
+{name}_w AS (SELECT k, s, array_to_string(words[s : s + {width - 1}], ' ') AS w
+    FROM (SELECT k, words, unnest(range(1, len(words) - {width - 2})) AS s FROM texts)),
+{name}_r AS (SELECT k, s FROM {name}_w QUALIFY count(*) OVER (PARTITION BY k, w) > 1),
+{name} AS (SELECT k, count(DISTINCT s + i) AS n FROM {name}_r, range({width}) AS t(i) GROUP BY k)"""
+
+
+ORACLE = f"""
+WITH texts AS (SELECT row_number() OVER () AS k, doc_id, coalesce(text, '') AS text,
+    coalesce(regexp_extract_all(text, '{WORD}'), []) AS words FROM documents),
+{_covered_sql("windows", WINDOW)},
+{_covered_sql("passages", MIN_REPEAT)},
+least AS (SELECT k, words, greatest({MIN_REPEAT}, CAST(floor(CAST({MAX_LONGEST} AS DOUBLE) * len(words)) AS BIGINT) + 1) AS m
+    FROM texts JOIN passages USING (k)),
+longest AS (SELECT DISTINCT k FROM (SELECT k, array_to_string(words[s : s + m - 1], ' ') AS w
+    FROM (SELECT k, words, m, unnest(range(1, len(words) - m + 2)) AS s FROM least)) QUALIFY count(*) OVER (PARTITION BY k, w) > 1),
+lines AS (SELECT k, count(*) - count(DISTINCT line) AS n FROM (SELECT k, unnest(string_split(text, chr(10))) AS line FROM texts)
+    WHERE regexp_matches(line, '{WORD}') GROUP BY k),
+measured AS (SELECT texts.k, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(lines.n, 0) AS n_dup_lines, coalesce(windows.n, 0) AS n_repeat_words, coalesce(passages.n, 0) AS n_covered,
+    longest.k IS NOT NULL AS too_long
+    FROM texts LEFT JOIN lines USING (k) LEFT JOIN windows USING (k) LEFT JOIN passages USING (k) LEFT JOIN longest USING (k)),
+judged AS (SELECT *, n_words < {MIN_WORDS} OR {MAX_WINDOW_SHARE[1]} * n_repeat_words > {MAX_WINDOW_SHARE[0]} * n_words AS base_failed FROM measured)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, n_covered,
+    NOT (base_failed OR too_long OR n_covered > CAST({MAX_COVERED} AS DOUBLE) * n_words) AS kept
+FROM judged
+"""

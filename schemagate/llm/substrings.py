@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemagate.llm.common import WordHashes, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
+from schemagate.llm.common import WORD, WordHashes, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
 
 WIDTH = 13
 GROUP_SUFFIXES = 2_000_000
@@ -314,3 +314,18 @@ def unpacked(data: bytes, ascending: bool = True) -> np.ndarray:
     planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1:]), np.uint8).reshape(data[0], -1)
     steps = np.ascontiguousarray(planes.T).view({4: np.uint32, 8: np.uint64}[data[0]]).ravel()
     return np.cumsum(steps, dtype=steps.dtype) if ascending else steps
+
+
+ORACLE = f"""
+WITH texts AS (SELECT row_number() OVER () AS k, coalesce(doc_id, {NO_ID}) AS id, doc_id,
+    coalesce(regexp_extract_all(text, '{WORD}'), []) AS words FROM documents),
+windows AS (SELECT k, id, s, array_to_string(words[s : s + {WIDTH - 1}], ' ') AS w
+    FROM (SELECT k, id, words, unnest(range(1, len(words) - {WIDTH - 2})) AS s FROM texts)),
+firsts AS (SELECT w, min(id) AS first FROM windows GROUP BY w),
+gone AS (SELECT DISTINCT k, s + i AS p FROM windows JOIN firsts USING (w), range({WIDTH}) AS t(i) WHERE first < id),
+words AS (SELECT k, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM texts),
+kept AS (SELECT k, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS joined FROM words ANTI JOIN gone USING (k, p) GROUP BY k)
+SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(len(words) - coalesce(n, 0) AS BIGINT) AS n_removed,
+    sha256(coalesce(joined, '')) AS kept_sha256
+FROM texts LEFT JOIN kept USING (k)
+"""
