@@ -18,7 +18,6 @@ from itertools import chain
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from schemagate.llm.common import WORD, covered, owners, text_chunks
 
@@ -172,11 +171,6 @@ def passed(docs: DataFrame) -> DataFrame:
     return plain.mapInArrow(work, plain.schema).toDF(*docs.columns)
 
 
-def lines_per_verdict(judgement: DataFrame) -> DataFrame:
-    """How many documents each verdict has, for a report."""
-    return judgement.groupBy("base_failed", "kept").agg(F.count(F.lit(1)).alias("n_docs"))
-
-
 def _covered_sql(name: str, width: int) -> str:
     """Words in windows of ``width`` that a text holds twice or more."""
     return f"""
