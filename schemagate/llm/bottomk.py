@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WORD, WordHashes, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
+from schemagate.llm.common import WORD, Scratch, WordHashes, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
 WIDTH = 4
@@ -45,7 +45,7 @@ HOT_VALUES = 1 << 16
 """At most so many of the most frequent shingles are put last; an order, so it changes no result."""
 HOT_IN_TASK, HOT_IN_ALL = 3, 24
 """Documents that must hold a shingle, in a task and in all, before it counts as frequent."""
-LIST_ENTRIES = 250_000
+LIST_ENTRIES = 750_000
 """Sketch values per bucket of inverted lists: what a task sorts at a time."""
 FILTER_BITS = 1 << 26
 """Size of the bitmap of nodes to verify; it lets too many nodes through, never too few."""
@@ -58,13 +58,20 @@ DENSE = 32
 def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """Each row's ``doc_id``, ``text_key``, ``n_shingles``, ``component_id`` and ``kept``."""
     small_batches(docs.sparkSession)
-    sets = stored(shingle_sets(docs, width), "sets")
-    lists = stored(inverted_lists(sets, percent), "lists")
-    families = stored(components(_best_centres(lists, percent)), "families")
-    within = stored(_within_families(sets, families, percent), "edges")
-    rest = stored(_between_families(lists, families, percent), "pairs")
-    edges = within.union(stored(verified(sets, rest, percent), "edges"))
-    return _per_document(sets, components(edges))
+    used = Scratch(docs.sparkSession)
+    try:
+        sets = used.stored(shingle_sets(docs, width), "sets")
+        lists = used.stored(inverted_lists(sets, percent), "lists")
+        families = used.stored(components(_best_centres(lists, percent)), "families")
+        members = used.stored(_members(sets, families), "members")
+        within = used.stored(_within_families(members, percent), "edges")
+        rest = used.stored(_between_families(lists, families, percent), "pairs")
+        edges = within.union(used.stored(verified(sets, rest, percent), "edges"))
+        labels = components(edges)
+        nodes = stored(sets.drop("shingles"), "nodes")
+    finally:
+        used.remove()
+    return _per_document(nodes, labels)
 
 
 def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
@@ -258,10 +265,14 @@ def _best_centres(lists: DataFrame, percent: int) -> DataFrame:
     return pairs.groupBy("a").agg(F.max_by("b", F.struct("o", "b")).alias("b"))
 
 
-def _within_families(sets: DataFrame, families: DataFrame, percent: int) -> DataFrame:
+def _members(sets: DataFrame, families: DataFrame) -> DataFrame:
+    """The sets of nodes in families, each once, with the family's ``label``."""
+    found = _chosen(sets, families.select("node"), ["node", "n_shingles", "shingles"])
+    return found.join(families, "node").dropDuplicates(["node"])
+
+
+def _within_families(members: DataFrame, percent: int) -> DataFrame:
     """Edges that connect what similar pairs of a family connect, as ``a``, ``b``."""
-    members = _chosen(sets, families.select("node"), ["node", "n_shingles", "shingles"]).join(families, "node")
-    members = stored(members.dropDuplicates(["node"]), "members")
     parts = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK_NODES, F.sum("n_shingles") / BLOCK_VALUES)).cast("int")
     blocks = members.groupBy("label").agg(parts.alias("blocks"))
     dealt = members.join(blocks, "label").withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
@@ -439,8 +450,7 @@ def _bitmap(nodes: DataFrame):
     return nodes.sparkSession.sparkContext.broadcast(bits.tobytes())
 
 
-def _per_document(sets: DataFrame, labels: DataFrame) -> DataFrame:
-    docs = sets.drop("shingles")
+def _per_document(docs: DataFrame, labels: DataFrame) -> DataFrame:
     nodes = docs.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("least"))
     linked = nodes.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     smallest = linked.groupBy("label").agg(F.min("least").alias("component_id"))

@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from schemagate.storage import scratch_path
+from schemagate.storage import delete_path, scratch_path
 
 pa.set_memory_pool(pa.system_memory_pool())  # workers give back what a batch took
 
@@ -40,6 +40,22 @@ BATCH_BYTES = 8 << 20
 """Most bytes that Spark sends a Python worker at a time; results do not depend on it."""
 
 
+class Scratch:
+    """Stored tables that are removed once what they lead to has been stored."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths = spark, []
+
+    def stored(self, df: DataFrame, label: str) -> DataFrame:
+        self.paths.append(scratch_path(self.spark, label))
+        df.write.parquet(self.paths[-1])
+        return self.spark.read.schema(df.schema).parquet(self.paths[-1])
+
+    def remove(self) -> None:
+        for path in self.paths:
+            delete_path(self.spark, path)
+
+
 def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
