@@ -13,9 +13,10 @@ last in the order, for whichever order, the bound is the same.
 3. Families: each list has a centre, and each node goes with the centre that it shares most
    lists with.  A family is dealt into blocks; tasks compare two blocks on full sets and give
    what is connected, not the pairs.
-4. Across families: lists that hold several give the pairs between these.  The overlap of two
-   sketches estimates their similarity; pairs that can't reach t by more than seven standard
-   deviations, or by the bound above, are left out, the others verified on full sets.
+4. Across families: lists that hold several give the pairs between these.  Pairs that can't reach
+   t by the bound above are left out.  Where neither set holds a frequent shingle, sketches are
+   random draws and their overlap estimates the similarity: pairs more than seven standard
+   deviations below t are left out as well.  The others are verified on full sets.
 
 Hashes are 64 bits for a set and 48 for a shingle: two shingles of compared documents are
 mistaken with probability 2**-48, any two of N sets with N * N / 2**65.
@@ -153,31 +154,34 @@ def _frequent(sets: DataFrame) -> np.ndarray:
 
 
 def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """``bucket``, and per list entry ``value``, ``node`` and its size ``n``, for lists of two nodes or more."""
+    """``bucket``, and per list entry ``value``, ``node``, its size ``n`` and whether it holds frequent
+    shingles, ``late``, for lists of two nodes or more."""
     frequent = _frequent(sets)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-total * 2 * (100 - percent) // (100 * LIST_ENTRIES)))
 
-    def listed(stored_set: bytes) -> np.ndarray:
-        """A hash for each value of the sketch with the next one."""
+    def listed(stored_set: bytes) -> tuple[np.ndarray, bool]:
+        """A hash for each value of the sketch with the next one; whether frequent shingles were put last."""
         values = _values(stored_set)
-        size = _sketch_size(len(values), percent)
+        size, moved = _sketch_size(len(values), percent), False
         if len(frequent):
             late = frequent[np.minimum(np.searchsorted(frequent, values), len(frequent) - 1)] == values
-            if late.any():
+            moved = bool(late.any())
+            if moved:
                 values = np.concatenate([values[~late], values[late]])
-        return window_hashes(values[:size], 2) >> np.uint64(16)
+        return window_hashes(values[:size], 2) >> np.uint64(16), moved
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = batch.filter(batch.column("shingles").is_valid())
             if not whole.num_rows:
                 continue
-            sketches = [listed(s) for s in whole.column("shingles").to_pylist()]
+            sketches, moved = zip(*(listed(s) for s in whole.column("shingles").to_pylist()))
             lengths = [len(s) for s in sketches]
             values = np.concatenate(sketches)
             nodes = np.repeat(whole.column("node").to_numpy(), lengths)
-            sizes = np.repeat(whole.column("n_shingles").to_numpy(), lengths).astype(np.int32)
+            # Twice the size, and one more for a set with frequent shingles.
+            sizes = np.repeat(whole.column("n_shingles").to_numpy() * 2 + np.array(moved), lengths).astype(np.int32)
             bucket = ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(buckets)
             order = np.argsort(bucket, kind="stable")
             found, begin = np.unique(bucket[order], return_index=True)
@@ -206,13 +210,14 @@ def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
             "bucket": pa.array(np.full(count, rows.column("bucket")[0].as_py())),
             "value": pa.array(values[several].view(np.int64)),
             "node": pa.array(nodes[several]),
-            "n": pa.array(sizes[several].astype(np.int64)),
+            "n": pa.array(sizes[several].astype(np.int64) >> 1),
+            "late": pa.array((sizes[several] & 1).astype(np.int64)),
         })
 
     dealt = sets.select("node", "n_shingles", "shingles").mapInArrow(
         deal, "bucket long, value binary, nodes binary, sizes binary"
     )
-    return dealt.groupBy("bucket").applyInArrow(gather, "bucket long, value long, node long, n long")
+    return dealt.groupBy("bucket").applyInArrow(gather, "bucket long, value long, node long, n long, late long")
 
 
 def _buckets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
@@ -232,31 +237,32 @@ def _buckets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[
         yield [np.concatenate(x) for x in zip(*held)]
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
+def _pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, late: np.ndarray, percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs with how often they come, those of too different sizes left out."""
     fit = np.minimum(na, nb) * 100 >= np.maximum(na, nb) * percent
-    a, b, na, nb = a[fit], b[fit], na[fit], nb[fit]
+    a, b, na, nb, late = a[fit], b[fit], na[fit], nb[fit], late[fit]
     if len(a):
         order = np.lexsort((b, a))
-        a, b, na, nb = a[order], b[order], na[order], nb[order]
+        a, b, na, nb, late = a[order], b[order], na[order], nb[order], late[order]
         first = np.flatnonzero(np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1]))))
         times = np.diff(np.append(first, len(a)))
-        columns = [a[first], b[first], na[first], nb[first], times]
-        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=["a", "b", "na", "nb", "o"])
+        columns = [a[first], b[first], na[first], nb[first], late[first], times]
+        names = ["a", "b", "na", "nb", "late", "o"]
+        yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in columns], names=names)
 
 
-PAIR = "a long, b long, na long, nb long, o long"
+PAIR = "a long, b long, na long, nb long, late long, o long"
 
 
 def _best_centres(lists: DataFrame, percent: int) -> DataFrame:
     """For each node the list centre that it shares most lists with, as ``a``, ``b``."""
 
     def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for value, node, n in _buckets(batches, ["value", "node", "n"]):
+        for value, node, n, late in _buckets(batches, ["value", "node", "n", "late"]):
             first = np.maximum.accumulate(np.where(np.insert(np.diff(value) != 0, 0, True), np.arange(len(value)), 0))
             other = np.flatnonzero(first != np.arange(len(value)))
             at = first[other]
-            yield from _pairs(node[other], node[at], n[other], n[at], percent)
+            yield from _pairs(node[other], node[at], n[other], n[at], late[other] | late[at], percent)
 
     # A list's centre is its smallest node; nodes are hashes.
     pairs = _in_order(lists, "node").mapInArrow(stars, PAIR).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
@@ -357,10 +363,10 @@ CROSS_STEP = 1 << 20
 
 
 def _between_families(lists: DataFrame, families: DataFrame, percent: int) -> DataFrame:
-    """Pairs of one list from different families whose sketches overlap enough."""
+    """Pairs of one list from different families that may be similar enough."""
 
     def cross(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for value, label, node, n in _buckets(batches, ["value", "label", "node", "n"]):
+        for value, label, node, n, late in _buckets(batches, ["value", "label", "node", "n", "late"]):
             stop = _ends(value)
             other = _ends(value, label)
             left = np.arange(len(value))
@@ -371,27 +377,29 @@ def _between_families(lists: DataFrame, families: DataFrame, percent: int) -> Da
                 count += len(left)
                 other[left] += 1
                 if count >= CROSS_STEP:
-                    yield from counted(node, n, held)
+                    yield from counted(node, n, late, held)
                     held, count = [], 0
-            yield from counted(node, n, held)
+            yield from counted(node, n, late, held)
 
-    def counted(node: np.ndarray, n: np.ndarray, held: list) -> Iterator[pa.RecordBatch]:
+    def counted(node: np.ndarray, n: np.ndarray, late: np.ndarray, held: list) -> Iterator[pa.RecordBatch]:
         if held:
             i, j = (np.concatenate(x) for x in zip(*held))
             i, j = np.where(node[i] < node[j], i, j), np.where(node[i] < node[j], j, i)
-            yield from _pairs(node[i], node[j], n[i], n[j], percent)
+            yield from _pairs(node[i], node[j], n[i], n[j], late[i] | late[j], percent)
 
     entries = lists.join(families, "node", "left").withColumn("label", F.coalesce("label", "node"))
     ordered = _in_order(entries, "label", "node")
-    pairs = ordered.mapInArrow(cross, PAIR).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
+    pairs = ordered.mapInArrow(cross, PAIR).groupBy("a", "b", "na", "nb", "late").agg(F.sum("o").alias("o"))
     a, b = F.col("na"), F.col("nb")
-    least = F.greatest(_pairs_in_common(a, b, percent), F.least(_expected(a, percent), _expected(b, percent)))
-    return pairs.where(F.col("o") >= least)
+    # With frequent shingles last, a sketch is filled first with what two sets differ in: no estimate.
+    estimate = F.when(F.col("late") == 0, F.least(_expected(a, percent), _expected(b, percent)))
+    return pairs.where(F.col("o") >= F.greatest(_pairs_in_common(a, b, percent), estimate))
 
 
 def _expected(n: Column, percent: int) -> Column:
     """Seven standard deviations below the pairs expected of two sets that are just similar enough.
 
+    Holds for sketches in the order of hashes alone.
     A pair stays if both values are shared and no other comes between: t squared of them in the
     worst case, which is that of a set with all of the other one in it.
     """

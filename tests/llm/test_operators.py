@@ -239,6 +239,19 @@ def test_blocks_are_compared_as_sets(monkeypatch):
         assert all(label[i] == label[j] for i, j in zip(*np.nonzero(got))) and (label <= np.arange(40)).all()
 
 
+def test_a_link_between_families_around_a_frequent_passage_is_compared(spark):
+    """A link that the order of frequent shingles gives few common pairs is a candidate all the same."""
+    passage = " ".join(f"p{i}" for i in range(7_200))
+    shared = " ".join(f"s{i}" for i in range(3_500))
+    rows = [(i, f"{passage} {shared} {' '.join(f'{i}own{k}' for k in range(1_300))}") for i in range(2)]
+    rows += [(i, f"{passage} {' '.join(f'{i}own{k}' for k in range(4_800))}") for i in range(2, 26)]
+    assert len({c for _, _, c, _ in brute.near_duplicates(rows)}) == 25
+    sets = bottomk.shingle_sets(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), 4)
+    apart = spark.createDataFrame([], "node long, label long")
+    pairs = table(bottomk._between_families(bottomk.inverted_lists(sets, 80), apart, 80), "a", "b")
+    assert tuple(sorted(n for n, in table(sets.where("doc_id < 2"), "node"))) in pairs
+
+
 def test_one_of_each_class_stays(docs, rows):
     kept = bottomk.one_of_each(docs, 4, 80)
     want = {i for i, _, _, k in brute.near_duplicates(rows) if k}
