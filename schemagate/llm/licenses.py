@@ -5,7 +5,8 @@ have them, and verified on the words themselves, a third word included where the
 one.  A match votes for a diagonal, its place in the text less its place in the template.  A
 phrase stands where its diagonal has all votes.  For templates of running text, diagonals next
 to each other are merged, as a word more or less moves the rest by one; their label is given
-where enough of the template is found in a span of about its length.
+where enough of the template is found in a span of about its length and the words that tell it
+from other licenses are among them.  Of overlapping notices of versions the best one stands.
 
 Templates are a fixed table of a few hundred short rows and so are broadcast.  Only matches are
 shuffled.  Rows are told apart by id and text; rows equal in both have equal results and each
@@ -48,6 +49,16 @@ TEXTS = [
     ),
 ]
 
+TELLING = {
+    "apache-2.0": ["license version 2"],
+    "gpl-3.0": ["gnu general public", "license version 3"],
+    "gpl-2.0": ["gnu general public", "license version 2"],
+    "gpl-text": ["gnu general public"],
+}
+"""Word triples without which a text is another license or version, however much else is found."""
+VERSIONS = ("apache-2.0", "gpl-3.0", "gpl-2.0")
+"""Notices that differ by their telling words alone."""
+
 NEIGHBOURS = 3
 """Diagonals at most so far apart are merged."""
 LEAST_SHARE = 0.6
@@ -68,6 +79,12 @@ def template_rows() -> list[tuple[int, str, bool, int, int, str, str, str | None
     return rows
 
 
+def telling_places(label: str) -> int:
+    """The places of a label's telling triples in its template, as bits of the first mask."""
+    words = next(text for text, own in TEXTS if own == label).split()
+    return sum(1 << [" ".join(words[i : i + 3]) for i in range(HALF)].index(triple) for triple in TELLING[label])
+
+
 def words_of(text: Column) -> Column:
     upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
     return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), upper, lower), F.lit(WORD), F.lit(0))
@@ -126,8 +143,12 @@ def _summary(found: DataFrame) -> DataFrame:
     stands = F.when(F.col("phrase"), F.col("share") == 1).otherwise(
         (F.col("share") >= LEAST_SHARE) & (F.col("last") - F.col("first") + 1 <= F.col("votes") * MOST_STRETCH)
     )
+    told = F.lit(True)
+    for label in TELLING:
+        places = F.lit(telling_places(label)).cast("long")
+        told = told & ((F.col("label") != label) | (F.col("low").bitwiseAND(places) == places))
     base = F.col("phrase")
-    return merged.where(stands).groupBy("key").agg(
+    return _best_versions(merged.where(stands & (base | told))).groupBy("key").agg(
         F.count_if(base).alias("n_base"),
         F.min(F.when(base, F.col("first"))).alias("first_word"),
         F.max(F.when(base, F.col("first"))).alias("last_word"),
@@ -137,6 +158,17 @@ def _summary(found: DataFrame) -> DataFrame:
     )
 
 
+def _best_versions(spans: DataFrame) -> DataFrame:
+    """``spans`` with one of each run of overlapping notices of versions: most found, then shortest."""
+    version = F.col("label").isin(*VERSIONS) & ~F.col("phrase")
+    in_order = Window.partitionBy("key", "version").orderBy("first", "last", "template")
+    reached = F.max("last").over(in_order.rowsBetween(Window.unboundedPreceding, -1))
+    runs = spans.withColumn("version", version).withColumn("apart", F.coalesce(F.col("first") > reached, F.lit(True)).cast("int"))
+    runs = runs.withColumn("run", F.sum("apart").over(in_order))
+    best = Window.partitionBy("key", "version", "run").orderBy(F.desc("share"), F.col("last") - F.col("first"), "template")
+    return runs.withColumn("place_in_run", F.row_number().over(best)).where(~F.col("version") | (F.col("place_in_run") == 1))
+
+
 def _templates_sql() -> str:
     text = lambda x: "NULL" if x is None else f"'{x}'" if isinstance(x, str) else str(x)
     return ", ".join("(" + ", ".join(map(text, row)) + ")" for row in template_rows())

@@ -194,6 +194,30 @@ def test_changed_license_text_is_found_on_merged_diagonals(docs):
     assert found == {"mit", "apache,apache-2.0", "gpl,gpl-text"}
 
 
+def test_versions_and_relatives_are_told_apart(spark):
+    under, header = "licensed under the {}", (
+        "this program is free software you can redistribute it and or modify it under the terms of the {} public license"
+        " as published by the free software foundation"
+    )
+    want = {
+        under.format("GNU General Public License, version 2"): "gpl,gpl-2.0",
+        under.format("GNU General Public License, version 3"): "gpl,gpl-3.0",
+        under.format("terms of the GNU General Public License, version 2"): "gpl,gpl-2.0",
+        under.format("GNU Lesser General Public License, version 2.1"): "gpl",
+        under.format("GNU Affero General Public License, version 3"): "gpl",
+        under.format("Apache License, Version 1.1"): "apache",
+        under.format("Apache License, Version 2.0"): "apache,apache-2.0",
+        under.format("GNU General Public License version 2 or the GNU General Public License version 3"): "gpl,gpl-2.0,gpl-3.0",
+        under.format("GNU General Public License version 2 license version 3"): "gpl,gpl-2.0",
+        header.format("gnu general"): "gpl,gpl-text",
+        header.format("gnu lesser general"): "gpl",
+        header.format("gnu affero general"): "gpl",
+    }
+    docs = spark.createDataFrame(list(enumerate(want)), "doc_id long, text string")
+    got = dict(table(licenses.scanned(docs), "doc_id", "labels"))
+    assert [got[i] for i in range(len(want))] == list(want.values())
+
+
 # 6: near-duplicates
 
 
