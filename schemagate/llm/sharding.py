@@ -1,10 +1,11 @@
 """Sharding by balanced label propagation.
 
 Documents with equal texts are linked; a group of them is a clique, held as one hub rather than
-as pairs.  Each round joins linked documents with the shard where most of their group is, and
-moves them there as far as its quota allows: wishes are dealt into hash buckets that keep a
-group's documents of one shard together, and the smallest buckets enter while there is room.
-No group larger than what is free enters whole; its documents stay spread, which is even too.
+as pairs.  Each round ranks a group's shards by how many of it they hold.  The first ones that
+have room for the whole group are its targets; the others' documents wish to move there, the
+first target first, as far as quotas allow: wishes are dealt into hash buckets that keep a
+group's documents of one shard together, large portions in parts, and the smallest buckets enter
+while there is room.  A group larger than what is free in a shard so fills several.
 
 The law is ``rows``: counts are at most one apart.  Linked documents over a shard's share, and
 all documents without links, fill the shards to it exactly.  Numbers in a shard are dealt in
@@ -28,6 +29,8 @@ ROUNDS = 6
 """Most rounds; it ends earlier when nobody moves."""
 QUOTA_BUCKETS = 256
 """Buckets that the wishes for a shard are dealt into."""
+PART_NODES, MOST_PARTS = 64, 64
+"""Documents of a group in one shard that move together, about; most parts of a shard's portion."""
 NODE = ["node", "doc_id", "size", "text_crc32"]
 
 
@@ -59,19 +62,40 @@ def propagated(linked: DataFrame, capacity: int, shards: int = SHARDS, rounds: i
 
 
 def _round(state: DataFrame, capacity: int, number: int) -> DataFrame:
+    parts = F.least(F.lit(MOST_PARTS), F.ceil(F.col("n") / PART_NODES)).cast("int")
     tally = state.groupBy("link", "shard").agg(F.count(F.lit(1)).alias("n"))
-    most = F.max_by("shard", F.struct("n", F.xxhash64("link", "shard", F.lit(number))))
-    wishes = state.join(tally.groupBy("link").agg(most.alias("wish")), "link")
-    bucket = F.pmod(F.xxhash64("link", "shard", F.lit(number)), F.lit(QUOTA_BUCKETS)).cast("int")
-    wishes = wishes.withColumn("bucket", bucket)
     free = state.groupBy("shard").agg((F.lit(capacity) - F.count(F.lit(1))).alias("free"))
+    # A row per link and shard; shards of a link in the order of how many of it they hold.
+    ranks = Window.partitionBy("link").orderBy(F.desc("n"), F.xxhash64("link", "shard", F.lit(number)).desc())
+    before, upto = ranks.rowsBetween(Window.unboundedPreceding, -1), ranks.rowsBetween(Window.unboundedPreceding, 0)
+    whole = Window.partitionBy("link")
+    ranked_shards = (
+        tally.join(F.broadcast(free), "shard")
+        .withColumn("room", F.greatest("free", F.lit(0)))
+        .withColumn("parts", parts)
+        .withColumn("all", F.sum("n").over(whole))
+        .withColumn("target", F.coalesce(F.sum(F.col("n") + F.col("room")).over(before), F.lit(0)) < F.col("all"))
+        .withColumn("room_upto", F.sum("room").over(upto))
+        .withColumn("moving", F.coalesce(F.sum(F.when(~F.col("target"), F.col("n"))).over(before), F.lit(0)))
+        .withColumn("targets", F.array_sort(F.collect_list(F.when(F.col("target") & (F.col("room") > 0), F.struct("room_upto", "shard"))).over(whole)))
+    )
+    # What moves is laid along the targets' rooms: a part goes where its end comes to lie.
+    portions = ranked_shards.where(~F.col("target")).withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    end = F.col("moving") + F.ceil(F.col("n") * (F.col("part") + 1) / F.col("parts"))
+    wish = F.element_at(F.filter("targets", lambda t: t["room_upto"] >= end), 1)["shard"]
+    wanted = portions.select("link", "shard", "part", wish.alias("wish"))
+    sizes = ranked_shards.where(~F.col("target")).select("link", "shard", "parts")
+    part = F.pmod(F.xxhash64("node", F.lit("part"), F.lit(number)), F.col("parts")).cast("int")
+    wishes = state.join(sizes, ["link", "shard"], "left").withColumn("part", part).join(wanted, ["link", "shard", "part"], "left")
+    bucket = F.pmod(F.xxhash64("link", "shard", "part", F.lit(number)), F.lit(QUOTA_BUCKETS)).cast("int")
+    wishes = wishes.withColumn("bucket", bucket)
     demand = wishes.where("wish != shard").groupBy("wish", "bucket").agg(F.count(F.lit(1)).alias("n"))
     # A row per shard and bucket at most.
     so_far = F.sum("n").over(Window.partitionBy("wish").orderBy("n", "bucket").rowsBetween(Window.unboundedPreceding, 0))
     room = demand.withColumn("so_far", so_far).join(free.withColumnRenamed("shard", "wish"), "wish", "left")
     granted = room.where(F.col("so_far") <= F.coalesce("free", F.lit(capacity))).select("wish", "bucket", F.lit(True).alias("granted"))
     moves = F.coalesce("granted", F.lit(False)) & (F.col("wish") != F.col("shard"))
-    answered = wishes.join(F.broadcast(granted), ["wish", "bucket"], "left").withColumn("moves", moves)
+    answered = wishes.join(F.broadcast(granted), ["wish", "bucket"], "left").withColumn("moves", F.coalesce(moves, F.lit(False)))
     return answered.select("node", "link", F.when(F.col("moves"), F.col("wish")).otherwise(F.col("shard")).alias("shard"), "moves")
 
 

@@ -163,6 +163,14 @@ def test_a_group_larger_than_a_shard_is_spread(spark):
     assert set(Counter(r.shard for r in got).values()) == {30}
 
 
+def test_a_group_larger_than_a_shard_fills_several(spark):
+    docs = spark.createDataFrame([(i, "same" if i % 3 == 0 else f"own {i}") for i in range(12_000)], "doc_id long, text string")
+    got = sharding.sharded(docs, shards=40)
+    cut = sharding.cut_share(got.where(F.col("text_crc32") == zlib.crc32(b"same")), F.col("text_crc32")).first()
+    assert 1 - cut.cut / cut.pairs >= 0.06  # at random 0.025, at best 0.075
+    assert set(Counter(r.shard for r in got.select("shard").collect()).values()) == {300}
+
+
 def test_groups_move_to_one_shard(spark):
     docs = spark.createDataFrame([(i, f"text {i // 3}" if i < 60 else f"own {i}") for i in range(400)], "doc_id long, text string")
     cut = sharding.cut_share(sharding.sharded(docs, shards=8), F.col("text_crc32")).first()
