@@ -8,8 +8,8 @@ training are tabulated for all languages, others are worked out by the same rule
 text belongs to the language that codes it shortest; the score is that language's share of the
 probability that all give it.
 
-Training takes labelled documents up to ``TRAIN_BYTES`` of text for each language, chosen by a
-hash of their ids; the table and the driver hold what that many bytes can contain.  Texts are
+Training takes labelled documents up to about ``TRAIN_BYTES`` of text for each language, and one
+at least, chosen by a hash of id and text; the table and the driver hold what these can contain.  Texts are
 scored whole, in the task that reads them; nothing is shuffled.
 
 Null texts and those without a letter are ``und`` with score 0, and so is everything when no
@@ -30,6 +30,7 @@ from schemagate.llm.common import byte_texts, text_chunks
 ORDER = 3
 TRAIN_BYTES = 4 << 20
 """Longest context in bytes; labelled text per language to learn from, about."""
+DRAWS = 1 << 62
 HELD_OUT = 2
 FOLDS = 4
 UNKNOWN = "und"
@@ -63,13 +64,16 @@ def predicted(docs: DataFrame, train_bytes: int = TRAIN_BYTES) -> DataFrame:
 
 def trained(docs: DataFrame, train_bytes: int) -> Model:
     labelled = docs.where(~held_out() & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n")).collect()
+    # 62 bits: the languages' shares of them are exact, and one more is no overflow.
+    labelled = labelled.where("text != ''").withColumn("draw", F.shiftrightunsigned(F.xxhash64("doc_id", "text", F.lit("train")), 2))
+    sizes = labelled.groupBy("lang").agg(F.sum(F.octet_length("text")).alias("n"), F.min("draw").alias("least")).collect()
     languages = sorted((r.lang for r in sizes), key=str.encode)
     if not languages:
         return Model([], [])
-    parts = 1_000_000
-    share = F.create_map(*(F.lit(x) for r in sizes for x in (r.lang, min(parts, parts * train_bytes // max(1, r.n)))))
-    chosen = F.pmod(F.xxhash64("doc_id", F.lit("train")), F.lit(parts)) < F.element_at(share, F.col("lang"))
+    # The language's first draw is taken, however small the share.
+    bound = {r.lang: max(r.least + 1, min(DRAWS, DRAWS * train_bytes // r.n)) for r in sizes}
+    share = F.create_map(*(x for lang, most in bound.items() for x in (F.lit(lang), F.lit(most).cast("long"))))
+    chosen = F.col("draw") < F.element_at(share, F.col("lang"))
     number = {language: i for i, language in enumerate(languages)}
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

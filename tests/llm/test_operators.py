@@ -100,6 +100,16 @@ def test_odd_texts_have_no_language(docs, rows):
         assert (r.lang_pred in ("en", "de") if known else r.lang_pred == "und") and 0 <= r.score <= 1
 
 
+def test_a_language_of_few_long_documents_is_learned(spark):
+    """Its share of the training bytes is less than a document, or than a millionth."""
+    texts = [("en", "the cat and the dog are there "), ("de", "der hund und die katze sind da ")]
+    rows = [(i * 2 + k, text * 40, lang) for i in range(20) for k, (lang, text) in enumerate(texts)]
+    docs = spark.createDataFrame(rows + [(1_000, "", "fr"), (1_001, None, "it")], "doc_id long, text string, lang string")
+    for train_bytes in (0, 10):
+        got = language.predicted(docs, train_bytes).where("doc_id < 1000").collect()
+        assert [r.lang_pred for r in got] == [rows[r.doc_id][2] for r in got]
+
+
 # 3: mixing
 
 
