@@ -3,7 +3,8 @@
 Words are dealt out in blocks of equal size.  Highest quotients give each source a whole number
 of blocks for its target, then each shard of a source its part of them.  Within a shard,
 documents stand in a seeded order, their words make one stream, and the quota takes blocks
-from its start, again from the start when the stream is used up.
+from its start, again from the start when the stream is used up.  What a shard can't take of its
+blocks goes to the source's other shards that have room.
 
 DataFrame operations only.  A source is split into shards of a bounded number of documents, so
 a source with a third of all rows is as many groups as its rows ask for.  What is handled in
@@ -95,10 +96,15 @@ def source_quotas(per_shard: DataFrame, block_words: int) -> DataFrame:
 
 
 def shard_quotas(shards: DataFrame, block_words: int) -> DataFrame:
-    """``words`` to take from each shard: its blocks, at most what the limit allows."""
+    """``words`` to take from each shard: its blocks, at most what the limit allows, and what others can't take."""
     named = shards.withColumn("house", F.struct("no_source", "source"))
     won = apportioned(named, "house", "shard", "shard_size", "blocks")
-    words = F.least(F.col("won") * block_words, F.col("shard_size") * MOST_TIMES)
+    most = F.col("shard_size") * MOST_TIMES
+    won = won.withColumn("own", F.least(F.col("won") * block_words, most)).withColumn("room", most - F.col("own"))
+    whole = Window.partitionBy("no_source", "source")
+    before = whole.orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.sum(F.col("won") * block_words - F.col("own")).over(whole) - F.coalesce(F.sum("room").over(before), F.lit(0))
+    words = F.col("own") + F.least("room", F.greatest(left, F.lit(0)))
     return won.select("no_source", "source", "shard", "shard_size", "source_size", "target", words.alias("words"))
 
 

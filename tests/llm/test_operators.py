@@ -142,6 +142,13 @@ def test_mix_comes_near_its_targets(docs, rows, shard_documents):
     assert sorted(r.size for r in got) == sorted(len(brute.words(t)) for _, t in rows)
 
 
+def test_a_small_source_of_short_texts_meets_its_target_in_many_shards(spark):
+    rows = [(i, "word", "small") for i in range(300)] + [(i, "w " * 40, "large") for i in range(300, 5_000)]
+    mix = mixing.mixed(spark.createDataFrame(rows, "doc_id long, text string, source string"), shard_documents=10)
+    small = mix.where("row.source = 'small'").select("target", (F.col("times") * F.col("size") + F.col("part")).alias("taken")).collect()
+    assert small[0].target == 900 and abs(sum(r.taken for r in small) - 900) <= 8 and max(r.taken for r in small) <= 3
+
+
 def test_mix_repeats_and_writes_what_it_takes(docs):
     mix = table(mixing.mixed(docs), "doc_id", "size", "times", "part")
     assert mix == table(mixing.mixed(docs.repartition(3)), "doc_id", "size", "times", "part")
