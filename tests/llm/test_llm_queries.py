@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from schemagate.llm.queries import ORACLES, QUERIES
 from schemagate.llm.repetition import MAX_COVERED, MAX_LONGEST, MIN_REPEAT
 
-SF = "/root/testdata/sf0.001"
+SF, WHOLE = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="module")
