@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, hamming, language, licenses, mixing, packing, repetition, sharding, substrings, warc
+from schemagate.llm import bottomk, hamming, interactions, language, licenses, mixing, packing, repetition, sharding, substrings, warc
 from schemagate.llm.common import documents, stored
 
 
@@ -64,6 +64,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.audited(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_language_id": op2_language_id,
@@ -75,6 +79,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op13_filter_interactions": op13_filter_interactions,
 }
 
 ORACLES: dict[str, str] = {
@@ -85,4 +90,5 @@ ORACLES: dict[str, str] = {
     "op7_warc_audit": warc.ORACLE,
     "op8_exact_top_k": hamming.ORACLE,
     "op9_quality_rules": repetition.ORACLE,
+    "op13_filter_interactions": interactions.ORACLE,
 }
