@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, hamming, interactions, language, licenses, mixing, packing, repetition, sharding, substrings, warc
+from schemagate.llm import (
+    bottomk, hamming, interactions, language, licenses, mixing, packing, positional, ranking, repetition, sharding, substrings, warc,
+)
 from schemagate.llm.common import documents, stored
 
 
@@ -64,6 +66,14 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(documents(spark, sf_dir))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranking.searched(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return positional.decontaminated(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op13_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.audited(spark, f"{sf_dir}/documents.parquet", spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
@@ -79,6 +89,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_exact_top_k": op8_exact_top_k,
     "op9_quality_rules": op9_quality_rules,
     "op10_best_fit_packing": op10_best_fit_packing,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_decontamination": op12_decontamination,
     "op13_filter_interactions": op13_filter_interactions,
 }
 
@@ -90,5 +102,7 @@ ORACLES: dict[str, str] = {
     "op7_warc_audit": warc.ORACLE,
     "op8_exact_top_k": hamming.ORACLE,
     "op9_quality_rules": repetition.ORACLE,
+    "op11_ranked_search": ranking.ORACLE,
+    "op12_decontamination": positional.ORACLE,
     "op13_filter_interactions": interactions.ORACLE,
 }
