@@ -208,13 +208,13 @@ ORACLE = rf"""
 WITH words AS (SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item_id,
     regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM benchmark),
 sized AS (SELECT *, least(len(words), {WIDTH}) AS width FROM words WHERE len(words) > 0),
-wanted AS (SELECT DISTINCT item_id, width, words[at + 1:at + width] AS phrase FROM (SELECT *, unnest(range(len(words) - width + 1)) AS at FROM sized)),
+wanted AS (SELECT DISTINCT item_id, width, words[p + 1:p + width] AS phrase FROM (SELECT *, unnest(range(len(words) - width + 1)) AS p FROM sized)),
 texts AS (SELECT row_number() OVER () AS k, doc_id,
     regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM documents),
-windows AS (SELECT k, width, at, words[at + 1:at + width] AS phrase FROM (SELECT k, words, width, unnest(range(len(words) - width + 1)) AS at
+windows AS (SELECT k, width, p, words[p + 1:p + width] AS phrase FROM (SELECT k, words, width, unnest(range(len(words) - width + 1)) AS p
     FROM texts, (SELECT DISTINCT width FROM sized) WHERE len(words) >= width)),
-found AS (SELECT k, item_id, at, w.width FROM windows w JOIN wanted USING (width, phrase)),
-hit AS (SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(at, at + width)) AS place FROM found) GROUP BY k),
+found AS (SELECT k, item_id, p, w.width FROM windows w JOIN wanted USING (width, phrase)),
+hit AS (SELECT k, count(DISTINCT place) AS n_hit FROM (SELECT k, unnest(range(p, p + width)) AS place FROM found) GROUP BY k),
 named AS (SELECT k, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id, ',' ORDER BY item_id) AS ids FROM found GROUP BY k)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
     sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
