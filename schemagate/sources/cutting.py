@@ -29,9 +29,6 @@ SET_APART = "\x1d"
 BLANKS = " \t\r\n"
 BYTE_ORDER_MARK = "\xef\xbb\xbf"
 
-_ESCAPED = re.compile(r"\\.", re.DOTALL)
-_NEXT = re.compile(r'(?:[^"{}\[\]\\]++|\\.|"(?:[^"\\]++|\\.)*+")*+([{}\[\]])', re.DOTALL)
-_STRING_END = re.compile(r'(?:[^"\\]++|\\.)*+"', re.DOTALL)
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|\\.|[{}\[\],]', re.DOTALL)
 
 # How deep a text is where its records end.
@@ -41,15 +38,6 @@ Cut = tuple[str, bool]
 """A text, and whether a record ends with it."""
 
 
-def _plain_parts(text: str) -> list[str]:
-    """Stretches between quotes: every other one lies inside a string."""
-    return (_ESCAPED.sub("", text) if "\\" in text else text).split('"')
-
-
-def _net(text: str) -> int:
-    return text.count("{") + text.count("[") - text.count("}") - text.count("]")
-
-
 def closing_depth(text: str) -> int:
     """By a document's first character: an array's records end within it."""
     return IN_ARRAY if text.removeprefix(BYTE_ORDER_MARK).lstrip(BLANKS).startswith("[") else BARE
@@ -59,18 +47,13 @@ def cut(texts: Iterable[str], closing: int, in_string: int = 0, depth: int = 0)
     """Cuts the text that ``texts`` make up in a row; what is left over comes last."""
     held: list[str] = []
     for text in texts:
-        start = at = 0
-        if in_string:
-            found = _STRING_END.match(text)
-            at = found.end() if found else len(text)
-            in_string = int(not found)
-        while found := _NEXT.match(text, at):
-            at = found.end()
-            depth += 1 if found[1] in "{[" else -1
-            if found[1] == "}" and depth <= closing:
-                yield "".join([*held, text[start:at]]), True
-                held, start = [], at
-        in_string ^= (len(_plain_parts(text[at:])) - 1) & 1
+        marks, start = Marks([text]), 0
+        places, depths = marks.objects(in_string)
+        for end in places[depths + depth <= closing].tolist():
+            yield "".join([*held, text[start:end]]), True
+            held, start = [], end
+        depth += marks.net(in_string)
+        in_string ^= marks.quotes & 1
         if start < len(text):
             held.append(text[start:])
     if held:
@@ -123,9 +106,12 @@ def lines(text: str, closing: int, opens: bool, ends: bool) -> list[str]:
 Key = tuple[int, int, int, bool]
 """File, its size, where a block starts in it, and whether the block is the whole file."""
 KEY = ["file", "size", "block", "alone"]
-MIXED = "value string, kind string"
-LINE, STATE, EDGE = "line", "state", "edge"
-STATES = "file long, size long, block long, quotes long, net_out long, net_in long, closing int"
+MIXED = "value string, kind string, of long"
+LINE, STATE, EDGE, RECUT_EDGE = "line", "state", "edge", "recut"
+STATES = (
+    "file long, size long, block long, quotes long, net_out long, net_in long, closing int,"
+    " guess int, level int, least int, cuts long"
+)
 CHUNKS = "file long, size long, block long, chunk long, text string"
 EDGES = (
     "file long, size long, block long, piece long, text string, closing int,"
@@ -141,8 +127,8 @@ def _batch(schema: str, rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict(dict(zip(_names(schema), zip(*rows))))
 
 
-def _mixed(rows: Iterable[tuple[str, str]]) -> Iterator[pa.RecordBatch]:
-    held: list[tuple[str, str]] = []
+def _mixed(rows: Iterable[tuple[str, str, int]]) -> Iterator[pa.RecordBatch]:
+    held: list[tuple[str, str, int]] = []
     for row in rows:
         held.append(row)
         if len(held) >= 2000:
@@ -191,21 +177,21 @@ def _last_marked(cuts: Iterable[Cut]) -> Iterator[tuple[str, bool, bool]]:
 
 
 def take_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Fragments (``KEY``, ``value``): files of one block to lines, other blocks to their state."""
+    """Fragments (``KEY``, ``value``) to lines; of blocks of larger files also their state and edges."""
     return _mixed(_taken_apart(batches))
 
 
-def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, int]]:
     for (file, size, block, alone), run in groupby(_block_texts(batches), key=itemgetter(0)):
         texts = (text for _, text in run)
-        first = next(texts)
-        closing = closing_depth(first) if block == 0 else None
-        texts = _chained(first, texts)
         if alone:
-            for piece, (text, _, ends) in enumerate(_last_marked(cut(_unended(texts), closing))):
-                yield from ((x, LINE) for x in lines(text, closing, piece == 0, ends))
+            first = next(texts)
+            cuts = cut(_unended(_chained(first, texts)), closing_depth(first))
+            closing = closing_depth(first)
+            for piece, (text, _, ends) in enumerate(_last_marked(cuts)):
+                yield from ((x, LINE, 0) for x in lines(text, closing, piece == 0, ends))
         else:
-            yield json.dumps(dict(zip(_names(STATES), (file, size, block, *_state(texts), closing)))), STATE
+            yield from _speculated((file, size, block), Marks(texts))
 
 
 def _chained(first: str, rest: Iterator[str]) -> Iterator[str]:
@@ -213,16 +199,96 @@ def _chained(first: str, rest: Iterator[str]) -> Iterator[str]:
     yield from rest
 
 
-def _state(texts: Iterable[str]) -> tuple[int, int, int]:
-    """Quotes, and the change in depth for a block that begins outside or inside a string."""
-    quotes, nets = 0, [0, 0]
-    for text in texts:
-        parts = _plain_parts(text)
-        odd = quotes & 1
-        nets[odd] += _net("".join(parts[0::2]))
-        nets[1 - odd] += _net("".join(parts[1::2]))
-        quotes += len(parts) - 1
-    return quotes, *nets
+_MARKS = np.isin(np.arange(256), list(b'"{}[]'))
+_FOLLOWS = re.compile(r"[ \t\r\n]*(?:\Z|\]|,[ \t\r\n]*(?:\Z|\{))")
+
+
+class Marks:
+    """The text of a block, and the brackets in it: where, which, and how many quotes came before, odd or even."""
+
+    def __init__(self, texts: Iterable[str]):
+        parts, at, self.quotes, self.first_quote = [], 0, 0, -1
+        found: list[tuple[np.ndarray, ...]] = []
+        for text in texts:
+            data = np.frombuffer(text.encode("ISO-8859-1"), np.uint8)
+            marks = np.flatnonzero(_MARKS[data])
+            if "\\" in text:
+                marks = np.setdiff1d(marks, _escaped(data), assume_unique=True)
+            quote = data[marks] == ord('"')
+            before = self.quotes + np.cumsum(quote)
+            if self.first_quote < 0 and quote.any():
+                self.first_quote = at + int(marks[quote][0])
+            found.append((marks[~quote] + at, data[marks[~quote]], (before[~quote] & 1).astype(np.int8)))
+            self.quotes += int(quote.sum())
+            at += len(text)
+            parts.append(text)
+        self.text = "".join(parts)
+        nothing = (np.empty(0, np.int64), np.empty(0, np.uint8), np.empty(0, np.int8))
+        self.place, self.mark, self.odd = (np.concatenate(x) for x in zip(nothing, *found, strict=True))
+        self.step = np.where((self.mark == ord("{")) | (self.mark == ord("[")), 1, -1)
+
+    def net(self, in_string: int) -> int:
+        """The change in depth if the block begins so."""
+        return int(self.step[self.odd == in_string].sum())
+
+    def likely_in_string(self) -> int:
+        """By what stands before the first quote: one that opens a string comes after a mark."""
+        before = self.text[max(0, self.first_quote - 100) : max(0, self.first_quote)].rstrip(BLANKS)
+        return int(before != "" and before[-1] not in "{[:,")
+
+    def objects(self, in_string: int) -> tuple[np.ndarray, np.ndarray]:
+        """Where objects end, and how deep the text is then, from the block's start."""
+        outside = self.odd == in_string
+        closed = self.mark[outside] == ord("}")
+        return self.place[outside][closed] + 1, np.cumsum(self.step[outside])[closed]
+
+
+def _escaped(data: np.ndarray) -> np.ndarray:
+    """Places of characters that a backslash takes along: those behind every other one of a run."""
+    slashes = np.flatnonzero(data == ord("\\"))
+    begins = np.diff(slashes, prepend=-2) != 1
+    first = np.maximum.accumulate(np.where(begins, np.arange(len(slashes)), 0))
+    return slashes[(np.arange(len(slashes)) - first) % 2 == 0] + 1
+
+
+def _speculated(key: tuple[int, int, int], block: Marks) -> Iterator[tuple[str, str, int]]:
+    """A block's state, the lines it holds if it begins as is likely, and its edges.
+
+    Records are taken to end where objects do that no other is around, from the block's start, if what follows
+    mostly looks like it.  Whether that was right is known when all states are; see ``stands``.
+    """
+    file, _, begin = key
+    closing = closing_depth(block.text) if begin == 0 else None
+    guess = 0 if begin == 0 else block.likely_in_string()
+    places, depths = block.objects(guess)
+    least = int(depths.min()) if len(depths) else None
+    level = least if closing is None else closing
+    ends = places[depths <= level].tolist() if least is not None else []
+    if closing is None and 2 * sum(1 for end in ends if _FOLLOWS.match(block.text, end)) < len(ends):
+        ends = []
+    state = (*key, block.quotes, block.net(0), block.net(1), closing, guess, level, least, len(ends))
+    yield json.dumps(dict(zip(_names(STATES), state, strict=True))), STATE, file
+    for piece, (start, end) in enumerate(zip([0, *ends], ends, strict=False)):
+        if piece == 0 and begin != 0:
+            yield _edge(key, piece, block.text[start:end], None, True, False, False), EDGE, file
+        else:
+            of = IN_ARRAY if closing is None else closing
+            yield from ((x, LINE, file) for x in lines(block.text[start:end], of, begin == 0 and piece == 0, False))
+    rest = block.text[ends[-1] if ends else 0 :]
+    yield _edge(key, len(ends), rest, None, False, begin == 0 and not ends, True), EDGE, file
+
+
+def _edge(*values) -> str:
+    key, *rest = values
+    return json.dumps(dict(zip(_names(EDGES), (*key, *rest), strict=True)))
+
+
+STANDS = """
+    (cuts > 0 AND guess = in_string AND level = closing - depth AND (block = 0 OR closing = 1))
+    OR (cuts = 0 AND guess = in_string AND (least IS NULL OR least > closing - depth))
+    OR (cuts = 0 AND quotes = 0 AND in_string = 1)
+"""
+"""Whether a block was cut as it is now known to begin: ``in_string``, at ``depth``, in a document whose records end at ``closing``."""
 
 
 def pack_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -240,7 +306,7 @@ def cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     return _mixed(_cut_blocks(batches))
 
 
-def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
+def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str, int]]:
     for key, run in groupby(_chunk_rows(batches), key=itemgetter(0)):
         *block, in_string, depth, closing, first, last = key
         texts = (text for _, text in run)
@@ -248,9 +314,9 @@ def _cut_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str]]:
         for piece, (text, closes, at_end) in enumerate(_last_marked(cuts)):
             opens, ends = first and piece == 0, last and at_end
             if (piece > 0 or opens) and (closes or ends):
-                yield from ((x, LINE) for x in lines(text, closing, opens, ends))
+                yield from ((x, LINE, 0) for x in lines(text, closing, opens, ends))
             else:
-                yield json.dumps(dict(zip(_names(EDGES), (*block, piece, text, closing, closes, opens, ends)))), EDGE
+                yield _edge(block, piece, text, closing, closes, opens, ends), RECUT_EDGE, 0
 
 
 def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str]]:
@@ -263,7 +329,7 @@ def _chunk_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, str]
 def cut_joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Texts put together from edges (``text``, ``closing``, ``opens``, ``ends``) to lines."""
     return _mixed(
-        (x, LINE)
+        (x, LINE, 0)
         for batch in batches
         for r in batch.to_pylist()
         for x in lines(r["text"], r["closing"], r["opens"], r["ends"])

@@ -1,16 +1,19 @@
 """Whole-document JSON: one object, or one array of records, per file.
 
 The documents are turned into lines, one record each, with its text unchanged.  All files
-are read in the blocks that Spark splits them into.  A file of a single block is cut where
-it is read.  For others that pass tells how each block begins, a second one cuts them into
-records, and only the text around block edges is put together across tasks.  The rules are
-the same, so rows do not depend on file size, compression or split size.
+are read once, in the blocks that Spark splits them into.  A file of a single block is cut where
+it is read.  A block of a larger file does not know how it begins, in a string or not and how deep,
+so it is cut as it most likely begins, and tells what it would take for that to be right: a small row.
+In order, these rows tell how each block does begin.  What is left then are the pieces around
+block edges, which are put together across tasks.  Files with a block that was cut wrongly, as
+in the middle of a very long record, are cut a second time, as each block is then known to begin.
+The rules are the same, so rows do not depend on file size, compression or split size.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from contextlib import contextmanager
+from contextlib import AbstractContextManager, contextmanager
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
@@ -18,7 +21,7 @@ from pyspark.sql import functions as F
 
 from schemagate.sources import cutting
 from schemagate.sources.cutting import (
-    CHUNKS, EDGE, EDGES, LINE, MIXED, RECORD_END, STATE, STATES, cut_blocks, cut_joined, pack_blocks, take_apart,
+    CHUNKS, EDGE, EDGES, LINE, MIXED, RECORD_END, RECUT_EDGE, STANDS, STATE, STATES, cut_blocks, cut_joined, pack_blocks, take_apart,
 )
 from schemagate.storage import delete_path, path_exists, scratch_path, setting
 
@@ -28,6 +31,9 @@ RECORD_LIMIT = 1 << 30
 # States of so many blocks are broadcast, a few MB; of more, text is shuffled to them.
 BROADCAST_STATES = 100_000
 
+# Text that a task cuts, about, where blocks are smaller than that and more than the cores need.
+TASK_BYTES = 128 << 20
+
 # Compressed text files cannot be split for reading, so none may grow without bound.
 LINES_PER_FILE = 500_000
 
@@ -58,37 +64,75 @@ def documents_to_lines(spark: SparkSession, path: str | list[str], target: str)
     if path_exists(spark, target):
         raise ValueError(f"{target} already exists")
     try:
-        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "3"):
+        with setting(spark, "spark.sql.maxConcurrentOutputFileWriters", "8"), _small_files_together(spark):
             return _write_lines(spark, path, target)
     except BaseException:
         delete_path(spark, target)
         raise
 
 
+def _small_files_together(spark: SparkSession) -> AbstractContextManager[None]:
+    """Opening a file counts as a small part of a split, however small splits are."""
+    split, opening = (_size_of(spark, f"spark.sql.files.{x}") for x in ("maxPartitionBytes", "openCostInBytes"))
+    return setting(spark, "spark.sql.files.openCostInBytes", str(min(opening, max(1, split // 32))))
+
+
+def _size_of(spark: SparkSession, key: str) -> int:
+    return spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get(key))
+
+
 def _write_lines(spark: SparkSession, path: str | list[str], target: str) -> str:
-    done, states, edges = (f"{target}/kind={kind}" for kind in (LINE, STATE, EDGE))
+    done, states, edges, recut = (f"{target}/kind={kind}" for kind in (LINE, STATE, EDGE, RECUT_EDGE))
     fragments = _fragments(spark, path)
-    _write(fragments.mapInArrow(take_apart, MIXED), target)
+    _write(_in_fewer_tasks(fragments).mapInArrow(take_apart, MIXED), target)
     if path_exists(spark, states):
-        known = spark.read.text(states, lineSep=RECORD_END).select(
-            F.inline(F.array(F.from_json("value", STATES, {"mode": "FAILFAST"})))
-        )
         stored = scratch_path(spark, "states")
         try:
-            _beginnings(known).write.parquet(stored)
-            _write(_placed(fragments, spark.read.parquet(stored)).mapInArrow(cut_blocks, MIXED), target)
+            _beginnings(_read(spark, states, STATES)).write.parquet(stored)
+            begun = spark.read.parquet(stored)
+            wrong = [r.file for r in begun.where("NOT stands").select("file").distinct().collect()]
+            right = begun.where(~F.col("file").isin(wrong)) if wrong else begun
+            pieces = _settled(_read(spark, edges, EDGES), right)
+            if wrong:
+                for file in wrong:
+                    delete_path(spark, f"{done}/of={file}")
+                again = begun.where(F.col("file").isin(wrong))
+                _write(_placed(fragments.where(F.col("file").isin(wrong)), again).mapInArrow(cut_blocks, MIXED), target)
+                if path_exists(spark, recut):
+                    pieces = pieces.unionByName(_read(spark, recut, EDGES))
+            _write(_joined(pieces).mapInArrow(cut_joined, MIXED), target)
         finally:
             delete_path(spark, stored)
-        if path_exists(spark, edges):
-            pieces = spark.read.text(edges, lineSep=RECORD_END).select(
-                F.inline(F.array(F.from_json("value", EDGES, {"mode": "FAILFAST"})))
-            )
-            _write(_joined(pieces).mapInArrow(cut_joined, MIXED), target)
     if not path_exists(spark, done):
         _writer(spark.createDataFrame([], "value string")).text(done)
     return done
 
 
+def _in_fewer_tasks(fragments: DataFrame) -> DataFrame:
+    """Small blocks one after the other in a task, so that no more files are written than text is worth."""
+    spark = fragments.sparkSession
+    blocks = fragments._jdf.queryExecution().toRdd().getNumPartitions()
+    worth = blocks * _size_of(spark, "spark.sql.files.maxPartitionBytes") // TASK_BYTES
+    return fragments.coalesce(max(1, min(blocks, max(worth, 4 * spark.sparkContext.defaultParallelism))))
+
+
+def _read(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    rows = spark.read.option("recursiveFileLookup", True).text(path, lineSep=RECORD_END)
+    return rows.select(F.inline(F.array(F.from_json("value", schema, {"mode": "FAILFAST"}))))
+
+
+def _settled(edges: DataFrame, begun: DataFrame) -> DataFrame:
+    """The pieces at the edges of blocks that were cut rightly, knowing now which block is a file's last.
+
+    That one ends with a comma which its file did not have.
+    """
+    states = begun.select(*_BLOCK, "closing", "last")
+    states = F.broadcast(states) if begun.count() <= BROADCAST_STATES else states
+    ends = F.col("ends") & F.col("last")
+    text = F.when(ends, F.substring("text", F.lit(1), F.length("text") - 1)).otherwise(F.col("text"))
+    return edges.drop("closing").join(states, _BLOCK).select(*_BLOCK, "piece", text.alias("text"), "closing", "closes", "opens", ends.alias("ends"))
+
+
 def _fragments(spark: SparkSession, path: str | list[str]) -> DataFrame:
     """Text up to each comma, with its file, block, and whether the block is the whole file."""
     paths = list(dict.fromkeys([path] if isinstance(path, str) else path))
@@ -113,11 +157,11 @@ def _writer(lines: DataFrame) -> DataFrameWriter:
 
 def _write(mixed: DataFrame, target: str) -> None:
     value = F.encode("value", "ISO-8859-1").cast("string").alias("value")
-    _writer(mixed.select(value, "kind")).mode("append").partitionBy("kind").text(target)
+    _writer(mixed.select(value, "kind", "of")).mode("append").partitionBy("kind", "of").text(target)
 
 
 def _beginnings(states: DataFrame) -> DataFrame:
-    """How each block begins, which depends on all blocks before it: one small row each."""
+    """How each block begins, which depends on all blocks before it: one small row each; and if it was cut so."""
     in_order = Window.partitionBy(*_FILE).orderBy("block")
     earlier = in_order.rowsBetween(Window.unboundedPreceding, -1)
     copies = F.count(F.lit(1)).over(Window.partitionBy(*_BLOCK))
@@ -127,22 +171,25 @@ def _beginnings(states: DataFrame) -> DataFrame:
         states.withColumn("block", once.cast("long"))
         .withColumn("in_string", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)) % 2)
         .withColumn("net", net)
+        .withColumn("depth", F.coalesce(F.sum("net").over(earlier), F.lit(0)))
+        .withColumn("closing", F.first("closing").over(in_order))
         .select(
             *_BLOCK,
             "in_string",
-            F.coalesce(F.sum("net").over(earlier), F.lit(0)).alias("depth"),
-            F.first("closing").over(in_order).alias("closing"),
+            "depth",
+            "closing",
             F.lag("block").over(in_order).isNull().alias("first"),
             F.lead("block").over(in_order).isNull().alias("last"),
+            F.expr(STANDS).alias("stands"),
         )
     )
 
 
 def _placed(fragments: DataFrame, states: DataFrame) -> DataFrame:
-    """The blocks that have a state, with it; files smaller than any of these are not opened."""
-    found = states.agg(F.count(F.lit(1)).alias("n"), F.min("size").alias("least")).first()
-    chunks = fragments.where((F.col("size") >= found.least) & ~F.col("alone")).mapInArrow(pack_blocks, CHUNKS)
-    if found.n <= BROADCAST_STATES:
+    """The blocks that have a state, with it."""
+    chunks = fragments.where(~F.col("alone")).mapInArrow(pack_blocks, CHUNKS)
+    states = states.drop("stands")
+    if states.count() <= BROADCAST_STATES:
         return chunks.join(F.broadcast(states), _BLOCK)
     return chunks.join(states.hint("shuffle_merge"), _BLOCK).sortWithinPartitions(*_BLOCK, "chunk")
 

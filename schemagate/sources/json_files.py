@@ -35,7 +35,8 @@ def read_json(
     if layout == "document":
         target = lines_path or removed_at_exit(spark, scratch_path(spark, "records"))
         written = documents_to_lines(spark, path, target)
-    records = _scan(spark, written, contract, lineSep=RECORD_END)
+    # Lines of one file lie in a folder of their own.
+    records = _scan(spark, written, contract, lineSep=RECORD_END, recursiveFileLookup="true")
     corrupt = F.col(CORRUPT)
     restored = F.translate(F.substring(corrupt, 2, 2147483647), SET_APART, RECORD_END)
     return records.withColumn(
