@@ -2,7 +2,7 @@
 
 from schemagate.billing import BILLING, billing_rules
 from schemagate.contract import Contract, Nest
-from schemagate.plans import Validation, load_in_place, load_split, validate_csv, validate_json
+from schemagate.plans import Validation, load_in_place, load_split, load_validated, validate_csv, validate_json
 
 __all__ = [
     "BILLING",
@@ -12,6 +12,7 @@ __all__ = [
     "billing_rules",
     "load_in_place",
     "load_split",
+    "load_validated",
     "validate_csv",
     "validate_json",
 ]

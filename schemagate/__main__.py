@@ -11,7 +11,7 @@ import argparse
 from pyspark.sql import SparkSession
 
 from schemagate.operators import invalid_sample, write_report
-from schemagate.plans import Validation, lay_tables, load_tables, staged, validate_csv, validate_json
+from schemagate.plans import Validation, lay_tables, load_tables, staged_report, validate_csv, validate_json
 from schemagate.sources import preview
 from schemagate.sources.documents import taken_apart
 
@@ -41,7 +41,7 @@ SAMPLE_COLUMNS = ("billing_account_id", "project")
 
 
 def run(spark: SparkSession, options: argparse.Namespace) -> dict:
-    """One parse of the input; report, sample and tables are taken from the staged rows."""
+    """One parse of the input, which counts for the report; sample and tables are taken from the staged rows."""
     if options.layout == "document":
         with taken_apart(spark, options.path) as lines:
             checked = validate_json(spark, lines, layout="cut", encoding=options.encoding, shown=",".join(options.path))
@@ -62,8 +62,7 @@ def run(spark: SparkSession, options: argparse.Namespace) -> dict:
 
 
 def _finished(spark: SparkSession, checked: Validation, options: argparse.Namespace, columns: tuple[str, ...]) -> dict:
-    with staged(checked.marked, options.folder) as rows:
-        outcome = checked.report_on(rows)
+    with staged_report(checked, options.folder) as (rows, outcome):
         if options.report:
             write_report(outcome, options.report)
         found = outcome.first().asDict(recursive=True)

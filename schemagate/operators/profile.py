@@ -7,8 +7,10 @@ and the reshaping afterwards works on a single row.  ``report`` takes all counts
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from typing import NamedTuple
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT, FAILED, Contract
 from schemagate.functions import sql
@@ -85,16 +87,45 @@ def pattern_counts(marked: DataFrame, encoding: str = "compat") -> DataFrame:
     )
 
 
-def report(
-    marked: DataFrame,
+class ReportPlan(NamedTuple):
+    """A report as counts over marked rows, and its columns over these counts."""
+
+    counts: tuple[str, ...]
+    columns: tuple[str, ...]
+
+    def over(self, marked: DataFrame) -> DataFrame:
+        """The report from one pass over ``marked``."""
+        return marked.selectExpr(*self.counts).selectExpr(*self.columns)
+
+    def observed(self, marked: DataFrame) -> tuple[DataFrame, Observation]:
+        """``marked`` with the counts taken as its rows pass by, in whatever job they are used first.
+
+        Spark adds a task's counts once it has succeeded, so tasks that are run again don't
+        count twice, as long as no exchange comes after this in the job.
+        """
+        seen = Observation()
+        return marked.observe(seen, *map(F.expr, self.counts)), seen
+
+    def of_counts(self, spark: SparkSession, counts: Mapping[str, int]) -> DataFrame:
+        """The report from counts that were taken before, by name."""
+        schema = ", ".join(f"{sql.name(n)} BIGINT" for n in counts)
+        return spark.createDataFrame([tuple(counts.values())], schema).selectExpr(*self.columns)
+
+
+def report(marked: DataFrame, contract: Contract, **settings) -> DataFrame:
+    """The whole validation record as one row, from one pass; settings as of ``report_plan``."""
+    return report_plan(contract, **settings).over(marked)
+
+
+def report_plan(
     contract: Contract,
     *,
     file_path: str,
     method: str | None = None,
     rules: Iterable[Rule] = (),
     patterns: Mapping[str, str] | None = None,
-) -> DataFrame:
-    """The whole validation record as one row, from one pass.
+) -> ReportPlan:
+    """What the report of marked rows counts and says.
 
     Without rules the verdict has no violations to weigh, and the profile columns stay out.
     """
@@ -123,4 +154,4 @@ def report(
             "CAST(array() AS ARRAY<STRING>) AS reconstruction_errors",
         ]
     columns.append(f"{sql.text(file_path)} AS file_path")
-    return marked.selectExpr(*counts).selectExpr(*columns)
+    return ReportPlan(tuple(counts), tuple(columns))

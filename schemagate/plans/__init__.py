@@ -1,4 +1,13 @@
-from schemagate.plans.loading import Loaded, lay_tables, load_in_place, load_split, load_tables, staged
+from schemagate.plans.loading import (
+    Loaded,
+    lay_tables,
+    load_in_place,
+    load_split,
+    load_tables,
+    load_validated,
+    staged,
+    staged_report,
+)
 from schemagate.plans.validation import Validation, validate_csv, validate_json
 
 __all__ = [
@@ -8,7 +17,9 @@ __all__ = [
     "load_in_place",
     "load_split",
     "load_tables",
+    "load_validated",
     "staged",
+    "staged_report",
     "validate_csv",
     "validate_json",
 ]

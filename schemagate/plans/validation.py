@@ -4,9 +4,7 @@ except that JSON documents are first turned into lines.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from dataclasses import dataclass
-from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -15,7 +13,7 @@ from schemagate.contract import CORRUPT, Contract
 from schemagate.functions.messages import reject_patterns
 from schemagate.functions.rules import Rule
 from schemagate.operators.marking import invalid_rows, mark, mark_corrupt, valid_rows
-from schemagate.operators.profile import report
+from schemagate.operators.profile import ReportPlan, report_plan
 from schemagate.sources.csv_files import read_csv
 from schemagate.sources.json_files import read_json
 
@@ -29,8 +27,12 @@ class Validation:
     """All rows with their verdict."""
     valid: DataFrame
     invalid: DataFrame
-    report_on: Callable[[DataFrame], DataFrame]
-    """The report over ``marked`` or a stored copy of it."""
+    report_plan: ReportPlan
+    """What the report counts and says."""
+
+    def report_on(self, rows: DataFrame) -> DataFrame:
+        """The report over ``marked`` or a stored copy of it."""
+        return self.report_plan.over(rows)
 
     @property
     def report(self) -> DataFrame:
@@ -69,7 +71,7 @@ def validate_csv(
         marked,
         valid_rows(marked),
         invalid_rows(marked),
-        partial(report, contract=contract, file_path=_shown(path), method=CSV_METHOD),
+        report_plan(contract, file_path=_shown(path), method=CSV_METHOD),
     )
 
 
@@ -97,9 +99,8 @@ def validate_json(
         marked,
         valid_rows(marked, placeholder=False),
         invalid_rows(marked),
-        partial(
-            report,
-            contract=contract,
+        report_plan(
+            contract,
             file_path=shown or _shown(path),
             rules=billing_rules() if rules is None else rules,
             patterns=reject_patterns(CORRUPT, encoding),

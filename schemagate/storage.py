@@ -64,6 +64,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file that is there as a whole or not at all."""
+    target, files = _located(spark, path)
+    part = target.suffix(f".{uuid.uuid4().hex}")
+    stream = files.create(part, True)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+    if not files.rename(part, target):
+        raise OSError(f"{path} can't be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, files = _located(spark, path)
+    stream = files.open(target)
+    try:
+        return spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
 def _located(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return target, target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

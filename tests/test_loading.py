@@ -1,6 +1,10 @@
 """Tables, the report file, and where intermediate files go."""
 
+import subprocess
+import sys
+import threading
 import uuid
+from pathlib import Path
 
 import pytest
 from helpers import GOOD, csv_text, flat_frame, flat_row, write_file
@@ -20,8 +24,10 @@ from schemagate.operators import (
     valid_rows,
     write_report,
 )
+from schemagate.operators import sinks
 from schemagate.operators.sinks import lay_table
-from schemagate.plans import load_in_place, load_split, staged, validate_csv, validate_json
+from schemagate.plans import load_in_place, load_split, load_validated, loading, staged, validate_csv, validate_json
+from schemagate.plans.loading import Steps
 from schemagate.sources import preview
 
 
@@ -221,3 +227,177 @@ def test_staging_does_not_sort(spark, table):
         assert "Sort" not in runs.apply(runs.size() - 1).physicalPlanDescription()
         assert rows.count() == 5
     assert spark.conf.getAll.get("spark.sql.maxConcurrentOutputFileWriters") == before
+
+
+def scans_of(spark, path, done):
+    """How many of Spark's runs during ``done`` read files below ``path``, and the bytes that runs wrote."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    before = store.executionsList().size()
+    done()
+    spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    runs = store.executionsList()
+    plans = [runs.apply(n).physicalPlanDescription() for n in range(before, runs.size())]
+    return sum(any("Location:" in line and str(path) in line for line in p.splitlines()) for p in plans), plans
+
+
+@pytest.mark.parametrize("good", [0, 3])
+def test_the_input_is_parsed_once_whatever_it_holds(spark, tmp_path, table, good):
+    rows = [flat_row(project=f"p{i}") for i in range(good)] + [flat_row(cost=None)]
+    path = write_file(tmp_path / "in", "a.csv", csv_text(*rows))
+    checked = validate_csv(spark, path)
+    n, _ = scans_of(spark, tmp_path / "in", lambda: load_valid(checked.valid, table))
+    assert n == 1 and spark.catalog.tableExists(table) == bool(good)
+    n, plans = scans_of(spark, tmp_path / "in", lambda: quarantine(checked.invalid, f"{table}_bad"))
+    assert n == 1 and sum("InsertIntoHadoopFsRelation" in p for p in plans) == 1, "rejects are written once"
+
+
+def test_a_reader_never_misses_the_table(spark, table):
+    load_valid(valid_rows(marked(spark, good=2)), table)
+    seen, stop = [], threading.Event()
+
+    def poll():
+        while not stop.is_set():
+            seen.append(spark.table(table).count())
+
+    reader = threading.Thread(target=poll)
+    reader.start()
+    try:
+        for n in (3, 4, 5, 6):
+            load_valid(valid_rows(marked(spark, good=n)), table)
+    finally:
+        stop.set()
+        reader.join()
+    assert seen == sorted(seen) and set(seen) <= {2, 3, 4, 5, 6}
+
+
+@pytest.mark.parametrize("broken", ["lay_table", "write_text", "_discard_before"])
+def test_a_load_broken_off_leaves_old_or_new_rows(spark, table, monkeypatch, broken):
+    load_valid(valid_rows(marked(spark, good=2)), table)
+    load_valid(valid_rows(marked(spark, good=3)), table)
+
+    def fail(*_, **__):
+        raise RuntimeError("killed")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(sinks, broken, fail)
+        with pytest.raises(RuntimeError, match="killed"):
+            load_valid(valid_rows(marked(spark, good=4)), table)
+    assert spark.table(table).count() == (4 if broken == "_discard_before" else 3)
+    assert load_valid(valid_rows(marked(spark, good=5)), table) == 5
+
+
+def test_two_versions_are_kept(spark, table, tmp_path):
+    for n in range(1, 6):
+        load_valid(valid_rows(marked(spark, good=n)), table, path=str(tmp_path / "v"))
+        assert len(list((tmp_path / "v").iterdir())) == min(n, 2)
+    assert spark.table(table).count() == 5
+
+
+def test_other_columns_or_a_view_give_way(spark, table):
+    spark.range(3).createOrReplaceTempView("some_rows")
+    spark.sql(f"CREATE TABLE {table} USING csv AS SELECT id FROM some_rows")
+    assert load_valid(valid_rows(marked(spark, good=2)), table) == 2
+    assert spark.table(table).columns == BILLING.target.names
+    spark.sql(f"CREATE VIEW {table}_view AS SELECT project FROM {table}")
+    assert load_valid(valid_rows(marked(spark, good=4)), f"{table}_view") == 4
+    assert spark.table(f"{table}_view").columns == BILLING.target.names
+    assert spark.table(table).count() == 2
+
+
+@pytest.mark.parametrize("in_place", [False, True])
+def test_the_report_comes_with_the_load(spark, tmp_path, table, in_place):
+    text = "\n".join(['{"cost":"1"}', "7", '{"cost":"x"}', '{"invoice":1}', "{}"] * 20)
+    path = write_file(tmp_path / "in", "a.json", text)
+    checked = validate_json(spark, path)
+    found = {}
+
+    def load():
+        folder = str(tmp_path / "rows") if in_place else None
+        found["loaded"], found["report"] = load_validated(checked, table, f"{table}_bad", folder=folder)
+        found["report"].collect()
+
+    n, plans = scans_of(spark, tmp_path / "in", load)
+    assert n == 1 and found["loaded"] == (60, 40)
+    over_stage = [p for p in plans if "count_if" in p and "FileScan parquet" in p]
+    assert over_stage == [], "the report reads nothing"
+    drop = "validation_timestamp"
+    assert found["report"].drop(drop).collect() == checked.report.drop(drop).collect()
+    assert found["report"].dtypes == checked.report.dtypes
+
+
+def test_tasks_run_again_do_not_count_twice(tmp_path):
+    code = f"""
+import os, sys
+sys.path.insert(0, {str(Path(__file__).resolve().parent.parent)!r})
+from pyspark.sql import SparkSession, functions as F
+from schemagate.plans import load_validated, validate_csv
+spark = (SparkSession.builder.master("local[2,3]").config("spark.ui.enabled", "false").config("spark.checkpoint.dir", {str(tmp_path / "shared")!r})
+    .config("spark.sql.warehouse.dir", {str(tmp_path / "tables")!r}).config("spark.sql.files.maxPartitionBytes", "2k").getOrCreate())
+checked = validate_csv(spark, {str(tmp_path / "in")!r})
+mark = {str(tmp_path / "failed")!r}
+@F.udf("string")
+def once(project):
+    if project == "p7" and not os.path.exists(mark):
+        open(mark, "w").close()
+        raise RuntimeError("lost")
+    return project
+from dataclasses import replace
+checked = replace(checked, marked=checked.marked.withColumn("project", once("project")))
+loaded, outcome = load_validated(checked, "good", "bad")
+print("RESULT", *loaded, *outcome.first()[:3], os.path.exists(mark))
+"""
+    write_file(tmp_path / "in", "a.csv", csv_text(*[flat_row(project=f"p{i}") for i in range(30)], flat_row(cost=None)))
+    ran = subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=False)
+    assert "RESULT 30 1 31 30 1 True" in ran.stdout, ran.stderr[-2000:]
+
+
+def test_a_load_goes_on_from_what_is_done(spark, tmp_path, table, monkeypatch):
+    path = write_file(tmp_path / "in", "a.csv", csv_text(*[flat_row(project=f"p{i}") for i in range(4)], flat_row(cost=None)))
+    checked, folder = validate_csv(spark, path), str(tmp_path / "rows")
+
+    class Killed(BaseException):
+        pass
+
+    def killed(*_, **__):
+        raise Killed
+
+    def attempt():
+        return load_validated(checked, table, f"{table}_bad", folder=folder)
+
+    # Killed while rows are written: what is there is written anew.
+    Steps(spark, folder).mark(Steps.BEGUN, columns=checked.marked.schema.simpleString())
+    (tmp_path / "rows" / "part-of-a-file.parquet").write_text("x")
+    with monkeypatch.context() as patch:
+        patch.setattr(loading, "load_tables", killed)
+        with pytest.raises(Killed):
+            attempt()
+    assert not (tmp_path / "rows" / "part-of-a-file.parquet").exists()
+    with monkeypatch.context() as patch:
+        patch.setattr(loading, "lay_table", killed)
+        n, _ = scans_of(spark, tmp_path / "in", lambda: pytest.raises(Killed, attempt))
+        assert n == 0, "the stage is there"
+    assert not spark.catalog.tableExists(table) and spark.table(f"{table}_bad").count() == 1
+    found = []
+    n, plans = scans_of(spark, tmp_path / "in", lambda: found.append(attempt()))
+    assert n == 0 and not any("InsertIntoHadoopFsRelation" in p for p in plans), "neither are rejects written again"
+    loaded, outcome = found[0]
+    assert loaded == (4, 1) and outcome.first()[:3] == (5, 4, 1)
+    with pytest.raises(ValueError, match="already exists"):
+        attempt()
+
+
+def test_a_folder_begun_with_other_columns_is_left_alone(spark, tmp_path):
+    Steps(spark, str(tmp_path / "rows")).mark(Steps.BEGUN, columns="struct<a:int>")
+    with pytest.raises(ValueError, match="other columns"):
+        load_in_place(marked(spark), str(tmp_path / "rows"), None, None)
+    (tmp_path / "mine").mkdir()
+    with pytest.raises(ValueError, match="already exists"):
+        load_in_place(marked(spark), str(tmp_path / "mine"), None, None)
+
+
+def test_small_texts_are_whole_or_absent(spark, tmp_path):
+    path = str(tmp_path / "a" / "note")
+    storage.write_text(spark, path, "é\n1")
+    assert storage.read_text(spark, path) == "é\n1"
+    assert [p.name for p in (tmp_path / "a").iterdir() if not p.name.startswith(".")] == ["note"]
