@@ -1,15 +1,19 @@
 """Exact top-k search over binary codes by incremental multi-index hashing.
 
-A vector's code holds the signs of its components.  Codes are cut into segments; two codes
-within Hamming distance m * (r + 1) - 1 of each other agree up to r bits in one of m segments
-at least.  Round r probes, for the queries not done yet, all segment values that differ in r
-bits, joins them with the segment index and verifies the whole distance.  A query is done when
-its k-th best verified distance is covered by the rounds so far.
+A vector's code holds the signs of its components.  Codes are cut into m segments of about log2 of
+their number in bits; two codes within Hamming distance m * (r + 1) - 1 of each other agree up to r
+bits in one of the segments at least.  Round r looks, for the queries not done yet, at all segment values
+that differ in r bits, and verifies the whole distance of the codes under them.  A query is done
+when its k-th best verified distance is covered by the rounds so far, and the radius grows until
+that is so: nothing is ever compared with all codes instead.
+
+The index of a segment is dealt by the first bits of its values, and by a hash of the code where
+many codes share them, into groups of about ``GROUP_CODES``; open queries, in blocks, go to the groups whose first bits
+are near enough.  A group gives a query's best codes back, ``top + 1`` at most and none beyond its present
+k-th distance, so what moves grows with groups and queries and not with codes met.
 
 Equal codes are one entry that keeps its k + 1 smallest ids, all that can ever be answered, so
-a group of copies costs as much as one vector.  Queries with equal codes are one query.  What is
-left after the last round, whose probes would outnumber the codes, is compared with all codes,
-block by block.
+a group of copies costs as much as one vector.  Queries with equal codes are one query.
 
 A query never answers itself; ties go to the smaller id.  Null vectors and null ids are neither
 found nor asked; zero and null components count as not positive.  An empty table gives an empty
@@ -18,26 +22,25 @@ result.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import math
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import ranked, stored
+from schemagate.llm.common import Scratch, stored
 
 BITS = 64
-SEGMENT_BITS = 16
-SEGMENTS = BITS // SEGMENT_BITS
 TOP = 10
 QUERY_EVERY = 100
 """Rows whose id this divides are queries, against all rows."""
-LAST_ROUND = 3
-"""Most bits in which probes differ: 560 probes a segment."""
-QUERY_BLOCK = 512
-"""Queries compared at a time where probing ends."""
+GROUP_CODES = 4_096
+"""Codes of a segment that are looked through together, about."""
+QUERY_BLOCK = 4_096
+"""Queries that come to a group together."""
+FOUND = "query long, code long, least long, n int, distance int"
 
 
 def codes(vectors: DataFrame) -> DataFrame:
@@ -61,95 +64,127 @@ def entries(coded: DataFrame, top: int) -> DataFrame:
     return few.groupBy("code").agg(F.array_sort(F.collect_list("vec_id")).alias("ids"))
 
 
+def segments_of(size: int) -> list[tuple[int, int]]:
+    """Where each segment starts and how many bits it has, for so many codes."""
+    number = min(8, max(2, round(BITS / math.log2(max(size, 2)))))
+    ends = [BITS * n // number for n in range(number + 1)]
+    return [(start, end - start) for start, end in zip(ends, ends[1:], strict=False)]
+
+
 def searched(vectors: DataFrame, top: int = TOP, every: int = QUERY_EVERY) -> DataFrame:
     """``query_id``, ``rank`` from 1, ``vec_id`` and ``distance`` of each query's nearest."""
-    coded = stored(codes(vectors), "codes")
-    known = stored(entries(coded, top), "entries")
+    spark = vectors.sparkSession
+    scratch = Scratch(spark)
+    coded = scratch.stored(codes(vectors), "codes")
+    known = scratch.stored(entries(coded, top), "entries")
     size = known.count()
+    segments = segments_of(size)
+    index = scratch.stored(_indexed(known, segments, size), "index")
+    buckets = scratch.stored(index.select("segment", "bucket", "parts").distinct(), "buckets")
     queries = coded.where(F.col("vec_id") % every == 0).distinct()
-    open_ = stored(queries.select(F.col("code").alias("query")).distinct(), "queries")
-    index = known.select("code", "ids", F.posexplode(F.array(*(_segment("code", s) for s in range(SEGMENTS)))).alias("segment", "value"))
-    best: DataFrame | None = None
-    for radius in range(LAST_ROUND + 1):
-        masks = F.array(*(F.lit(m) for m in _masks(radius)))
-        probes = open_.select("query", F.posexplode(F.array(*(_segment("query", s) for s in range(SEGMENTS)))).alias("segment", "own"))
-        probes = probes.select("query", "segment", F.explode(F.transform(masks, lambda m: F.col("own").bitwiseXOR(m))).alias("value"))
-        hits = probes.join(index, ["segment", "value"]).select("query", "code", "ids").where(_first_met(radius))
-        found = hits.select("query", "ids", F.bit_count(F.col("query").bitwiseXOR(F.col("code"))).alias("distance"))
-        best = found if best is None else best.join(open_, "query", "left_semi").unionByName(found)
-        best = stored(_nearest(best, top), "found")
+    open_ = queries.select(F.col("code").alias("query"), F.lit(BITS).alias("within")).distinct()
+    open_ = scratch.stored(open_, "queries")
+    best = answers = spark.createDataFrame([], FOUND)
+    radius, left = 0, open_.count() if size else 0
+    while left:
+        found = _met(open_, index, buckets, segments, radius, size, left, top)
+        best = scratch.stored(_nearest(best.join(open_, "query", "left_semi").unionByName(found), top), "found")
         # An id may be the query's own, so one more than asked for has to be covered.
-        reach = SEGMENTS * (radius + 1) - 1
-        done = _ids_within(best, reach).where(F.col("n") > top).select("query")
-        done = stored(done, "done")
-        answered = best.join(done, "query", "left_semi")
-        answers = answered if radius == 0 else answers.unionByName(answered)
-        open_ = stored(open_.join(done, "query", "left_anti"), "queries")
-        left = open_.count()
-        if not left or len(_masks(radius + 1)) * SEGMENTS > size:
-            break
-    if left:
-        answers = answers.unionByName(_nearest(_scanned(open_, known, top), top))
-    pairs = queries.select(F.col("vec_id").alias("query_id"), F.col("code").alias("query")).join(answers, "query")
+        reach = len(segments) * (radius + 1) - 1
+        whole = radius == max(bits for _, bits in segments)
+        covered = F.sum(F.when(F.col("distance") <= reach, F.col("n")).otherwise(0))
+        enough = F.sum("n") > top
+        state = best.groupBy("query").agg(((covered > top) | F.lit(whole)).alias("done"), F.when(enough, F.max("distance")).alias("last"))
+        state = scratch.stored(state, "state")
+        answers = answers.unionByName(best.join(state.where("done"), "query", "left_semi"))
+        still = open_.join(state, "query", "left").where(~F.coalesce("done", F.lit(whole)))
+        open_ = scratch.stored(still.select("query", F.coalesce("last", "within").alias("within")), "queries")
+        left, radius = open_.count(), radius + 1
+    with_ids = answers.join(known, "code").select("query", "distance", "ids")
+    pairs = queries.select(F.col("vec_id").alias("query_id"), F.col("code").alias("query")).join(with_ids, "query")
     rows = pairs.select("query_id", "distance", F.explode("ids").alias("vec_id")).where("vec_id != query_id")
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy("distance", "vec_id"))
-    return rows.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "distance")
+    result = rows.withColumn("rank", rank).where(F.col("rank") <= top).select("query_id", "rank", "vec_id", "distance")
+    result = stored(result, "nearest")
+    scratch.remove()
+    return result
 
 
-def _segment(code: str, number: int):
-    return F.shiftrightunsigned(code, SEGMENT_BITS * number).bitwiseAND(F.lit((1 << SEGMENT_BITS) - 1).cast("long"))
+def _segment(code: str, start: int, bits: int) -> Column:
+    return F.shiftrightunsigned(code, start).bitwiseAND(F.lit((1 << bits) - 1).cast("long"))
 
 
-def _masks(radius: int) -> list[int]:
-    return [sum(1 << b for b in bits) for bits in combinations(range(SEGMENT_BITS), radius)]
+def _first_bits(size: int, segments: list[tuple[int, int]]) -> int:
+    """How many first bits of a segment's value tell its bucket."""
+    return min(max(0, math.ceil(math.log2(max(1, size) / GROUP_CODES))), min(bits for _, bits in segments))
 
 
-def _first_met(radius: int):
+def _in_segments(code: str, segments: list[tuple[int, int]], first: int) -> Column:
+    """``segment``, ``value`` and ``bucket`` of a code, once for each segment."""
+    parts = (
+        F.struct(F.lit(n).alias("segment"), _segment(code, *at).alias("value"), F.shiftrightunsigned(_segment(code, *at), at[1] - first).alias("bucket"))
+        for n, at in enumerate(segments)
+    )
+    return F.inline(F.array(*parts))
+
+
+def _indexed(known: DataFrame, segments: list[tuple[int, int]], size: int) -> DataFrame:
+    """Every code under each of its segments' values; ``part`` deals buckets of many codes, ``parts`` is into how many."""
+    spread = known.select("code", F.element_at("ids", 1).alias("least"), F.size("ids").alias("n"), _in_segments("code", segments, _first_bits(size, segments)))
+    many = spread.groupBy("segment", "bucket").agg(F.ceil(F.count(F.lit(1)) / (2 * GROUP_CODES)).alias("parts"))
+    part = F.pmod(F.xxhash64("code"), F.col("parts")).alias("part")
+    return spread.join(many, ["segment", "bucket"]).select("segment", "bucket", part, "parts", "value", "code", "least", "n")
+
+
+def _met(
+    open_: DataFrame, index: DataFrame, buckets: DataFrame, segments: list[tuple[int, int]], radius: int, size: int, n_queries: int, top: int
+) -> DataFrame:
+    """The best codes of each query, per group, among those whose nearest segment differs in ``radius`` bits."""
+    first, blocks = _first_bits(size, segments), -(-n_queries // QUERY_BLOCK)
+    masks = [sum(1 << b for b in bits) for r in range(min(radius, first) + 1) for bits in combinations(range(first), r)]
+    block = F.pmod(F.xxhash64("query"), F.lit(blocks)).alias("block")
+    near = open_.select("query", "within", block, _in_segments("query", segments, first))
+    near = near.withColumn("mask", F.explode(F.array(*(F.lit(m).cast("long") for m in masks))))
+    near = near.withColumn("bucket", F.col("bucket").bitwiseXOR(F.col("mask"))).drop("mask")
+    near = near.join(buckets, ["segment", "bucket"]).withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)))
+    codes_ = index.withColumn("block", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))))
+    group = ["segment", "bucket", "part", "block"]
+
+    def met(queries: pa.Table, held: pa.Table) -> pa.Table:
+        rows = [np.empty((5, 0), np.int64)]
+        if len(queries) and len(held):
+            segment = queries.column("segment")[0].as_py()
+            value, code, least, n = (held.column(c).to_numpy() for c in ("value", "code", "least", "n"))
+            for query, own, within in zip(*(queries.column(c).to_pylist() for c in ("query", "value", "within")), strict=True):
+                at = np.flatnonzero(np.bitwise_count(value ^ own) == radius)
+                apart = code[at] ^ np.int64(query)
+                distance = np.bitwise_count(apart.view(np.uint64)).astype(np.int64)
+                keep = (distance <= within) & first_met(apart, segment, segments, radius)
+                at, distance = at[keep], distance[keep]
+                order = np.lexsort((least[at], distance))[: top + 1]
+                at = at[order]
+                rows.append(np.stack([np.full(len(at), query), code[at], least[at], n[at], distance[order]]))
+        query, code, least, n, distance = np.hstack(rows)
+        return pa.table({"query": query, "code": code, "least": least, "n": n.astype(np.int32), "distance": distance.astype(np.int32)})
+
+    return near.groupBy(*group).cogroup(codes_.groupBy(*group)).applyInArrow(met, FOUND)
+
+
+def first_met(apart: np.ndarray, segment: int, segments: list[tuple[int, int]], radius: int) -> np.ndarray:
     """Keep a code for one segment only: the first that differs in ``radius`` bits, none in fewer."""
-    apart = [F.bit_count(_segment("query", s).bitwiseXOR(_segment("code", s))) for s in range(SEGMENTS)]
-    first = F.lit(None).cast("int")
-    for s in reversed(range(SEGMENTS)):
-        first = F.when(apart[s] == radius, F.lit(s)).otherwise(first)
-    return (F.least(*apart) == radius) & (first == F.col("segment"))
+    keep = np.ones(len(apart), bool)
+    for n, (start, bits) in enumerate(segments):
+        differ = np.bitwise_count((apart.view(np.uint64) >> np.uint64(start)) & np.uint64((1 << bits) - 1))
+        keep &= differ > radius if n < segment else differ >= radius
+    return keep
 
 
 def _nearest(found: DataFrame, top: int) -> DataFrame:
     """The codes nearest to each query, as many as can hold its answers."""
-    ordered = Window.partitionBy("query").orderBy("distance", F.element_at("ids", 1))
+    ordered = Window.partitionBy("query").orderBy("distance", "least")
     return found.withColumn("place", F.row_number().over(ordered)).where(F.col("place") <= top + 1).drop("place")
 
 
-def _ids_within(best: DataFrame, reach: int) -> DataFrame:
-    return best.where(F.col("distance") <= reach).groupBy("query").agg(F.sum(F.size("ids")).alias("n"))
-
-
-def _scanned(open_: DataFrame, known: DataFrame, top: int) -> DataFrame:
-    """Each open query against all codes, in blocks of queries, a few best kept per block of codes."""
-    blocks = ranked(open_, [], [F.col("query")], "number").groupBy((F.col("number") / QUERY_BLOCK).cast("long").alias("block")).agg(
-        F.collect_list("query").alias("queries")
-    )
-    parts = max(1, known.count() // 100_000)
-    dealt = known.withColumn("part", F.pmod(F.xxhash64("code"), F.lit(parts)))
-    every = blocks.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
-
-    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
-        rows: list[list] = [[], [], []]
-        if len(right):
-            code = right.column("code").to_numpy()
-            ids = right.column("ids").to_pylist()
-            first = np.array([x[0] for x in ids])
-            for queries in left.column("queries").to_pylist():
-                for query in queries:
-                    distance = np.bitwise_count((code ^ np.int64(query)).view(np.uint64))
-                    for at in np.lexsort((first, distance))[: top + 1].tolist():
-                        rows[0].append(query)
-                        rows[1].append(ids[at])
-                        rows[2].append(int(distance[at]))
-        return pa.table({"query": pa.array(rows[0], pa.int64()), "ids": pa.array(rows[1], pa.list_(pa.int64())), "distance": pa.array(rows[2], pa.int32())})
-
-    return every.groupBy("part").cogroup(dealt.groupBy("part")).applyInArrow(compare, "query long, ids array<long>, distance int")
-
-
 ORACLE = f"""
 WITH codes AS (SELECT DISTINCT vec_id, list_reduce(list_transform(range(len(embedding)), lambda i:
     CASE WHEN embedding[i + 1] > 0 THEN (1::UBIGINT << (i % {BITS})::UBIGINT) ELSE 0::UBIGINT END), lambda a, b: xor(a, b)) AS code

@@ -66,7 +66,7 @@ LEAST_SHARE = 0.6
 MOST_STRETCH = 1.5
 """Longest span, in lengths of the template."""
 HALF = 60
-"""Votes kept in one of the two bit masks; a template has at most twice as many triples."""
+"""Votes kept in one of the two bit masks; a template has at most twice as many triples, which is checked."""
 
 
 def template_rows() -> list[tuple[int, str, bool, int, int, str, str, str | None]]:
@@ -75,6 +75,8 @@ def template_rows() -> list[tuple[int, str, bool, int, int, str, str, str | None
     for number, (text, label) in enumerate(PHRASES + TEXTS):
         words, phrase = text.split(), number < len(PHRASES)
         grams = [(*words, None)] if len(words) == 2 else list(zip(words, words[1:], words[2:], strict=False))
+        if len(grams) > 2 * HALF:
+            raise ValueError(f"the template of {label} has more than {2 * HALF} word triples")
         rows += [(number, label, phrase, place, len(grams), *gram) for place, gram in enumerate(grams)]
     return rows
 
@@ -174,6 +176,12 @@ def _templates_sql() -> str:
     return ", ".join("(" + ", ".join(map(text, row)) + ")" for row in template_rows())
 
 
+def _telling_sql() -> str:
+    """For each label with telling words, whether a span has all their places."""
+    places = {label: [k for k in range(HALF) if telling_places(label) >> k & 1] for label in TELLING}
+    return " ".join(f"WHEN '{label}' THEN list_has_all(places, {own})" for label, own in places.items())
+
+
 ORACLE = f"""
 WITH templates(template, label, phrase, votes_place, votes, t1, t2, t3) AS (VALUES {_templates_sql()}),
 texts AS (SELECT row_number() OVER () AS k, doc_id, regexp_extract_all(
@@ -186,13 +194,20 @@ marked AS (SELECT *, CASE WHEN phrase OR diagonal - lag(diagonal) OVER (PARTITIO
     THEN 1 ELSE 0 END AS new FROM found),
 grouped AS (SELECT *, CASE WHEN phrase THEN diagonal
     ELSE sum(new) OVER (PARTITION BY k, template ORDER BY diagonal, pos ROWS UNBOUNDED PRECEDING) END AS grp FROM marked),
-merged AS (SELECT k, template, label, phrase, votes, min(pos) AS first, max(pos) AS last, count(DISTINCT place) / votes AS share
+merged AS (SELECT k, template, label, phrase, votes, min(pos) AS first, max(pos) AS last, count(DISTINCT place) / votes AS share, list(DISTINCT place) AS places
     FROM grouped GROUP BY k, template, label, phrase, votes, grp),
 stands AS (SELECT * FROM merged WHERE CASE WHEN phrase THEN share = 1
     ELSE share >= {LEAST_SHARE} AND last - first + 1 <= votes * {MOST_STRETCH} END),
+told AS (SELECT *, NOT phrase AND label IN ({", ".join(f"'{x}'" for x in VERSIONS)}) AS version FROM stands
+    WHERE phrase OR CASE label {_telling_sql()} ELSE true END),
+apart AS (SELECT *, coalesce(first > max(last) OVER (PARTITION BY k, version ORDER BY first, last, template
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS apart FROM told),
+runs AS (SELECT *, count(*) FILTER (apart) OVER (PARTITION BY k, version ORDER BY first, last, template ROWS UNBOUNDED PRECEDING) AS run FROM apart),
+best AS (SELECT *, row_number() OVER (PARTITION BY k, version, run ORDER BY share DESC, last - first, template) AS place_in_run FROM runs),
 summed AS (SELECT k, count(*) FILTER (phrase) AS n_base, min(first) FILTER (phrase) AS first_word, max(first) FILTER (phrase) AS last_word,
     string_agg(DISTINCT label, ',' ORDER BY label) FILTER (phrase) AS base_labels,
-    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score FROM stands GROUP BY k)
+    string_agg(DISTINCT label, ',' ORDER BY label) AS labels, max(share) AS score
+    FROM best WHERE NOT version OR place_in_run = 1 GROUP BY k)
 SELECT doc_id, CAST(len(words) AS BIGINT) AS n_words, coalesce(n_base, 0) AS n_base, first_word, last_word,
     coalesce(base_labels, '') AS base_labels, coalesce(labels, '') AS labels, coalesce(score, 0.0) AS score
 FROM texts LEFT JOIN summed USING (k)

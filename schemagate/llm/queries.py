@@ -47,11 +47,9 @@ def op7_warc_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages as WARC records against a replica in which every 97th page's neighbours are damaged."""
     pages = spark.read.parquet(f"{sf_dir}/pages.parquet")
     laid = stored(warc.manifest(pages, {"first": lambda content: content, "second": warc.damaged}), "manifest")
-    found = warc.audited(warc.leaves(laid, "first"), warc.leaves(laid, "second"))
-    fault = F.when(F.col("found.second").isNull(), "lost").otherwise("changed").alias("fault")
-    places = laid.select("file", "offset", "page_id").alias("laid").join(found.alias("found"), ["file", "offset"])
-    named = places.select("page_id", fault)
-    return named.join(pages.select("page_id", "url"), "page_id").select("page_id", "url", "fault")
+    found = warc.audited(warc.leaves(laid, "first"), warc.leaves(laid, "second")).select("file", "offset", F.col("second").alias("copy"))
+    fault = F.when(F.col("copy").isNull(), "lost").otherwise("changed").alias("fault")
+    return laid.select("file", "offset", "page_id", "url").join(found, ["file", "offset"]).select("page_id", "url", fault)
 
 
 def op8_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -18,6 +18,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from schemagate.llm.common import Scratch, stored
+
 FILE_RECORDS = 2_000
 """Records of a WARC file, about."""
 LEAF_BYTES = 1 << 18
@@ -41,7 +43,7 @@ def record(page_id: Column, url: Column, html: Column) -> Column:
 
 
 def manifest(pages: DataFrame, replicas: dict[str, Callable[[Column], Column]], file_records: int = FILE_RECORDS) -> DataFrame:
-    """``file``, ``offset``, ``length``, ``page_id`` of each page's record, and per replica its SHA-256.
+    """``file``, ``offset``, ``length``, ``page_id`` and ``url`` of each page's record, and per replica its SHA-256.
 
     A replica is what it makes of a record; null is a record that it has lost.  Pages are dealt
     to files by a hash of id and address, so that a file holds a bounded number.  Contents are
@@ -50,14 +52,14 @@ def manifest(pages: DataFrame, replicas: dict[str, Callable[[Column], Column]],
     files = max(1, -(-pages.count() // file_records))
     content = record(F.col("page_id"), F.col("url"), F.col("html"))
     rows = pages.select(
-        F.pmod(F.xxhash64("page_id", "url"), F.lit(files)).alias("file"), "page_id", content.alias("content")
+        F.pmod(F.xxhash64("page_id", "url"), F.lit(files)).alias("file"), "page_id", "url", content.alias("content")
     ).select(
-        "file", "page_id", F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("__digest"),
+        "file", "page_id", "url", F.octet_length("content").cast("long").alias("length"), F.sha2("content", 256).alias("__digest"),
         *(F.sha2(copy(F.col("content")), 256).alias(name) for name, copy in replicas.items()),
     )
     before = Window.partitionBy("file").orderBy("page_id", "__digest").rowsBetween(Window.unboundedPreceding, -1)
     offset = F.coalesce(F.sum("length").over(before), F.lit(0))
-    return rows.select("file", offset.alias("offset"), "length", "page_id", *replicas)
+    return rows.select("file", offset.alias("offset"), "length", "page_id", "url", *replicas)
 
 
 def leaves(of: DataFrame, replica: str) -> DataFrame:
@@ -65,32 +67,40 @@ def leaves(of: DataFrame, replica: str) -> DataFrame:
     return of.where(F.col(replica).isNotNull()).select("file", "offset", F.col(replica).alias("digest"))
 
 
-def trees(records: DataFrame) -> list[DataFrame]:
+def trees(records: DataFrame, scratch: Scratch) -> list[DataFrame]:
     """A frame per level, records first: ``file``, ``node``, its ``parent`` and ``digest``.
 
     A node's digest covers its children's offsets and digests in order; one without any is absent.
+    Each level is written once and the next one made from it, so that no level is made twice.
     """
     parent = F.floor(F.col("offset") / LEAF_BYTES)
-    levels = [records.select("file", F.col("offset").alias("node"), parent.alias("parent"), "digest")]
+    levels = [scratch.stored(records.select("file", F.col("offset").alias("node"), parent.alias("parent"), "digest"), "records")]
     for level in range(1, LEVELS + 1):
         inner = levels[-1].groupBy("file", "parent").agg(F.array_sort(F.collect_list(F.struct("node", "digest"))).alias("below"))
         joined = F.array_join(F.transform("below", lambda x: F.concat_ws(":", x["node"].cast("string"), x["digest"])), "\n")
         above = F.floor(F.col("parent") / FANOUT) if level < LEVELS - 1 else F.lit(0)
-        levels.append(inner.select("file", F.col("parent").alias("node"), above.cast("long").alias("parent"), F.sha2(joined, 256).alias("digest")))
+        nodes = inner.select("file", F.col("parent").alias("node"), above.cast("long").alias("parent"), F.sha2(joined, 256).alias("digest"))
+        levels.append(scratch.stored(nodes, "nodes"))
     return levels
 
 
 def audited(first: DataFrame, second: DataFrame) -> DataFrame:
-    """``file``, ``offset`` and both digests of each record that differs between two replicas' leaves."""
-    left, right = trees(first), trees(second)
+    """``file``, ``offset`` and both digests of each record that differs between two replicas' leaves.
+
+    What differs on a level is written before the next is looked at.
+    """
+    scratch = Scratch(first.sparkSession)
+    left, right = trees(first, scratch), trees(second, scratch)
     differing: DataFrame | None = None
     for a, b in zip(reversed(left), reversed(right), strict=True):
         if differing is not None:
             suspects = differing.select("file", F.col("node").alias("parent")).distinct()
             a, b = (x.join(suspects, ["file", "parent"], "left_semi") for x in (a, b))
         pairs = _numbered(a, "first").join(_numbered(b, "second"), ["file", "node", "copy"], "full")
-        differing = pairs.where(~F.col("first").eqNullSafe(F.col("second")))
-    return differing.select("file", F.col("node").alias("offset"), "first", "second")
+        differing = scratch.stored(pairs.where(~F.col("first").eqNullSafe(F.col("second"))), "differing")
+    found = stored(differing.select("file", F.col("node").alias("offset"), "first", "second"), "damage")
+    scratch.remove()
+    return found
 
 
 def _numbered(nodes: DataFrame, name: str) -> DataFrame:

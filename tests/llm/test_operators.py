@@ -11,7 +11,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from schemagate.llm import bottomk, components, hamming, language, licenses, mixing, packing, repetition, sharding, substrings, warc
+from schemagate.llm import bottomk, common, components, hamming, language, licenses, mixing, packing, repetition, sharding, substrings, warc
 
 
 def table(df, *columns):
@@ -327,6 +327,29 @@ def test_audit_finds_every_fault_and_nothing_else(spark):
     assert warc.audited(warc.leaves(laid, "a"), warc.leaves(laid, "a")).count() == 0
 
 
+PAGES = "page_id long, url string, html string"
+
+
+def test_audit_of_odd_pages(spark):
+    long = "<p>é</p>" * 300_000
+    rows = [(i, f"http://h/{i}", "x" * (i % 9)) for i in range(200)] + [(3, "http://h/3", "xxx"), (3, "other", None)]
+    rows += [(None, None, "no id"), (None, "u", None), (5, None, ""), (100 + 97 * 3, None, long), (97 * 4 + 3, "long", long)]
+    pages = spark.createDataFrame(rows, PAGES).selectExpr("*", "'x' AS file", "1 AS offset", "2 AS length", "3 AS node", "'y' AS a")
+    laid = common.stored(warc.manifest(pages, {"a": lambda c: c, "b": warc.damaged}, file_records=50), "laid")
+    found = warc.audited(warc.leaves(laid, "a"), warc.leaves(laid, "b")).join(laid, ["file", "offset"])
+    want = [(i, u, i % 97 == 7) for i, u, _ in rows if i is not None and i % 97 in (3, 5, 7)]
+    assert table(found, "page_id", "url", F.col("second").isNull()) == plain(want)
+
+
+def test_levels_only_add_writes(spark, monkeypatch):
+    monkeypatch.setattr(warc, "LEVELS", 9)
+    pages = spark.createDataFrame([(i, "u", "x" * 50) for i in range(200)], PAGES)
+    laid = common.stored(warc.manifest(pages, {"a": lambda c: c, "b": warc.damaged}, file_records=50), "laid")
+    found = warc.audited(warc.leaves(laid, "a"), warc.leaves(laid, "b"))
+    assert found.count() == sum(i % 97 in (3, 5, 7) for i in range(200))
+    assert "Exchange" not in found._jdf.queryExecution().toString()
+
+
 def test_records_follow_each_other_in_files(spark):
     pages = spark.createDataFrame([(i, "u", "x" * i) for i in range(50)], "page_id long, url string, html string")
     content = warc.record(F.col("page_id"), F.col("url"), F.col("html"))
@@ -360,6 +383,34 @@ def test_search_equals_comparing_all(spark, spread):
     assert got == plain(brute.nearest(coded, queries, 5))
 
 
+@pytest.mark.parametrize(("group", "block"), [(4_096, 4_096), (16, 7)])
+def test_search_over_small_groups_and_clashing_columns(spark, monkeypatch, group, block):
+    monkeypatch.setattr(hamming, "GROUP_CODES", group)
+    monkeypatch.setattr(hamming, "QUERY_BLOCK", block)
+    rng = random.Random(group)
+    # A third shares the low half of its bits, so one segment value is hot.
+    low = [rng.gauss(0, 1) for _ in range(32)]
+    vectors = [(i, (low if i % 3 == 0 else [rng.gauss(0, 1) for _ in range(32)]) + [rng.gauss(0, 1) for _ in range(32)]) for i in range(600)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>").selectExpr("*", "1 AS code", "2 AS query", "'x' AS segment", "3 AS n")
+    coded = [tuple(r) for r in hamming.codes(df).collect()]
+    got = table(hamming.searched(df, top=4, every=25), "query_id", "rank", "vec_id", "distance")
+    assert got == plain(brute.nearest(coded, [c for c in coded if c[0] % 25 == 0], 4))
+
+
+def test_fewer_codes_than_asked_for(spark):
+    vectors = [(i, [1.0 if i >> b & 1 else -1.0 for b in range(4)] * 16) for i in range(0, 12, 3)]
+    df = spark.createDataFrame(vectors, "vec_id long, embedding array<float>")
+    coded = [tuple(r) for r in hamming.codes(df).collect()]
+    got = table(hamming.searched(df, top=10, every=3), "query_id", "rank", "vec_id", "distance")
+    assert got == plain(brute.nearest(coded, coded, 10)) and len(got) == 12
+
+
+def test_segments_cover_all_bits_once():
+    for size in (0, 1, 500, 50_000, 10**9):
+        segments = hamming.segments_of(size)
+        assert [b for start, bits in segments for b in range(start, start + bits)] == list(range(64))
+
+
 # 9: quality
 
 
