@@ -34,12 +34,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemagate.llm.common import WORD, WordHashes, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
+from schemagate.llm.common import WORD, WordHashes, byte_texts, covered, give_back, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
 
 WIDTH = 13
-GROUP_SUFFIXES = 2_000_000
+GROUP_SUFFIXES = 1_000_000
 """Suffixes from which a prefix is replaced by longer ones, and about what a group holds."""
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 """Text of a block, about: what one task has in memory at a time."""
 
 NO_ID = np.iinfo(np.int64).max
@@ -70,12 +70,15 @@ def deduplicated(
     )
 
     def sent(block: pa.Table) -> pa.Table:
+        give_back()
         return _table(_Block(block, width, plan).labels())
 
     def sent_again(block: pa.Table, answers: pa.Table) -> pa.Table:
+        give_back()
         return _table(_Block(block, width, plan).candidates(_bits(answers)))
 
     def cut(block: pa.Table, answers: pa.Table, seen: pa.Table) -> pa.Table:
+        give_back()
         return _Block(block, width, plan).cut(_bits(answers), _bits(seen))
 
     def cut_by(block: pa.Table, answers: pa.Table) -> pa.Table:
@@ -202,6 +205,7 @@ class _Block:
         self.nodes, first, self.node_of = np.unique(labels, return_index=True, return_inverse=True)
         self.owner = self.ids[owners(self.ends)[self.starts]] if len(self.starts) else np.empty(0, np.int64)
         self.first = self.owner[first]
+        del labels
         groups = plan.groups_of(words, self.starts[first]) if len(first) else np.empty(0, np.int64)
         self.by_group = np.argsort(groups, kind="stable")
         self.groups, begin = np.unique(groups[self.by_group], return_index=True)
@@ -262,6 +266,7 @@ class _Block:
 
 def _shared(nodes: pa.Table) -> pa.Table:
     """A bit for each label sent: whether another block has sent it too."""
+    give_back()
     sent = [unpacked(x.as_py()) for x in nodes.column("labels")]
     values, at, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
     return _answers(nodes, np.split(counts[at] > 1, np.cumsum([len(x) for x in sent])[:-1]))
@@ -269,6 +274,7 @@ def _shared(nodes: pa.Table) -> pa.Table:
 
 def _earlier(nodes: pa.Table) -> pa.Table:
     """A bit for each node sent: whether a smaller document than the block's has it too."""
+    give_back()
     sent = [unpacked(x.as_py()) for x in nodes.column("labels")]
     firsts = np.concatenate([unpacked(x.as_py(), False) for x in nodes.column("firsts")]).view(np.int64)
     values, at = np.unique(np.concatenate(sent), return_inverse=True)
