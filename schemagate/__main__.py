@@ -30,7 +30,7 @@ def arguments(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--message-style", choices=["compat", "clean"], default="compat")
     parser.add_argument("--ragged", choices=["permissive", "reject"], default="permissive")
     parser.add_argument("--strict-header", action="store_true")
-    parser.add_argument("--multi-line", action="store_true")
+    parser.add_argument("--multi-line", nargs="?", const=True, default=False, choices=["split"])
     parser.add_argument("--escape", default='"')
     parser.add_argument("--encoding", choices=["compat", "strict"], default="compat")
     return parser.parse_args(argv)
