@@ -1,4 +1,12 @@
-"""A corpus from documents: judge, drop near copies, cut repeats, mix sources, pack."""
+"""A corpus from documents: judge, drop near copies, cut repeats, mix sources, pack.
+
+All stages but the last give the columns of ``documents``, whatever others these have.  Null
+and empty texts are rejected by the first stage, which asks for 50 words.  Of rows with a null or a
+repeated ``doc_id`` each is a document: in the second stage a group keeps one row, in the third rows
+of one id are no copies of each other.  A null source is the last source of the mix.  Very long texts
+are worked on whole.  A table without rows, or one of which a stage keeps nothing, gives none from
+there on.
+"""
 
 from __future__ import annotations
 
