@@ -68,3 +68,27 @@ def test_stages_do_what_their_plain_versions_do(spark, tmp_path):
     assert abs(sum(taken.values()) - sum(sizes.values())) <= 8 * 21
     assert docs.agg(F.sum("length")).first()[0] >= sum(taken.values())
     assert docs.groupBy("sequence_id").agg(F.sum("length").alias("n")).where("n > 1024").count() == 0
+
+
+def through(spark, docs, folder):
+    """The columns and rows that each stage gives, written and read again."""
+    found = []
+    for name, stage in corpus_pipeline.STAGES:
+        path = str(folder / name.replace(" ", "-"))
+        stage(spark, docs, SF).write.parquet(path)
+        docs = spark.read.parquet(path)
+        found.append((docs.columns, docs.count()))
+    return found
+
+
+def test_stages_of_odd_rows_with_clashing_columns(spark, wide_docs, docs, tmp_path):
+    wide = through(spark, wide_docs, tmp_path / "wide")
+    assert all(columns == wide_docs.columns for columns, _ in wide[:-1])
+    plain = through(spark, docs, tmp_path / "plain")
+    assert [n for _, n in wide[:3]] == [n for _, n in plain[:3]] and plain[0][1] > plain[1][1] > 0
+
+
+def test_stages_of_nothing(spark, no_docs, tmp_path):
+    found = through(spark, no_docs, tmp_path)
+    assert [n for _, n in found] == [0] * len(found)
+    assert all(columns == no_docs.columns for columns, _ in found[:-1])
