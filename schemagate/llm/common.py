@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +13,6 @@ from pyspark.sql import functions as F
 
 from schemagate.storage import delete_path, scratch_path
 
-_LIBC = ctypes.CDLL(None)
 pa.set_memory_pool(pa.system_memory_pool())  # workers give back what a batch took
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,11 +56,6 @@ class Scratch:
             delete_path(self.spark, path)
 
 
-def give_back() -> None:
-    """Have the C library hand memory that a worker has freed back to the machine."""
-    _LIBC.malloc_trim(0)
-
-
 def quoted(column: str) -> str:
     return "`" + column.replace("`", "``") + "`"
 
