@@ -112,7 +112,10 @@ def _in_fewer_tasks(fragments: DataFrame) -> DataFrame:
     """Small blocks one after the other in a task, so that no more files are written than text is worth."""
     spark = fragments.sparkSession
     blocks = fragments._jdf.queryExecution().toRdd().getNumPartitions()
-    worth = blocks * _size_of(spark, "spark.sql.files.maxPartitionBytes") // TASK_BYTES
+    split, opening = (_size_of(spark, f"spark.sql.files.{x}") for x in ("maxPartitionBytes", "openCostInBytes"))
+    # What opening counts for is no text: a split of tiny files holds next to nothing.
+    text = fragments._jdf.queryExecution().analyzed().collectLeaves().head().stats().sizeInBytes()
+    worth = min(blocks * split, text + blocks * opening) // TASK_BYTES
     return fragments.coalesce(max(1, min(blocks, max(worth, 4 * spark.sparkContext.defaultParallelism))))
 
 

@@ -32,6 +32,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_folder(spark)}/schemagate-{label}-{uuid.uuid4().hex}"
 
 
+def mounted_path(spark: SparkSession, path: str) -> str | None:
+    """``path`` as any program on this machine names it, if it is in a mounted file system."""
+    target, files = _located(spark, path)
+    return target.toUri().getPath() if files.getUri().getScheme() == "file" else None
+
+
 def removed_at_exit(spark: SparkSession, path: str) -> str:
     """``path``, to be deleted when Python ends, if the session still runs then."""
 

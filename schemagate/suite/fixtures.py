@@ -7,13 +7,16 @@ written once per session into the shared folder.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import os
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemagate.billing import FLAT
-from schemagate.storage import scratch_path
+from schemagate.storage import mounted_path, scratch_path
 
 FLAT_SQL = """
 SELECT
@@ -140,12 +143,40 @@ def json_bare_documents(spark: SparkSession, sf_dir: str) -> str:
     """Each record a file of its own, without an array around it."""
 
     def write(path: str) -> None:
-        rows = _from_orders(spark, sf_dir, JSON_SQL)
-        rows.select("raw").write.option("maxRecordsPerFile", 1).text(path)
+        rows = _from_orders(spark, sf_dir, JSON_SQL).select(F.col("raw").alias("value"))
+        _a_file_each(rows.repartition(4 * spark.sparkContext.defaultParallelism), path)
 
     return _once(spark, sf_dir, "bare", write)
 
 
+def _a_file_each(values: DataFrame, path: str) -> None:
+    """Each ``value`` as a file that ends with a line break.
+
+    Without its native library Hadoop starts two processes for each local file, so on a mounted
+    folder the tasks write the files themselves.  A task that is run again writes the same names.
+    """
+    folder = mounted_path(values.sparkSession, path)
+    if folder is None:
+        values.write.option("maxRecordsPerFile", 1).text(path)
+        return
+    os.makedirs(folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, count = TaskContext.get(), 0
+        # Spark's readers pass over hidden files.
+        part = f"{folder}/.{task.partitionId()}-{task.taskAttemptId()}"
+        for batch in batches:
+            for value in batch.column("value").cast(pa.binary()):
+                text = (value.as_py() or b"") + b"\n"
+                with open(part, "wb") as file:
+                    file.write(text)
+                os.replace(part, f"{folder}/{task.partitionId():05d}-{count}.txt")
+                count += 1
+        yield pa.RecordBatch.from_pydict({"files": [count]})
+
+    values.mapInArrow(write, "files long").agg(F.sum("files")).collect()
+
+
 def headed_csv(spark: SparkSession, sf_dir: str) -> str:
     """Files whose header has other names, with the contract's own header as a line among the rows."""
 
