@@ -134,7 +134,7 @@ def json_documents(spark: SparkSession, sf_dir: str) -> str:
             .select("value")
         )
         alone = rows.where(cut_off).select(F.concat(F.lit("["), "raw").alias("value"))
-        arrays.union(alone).write.option("maxRecordsPerFile", 1).text(path)
+        _a_file_each(arrays.union(alone), path)
 
     return _once(spark, sf_dir, "documents", write)
 

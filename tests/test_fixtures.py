@@ -41,3 +41,11 @@ def test_many_tiny_files_share_tasks(spark, tmp_path):
         fragments = documents._fragments(spark, str(tmp_path))
         tasks = documents._in_fewer_tasks(fragments).rdd.getNumPartitions()
     assert tasks <= 4 * spark.sparkContext.defaultParallelism
+
+
+def test_array_documents_have_nothing_beside_them(spark, orders):
+    path = fixtures.json_documents(spark, orders)
+    cut_off = [t for t in texts(spark, orders) if t and not t.endswith("}") and t != "7"]
+    assert len(list(Path(path).iterdir())) == len(cut_off) + 2, "two documents of whole records"
+    whole = [f.read_text() for f in files(path) if f.read_text().endswith("]\n")]
+    assert sum(t.count("currency_conversion_rate") for t in whole) == sum("}" in (t or "") and "{" in t for t in texts(spark, orders))
