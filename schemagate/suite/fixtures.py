@@ -7,6 +7,7 @@ written once per session into the shared folder.
 
 from __future__ import annotations
 
+import gzip
 import os
 from collections.abc import Callable, Iterator
 
@@ -121,8 +122,11 @@ def json_lines(spark: SparkSession, sf_dir: str) -> str:
     )
 
 
-def json_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Array files; a truncated record, which would take all behind it along, is a file's only one."""
+def json_documents(spark: SparkSession, sf_dir: str, *, compressed: bool = False) -> str:
+    """Array files; a truncated record, which would take all behind it along, is a file's only one.
+
+    Compressed files are read whole, by one task each; the others in blocks.
+    """
 
     def write(path: str) -> None:
         rows = _from_orders(spark, sf_dir, JSON_SQL)
@@ -134,9 +138,9 @@ def json_documents(spark: SparkSession, sf_dir: str) -> str:
             .select("value")
         )
         alone = rows.where(cut_off).select(F.concat(F.lit("["), "raw").alias("value"))
-        _a_file_each(arrays.union(alone), path)
+        _a_file_each(arrays.union(alone), path, compressed)
 
-    return _once(spark, sf_dir, "documents", write)
+    return _once(spark, sf_dir, "documents-gz" if compressed else "documents", write)
 
 
 def json_bare_documents(spark: SparkSession, sf_dir: str) -> str:
@@ -149,7 +153,7 @@ def json_bare_documents(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "bare", write)
 
 
-def _a_file_each(values: DataFrame, path: str) -> None:
+def _a_file_each(values: DataFrame, path: str, compressed: bool = False) -> None:
     """Each ``value`` as a file that ends with a line break.
 
     Without its native library Hadoop starts two processes for each local file, so on a mounted
@@ -157,7 +161,8 @@ def _a_file_each(values: DataFrame, path: str) -> None:
     """
     folder = mounted_path(values.sparkSession, path)
     if folder is None:
-        values.write.option("maxRecordsPerFile", 1).text(path)
+        codec = "gzip" if compressed else "none"
+        values.write.option("maxRecordsPerFile", 1).text(path, compression=codec)
         return
     os.makedirs(folder)
 
@@ -169,8 +174,8 @@ def _a_file_each(values: DataFrame, path: str) -> None:
             for value in batch.column("value").cast(pa.binary()):
                 text = (value.as_py() or b"") + b"\n"
                 with open(part, "wb") as file:
-                    file.write(text)
-                os.replace(part, f"{folder}/{task.partitionId():05d}-{count}.txt")
+                    file.write(gzip.compress(text, 1) if compressed else text)
+                os.replace(part, f"{folder}/{task.partitionId():05d}-{count}.txt{'.gz' if compressed else ''}")
                 count += 1
         yield pa.RecordBatch.from_pydict({"files": [count]})
 

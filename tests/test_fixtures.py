@@ -1,5 +1,6 @@
 """Inputs of the suite: how many files and bytes they take, and what they hold."""
 
+import gzip
 from collections import Counter
 from pathlib import Path
 
@@ -7,6 +8,7 @@ import pytest
 
 from schemagate.sources import documents
 from schemagate.suite import fixtures
+from schemagate.suite.queries import QUERIES
 
 
 @pytest.fixture
@@ -49,3 +51,12 @@ def test_array_documents_have_nothing_beside_them(spark, orders):
     assert len(list(Path(path).iterdir())) == len(cut_off) + 2, "two documents of whole records"
     whole = [f.read_text() for f in files(path) if f.read_text().endswith("]\n")]
     assert sum(t.count("currency_conversion_rate") for t in whole) == sum("}" in (t or "") and "{" in t for t in texts(spark, orders))
+
+
+def test_documents_read_whole_are_compressed(spark, orders, tmp_path):
+    plain, packed = fixtures.json_documents(spark, orders), fixtures.json_documents(spark, orders, compressed=True)
+    bytes_of = lambda path: sum(f.stat().st_size for f in files(path))
+    assert bytes_of(packed) * 2 < bytes_of(plain)
+    whole = lambda path, opened: sorted("".join(sorted(opened(f).decode())) for f in files(path))
+    assert whole(packed, lambda f: gzip.decompress(f.read_bytes())) == whole(plain, Path.read_bytes)
+    assert QUERIES["json_document_scan"](spark, orders).count() == QUERIES["json_document_blocks"](spark, orders).count()
