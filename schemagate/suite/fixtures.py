@@ -74,6 +74,9 @@ FROM orders
 DOCUMENT_RECORDS = 2000
 """Keys per JSON document: documents grow in number with the data, not in size."""
 
+LINES_PER_FILE = 20_000
+"""Records per file of JSON lines: these are compressed, so a file is read by one task."""
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -116,10 +119,13 @@ def ragged_csv(spark: SparkSession, sf_dir: str) -> str:
 
 
 def json_lines(spark: SparkSession, sf_dir: str) -> str:
-    return _once(
-        spark, sf_dir, "lines",
-        lambda path: _from_orders(spark, sf_dir, JSON_SQL).select("raw").write.text(path),
-    )
+    """One record a line; compressed, as the text is many times the size of its table."""
+
+    def write(path: str) -> None:
+        lines = _from_orders(spark, sf_dir, JSON_SQL).select("raw")
+        lines.write.option("maxRecordsPerFile", LINES_PER_FILE).text(path, compression="snappy")
+
+    return _once(spark, sf_dir, "lines", write)
 
 
 def json_documents(spark: SparkSession, sf_dir: str, *, compressed: bool = False) -> str:

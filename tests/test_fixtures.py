@@ -60,3 +60,10 @@ def test_documents_read_whole_are_compressed(spark, orders, tmp_path):
     whole = lambda path, opened: sorted("".join(sorted(opened(f).decode())) for f in files(path))
     assert whole(packed, lambda f: gzip.decompress(f.read_bytes())) == whole(plain, Path.read_bytes)
     assert QUERIES["json_document_scan"](spark, orders).count() == QUERIES["json_document_blocks"](spark, orders).count()
+
+
+def test_json_lines_are_compressed(spark, orders):
+    path = fixtures.json_lines(spark, orders)
+    lines = [r.value for r in spark.read.text(path).collect()]
+    assert Counter(lines) == Counter(t or "" for t in texts(spark, orders))
+    assert 3 * sum(f.stat().st_size for f in files(path)) < sum(len(x) for x in lines)
