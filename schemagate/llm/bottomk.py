@@ -35,7 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WORD, Scratch, WordHashes, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
+from schemagate.llm.common import WORD, Scratch, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
 WIDTH = 4
@@ -79,9 +79,9 @@ def shingle_sets(docs: DataFrame, width: int) -> DataFrame:
     """``node``: a hash of the set; ``shingles``: its values, 6 bytes each, ascending."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, seen = WordHashes(), set()
+        seen = set()
         for chunk in text_chunks(batches):
-            words, ends = hashed_words(byte_texts(chunk), hashes, lower=True)
+            words, ends = hashed_words(byte_texts(chunk), lower=True)
             windows = window_hashes(words, width)
             nodes, sizes, sets, begin = [], [], [], 0
             for end in ends.tolist():

@@ -21,9 +21,6 @@ WORD = r"[^\x20\x09-\x0D]+"
 CHUNK_BYTES = 2 << 20
 """Text that a task holds as words at a time; a longer text is a chunk of its own."""
 
-CACHE_WORDS = 200_000
-"""Words whose hashes a worker remembers before it starts anew; results do not depend on it."""
-
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
@@ -89,26 +86,51 @@ def byte_texts(batch: pa.RecordBatch) -> list[bytes | None]:
     return batch.column("text").cast(pa.binary()).to_pylist()
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered up to a number of words."""
+_BLANK = np.isin(np.arange(256), list(b" \t\n\v\f\r"))
+_LOWEST_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+LANE_BYTES = 64
+"""Longer words are hashed one by one, the others eight bytes at a time, all together."""
+RUN_BYTES = 1 << 20
+"""Text whose words are hashed together, about: their places take several times its size."""
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
 
+def hashed_words(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of the texts in one row, and where each text ends in it.
 
-def hashed_words(texts: list[bytes | None], hashes: WordHashes, lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of the texts in one row, and where each text ends in it."""
-    parts, ends, total = [], np.empty(len(texts), np.int64), 0
-    for i, text in enumerate(texts):
-        if text:
-            words = (text.lower() if lower else text).split()
-            total += len(words)
-            parts.append(np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words)))
-        ends[i] = total
-    return (np.concatenate(parts) if parts else np.empty(0, np.uint64)), ends
+    A hash depends on the bytes of its word alone.
+    """
+    parts, begin, size = [], 0, 0
+    for i, text in enumerate(texts, 1):
+        size += len(text or b"")
+        if size >= RUN_BYTES or i == len(texts):
+            parts.append(_hashed_run(texts[begin:i], lower))
+            begin, size = i, 0
+    if not parts:
+        return np.empty(0, np.uint64), np.empty(0, np.int64)
+    before = np.cumsum([0, *(len(hashes) for hashes, _ in parts)])
+    return np.concatenate([hashes for hashes, _ in parts]), np.concatenate([ends + n for (_, ends), n in zip(parts, before)])
+
+
+def _hashed_run(texts: list[bytes | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+    joined = b" ".join([text or b"" for text in texts] + [b" " * 8])
+    joined = joined.lower() if lower else joined
+    data = np.frombuffer(joined, np.uint8)
+    blank = _BLANK[data]
+    edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    edges = edges if blank[0] else np.insert(edges, 0, 0)
+    begin, size = edges[::2], edges[1::2] - edges[::2]
+    upto = np.cumsum([len(text or b"") + 1 for text in texts], dtype=np.int64)
+    lanes = np.ndarray(len(data) - 7, "<u8", joined, strides=(1,))
+    hashes = mixed(size.astype(np.uint64))
+    word, at = np.flatnonzero(size <= LANE_BYTES), 0
+    while len(word):
+        lane = lanes[begin[word] + at] & _LOWEST_BYTES[np.minimum(size[word] - at, 8)]
+        hashes[word] = mixed(hashes[word] ^ lane)
+        at += 8
+        word = word[size[word] > at]
+    for long in np.flatnonzero(size > LANE_BYTES).tolist():
+        hashes[long] = xxhash.xxh3_64_intdigest(joined[begin[long] : begin[long] + size[long]])
+    return hashes, np.searchsorted(begin, upto)
 
 
 _BASE = np.uint64(0x9E3779B97F4A7C15)

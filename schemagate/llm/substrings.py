@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemagate.llm.common import WORD, WordHashes, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
+from schemagate.llm.common import WORD, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
 
 WIDTH = 13
 GROUP_SUFFIXES = 2_000_000
@@ -142,10 +142,10 @@ def _prefixes(docs: DataFrame, width: int, group_suffixes: int) -> _Prefixes:
         known = _Prefixes(list(frequent), 1)
 
         def count(batches: Iterator[pa.RecordBatch], length=length, known=known) -> Iterator[pa.RecordBatch]:
-            hashes, total = WordHashes(), 0
+            total = 0
             held, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
             for chunk in text_chunks(batches):
-                words, ends = hashed_words(byte_texts(chunk), hashes)
+                words, ends = hashed_words(byte_texts(chunk))
                 starts = _starts(ends, width)
                 total += len(starts)
                 prefix = window_hashes(words, length)[starts] if len(starts) else np.empty(0, np.uint64)
@@ -195,7 +195,7 @@ class _Block:
         self.rows = block.take(pa.array(order))
         self.ids = ids[order]
         self.texts = self.rows.column("text").cast(pa.binary()).to_pylist()
-        words, self.ends = hashed_words(self.texts, WordHashes())
+        words, self.ends = hashed_words(self.texts)
         self.starts = _starts(self.ends, width)
         labels = window_hashes(words, width)[self.starts] if len(self.starts) else np.empty(0, np.uint64)
         # Documents are in order of id, so a window's first place has the smallest.
