@@ -35,9 +35,11 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from schemagate.llm.common import WORD, Scratch, as_row, byte_texts, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
+from schemagate.llm.common import WORD, Scratch, as_row, byte_texts, give_back_arrays, hashed_words, mixed, small_batches, stored, text_chunks, window_hashes
 from schemagate.llm.components import components
 
+give_back_arrays()
+
 WIDTH = 4
 PERCENT = 80
 """Shingle width in words and least similarity in percent; the corpus pipeline takes 5 words."""
@@ -330,14 +332,18 @@ def _linked(sets: list[np.ndarray], percent: int) -> np.ndarray:
         a, b = owner[same], owner[same + step]
         cells, times = np.unique(np.concatenate([a * count + b, b * count + a]), return_counts=True)
         pairs[cells] += times
-    return 100 * shared >= percent * (sizes[:, None] + sizes[None, :] - shared)
+    linked = np.empty((count, count), bool)
+    for begin in range(0, count, 256):
+        some = shared[begin : begin + 256]
+        linked[begin : begin + 256] = 100 * some >= percent * (sizes[begin : begin + 256, None] + sizes[None, :] - some)
+    return linked
 
 
 def _connected(linked: np.ndarray) -> np.ndarray:
     """For each row of a symmetric matrix, the first one that its marks lead to."""
-    label = np.arange(len(linked))
+    label = np.arange(len(linked), dtype=np.int32)
     while True:
-        least = np.minimum(label, np.where(linked, label[None, :], len(linked)).min(axis=1, initial=len(linked)))
+        least = np.minimum(label, np.where(linked, label[None, :], np.int32(len(linked))).min(axis=1, initial=len(linked)))
         least = least[least]
         if (least == label).all():
             return label
@@ -472,10 +478,15 @@ def _per_document(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """The rows of ``docs`` that their class keeps; of rows equal in id and text, one."""
-    kept = classes(docs, width, percent).where("kept").select("doc_id", "text_key")
-    rows = docs.select(as_row(docs).alias("row"), F.col("doc_id").cast("long").alias("id"), F.xxhash64("text").alias("key"))
-    same = rows["id"].eqNullSafe(kept["doc_id"]) & (rows["key"] == kept["text_key"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["id", "key"]).select("row.*")
+    def keys(id: Column, key: Column) -> list[Column]:
+        """Plain keys, so that join and distinct share one shuffle of the texts."""
+        return [F.coalesce(id, F.lit(0)).alias("id"), id.isNull().alias("bare"), key.alias("key")]
+
+    found = classes(docs, width, percent).where("kept")
+    kept = found.select(*keys(F.col("doc_id"), F.col("text_key")))
+    rows = docs.select(as_row(docs).alias("row"), *keys(F.col("doc_id").cast("long"), F.xxhash64("text")))
+    by = ["id", "bare", "key"]
+    return rows.join(kept, by, "left_semi").dropDuplicates(by).select("row.*")
 
 
 ORACLE = f"""

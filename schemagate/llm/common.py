@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -15,6 +16,19 @@ from schemagate.storage import delete_path, scratch_path
 
 pa.set_memory_pool(pa.system_memory_pool())  # workers give back what a batch took
 
+
+def give_back_arrays() -> None:
+    """Have glibc map arrays of some MB in this process, so that a worker gives them back when freed.
+
+    By itself it stops mapping blocks as large as those freed before, and keeps them in its heap.
+    """
+    libc = ctypes.CDLL(None)
+    if hasattr(libc, "mallopt"):
+        map_threshold, trim_threshold = -3, -1
+        libc.mallopt(map_threshold, 4 << 20)
+        libc.mallopt(trim_threshold, 8 << 20)
+
+
 WORD = r"[^\x20\x09-\x0D]+"
 """A word, as Spark's and DuckDB's patterns write it; ``bytes.split()`` cuts at the same six bytes."""
 

@@ -34,12 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from schemagate.llm.common import WORD, byte_texts, covered, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
+from schemagate.llm.common import WORD, byte_texts, covered, give_back_arrays, hashed_words, mixed, owners, quoted, text_chunks, window_hashes
+
+give_back_arrays()
 
 WIDTH = 13
 GROUP_SUFFIXES = 2_000_000
 """Suffixes from which a prefix is replaced by longer ones, and about what a group holds."""
-BLOCK_BYTES = 8 << 20
+BLOCK_BYTES = 4 << 20
 """Text of a block, about: what one task has in memory at a time."""
 
 NO_ID = np.iinfo(np.int64).max
@@ -263,8 +265,15 @@ class _Block:
 def _shared(nodes: pa.Table) -> pa.Table:
     """A bit for each label sent: whether another block has sent it too."""
     sent = [unpacked(x.as_py()) for x in nodes.column("labels")]
-    values, at, counts = np.unique(np.concatenate(sent), return_inverse=True, return_counts=True)
-    return _answers(nodes, np.split(counts[at] > 1, np.cumsum([len(x) for x in sent])[:-1]))
+    ends = np.cumsum([len(x) for x in sent])
+    values = np.concatenate(sent)
+    del sent
+    order = np.argsort(values)
+    values = values[order]
+    same = values[1:] == values[:-1]
+    several = np.empty(len(values), bool)
+    several[order] = np.append(same, False) | np.insert(same, 0, False)
+    return _answers(nodes, np.split(several, ends[:-1]))
 
 
 def _earlier(nodes: pa.Table) -> pa.Table:

@@ -3,11 +3,13 @@
 import math
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import brute
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -24,6 +26,39 @@ def plain(rows):
 
 # 1: substring dedup
 
+
+def most_held(work):
+    """MB that Python and numpy hold at most during ``work``."""
+    tracemalloc.start()
+    try:
+        work()
+        return tracemalloc.get_traced_memory()[1] / 1e6
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_block_and_a_group_take_little_memory():
+    """Of what stands as a task's share; four Python workers and the JVM share an executor."""
+    size = substrings.BLOCK_BYTES // 6
+    text = " ".join(f"{i * 7919 % 100_003:05d}" for i in range(size))
+    ids = pa.array([1, 2], pa.int64())
+    block = pa.table({"__id": ids, "__block": pa.array([0, 0], pa.int64()), "text": [text[: len(text) // 2], text[len(text) // 2 :]]})
+    assert most_held(lambda: substrings._Block(block, 13, substrings._Prefixes([], 64)).labels()) < 80
+    rng = np.random.default_rng(3)
+    sent = [substrings.packed(np.unique(rng.integers(0, 1 << 32, substrings.GROUP_SUFFIXES // 20, np.uint32))) for _ in range(20)]
+    nodes = pa.table({"__group": [0] * 20, "__block": list(range(20)), "labels": sent})
+    assert most_held(lambda: substrings._shared(nodes)) < 60
+
+
+def test_a_label_of_several_blocks_is_seen_elsewhere():
+    rng = np.random.default_rng(4)
+    sent = [np.unique(rng.integers(0, 400, rng.integers(0, 120)).astype(np.uint32)) for _ in range(12)]
+    nodes = pa.table({"__group": [0] * 12, "__block": list(range(12)), "labels": [substrings.packed(x) for x in sent]})
+    bits = substrings._shared(nodes).column("bits").to_pylist()
+    for i, x in enumerate(sent):
+        others = np.concatenate([y for j, y in enumerate(sent) if j != i])
+        assert np.unpackbits(np.frombuffer(bits[i], np.uint8))[: len(x)].astype(bool).tolist() == np.isin(x, others).tolist()
+
 CUT = ("row.doc_id", "n_words", "n_removed", "sha2(kept_text, 256) AS kept_sha256")
 
 
