@@ -11,8 +11,8 @@ last in the order, for whichever order, the bound is the same.
 1. ``sets``: each document's set, written once.  Equal sets are one node from here on.
 2. ``lists``: pairs of sketch values dealt by hash; those of a single node are dropped.
 3. Families: each list has a centre, and each node goes with the centre that it shares most
-   lists with.  A family is dealt into blocks; tasks compare two blocks on full sets and give
-   what is connected, not the pairs.
+   lists with, or else joins the family that it shares most lists with.  A family is dealt into
+   blocks; tasks compare two blocks on full sets and give what is connected, not the pairs.
 4. Across families: lists that hold several give the pairs between these.  Pairs that can't reach
    t by the bound above are left out.  Where neither set holds a frequent shingle, sketches are
    random draws and their overlap estimates the similarity: pairs more than seven standard
@@ -54,6 +54,8 @@ FILTER_BITS = 1 << 26
 """Size of the bitmap of nodes to verify; it lets too many nodes through, never too few."""
 BLOCK_NODES, BLOCK_VALUES = 1024, 500_000
 """Nodes and shingles of a family's block, about; two blocks are in a task's memory at a time."""
+GUEST_SHARE = 4000
+"""A node joins a family that is met in one 80th of what is listed of it: 200 / GUEST_SHARE of a sketch."""
 DENSE = 32
 """Nodes of two blocks that hold a shingle before it gets a matrix column of its own."""
 
@@ -65,7 +67,7 @@ def classes(docs: DataFrame, width: int = WIDTH, percent: int = PERCENT) -> Data
     try:
         sets = used.stored(shingle_sets(docs, width), "sets")
         lists = used.stored(inverted_lists(sets, percent), "lists")
-        families = used.stored(components(_best_centres(lists, percent)), "families")
+        families = used.stored(_families(used.stored(_stars(lists), "stars"), percent), "families")
         members = used.stored(_members(sets, families), "members")
         within = used.stored(_within_families(members, percent), "edges")
         rest = used.stored(_between_families(lists, families, percent), "pairs")
@@ -156,8 +158,9 @@ def _frequent(sets: DataFrame) -> np.ndarray:
 
 
 def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
-    """``bucket``, and per list entry ``value``, ``node``, its size ``n`` and whether it holds frequent
-    shingles, ``late``, for lists of two nodes or more."""
+    """``bucket``, and per list entry ``value``, ``node``, its size ``n``, whether it holds frequent
+    shingles, ``late``, and the smallest node of its list, ``centre``, for lists of two nodes or more.
+    ``fits`` says whether the sizes of both allow for a link."""
     frequent = _frequent(sets)
     total = sets.agg(F.sum("n_shingles")).first()[0] or 0
     buckets = max(1, -(-total * 2 * (100 - percent) // (100 * LIST_ENTRIES)))
@@ -207,19 +210,34 @@ def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
         values, nodes, sizes = values[new], nodes[new], sizes[new]
         same = values[1:] == values[:-1]
         several = np.append(same, False) | np.insert(same, 0, False)
-        count = int(several.sum())
+        values, nodes, sizes = values[several], nodes[several], sizes[several]
+        n = sizes.astype(np.int64) >> 1
+        # Nodes are hashes and in order within a list, so its first one is a random node of it.
+        first = _begins(values)
         return pa.table({
-            "bucket": pa.array(np.full(count, rows.column("bucket")[0].as_py())),
-            "value": pa.array(values[several].view(np.int64)),
-            "node": pa.array(nodes[several]),
-            "n": pa.array(sizes[several].astype(np.int64) >> 1),
-            "late": pa.array((sizes[several] & 1).astype(np.int64)),
+            "bucket": pa.array(np.full(len(values), rows.column("bucket")[0].as_py())),
+            "value": pa.array(values.view(np.int64)),
+            "node": pa.array(nodes),
+            "n": pa.array(n),
+            "late": pa.array((sizes & 1).astype(np.int64)),
+            "centre": pa.array(nodes[first]),
+            "fits": pa.array(np.minimum(n, n[first]) * 100 >= np.maximum(n, n[first]) * percent),
         })
 
     dealt = sets.select("node", "n_shingles", "shingles").mapInArrow(
         deal, "bucket long, value binary, nodes binary, sizes binary"
     )
-    return dealt.groupBy("bucket").applyInArrow(gather, "bucket long, value long, node long, n long, late long")
+    return dealt.groupBy("bucket").applyInArrow(
+        gather, "bucket long, value long, node long, n long, late long, centre long, fits boolean"
+    )
+
+
+def _begins(values: np.ndarray) -> np.ndarray:
+    """For each of the values, which come in order, where the run of values equal to it begins."""
+    place = np.arange(len(values))
+    new = np.ones(len(values), bool)
+    new[1:] = values[1:] != values[:-1]
+    return np.maximum.accumulate(np.where(new, place, 0))
 
 
 def _buckets(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[list[np.ndarray]]:
@@ -256,21 +274,28 @@ def _pairs(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, late: n
 PAIR = "a long, b long, na long, nb long, late long, o long"
 
 
-def _best_centres(lists: DataFrame, percent: int) -> DataFrame:
-    """For each node the list centre that it shares most lists with, as ``a``, ``b``."""
+def _stars(lists: DataFrame) -> DataFrame:
+    """How many lists, ``o``, a node ``a`` of size ``n`` shares with each of their centres, ``b``."""
+    entries = lists.where("node != centre").select(F.col("node").alias("a"), F.col("centre").alias("b"), "n", "fits")
+    # Dealt as they are: rows follow the entries, however many tasks and buckets these come from.
+    return entries.repartition("a").groupBy("a", "b", "n", "fits").agg(F.count(F.lit(1)).alias("o"))
 
-    def stars(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for value, node, n, late in _buckets(batches, ["value", "node", "n", "late"]):
-            first = np.maximum.accumulate(np.where(np.insert(np.diff(value) != 0, 0, True), np.arange(len(value)), 0))
-            other = np.flatnonzero(first != np.arange(len(value)))
-            at = first[other]
-            yield from _pairs(node[other], node[at], n[other], n[at], late[other] | late[at], percent)
 
-    # A list's centre is its smallest node; nodes are hashes.
-    pairs = _in_order(lists, "node").mapInArrow(stars, PAIR).groupBy("a", "b", "na", "nb").agg(F.sum("o").alias("o"))
-    # An eighth of what is listed: texts that share less are left to the last pass.
-    pairs = pairs.where(F.col("o") * 400 >= F.col("na") * (100 - percent))
-    return pairs.groupBy("a").agg(F.max_by("b", F.struct("o", "b")).alias("b"))
+def _families(stars: DataFrame, percent: int) -> DataFrame:
+    """``node`` and ``label`` of nodes that go with a centre, and of those that join such a family.
+
+    A node goes with the centre that it shares most lists with, if these are an eighth of what is
+    listed of it.  A node without a family then joins the one whose nodes are centres of most of its
+    lists: its pairs with all of that family are compared in blocks, not given out one by one.  It
+    joins alone, so no two families become one.
+    """
+    near = stars.where(F.col("fits") & (F.col("o") * 400 >= F.col("n") * (100 - percent)))
+    families = stored(components(near.groupBy("a").agg(F.max_by("b", F.struct("o", "b")).alias("b"))), "families")
+    alone = stars.join(families.select(F.col("node").alias("a")), "a", "left_anti")
+    met = alone.join(families.select(F.col("node").alias("b"), "label"), "b").groupBy("a", "label", "n").agg(F.sum("o").alias("o"))
+    guests = met.where(F.col("o") * GUEST_SHARE >= F.col("n") * (100 - percent))
+    joined = guests.groupBy("a").agg(F.max_by("label", F.struct("o", "label")).alias("label"))
+    return families.unionByName(joined.withColumnRenamed("a", "node"))
 
 
 def _members(sets: DataFrame, families: DataFrame) -> DataFrame:

@@ -336,6 +336,45 @@ def test_a_link_between_families_around_a_frequent_passage_is_compared(spark):
     assert tuple(sorted(n for n, in table(sets.where("doc_id < 2"), "node"))) in pairs
 
 
+def crowd():
+    """Near copies of a text, and texts of their own words around two thirds of it."""
+    rng = random.Random(6)
+    base = [f"w{i}" for i in range(150)]
+    rows = [(i, " ".join(w if rng.random() > 0.01 else f"x{rng.randrange(10**6)}" for w in base)) for i in range(60)]
+    for i in range(60, 100):
+        at = rng.randrange(50)
+        own = [f"{i}own{k}" for k in range(50)]
+        rows.append((i, " ".join(own[:at] + base[at : at + 100] + own[at:])))
+    return rows
+
+
+def test_a_text_that_meets_a_family_joins_it(spark):
+    """Pairs of a family with each text that shares a passage with it are not given out one by one."""
+    rows = crowd()
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    sets = bottomk.shingle_sets(docs, 4).cache()
+    lists = bottomk.inverted_lists(sets, 80).cache()
+    families = bottomk._families(bottomk._stars(lists), 80)
+    found = sets.join(families, "node").select("doc_id", "label").collect()
+    large = max((r.label for r in found), key=[r.label for r in found].count)
+    inside = {r.doc_id for r in found if r.label == large}
+    met = {n for n, in table(lists.join(sets.where("doc_id >= 60"), "node").select("doc_id").distinct(), "doc_id")}
+    assert len(inside & set(range(60))) == 60 and len(inside & met) >= 0.8 * len(met) > 20
+    assert table(bottomk.classes(docs), "doc_id", "n_shingles", "component_id", "kept") == plain(brute.near_duplicates(rows))
+
+
+def test_centres_are_counted_over_all_buckets(spark, monkeypatch):
+    """A pair of node and centre is one row, into however many buckets the lists are dealt."""
+    sets = bottomk.shingle_sets(spark.createDataFrame(crowd(), "doc_id long, text string"), 4).cache()
+    one = bottomk.inverted_lists(sets, 80)
+    monkeypatch.setattr(bottomk, "LIST_ENTRIES", 100)
+    many = bottomk.inverted_lists(sets, 80).cache()
+    assert one.select("bucket").distinct().count() == 1 and many.select("bucket").distinct().count() > 20
+    columns = ["a", "b", "n", "fits", "o"]
+    assert table(bottomk._stars(many), *columns) == table(bottomk._stars(one), *columns)
+    assert bottomk._stars(many).groupBy("a", "b").count().where("count > 1").isEmpty()
+
+
 def test_one_of_each_class_stays(docs, rows):
     kept = bottomk.one_of_each(docs, 4, 80)
     want = {i for i, _, _, k in brute.near_duplicates(rows) if k}
