@@ -9,7 +9,7 @@ common pairs, as their own values come between.  Shingles that very many documen
 last in the order, for whichever order, the bound is the same.
 
 1. ``sets``: each document's set, written once.  Equal sets are one node from here on.
-2. ``lists``: pairs of sketch values dealt by hash; those of a single node are dropped.
+2. ``lists``: pairs of sketch values dealt by ranges of hashes; those of a single node are dropped.
 3. Families: each list has a centre, and each node goes with the centre that it shares most
    lists with, or else joins the family that it shares most lists with.  A family is dealt into
    blocks; tasks compare two blocks on full sets and give what is connected, not the pairs.
@@ -157,6 +157,48 @@ def _frequent(sets: DataFrame) -> np.ndarray:
     return np.sort(np.array([r.value for r in rows], np.int64).view(np.uint64))
 
 
+def _dealt(values: np.ndarray, nodes: np.ndarray, sizes: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """A row for each bucket that the entries meet.
+
+    Buckets are ranges of values, and a row's values are gaps in ascending order.  An entry takes about
+    four bytes for its gap, eight for the node and two for the size, once Spark has compressed empty
+    planes, into however many buckets a node's entries are dealt.
+    """
+    order = np.argsort(values, kind="stable")
+    values = values[order]
+    bucket = (values >> np.uint64(24)) * np.uint64(buckets) >> np.uint64(24)
+    found, begin = np.unique(bucket, return_index=True)
+    gaps, sizes = np.diff(values, prepend=np.uint64(0)), sizes[order]
+    gaps[begin] = values[begin]
+    spans = list(zip(begin, [*begin[1:], len(values)]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(found.astype(np.int64)),
+         pa.array([_planes(gaps[a:b], 6) for a, b in spans], pa.binary()),
+         pa.array([nodes[order[a:b]].tobytes() for a, b in spans], pa.binary()),
+         pa.array([_planes(sizes[a:b], 4) for a, b in spans], pa.binary())],
+        names=["bucket", "value", "nodes", "sizes"],
+    )
+
+
+def _entries(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Values, nodes and sizes of a bucket's rows."""
+    values = [np.cumsum(_from_planes(row, 6)) for row in rows.column("value").to_pylist()]
+    sizes = [_from_planes(row, 4) for row in rows.column("sizes").to_pylist()]
+    nodes = np.frombuffer(b"".join(rows.column("nodes").to_pylist()), np.int64)
+    return np.concatenate(values), nodes, np.concatenate(sizes).astype(np.int64)
+
+
+def _planes(numbers: np.ndarray, width: int) -> bytes:
+    """The lowest bytes of all numbers, then the next ones, up to ``width`` bytes of each."""
+    return numbers.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+
+
+def _from_planes(planes: bytes, width: int) -> np.ndarray:
+    wide = np.zeros((len(planes) // width, 8), np.uint8)
+    wide[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, -1).T
+    return wide.view(np.uint64).ravel()
+
+
 def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
     """``bucket``, and per list entry ``value``, ``node``, its size ``n``, whether it holds frequent
     shingles, ``late``, and the smallest node of its list, ``centre``, for lists of two nodes or more.
@@ -186,23 +228,11 @@ def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
             values = np.concatenate(sketches)
             nodes = np.repeat(whole.column("node").to_numpy(), lengths)
             # Twice the size, and one more for a set with frequent shingles.
-            sizes = np.repeat(whole.column("n_shingles").to_numpy() * 2 + np.array(moved), lengths).astype(np.int32)
-            bucket = ((values * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % np.uint64(buckets)
-            order = np.argsort(bucket, kind="stable")
-            found, begin = np.unique(bucket[order], return_index=True)
-            parts = np.split(order, begin[1:])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(found.astype(np.int64)),
-                 pa.array([values[p].view(np.uint8).reshape(-1, 8)[:, :6].tobytes() for p in parts], pa.binary()),
-                 pa.array([nodes[p].tobytes() for p in parts], pa.binary()),
-                 pa.array([sizes[p].tobytes() for p in parts], pa.binary())],
-                names=["bucket", "value", "nodes", "sizes"],
-            )
+            sizes = np.repeat(whole.column("n_shingles").to_numpy() * 2 + np.array(moved), lengths)
+            yield _dealt(values, nodes, sizes, buckets)
 
     def gather(rows: pa.Table) -> pa.Table:
-        values = _values(b"".join(rows.column("value").to_pylist()))
-        nodes = np.frombuffer(b"".join(rows.column("nodes").to_pylist()), np.int64)
-        sizes = np.frombuffer(b"".join(rows.column("sizes").to_pylist()), np.int32)
+        values, nodes, sizes = _entries(rows)
         order = np.lexsort((nodes, values))
         values, nodes, sizes = values[order], nodes[order], sizes[order]
         new = np.ones(len(values), bool)
@@ -211,7 +241,7 @@ def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
         same = values[1:] == values[:-1]
         several = np.append(same, False) | np.insert(same, 0, False)
         values, nodes, sizes = values[several], nodes[several], sizes[several]
-        n = sizes.astype(np.int64) >> 1
+        n = sizes >> 1
         # Nodes are hashes and in order within a list, so its first one is a random node of it.
         first = _begins(values)
         return pa.table({
@@ -219,7 +249,7 @@ def inverted_lists(sets: DataFrame, percent: int) -> DataFrame:
             "value": pa.array(values.view(np.int64)),
             "node": pa.array(nodes),
             "n": pa.array(n),
-            "late": pa.array((sizes & 1).astype(np.int64)),
+            "late": pa.array(sizes & 1),
             "centre": pa.array(nodes[first]),
             "fits": pa.array(np.minimum(n, n[first]) * 100 >= np.maximum(n, n[first]) * percent),
         })

@@ -375,6 +375,25 @@ def test_centres_are_counted_over_all_buckets(spark, monkeypatch):
     assert bottomk._stars(many).groupBy("a", "b").count().where("count > 1").isEmpty()
 
 
+def test_entries_take_no_more_room_in_more_buckets():
+    rng = np.random.default_rng(6)
+    values = rng.integers(0, 1 << 48, 200_000, np.uint64)
+    values[-9:] = 0, 0, 1, 1, (1 << 48) - 1, (1 << 48) - 1, 1 << 47, 1 << 24, (1 << 24) - 1
+    nodes = np.repeat(rng.integers(-(1 << 62), 1 << 62, 2_000), 100)
+    sizes = np.repeat(np.append(rng.integers(2, 3_000, 1_999), (1 << 31) - 1), 100)
+    room = []
+    for buckets in (1, 8, 400):
+        dealt = bottomk._dealt(values, nodes, sizes, buckets)
+        assert dealt.num_rows == buckets and dealt.column("bucket").to_pylist() == list(range(buckets))
+        parts = [bottomk._entries(pa.table(dealt.slice(i, 1))) for i in range(buckets)]
+        assert all(a[0].max() < b[0].min() for a, b in zip(parts, parts[1:]))
+        back = [np.concatenate(x) for x in zip(*parts)]
+        assert sorted(zip(*(x.tolist() for x in back))) == sorted(zip(values.tolist(), nodes.tolist(), sizes.tolist()))
+        room.append(sum(len(pa.compress(b"".join(c.to_pylist()), "lz4_raw", asbytes=True)) for c in dealt.columns[1:]))
+    # By node, with four bytes of size each, it is 18 in many buckets.
+    assert max(room) < 14.5 * len(values)
+
+
 def test_one_of_each_class_stays(docs, rows):
     kept = bottomk.one_of_each(docs, 4, 80)
     want = {i for i, _, _, k in brute.near_duplicates(rows) if k}
