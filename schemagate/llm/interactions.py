@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from schemagate.llm.common import small_batches, stored
-from schemagate.storage import delete_path, path_exists, scratch_path
+from schemagate.storage import bytes_under, delete_path, path_exists, scratch_path
 
 FILTERS = "ABCDE"
 LEAST_WORDS = 200
@@ -43,6 +43,8 @@ COPY = 1 << FILTERS.index("E")
 
 COMBINE_ROWS = 50_000
 """Rows that a task holds combined before it sends them on."""
+MICRO_BATCHES = 4
+"""What files are read in, about, however many there are; each one rewrites the states that it meets."""
 BUCKET_ROWS = 1_000
 """Documents whose texts share a state, about; a call of a state function costs as much as 100 texts in it."""
 
@@ -75,7 +77,7 @@ def audited(spark: SparkSession, path: str, labels: DataFrame, batch_bytes: int
     """``part``, ``filter_order``, ``step`` and what the step's filter does there, for all orders.
 
     ``path`` holds documents as Parquet.  ``batch_bytes`` bounds the files of a micro-batch; left
-    out, it is what all cores read at once.
+    out, it is what all cores read at once, or a few of the files' bytes if that is more.
     """
     return orders_of(mask_counts(spark, path, labels, batch_bytes))
 
@@ -85,7 +87,7 @@ def mask_counts(spark: SparkSession, path: str, labels: DataFrame, batch_bytes:
     small_batches(spark)
     changes, progress = scratch_path(spark, "changes"), scratch_path(spark, "progress")
     try:
-        _streamed(spark, path, flags_of(labels), batch_bytes or _batch_bytes(spark), changes, progress)
+        _streamed(spark, path, flags_of(labels), batch_bytes or _batch_bytes(spark, path), changes, progress)
         if path_exists(spark, changes):
             found = spark.read.schema(CHANGES).parquet(changes)
         else:
@@ -104,10 +106,11 @@ def flags_of(labels: DataFrame) -> DataFrame:
     return stored(flags.select("doc_id", F.col("quality").alias("good"), "toxic", F.lit(0).cast("long").alias("salt")), "flags")
 
 
-def _batch_bytes(spark: SparkSession) -> int:
+def _batch_bytes(spark: SparkSession, path: str) -> int:
+    """A share of all files, so that the number of micro-batches does not follow the input."""
     split = spark.conf.get("spark.sql.files.maxPartitionBytes")
     of_split = spark.sparkContext._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(split)
-    return of_split * spark.sparkContext.defaultParallelism
+    return max(of_split * spark.sparkContext.defaultParallelism, -(-bytes_under(spark, path) // MICRO_BATCHES))
 
 
 def _streamed(spark: SparkSession, path: str, flags: DataFrame, batch_bytes: int, changes: str, progress: str) -> None:

@@ -70,6 +70,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(target)
 
 
+def bytes_under(spark: SparkSession, path: str) -> int:
+    """Bytes of all files in ``path``, which may be a pattern."""
+    target, files = _located(spark, path)
+    return sum(files.getContentSummary(found.getPath()).getLength() for found in files.globStatus(target) or [])
+
+
 def write_text(spark: SparkSession, path: str, text: str) -> None:
     """A small file that is there as a whole or not at all."""
     target, files = _located(spark, path)

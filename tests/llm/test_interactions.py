@@ -3,10 +3,12 @@
 import random
 from collections import Counter, defaultdict
 from itertools import permutations
+from pathlib import Path
 
 import pytest
 
 from schemagate.llm import interactions
+from schemagate.storage import setting
 
 LABELS = "doc_id long, quality int, toxic int"
 
@@ -98,6 +100,18 @@ def test_a_smaller_id_takes_a_text_over():
     assert {k: n for k, n in change.items() if n} == {("a", 1, False, False): -1, ("a", 17, False, False): 2, ("b", 1, False, False): 2}
 
 
+def test_micro_batches_do_not_follow_the_input(spark, odd_rows, tmp_path):
+    for files in (4, 12):
+        path = written(spark, odd_rows, str(tmp_path / f"docs{files}"), files)
+        everything = sum(f.stat().st_size for f in Path(path).glob("*.parquet"))
+        with setting(spark, "spark.sql.files.maxPartitionBytes", "1b"):
+            got = interactions._batch_bytes(spark, path)
+        # Before, it was what all cores read at once, however many times that was in the input.
+        assert everything <= got * interactions.MICRO_BATCHES < everything + interactions.MICRO_BATCHES
+    found = interactions.audited(spark, path, spark.createDataFrame([], LABELS), got)
+    assert sorted(map(tuple, found.collect())) == plain(odd_rows, [])
+
+
 def test_large_ids_keep_their_order(spark, tmp_path):
     big = (1 << 62) + 1
     path = written(spark, [(big, "same", "a"), (big - 1, "same", "b"), (None, "same", "a")], str(tmp_path / "docs"), 3)
