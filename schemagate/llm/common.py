@@ -108,16 +108,17 @@ RUN_BYTES = 1 << 20
 """Text whose words are hashed together, about: their places take several times its size."""
 
 
-def hashed_words(texts: list[bytes | None], lower: bool = False) -> tuple[np.ndarray, np.ndarray]:
+def hashed_words(texts: list[bytes | None], lower: bool = False, blank: np.ndarray = _BLANK) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all words of the texts in one row, and where each text ends in it.
 
-    A hash depends on the bytes of its word alone.
+    A hash depends on the bytes of its word alone.  ``blank`` says of each byte whether words end there,
+    as they must at a space.
     """
     parts, begin, size = [], 0, 0
     for i, text in enumerate(texts, 1):
         size += len(text or b"")
         if size >= RUN_BYTES or i == len(texts):
-            parts.append(_hashed_run(texts[begin:i], lower))
+            parts.append(_hashed_run(texts[begin:i], lower, blank))
             begin, size = i, 0
     if not parts:
         return np.empty(0, np.uint64), np.empty(0, np.int64)
@@ -125,11 +126,11 @@ def hashed_words(texts: list[bytes | None], lower: bool = False) -> tuple[np.nda
     return np.concatenate([hashes for hashes, _ in parts]), np.concatenate([ends + n for (_, ends), n in zip(parts, before)])
 
 
-def _hashed_run(texts: list[bytes | None], lower: bool) -> tuple[np.ndarray, np.ndarray]:
+def _hashed_run(texts: list[bytes | None], lower: bool, blanks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     joined = b" ".join([text or b"" for text in texts] + [b" " * 8])
     joined = joined.lower() if lower else joined
     data = np.frombuffer(joined, np.uint8)
-    blank = _BLANK[data]
+    blank = blanks[data]
     edges = np.flatnonzero(blank[1:] != blank[:-1]) + 1
     edges = edges if blank[0] else np.insert(edges, 0, 0)
     begin, size = edges[::2], edges[1::2] - edges[::2]

@@ -1,22 +1,30 @@
 """License scans by diagonal voting.
 
-All pairs of neighbouring words of all texts are joined by hash to the places where templates
+All pairs of neighbouring words of all texts are looked up by hash among the places where templates
 have them, and verified on the words themselves, a third word included where the template has
-one.  A match votes for a diagonal, its place in the text less its place in the template.  A
+one.  Texts are read once, in whole arrays of word hashes; a text's number of words comes with it.  A match votes for a diagonal, its place in the text less its place in the template.  A
 phrase stands where its diagonal has all votes.  For templates of running text, diagonals next
 to each other are merged, as a word more or less moves the rest by one; their label is given
 where enough of the template is found in a span of about its length and the words that tell it
 from other licenses are among them.  Of overlapping notices of versions the best one stands.
 
-Templates are a fixed table of a few hundred short rows and so are broadcast.  Only matches are
+Templates are a fixed table of a few hundred short rows, which each task holds.  Only matches are
 shuffled.  Rows are told apart by id and text; rows equal in both have equal results and each
 get them.  Null text is empty.  An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+import re
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, BinaryType, IntegerType, LongType, StructType
+
+from schemagate.llm.common import byte_texts, hashed_words, small_batches, stored, text_chunks, window_hashes
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -87,17 +95,19 @@ def telling_places(label: str) -> int:
     return sum(1 << [" ".join(words[i : i + 3]) for i in range(HALF)].index(triple) for triple in TELLING[label])
 
 
-def words_of(text: Column) -> Column:
-    upper, lower = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-    return F.regexp_extract_all(F.translate(F.coalesce(text, F.lit("")), upper, lower), F.lit(WORD), F.lit(0))
+_WORD_BYTES = re.compile(rb"[0-9a-z\x80-\xFF]+")
+_BETWEEN = np.array([not _WORD_BYTES.match(bytes([b]).lower()) for b in range(256)])
+MATCH = StructType().add("row", IntegerType()).add("pos", LongType())
+"""A row of the templates and where a text has its words."""
 
 
 def scanned(docs: DataFrame) -> DataFrame:
     """``doc_id``, ``n_words``, places of base phrases, labels and ``score`` of every row."""
+    small_batches(docs.sparkSession)
     key = F.md5(F.concat_ws("|", F.coalesce(F.col("doc_id").cast("string"), F.lit("-")), F.coalesce("text", F.lit(""))))
-    texts = docs.select("doc_id", F.unhex(key).alias("key"), words_of(F.col("text")).alias("words"))
+    texts = stored(looked_up(docs.select("doc_id", F.unhex(key).alias("key"), "text")), "license-words")
     found = _summary(matches(texts))
-    rows = texts.select("doc_id", "key", F.size("words").cast("long").alias("n_words"))
+    rows = texts.select("doc_id", "key", "n_words")
     labels = lambda c: F.array_join(F.array_sort(F.coalesce(c, F.array().cast("array<string>"))), ",")
     return rows.join(found, "key", "left").select(
         "doc_id", "n_words",
@@ -109,19 +119,64 @@ def scanned(docs: DataFrame) -> DataFrame:
     )
 
 
+def looked_up(docs: DataFrame) -> DataFrame:
+    """``doc_id`` and ``key`` of each row, its ``n_words``, and ``found``, all matches in its text."""
+    rows = template_rows()
+    grams = [[word and word.encode() for word in row[5:]] for row in rows]
+    pairs = np.concatenate([window_hashes(hashed_words([b" ".join(g[:2])])[0], 2) for g in grams])
+    thirds = np.concatenate([hashed_words([g[2]])[0] if g[2] else np.zeros(1, np.uint64) for g in grams])
+    whole = np.array([g[2] is None for g in grams])
+    order = np.argsort(pairs, kind="stable")
+    known, first, times = np.unique(pairs[order], return_index=True, return_counts=True)
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in text_chunks(batches):
+            texts = byte_texts(chunk)
+            words, ends = hashed_words(texts, lower=True, blank=_BETWEEN)
+            begins = np.append(0, ends[:-1])
+            windows = window_hashes(words, 2)
+            near = np.minimum(np.searchsorted(known, windows), len(known) - 1)
+            place = np.flatnonzero(known[near] == windows)
+            near = near[place]
+            # Each place with all rows of the templates that begin with its two words.
+            place, near, of = np.repeat(place, times[near]), np.repeat(near, times[near]), times[near]
+            row = order[first[near] + np.arange(len(near)) - np.repeat(np.cumsum(of) - of, of)]
+            text = np.searchsorted(ends, place, "right")
+            third = words[np.minimum(place + 2, len(words) - 1)] if len(words) else words
+            same = (place + 1 < ends[text]) & (whole[row] | ((place + 2 < ends[text]) & (third == thirds[row])))
+            text, row, pos = text[same], row[same], (place - begins[text])[same]
+            good = _verified(texts, text, row, pos, grams)
+            text, row, pos = text[good], row[good], pos[good]
+            upto = np.searchsorted(text, np.arange(len(texts) + 1)).astype(np.int32)
+            found = pa.StructArray.from_arrays([pa.array(row, pa.int32()), pa.array(pos, pa.int64())], ["row", "pos"])
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column("doc_id"), chunk.column("key"), pa.array(ends - begins, pa.int64()),
+                 pa.ListArray.from_arrays(pa.array(upto), found)],
+                names=["doc_id", "key", "n_words", "found"],
+            )
+
+    schema = StructType([docs.schema["doc_id"]]).add("key", BinaryType()).add("n_words", LongType()).add("found", ArrayType(MATCH))
+    return docs.select("doc_id", "key", "text").mapInArrow(work, schema)
+
+
+def _verified(texts: list[bytes | None], text: np.ndarray, row: np.ndarray, pos: np.ndarray, grams: list[list]) -> np.ndarray:
+    """Which matches hold by the words themselves; those of a text come together."""
+    good, read = np.zeros(len(text), bool), None
+    for n, (t, r, p) in enumerate(zip(text.tolist(), row.tolist(), pos.tolist())):
+        if t != read:
+            read, words = t, _WORD_BYTES.findall(texts[t].lower())
+        gram = [word for word in grams[r] if word]
+        good[n] = words[p : p + len(gram)] == gram
+    return good
+
+
 def matches(texts: DataFrame) -> DataFrame:
     """Where a text (``key``) has the words of a template's place, each once."""
-    spark = texts.sparkSession
-    templates = spark.createDataFrame(
-        template_rows(), "template int, label string, phrase boolean, place int, votes int, t1 string, t2 string, t3 string"
-    ).withColumn("gram", F.xxhash64("t1", "t2"))
-    w = F.col("words")
-    following = F.arrays_zip(w.alias("w1"), F.slice(w, 2, F.size(w)).alias("w2"), F.slice(w, 3, F.size(w)).alias("w3"))
-    grams = texts.where(F.size("words") > 1).select("key", F.posexplode(following).alias("pos", "g"))
-    grams = grams.select("key", "pos", F.xxhash64("g.w1", "g.w2").alias("gram"), "g.w1", "g.w2", "g.w3")
-    same = (F.col("w1") == F.col("t1")) & (F.col("w2") == F.col("t2")) & (F.col("t3").isNull() | (F.col("w3") == F.col("t3")))
-    joined = grams.join(F.broadcast(templates), "gram").where(same)
-    return joined.select("key", "template", "label", "phrase", "votes", "place", F.col("pos").cast("long").alias("pos")).distinct()
+    kinds = "row int, template int, label string, phrase boolean, place int, votes int"
+    templates = texts.sparkSession.createDataFrame([(n, *row[:5]) for n, row in enumerate(template_rows())], kinds)
+    each = texts.select("key", F.explode("found").alias("m")).select("key", "m.row", "m.pos")
+    joined = each.join(F.broadcast(templates), "row")
+    return joined.select("key", "template", "label", "phrase", "votes", "place", "pos").distinct()
 
 
 def _summary(found: DataFrame) -> DataFrame:

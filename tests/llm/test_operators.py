@@ -254,6 +254,28 @@ def test_changed_license_text_is_found_on_merged_diagonals(docs):
     assert found == {"mit", "apache,apache-2.0", "gpl,gpl-text"}
 
 
+def test_words_of_a_text_are_read_once(spark, monkeypatch):
+    texts = [
+        "The MIT license,mit LICENSE and mit", "license", "apache", "license", None, "", "...", "mit licence", "x" * 70 + " mit license",
+        "m\u0130t license \u212ait license Licensed under the Apache License, Version 2.0", "general-public_license general public\u00e9 license",
+    ]
+    calls = []
+    found = licenses.looked_up
+    monkeypatch.setattr(licenses, "looked_up", lambda docs: calls.append(found(docs)) or calls[-1])
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    scanned = licenses.scanned(docs)
+    # Before, the pattern cut all texts twice: for the number of words, and for the pairs.
+    assert len(calls) == 1 and "regexp_extract_all" not in scanned._jdf.queryExecution().toString()
+    words = [re.findall(licenses.WORD, (t or "").translate({c: c + 32 for c in range(65, 91)})) for t in texts]
+    got = {r.doc_id: r for r in scanned.collect()}
+    assert [got[i].n_words for i in range(len(texts))] == list(map(len, words))
+    grams = {(*row[5:7], row[7]): n for n, row in enumerate(licenses.template_rows())}
+    want = {(i, n, p) for i, w in enumerate(words) for gram, n in grams.items() for p in range(len(w))
+            if tuple(w[p : p + len([x for x in gram if x])]) == tuple(x for x in gram if x)}
+    rows = licenses.looked_up(docs.withColumn("key", F.lit(b"k"))).select("doc_id", F.inline("found")).collect()
+    assert {(r.doc_id, licenses.template_rows()[r.row][5:], r.pos) for r in rows} == {(i, licenses.template_rows()[n][5:], p) for i, n, p in want}
+
+
 def test_versions_and_relatives_are_told_apart(spark):
     under, header = "licensed under the {}", (
         "this program is free software you can redistribute it and or modify it under the terms of the {} public license"
