@@ -43,7 +43,7 @@ COPY = 1 << FILTERS.index("E")
 
 COMBINE_ROWS = 50_000
 """Rows that a task holds combined before it sends them on."""
-MICRO_BATCHES = 4
+MICRO_BATCHES = 2
 """What files are read in, about, however many there are; each one rewrites the states that it meets."""
 BUCKET_ROWS = 1_000
 """Documents whose texts share a state, about; a call of a state function costs as much as 100 texts in it."""
