@@ -141,22 +141,23 @@ def packed(docs: DataFrame, vocabulary: str | None = None, length: int = LENGTH,
     chunks = max(1, -(-cut.count() // chunk_pieces))
     dealt = cut.withColumn("chunk", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(chunks)))
 
-    def lengths_of(rows: pa.Table) -> pa.Table:
-        return _island_rows(rows.column("chunk")[0].as_py(), _in_order(rows)[1], length)
+    def begin(rows: pa.Table) -> pa.Table:
+        first = _island_rows(rows.column("chunk")[0].as_py(), _in_order(rows)[1], length)
+        return pa.Table.from_batches([_evolved(row, 0, length) for row in first.to_pylist()])
 
-    islands = dealt.groupBy("chunk").applyInArrow(lengths_of, ISLAND)
-    for epoch in range(EPOCHS):
+    # A task has one Python function at a time: each in a chain would be a process of its own, which executors keep.
+    islands = dealt.groupBy("chunk").applyInArrow(begin, ISLAND)
+    for epoch in range(1, EPOCHS):
 
         def evolve(batches: Iterator[pa.RecordBatch], epoch=epoch) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for row in batch.to_pylist():
                     yield _evolved(row, epoch, length)
 
-        islands = islands.mapInArrow(evolve, ISLAND)
-        if epoch + 1 < EPOCHS:
-            elite = F.struct("fitness", "packing")
-            guests = islands.select("chunk", ((F.col("island") + 1) % ISLANDS).alias("island"), elite.alias("guest"))
-            islands = islands.drop("guest").join(guests, ["chunk", "island"]).select(*ISLAND_COLUMNS)
+        islands = stored(islands, "islands")
+        elite = F.struct("fitness", "packing")
+        guests = islands.select("chunk", ((F.col("island") + 1) % ISLANDS).alias("island"), elite.alias("guest"))
+        islands = islands.drop("guest").join(guests, ["chunk", "island"]).select(*ISLAND_COLUMNS).mapInArrow(evolve, ISLAND)
     best = islands.groupBy("chunk").agg(F.max_by("packing", F.struct("fitness", "island")).alias("packing"))
 
     def assign(rows: pa.Table, packings: pa.Table) -> pa.Table:

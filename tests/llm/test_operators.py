@@ -11,8 +11,10 @@ import brute
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from schemagate.llm import bottomk, common, components, hamming, language, licenses, mixing, packing, repetition, sharding, substrings, warc
 
 
@@ -602,6 +604,31 @@ def test_pieces_hold_all_tokens_once(docs, rows, tokenizer, settings):
     assert len(sequences) <= 1.15 * math.ceil(total / length) + 3
 
 
+def python_functions(node):
+    """How many Python functions run at a time in the task of a plan node, and in that of any node below."""
+    below = [node.children().apply(i) for i in range(node.children().size())]
+    if node.nodeName() == "AdaptiveSparkPlan":
+        below = [node.initialPlan()]
+    counts = [python_functions(x) for x in below] or [(0, 0)]
+    joined = max if node.nodeName() == "Union" else sum  # its sides are tasks of their own
+    here = joined([x for x, _ in counts]) + any(x in node.nodeName() for x in ("Arrow", "Pandas", "Python"))
+    return 0 if "Exchange" in node.nodeName() else here, max([here, *(x for _, x in counts)])
+
+
+def test_a_task_of_the_pipeline_has_one_python_process(spark, docs, tmp_path, monkeypatch):
+    """Each function of a chain is one of its own, and an executor keeps them for all that follows."""
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    most, write = [], DataFrameWriter.parquet
+
+    def parquet(self, *args, **settings):
+        most.append(python_functions(self._df._jdf.queryExecution().executedPlan())[1])
+        return write(self, *args, **settings)
+
+    monkeypatch.setattr(DataFrameWriter, "parquet", parquet)
+    assert corpus_pipeline.run(spark, str(tmp_path)).count()
+    assert max(most) == 1
+
+
 def test_crossover_keeps_every_piece_once():
     rng = random.Random(4)
     sizes = [rng.randint(1, 90) for _ in range(200)]
