@@ -31,6 +31,12 @@ BYTE_ORDER_MARK = "\xef\xbb\xbf"
 
 _TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"?|\\.|[{}\[\],]', re.DOTALL)
 
+# What tells how deep a text is; what the backslash takes along and strings are passed over.
+_BRACKET = re.compile(r'"[^"\\]*(?:\\.[^"\\]*)*"?|\\.|[{}\[\]]', re.DOTALL)
+
+# Up to so many characters marks are found one by one, as arrays cost more to set up.
+SHORT = 4096
+
 # How deep a text is where its records end.
 IN_ARRAY, BARE = 1, 0
 
@@ -60,6 +66,22 @@ def cut(texts: Iterable[str], closing: int, in_string: int = 0, depth: int = 0)
         yield "".join(held), False
 
 
+def cut_short(text: str, closing: int) -> Iterator[Cut]:
+    """What ``cut`` gives for one short text from a document's start."""
+    start = depth = 0
+    for token in _BRACKET.finditer(text):
+        mark = text[token.start()]
+        if mark in "{[":
+            depth += 1
+        elif mark in "}]":
+            depth -= 1
+            if mark == "}" and depth <= closing:
+                yield text[start : token.end()], True
+                start = token.end()
+    if start < len(text):
+        yield text[start:], False
+
+
 def elements(text: str) -> list[str]:
     """Top-level parts of the inside of an array; a ``]`` that closes it may come last."""
     found, start, depth = [], 0, 0
@@ -194,6 +216,22 @@ def _taken_apart(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, str,
             yield from _speculated((file, size, block), Marks(texts))
 
 
+def take_whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents (``value``), each in a row, to lines."""
+    return _mixed(
+        (x, LINE, 0) for batch in batches for text in batch.column("value") for x in document_lines(text.as_py())
+    )
+
+
+def document_lines(text: str) -> Iterator[str]:
+    """As a document comes in fragments: without the mark that readers of lines skip, or a comma at its end."""
+    text = text.removeprefix(BYTE_ORDER_MARK).removesuffix(",")
+    closing = closing_depth(text)
+    cuts = cut_short(text, closing) if len(text) <= SHORT else cut([text], closing)
+    for piece, (part, _, ends) in enumerate(_last_marked(cuts)):
+        yield from lines(part, closing, piece == 0, ends)
+
+
 def _chained(first: str, rest: Iterator[str]) -> Iterator[str]:
     yield first
     yield from rest

@@ -2,7 +2,8 @@
 
 The documents are turned into lines, one record each, with its text unchanged.  All files
 are read once, in the blocks that Spark splits them into.  A file of a single block is cut where
-it is read.  A block of a larger file does not know how it begins, in a string or not and how deep,
+it is read; small ones are read as a whole, as a reader of lines takes longer to set up than to
+read them.  A block of a larger file does not know how it begins, in a string or not and how deep,
 so it is cut as it most likely begins, and tells what it would take for that to be right: a small row.
 In order, these rows tell how each block does begin.  What is left then are the pieces around
 block edges, which are put together across tasks.  Files with a block that was cut wrongly, as
@@ -16,12 +17,14 @@ from collections.abc import Iterator
 from contextlib import AbstractContextManager, contextmanager
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession, Window
+from pyspark.sql import Column, DataFrame, DataFrameWriter, Observation, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from schemagate.sources import cutting
 from schemagate.sources.cutting import (
     CHUNKS, EDGE, EDGES, LINE, MIXED, RECORD_END, RECUT_EDGE, STANDS, STATE, STATES, cut_blocks, cut_joined, pack_blocks, take_apart,
+    take_whole,
 )
 from schemagate.storage import delete_path, path_exists, scratch_path, setting
 
@@ -34,6 +37,9 @@ BROADCAST_STATES = 100_000
 # Text that a task cuts, about, where blocks are smaller than that and more than the cores need.
 TASK_BYTES = 128 << 20
 
+# Files that cost more to open than to read are read as a whole if they have no more bytes.
+WHOLE_BYTES = 1 << 20
+
 # Compressed text files cannot be split for reading, so none may grow without bound.
 LINES_PER_FILE = 500_000
 
@@ -71,6 +77,21 @@ def documents_to_lines(spark: SparkSession, path: str | list[str], target: str)
         raise
 
 
+def parts_to_lines(spark: SparkSession, parts: Iterator[str | list[str]], target: str) -> list[str]:
+    """As ``documents_to_lines``, for paths that are there one after the other; gives a folder of lines for each."""
+    if path_exists(spark, target):
+        raise ValueError(f"{target} already exists")
+    try:
+        done = [documents_to_lines(spark, path, f"{target}/{number}") for number, path in enumerate(parts)]
+        return done or [_no_lines(spark, f"{target}/0")]
+    except BaseException:
+        delete_path(spark, target)
+        raise
+    finally:
+        if hasattr(parts, "close"):
+            parts.close()
+
+
 def _small_files_together(spark: SparkSession) -> AbstractContextManager[None]:
     """Opening a file counts as a small part of a split, however small splits are."""
     split, opening = (_size_of(spark, f"spark.sql.files.{x}") for x in ("maxPartitionBytes", "openCostInBytes"))
@@ -83,8 +104,16 @@ def _size_of(spark: SparkSession, key: str) -> int:
 
 def _write_lines(spark: SparkSession, path: str | list[str], target: str) -> str:
     done, states, edges, recut = (f"{target}/kind={kind}" for kind in (LINE, STATE, EDGE, RECUT_EDGE))
-    fragments = _fragments(spark, path)
-    _write(_in_fewer_tasks(fragments).mapInArrow(take_apart, MIXED), target)
+    whole, small, files = _whole(spark, path)
+    read = 0
+    if _blocks(whole):
+        counted = Observation()
+        texts = _in_fewer_tasks(whole).observe(counted, F.count(F.lit(1)).alias("read"))
+        _write(texts.mapInArrow(take_whole, MIXED), target)
+        read = counted.get["read"]
+    if read < files:
+        fragments = _fragments(spark, path, ~small)
+        _write(_in_fewer_tasks(fragments).mapInArrow(take_apart, MIXED), target)
     if path_exists(spark, states):
         stored = scratch_path(spark, "states")
         try:
@@ -103,18 +132,29 @@ def _write_lines(spark: SparkSession, path: str | list[str], target: str) -> str
             _write(_joined(pieces).mapInArrow(cut_joined, MIXED), target)
         finally:
             delete_path(spark, stored)
-    if not path_exists(spark, done):
-        _writer(spark.createDataFrame([], "value string")).text(done)
-    return done
+    return done if path_exists(spark, done) else _no_lines(spark, done)
+
+
+def _no_lines(spark: SparkSession, path: str) -> str:
+    _writer(spark.createDataFrame([], "value string")).text(path)
+    return path
+
+
+def _blocks(fragments: DataFrame) -> int:
+    return fragments._jdf.queryExecution().toRdd().getNumPartitions()
+
+
+def _leaf(files: DataFrame):
+    return files._jdf.queryExecution().analyzed().collectLeaves().head()
 
 
 def _in_fewer_tasks(fragments: DataFrame) -> DataFrame:
     """Small blocks one after the other in a task, so that no more files are written than text is worth."""
     spark = fragments.sparkSession
-    blocks = fragments._jdf.queryExecution().toRdd().getNumPartitions()
+    blocks = _blocks(fragments)
     split, opening = (_size_of(spark, f"spark.sql.files.{x}") for x in ("maxPartitionBytes", "openCostInBytes"))
     # What opening counts for is no text: a split of tiny files holds next to nothing.
-    text = fragments._jdf.queryExecution().analyzed().collectLeaves().head().stats().sizeInBytes()
+    text = _leaf(fragments).stats().sizeInBytes()
     worth = min(blocks * split, text + blocks * opening) // TASK_BYTES
     return fragments.coalesce(max(1, min(blocks, max(worth, 4 * spark.sparkContext.defaultParallelism))))
 
@@ -136,11 +176,40 @@ def _settled(edges: DataFrame, begun: DataFrame) -> DataFrame:
     return edges.drop("closing").join(states, _BLOCK).select(*_BLOCK, "piece", text.alias("text"), "closing", "closes", "opens", ends.alias("ends"))
 
 
-def _fragments(spark: SparkSession, path: str | list[str]) -> DataFrame:
+def _whole(spark: SparkSession, path: str | list[str]) -> tuple[DataFrame, Column, int]:
+    """The text of files read as a whole; what is true for these: small, and not compressed; and how many files there are.
+
+    Such a file is a single block in any case, as blocks are no smaller than what opening counts for.
+    """
+    meta = F.col("_metadata")
+    files = spark.read.format("binaryFile").load(_paths(path))
+    small = meta["file_size"] <= min(WHOLE_BYTES, _size_of(spark, "spark.sql.files.openCostInBytes"))
+    for ending in _compressed(spark):
+        small &= ~F.endswith(meta["file_name"], F.lit(ending))
+    there = len(_leaf(files).relation().location().inputFiles())
+    if there > len(files._jdf.inputFiles()):  # which has no file twice
+        raise ValueError("a document is named by more than one path")
+    if files.schema["content"].dataType != BinaryType():  # a folder is named content=...
+        files, small = files.withColumn("content", F.lit(b"")), F.lit(False)
+    return files.where(small).select(_as_characters("content").alias("value")), small, there
+
+
+def _compressed(spark: SparkSession) -> list[str]:
+    """The endings of files that Spark unpacks where it reads lines."""
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory.getCodecClasses(conf)
+    return [jvm.org.apache.hadoop.util.ReflectionUtils.newInstance(c, conf).getDefaultExtension() for c in codecs]
+
+
+def _paths(path: str | list[str]) -> list[str]:
+    return list(dict.fromkeys([path] if isinstance(path, str) else path))
+
+
+def _fragments(spark: SparkSession, path: str | list[str], of: Column | None = None) -> DataFrame:
     """Text up to each comma, with its file, block, and whether the block is the whole file."""
-    paths = list(dict.fromkeys([path] if isinstance(path, str) else path))
     meta = F.col("_metadata")
-    return spark.read.option("lineSep", ",").text(paths).select(
+    files = spark.read.option("lineSep", ",").text(_paths(path))
+    return (files if of is None else files.where(of)).select(
         F.xxhash64(meta["file_path"]).alias("file"),
         meta["file_size"].alias("size"),
         meta["file_block_start"].alias("block"),

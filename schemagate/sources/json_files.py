@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemagate.contract import CORRUPT, Contract
 from schemagate.sources.cutting import SET_APART
-from schemagate.sources.documents import RECORD_END, documents_to_lines
+from schemagate.sources.documents import RECORD_END, documents_to_lines, parts_to_lines
 from schemagate.storage import removed_at_exit, scratch_path
 
 
 def read_json(
     spark: SparkSession,
-    path: str | list[str],
+    path: str | list[str] | Iterator[str | list[str]],
     contract: Contract,
     *,
     layout: str = "lines",
@@ -24,7 +26,8 @@ def read_json(
     ``lines``: one record per line; blank lines are skipped.
     ``document``: each file holds one object or one array of records, which may be spread
     over lines.  Their records are written out as lines first, at once, to ``lines_path``,
-    which is yours, or else to the shared folder until Python ends.
+    which is yours, or else to the shared folder until Python ends.  An iterator gives paths in
+    turn: the files of one are not needed any more when it is asked for the next.
     ``cut``: the folder that ``taken_apart`` gives, for which it says how long it stays.
     """
     if layout == "lines":
@@ -34,7 +37,7 @@ def read_json(
     written = path
     if layout == "document":
         target = lines_path or removed_at_exit(spark, scratch_path(spark, "records"))
-        written = documents_to_lines(spark, path, target)
+        written = (parts_to_lines if isinstance(path, Iterator) else documents_to_lines)(spark, path, target)
     # Lines of one file lie in a folder of their own.
     records = _scan(spark, written, contract, lineSep=RECORD_END, recursiveFileLookup="true")
     corrupt = F.col(CORRUPT)

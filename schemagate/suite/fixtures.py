@@ -9,7 +9,10 @@ from __future__ import annotations
 
 import gzip
 import os
+import shutil
+import uuid
 from collections.abc import Callable, Iterator
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark import TaskContext
@@ -17,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from schemagate.billing import FLAT
-from schemagate.storage import mounted_path, scratch_path
+from schemagate.storage import delete_path, mounted_path, scratch_path, setting
 
 FLAT_SQL = """
 SELECT
@@ -77,6 +80,11 @@ DOCUMENT_RECORDS = 2000
 LINES_PER_FILE = 20_000
 """Records per file of JSON lines: these are compressed, so a file is read by one task."""
 
+BARE_FILES = 100_000
+"""One-record files that there are at a time: each takes a block of the disk, some 4 KB, however little it holds."""
+
+FILES_PER_FOLDER = 2000
+
 _written: dict[tuple[str, str, str], str] = {}
 
 
@@ -150,7 +158,7 @@ def json_documents(spark: SparkSession, sf_dir: str, *, compressed: bool = False
 
 
 def json_bare_documents(spark: SparkSession, sf_dir: str) -> str:
-    """Each record a file of its own, without an array around it."""
+    """Each record a file of its own, without an array around it; all in one folder, for small tables."""
 
     def write(path: str) -> None:
         rows = _from_orders(spark, sf_dir, JSON_SQL).select(F.col("raw").alias("value"))
@@ -159,6 +167,93 @@ def json_bare_documents(spark: SparkSession, sf_dir: str) -> str:
     return _once(spark, sf_dir, "bare", write)
 
 
+def json_bare_parts(spark: SparkSession, sf_dir: str) -> Iterator[list[str]]:
+    """The same files, ``BARE_FILES`` of them at a time: the folders of these, gone when the next are asked for."""
+
+    def write(path: str) -> None:
+        rows = _from_orders(spark, sf_dir, JSON_SQL).select(F.col("raw").alias("value"))
+        rows.write.option("maxRecordsPerFile", FILES_PER_FOLDER).parquet(path)
+
+    texts = _once(spark, sf_dir, "bare-texts", write)
+    name = F.col("_metadata.file_name").alias("name")
+    counts = spark.read.schema("value string").parquet(texts).groupBy(name).count().orderBy("name").collect()
+    before = 0
+    parts: list[tuple[int, str]] = []
+    for name, count in counts:
+        # What would go beyond a part begins the next one.
+        if before % BARE_FILES + count > BARE_FILES:
+            before += -before % BARE_FILES
+        parts.append((before // BARE_FILES, f"{texts}/{name}"))
+        before += count
+    path = scratch_path(spark, "bare")
+    spare: list[str] = []
+    try:
+        for _, files in groupby(parts, key=lambda x: x[0]):
+            own = [file for _, file in files]
+            # A task for each file of texts, which are far smaller than a split.
+            with setting(spark, "spark.sql.files.minPartitionNum", str(len(own))):
+                values = spark.read.schema("value string").parquet(*own)
+                folders, spare = _in_folders(values, path, spare)
+            yield [f"{path}/{name}" for name in folders]
+            spare = folders + spare
+    finally:
+        _remove(spark, path)
+
+
+def _in_folders(values: DataFrame, path: str, spare: list[str]) -> tuple[list[str], list[str]]:
+    """Each ``value`` as a file that ends with a line break, in folders of ``FILES_PER_FOLDER``; and what is left of ``spare``.
+
+    The files in ``spare`` folders are no longer needed.  On a mounted folder they are written over,
+    as making and deleting files takes most of the time.  A task gives a folder a name of its own,
+    so what one wrote that is run again is not among the folders given.
+    """
+    spark, most = values.sparkSession, FILES_PER_FOLDER
+    folder = mounted_path(spark, path)
+    if folder is None:
+        for name in spare:
+            delete_path(spark, f"{path}/{name}")
+        _a_file_each(values, f"{path}/{(name := uuid.uuid4().hex)}")
+        return [name], []
+    os.makedirs(folder, exist_ok=True)
+    tasks = values._jdf.queryExecution().toRdd().getNumPartitions()
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        task, count, inside = TaskContext.get(), 0, ""
+        old, taken, made = iter(spare[task.partitionId() :: tasks]), [], []
+        for batch in batches:
+            for value in batch.column("value").cast(pa.binary()).to_pylist():
+                if count % most == 0:
+                    made.append(f"{task.taskAttemptId()}-{len(made)}")
+                    inside = f"{folder}/{made[-1]}"
+                    taken.append(next(old, None))
+                    try:
+                        os.rename(f"{folder}/{taken[-1]}", inside)
+                    except FileNotFoundError:
+                        os.mkdir(inside)
+                with os.fdopen(os.open(f"{inside}/{count % most}.txt", os.O_WRONLY | os.O_CREAT, 0o666), "wb") as file:
+                    file.write((value or b"") + b"\n")
+                    file.truncate()
+                count += 1
+        surplus = count % most
+        while surplus and os.path.exists(f"{inside}/{surplus}.txt"):
+            os.unlink(f"{inside}/{surplus}.txt")
+            surplus += 1
+        yield pa.RecordBatch.from_arrays([pa.array(made, pa.string()), pa.array(taken, pa.string())], ["made", "taken"])
+
+    rows = values.mapInArrow(write, "made string, taken string").collect()
+    taken = {row.taken for row in rows}
+    return [row.made for row in rows], [name for name in spare if name not in taken]
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """The folders in ``path``, by tasks if they are mounted, and then ``path``."""
+    folder = mounted_path(spark, path)
+    inside = [f"{folder}/{name}" for name in os.listdir(folder)] if folder and os.path.isdir(folder) else []
+    if inside:
+        spark.sparkContext.parallelize(inside, len(inside)).foreach(lambda x: shutil.rmtree(x, ignore_errors=True))
+    delete_path(spark, path)
+
+
 def _a_file_each(values: DataFrame, path: str, compressed: bool = False) -> None:
     """Each ``value`` as a file that ends with a line break.
 

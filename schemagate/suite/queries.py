@@ -136,7 +136,7 @@ def json_document_blocks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def json_bare_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = read_json(spark, fixtures.json_bare_documents(spark, sf_dir), BILLING, layout="document")
+    rows = read_json(spark, fixtures.json_bare_parts(spark, sf_dir), BILLING, layout="document")
     return leaves(rows, REASON)
 
 

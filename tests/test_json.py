@@ -19,8 +19,9 @@ from schemagate.billing import BILLING
 from schemagate.contract import CORRUPT
 from schemagate.operators.verdicts import status_of
 from schemagate.plans import validate_json
-from schemagate.sources import cutting, read_json
+from schemagate.sources import cutting, documents, read_json
 from schemagate.sources.documents import taken_apart
+from schemagate.storage import setting
 
 CASES = [
     ('{"invoice":{"month":202401}}', ("invoice", (202401, None)), False),
@@ -156,6 +157,68 @@ def test_documents(spark, tmp_path, size):
     assert sorted(r[CORRUPT] for r in rows if r[CORRUPT] is not None) == sorted(c for _, _, bad in DOCUMENTS.values() for c in bad)
 
 
+ODD_BYTES = {
+    "mark": b'\xef\xbb\xbf[{"cost":"1"}]',
+    "two marks": b'\xef\xbb\xbf\xef\xbb\xbf{"cost":"1"}',
+    "only a mark": b"\xef\xbb\xbf",
+    "bad bytes": b'[{"cost":"1\xff"},{"cost":"\xc3\xa0"}]\n',
+    "comma": b",",
+    "commas": b",,",
+    "comma behind": b'{"cost":"1"},',
+    "frame marks": b'[{"cost":"\x1e"},\x1d,{"cost":"2"}]',
+    "long": b"[" + b",".join(b'{"cost":"%d","project":"}{\\""}' % k for k in range(400)) + b"]",
+}
+
+
+@pytest.mark.parametrize("opening", [1, 40, 1 << 20])
+def test_small_files_are_read_whole(spark, tmp_path, opening):
+    """All files as fragments, some, or none: the rows are the same."""
+    (tmp_path / "in").mkdir()
+    known = {name: text.encode() for name, (text, _, _) in DOCUMENTS.items()} | ODD_BYTES
+    for number, text in enumerate(known.values()):
+        (tmp_path / "in" / f"{number}.json").write_bytes(text)
+    (tmp_path / "in" / "packed.json.gz").write_bytes(gzip.compress(b'[{"cost":"1"},7]'))
+    path, rows = str(tmp_path / "in"), []
+    for cost in (1, opening):
+        with setting(spark, "spark.sql.files.openCostInBytes", str(cost)), documents._small_files_together(spark):
+            taken = documents._whole(spark, path)[0].count()
+            rows.append(read_json(spark, path, BILLING, layout="document").selectExpr("cost", f"hex({CORRUPT}) AS bad").collect())
+    assert taken == sum(0 < len(text) <= opening for text in known.values())
+    assert Counter(rows[0]) == Counter(rows[1]) and len(rows[0]) > 400
+
+
+def test_small_files_named_by_two_paths_are_an_error(spark, tmp_path):
+    path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"},{"cost":"2"}]')
+    large = write_file(tmp_path / "more", "b.json", "[" + ",".join(['{"cost":"1"}'] * 100) + "]")
+    with setting(spark, "spark.sql.files.openCostInBytes", "40"):
+        assert read_json(spark, [path, path, large], BILLING, layout="document").count() == 102
+        with pytest.raises(ValueError, match="named by more than one path"):
+            read_json(spark, [path, path + "/a.json", large], BILLING, layout="document")
+
+
+def test_a_folder_named_like_a_column(spark, tmp_path):
+    for k in "12":
+        write_file(tmp_path / "in" / f"content={k}", "a.json", f'{{"cost":"{k}"}}')
+    rows = read_json(spark, str(tmp_path / "in"), BILLING, layout="document").collect()
+    assert sorted(r.cost for r in rows) == ["1", "2"]
+
+
+def test_paths_in_turn(spark, tmp_path):
+    asked = []
+
+    def paths():
+        for k in range(3):
+            asked.append(k)
+            path = write_file(tmp_path / "in", "a.json", f'[{{"cost":"{k}"}},7]')
+            yield [path]
+            (tmp_path / "in" / "a.json").unlink()
+
+    rows = read_json(spark, paths(), BILLING, layout="document")
+    assert asked == [0, 1, 2] and list((tmp_path / "in").iterdir()) == []
+    assert sorted(r.cost for r in rows.collect() if r.cost) == ["0", "1", "2"] and rows.count() == 6
+    assert read_json(spark, iter([]), BILLING, layout="document").count() == 0
+
+
 def test_nothing_is_left_of_the_lines(spark, tmp_path):
     path = write_file(tmp_path / "in", "a.json", '[{"cost":"1"},{"cost":"2"}]')
     shared = Path(spark.conf.get("spark.checkpoint.dir"))
@@ -286,6 +349,20 @@ def test_no_text_is_lost_from_broken_documents(text, start, block):
     assert no_frame("".join(whole).replace(cutting.SET_APART, "")) == no_frame(text)
 
 
+@settings(max_examples=400, deadline=None)
+@given(st.text('[]{}",\\ a\n', max_size=60), st.sampled_from(["", "[", "{"]))
+def test_a_document_in_one_row_gives_the_same_lines(text, start):
+    """With brackets found one by one or in arrays."""
+    text = start + text
+    whole = in_blocks(text, 10**6)
+    assert list(cutting.document_lines(text)) == whole
+    short, cutting.SHORT = cutting.SHORT, -1
+    try:
+        assert list(cutting.document_lines(text)) == whole
+    finally:
+        cutting.SHORT = short
+
+
 def no_frame(text):
     return "".join(c for c in text if c not in "[], \n")
 
